@@ -46,14 +46,14 @@ def json_array(items: Column) -> Column:
 def json_map(m: Column, extra: dict[str, Column] | None = None, flags: tuple[str, ...] = ()) -> Column:
     """Object text of a string map, keys sorted; ``extra`` adds encoded values (null = left out).
 
-    Values of the ``flags`` keys are booleans at their source and are written without quotes.
+    Values of the ``flags`` keys are booleans or integers at their source: written without quotes.
     """
 
     def encode(e: Column) -> Column:
         text = json_string(e["value"])
         if not flags:
             return text
-        return F.when(e["key"].isin(*flags) & e["value"].isin("true", "false"), e["value"]).otherwise(text)
+        return F.when(e["key"].isin(*flags) & e["value"].rlike(r"\A(?:true|false|-?[0-9]+)\z"), e["value"]).otherwise(text)
 
     entries = F.transform(
         F.map_entries(F.coalesce(m, empty_map())),

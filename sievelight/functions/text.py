@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The code points a Unicode-aware strip removes.
 WHITESPACE = (
@@ -26,6 +26,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def pin(df: DataFrame, values: dict[str, Column], drop: tuple[str, ...] = ()) -> DataFrame:
+    """Add computed columns that are evaluated once per row.
+
+    A filter on a computed column is pushed below the projection, which copies the expression: a
+    row would then pay for it in the filter and again in the output. A one-row ``inline`` keeps the
+    values where they are. Use it for expensive columns that later filters test.
+    """
+    keep = [F.col(c) for c in df.columns if c not in values and c not in drop]
+    made = F.inline(F.array(F.struct(*[v.alias(n) for n, v in values.items()])))
+    return df.select(*keep, made)
+
+
 def strip(col: Column) -> Column:
     return F.btrim(col, F.lit(WHITESPACE))
 
