@@ -251,27 +251,26 @@ def signals_json(signals: Column) -> Column:
     return F.when(signals.isNotNull(), json_array(F.transform(signals, item)))
 
 
-def observation_json(prefix: str = "") -> Column:
-    """Canonical JSON of an observation row (``prefix`` selects sanitized copies of the text columns)."""
+def observation_fields(prefix: str = "") -> dict[str, Column]:
+    """Encoded JSON values of an observation by key (``prefix`` selects a struct, such as ``o.``).
 
-    def c(name: str) -> Column:
-        return F.col(prefix + name)
+    Sources with signals carry them in both metadata objects.
+    """
+    texts = ("excerpt", "title", "author", "mode", "timestamp", "provider_event_id", "provider_resource_id",
+             "evidence_id")
+    signals = {"advisory_signals": signals_json(F.col(prefix + "advisory_signals"))}
+    return {
+        "source_ref": json_object(
+            {k: json_string(F.col(f"{prefix}source_ref.{k}")) for k in ("source_id", "ref", "url", "kind")}
+        ),
+        **{k: json_string(F.col(prefix + k)) for k in texts},
+        **{k: json_map(F.col(prefix + k), signals, FLAG_KEYS) for k in ("evidence_metadata", "metadata")},
+    }
 
-    signals = signals_json(c("advisory_signals"))
-    ref = json_object({k: json_string(F.col(f"source_ref.{k}")) for k in ("source_id", "ref", "url", "kind")})
-    # Sources with signals carry them in both metadata objects.
-    return json_object(
-        {
-            "source_ref": ref,
-            **{k: json_string(c(k)) for k in ("excerpt", "title", "author")},
-            **{
-                k: json_string(F.col(k))
-                for k in ("mode", "timestamp", "provider_event_id", "provider_resource_id", "evidence_id")
-            },
-            "evidence_metadata": json_map(c("evidence_metadata"), {"advisory_signals": signals}, FLAG_KEYS),
-            "metadata": json_map(c("metadata"), {"advisory_signals": signals}, FLAG_KEYS),
-        }
-    )
+
+def observation_json(prefix: str = "") -> Column:
+    """Canonical JSON of an observation row."""
+    return json_object(observation_fields(prefix))
 
 
 def gate_size(df: DataFrame, limit: int = MAX_OBSERVATION_BYTES) -> tuple[DataFrame, DataFrame]:
