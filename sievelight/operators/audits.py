@@ -66,6 +66,7 @@ def emission_checkpoint(prefix: str, advisories: Column) -> Column:
     return json_object({
         **{k: json_string(c(k)) for k in ("source_id", "title", "body", "emission_type", "adapter_version")},
         "evidence": evidence, "advisories": _advisory_json(advisories), "provenance": provenance,
+        "metadata": json_map(c("metadata"), signals, FLAG_KEYS),
     })
 
 

@@ -101,7 +101,7 @@ def _with_leaves(node, leaves: Iterator[str]):
     return node
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def json_leaves(docs: pd.Series) -> pd.Series:
     def leaves(doc: str) -> list[str]:
         out: list[str] = []
@@ -111,7 +111,7 @@ def json_leaves(docs: pd.Series) -> pd.Series:
     return docs.map(leaves, na_action="ignore")
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def json_keys(docs: pd.Series) -> pd.Series:
     """Every object key at any depth."""
 
@@ -130,7 +130,7 @@ def json_keys(docs: pd.Series) -> pd.Series:
     return docs.map(keys, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def json_rebuild(docs: pd.Series, leaves: pd.Series) -> pd.Series:
     return pd.Series(
         [

@@ -67,9 +67,8 @@ class TtlDedup(StatefulProcessor):
         self._ts, self._tie, self._ttl = ts, tiebreak, ttl_seconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        # Two TTLs of wall-clock time bound the state; the rule itself uses event time only.
-        schema = T.StructType([T.StructField("last", T.LongType())])
-        self._last = handle.getValueState("last", schema, ttlDurationMs=2 * self._ttl * 1000)
+        self._handle = handle
+        self._last = handle.getValueState("last", T.StructType([T.StructField("last", T.LongType())]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows)).sort_values([self._ts, self._tie], kind="stable")
@@ -81,26 +80,40 @@ class TtlDedup(StatefulProcessor):
             keep.append(ok)
         if any(keep):
             self._last.update((int(last),))
+            self._handle.registerTimer(self._expiry(int(last)))
         yield pdf[keep]
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """Forget the id once the watermark has passed its window; an extended window has a later timer."""
+        if self._last.exists() and self._expiry(self._last.get()[0]) <= expiredTimerInfo.getExpiryTimeInMs():
+            self._last.clear()
+        return iter([])
+
+    def _expiry(self, micros: int) -> int:
+        return micros // 1000 + self._ttl * 1000 + 1
+
     def close(self) -> None:
         pass
 
 
 def dedup_ttl_stream(
-    stream: DataFrame, keys: list[str], ts: str, tiebreak: str, ttl_seconds: int = 86_400
+    stream: DataFrame, keys: list[str], ts: str, tiebreak: str, ttl_seconds: int = 86_400, delay: str = "1 day"
 ) -> DataFrame:
-    """Exact TTL dedup; output columns are the input's."""
-    return stream.groupBy(*keys).transformWithStateInPandas(
-        TtlDedup(ts, tiebreak, ttl_seconds), stream.schema, "Append", "ProcessingTime"
+    """Exact TTL dedup for rows at most ``delay`` late; output columns are the input's.
+
+    State is one timestamp per id. An event-time timer drops it when the watermark passes the end of
+    the id's window, so state holds only ids seen within ttl + delay.
+    """
+    return stream.withWatermark(ts, delay).groupBy(*keys).transformWithStateInPandas(
+        TtlDedup(ts, tiebreak, ttl_seconds), stream.schema, "Append", "EventTime"
     )
 
 
 class BoundedDedup(StatefulProcessor):
     """Keyed by bucket: remembers the newest ``max_entries`` accepted ids."""
 
-    def __init__(self, id_col: str, order: list[str], max_entries: int) -> None:
-        self._id, self._order, self._max = id_col, order, max_entries
+    def __init__(self, id_col: str, order: list[str], max_entries: int, columns: list[str]) -> None:
+        self._id, self._order, self._max, self._columns = id_col, order, max_entries, columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         text, number = T.StringType(), T.LongType()
@@ -132,7 +145,7 @@ class BoundedDedup(StatefulProcessor):
             n += 1
             keep.append(True)
         self._next.update((n,))
-        yield pdf[keep]
+        yield pdf.loc[keep, self._columns]
 
     def close(self) -> None:
         pass
@@ -148,11 +161,7 @@ def dedup_bounded_stream(
     with its own cap. The rule that drops the least recently written *bucket* when more than 512
     exist is global and has no keyed form: state expiry takes its place.
     """
-    cols = stream.schema
     sliced = stream.withColumn("_part", F.pmod(F.xxhash64(id_col), F.lit(partitions)).cast("int"))
-    schema = T.StructType([*cols.fields, T.StructField("_part", T.IntegerType())])
-    return (
-        sliced.groupBy(*bucket, "_part")
-        .transformWithStateInPandas(BoundedDedup(id_col, order, max_entries), schema, "Append", "None")
-        .drop("_part")
+    return sliced.groupBy(*bucket, "_part").transformWithStateInPandas(
+        BoundedDedup(id_col, order, max_entries, stream.columns), stream.schema, "Append", "None"
     )
