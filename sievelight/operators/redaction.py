@@ -159,11 +159,8 @@ def redact_json(df: DataFrame, col: str) -> DataFrame:
     walk = df.where(may_hit & ~bad)
     rest = df.where(~may_hit | bad)
     order = df.columns
-    redacted = (
-        walk.withColumn("_leaves", json_leaves(F.col(col)))
-        .withColumn("_clean", F.transform("_leaves", S.redact))
-        .withColumn(col, json_rebuild(F.col(col), F.col("_clean")))
-    )
+    leaves = pin(walk.withColumn("_leaves", json_leaves(F.col(col))), {"_clean": F.transform("_leaves", S.redact)})
+    redacted = leaves.withColumn(col, json_rebuild(F.col(col), F.col("_clean")))
     return redacted.select(*order).unionByName(rest)
 
 
