@@ -5,29 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from sievelight.functions.crypto import sha256_tag
-from sievelight.functions.text import let
+from sievelight.functions.text import let, literal_array
 from sievelight.schemas import empty_map
 
 
 def json_string(col: Column) -> Column:
-    """One JSON string token. Control escapes are written in lower-case hex."""
-    raw = F.to_json(F.array(F.coalesce(col, F.lit(""))))
+    """One JSON string token (null as the empty string).
+
+    The writer's one-element array text starts ``["`` and ends ``"]``, so trimming brackets can not
+    touch the value. Control escapes are put right once per document, see ``canonical``.
+    """
+    return F.btrim(F.to_json(F.array(F.coalesce(col, F.lit("")))), F.lit("[]"))
+
+
+def canonical(encoded: Column) -> Column:
+    """Write the hex digits of control escapes in lower case, over a whole encoded document."""
 
     def lower_escapes(v: Column) -> Column:
-        out = v
-        for code in ("0B", "0E", "0F", "1A", "1B", "1C", "1D", "1E", "1F"):
-            out = F.regexp_replace(
-                out, r"((?<!\\)(?:\\\\)*\\u00)" + code, "$1" + code.lower()
-            )
-        return out
+        codes = literal_array(("0B", "0E", "0F", "1A", "1B", "1C", "1D", "1E", "1F"))
+        # An even number of backslashes before the escape: it is no escaped backslash itself.
+        return F.aggregate(
+            codes, v,
+            lambda acc, c: F.regexp_replace(
+                acc, F.concat(F.lit(r"((?<!\\)(?:\\\\)*\\u00)"), c), F.concat(F.lit("$1"), F.lower(c))
+            ),
+        )
 
-    return let(
-        raw,
-        lambda v: let(
-            F.substring(v, F.lit(2), F.char_length(v) - 2),
-            lambda w: F.when(F.contains(w, F.lit("\\u00")), lower_escapes(w)).otherwise(w),
-        ),
-    )
+    return let(encoded, lambda v: F.when(F.contains(v, F.lit("\\u00")), lower_escapes(v)).otherwise(v))
 
 
 def json_object(fields: dict[str, Column]) -> Column:
@@ -74,7 +78,7 @@ def json_map(m: Column, extra: dict[str, Column] | None = None, flags: tuple[str
 
 
 def canonical_digest(encoded: Column) -> Column:
-    return sha256_tag(encoded)
+    return sha256_tag(canonical(encoded))
 
 
 def ascii_json(encoded: Column) -> Column:

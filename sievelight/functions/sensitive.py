@@ -9,12 +9,9 @@ so clean text costs a few byte searches instead of thirty regex passes.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, functions as F, types as T
 
-from sievelight.functions.text import let
+from sievelight.functions.text import let, literal_array
 
 # Catalog patterns. (label, pattern, literals of which one occurs in every match)
 SECRET_PATTERNS: list[tuple[str, str, tuple[str, ...]]] = [
@@ -60,6 +57,8 @@ PHONE_KEYWORD_PATTERN = (
 CARD_LOOKBACK = 30
 EXCERPT_MAX = 64
 
+# One of these words is part of every health-value match.
+PHI_WORDS = r"(?iU)mrn|medical|patient|date_of_birth|dob|ssn|social_security"
 # Seven digits with optional separators occur in every phone-shaped match.
 _PHONE_GUARD = r"(?U)\d[\d .\-]{5,}\d"
 _CARD_GUARD = r"(?U)\d{13}"
@@ -81,15 +80,23 @@ def _u(pattern: str) -> str:
 
 
 def _has_any(v: Column, literals: tuple[str, ...]) -> Column:
-    return reduce(or_, [F.contains(v, F.lit(x)) for x in literals])
+    return F.exists(literal_array(literals), lambda x: F.contains(v, x))
 
 
 def _maybe_secret(v: Column) -> Column:
-    return _has_any(v, tuple(x for _, _, lits in SECRET_PATTERNS for x in lits))
+    """Necessary condition of a secret. ``sk-`` alone is part of ordinary words, so it needs its run."""
+    literals = tuple(x for _, _, lits in SECRET_PATTERNS for x in lits if x != "sk-")
+    return _has_any(v, literals) | (
+        F.contains(v, F.lit("sk-")) & v.rlike(r"sk-(?:proj-)?[A-Za-z0-9]{32}")
+    )
+
+
+def _secret_patterns() -> Column:
+    return literal_array(_u(p) for _, p, _ in SECRET_PATTERNS)
 
 
 def _maybe_phi(v: Column) -> Column:
-    return _has_any(v, (":", "="))
+    return v.rlike("[:=]")
 
 
 def _guarded(col: Column, guard: Callable[[Column], Column], step: Callable[[Column], Column]) -> Column:
@@ -116,28 +123,27 @@ def card_runs(v: Column) -> Column:
 
 def detect_secrets(v: Column) -> Column:
     """Matches of the 12 token families as ``array<struct<cls, pattern_id, match_excerpt>>``."""
-    arrays = []
-    for idx, (_, pattern, literals) in enumerate(SECRET_PATTERNS):
-        arrays.append(
-            F.when(
-                _has_any(v, literals),
-                _as_hits(F.regexp_extract_all(v, F.lit(_u(pattern)), F.lit(0)), "secret", idx, mask_secret),
-            ).otherwise(F.lit(None).cast(HIT_TYPE))
+
+    def family(pattern: Column, idx: Column) -> Column:
+        return F.transform(
+            F.regexp_extract_all(v, pattern, F.lit(0)), lambda m: _hit("secret", idx, mask_secret(m))
         )
-    return F.flatten(F.array_compact(F.array(*arrays)))
+
+    return F.when(_maybe_secret(v), F.flatten(F.transform(_secret_patterns(), family))).otherwise(
+        F.array().cast(HIT_TYPE)
+    )
 
 
 def detect_phi(v: Column) -> Column:
-    arrays = [
-        _as_hits(
-            F.regexp_extract_all(v, F.lit(_u(pattern)), F.lit(0)),
-            "phi",
-            idx,
-            lambda _: F.lit("[phi:redacted]"),
+    def label(pattern: Column, idx: Column) -> Column:
+        return F.transform(
+            F.regexp_extract_all(v, pattern, F.lit(0)), lambda _: _hit("phi", idx, F.lit("[phi:redacted]"))
         )
-        for idx, (_, pattern) in enumerate(PHI_PATTERNS)
-    ]
-    return F.when(_maybe_phi(v), F.concat(*arrays)).otherwise(F.array().cast(HIT_TYPE))
+
+    patterns = literal_array(_u(p) for _, p in PHI_PATTERNS)
+    return F.when(
+        _maybe_phi(v) & v.rlike(PHI_WORDS), F.flatten(F.transform(patterns, label))
+    ).otherwise(F.array().cast(HIT_TYPE))
 
 
 def detect_pan(v: Column) -> Column:
@@ -145,20 +151,14 @@ def detect_pan(v: Column) -> Column:
         v.rlike(_CARD_GUARD),
         F.transform(
             F.filter(card_runs(v), lambda r: r["valid"]),
-            lambda r: _hit("pan", 0, F.lit("[pan:redacted]")),
+            lambda r: _hit("pan", F.lit(0), F.lit("[pan:redacted]")),
         ),
     ).otherwise(F.array().cast(HIT_TYPE))
 
 
-def _as_hits(matches: Column, cls: str, pattern_id: int, excerpt: Callable[[Column], Column]) -> Column:
-    return F.transform(matches, lambda m: _hit(cls, pattern_id, excerpt(m)))
-
-
-def _hit(cls: str, pattern_id: int, excerpt: Column) -> Column:
+def _hit(cls: str, pattern_id: Column, excerpt: Column) -> Column:
     return F.struct(
-        F.lit(cls).alias("cls"),
-        F.lit(pattern_id).cast("int").alias("pattern_id"),
-        excerpt.alias("match_excerpt"),
+        F.lit(cls).alias("cls"), pattern_id.cast("int").alias("pattern_id"), excerpt.alias("match_excerpt")
     )
 
 
@@ -176,7 +176,7 @@ def detect(col: Column) -> Column:
     return let(
         F.coalesce(col, F.lit("")),
         lambda v: F.concat(
-            F.when(_maybe_secret(v), detect_secrets(v)).otherwise(F.array().cast(HIT_TYPE)),
+            detect_secrets(v),
             detect_phi(v),
             detect_pan(v),
         ),
@@ -227,10 +227,9 @@ def redact_catalog(col: Column) -> Column:
     """Secret, then phi (value-consuming), then card placeholders."""
 
     def secrets(v: Column) -> Column:
-        out = v
-        for _, pattern, _ in SECRET_PATTERNS:
-            out = F.regexp_replace(out, _u(pattern), "[redacted:secret]")
-        return out
+        return F.aggregate(
+            _secret_patterns(), v, lambda acc, p: F.regexp_replace(acc, p, F.lit("[redacted:secret]"))
+        )
 
     def phi(v: Column) -> Column:
         out = F.regexp_replace(v, _u(PHI_PATTERNS[0][1]), "[redacted:phi]")

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sievelight.functions import sensitive as S
 from sievelight.functions.text import first_text, is_blank, let, pin, strip, strip_lower, token
 from sievelight.operators.observe import STATUS_ONLY
-from sievelight.operators.redaction import PHI_WORDS, signals_json
+from sievelight.operators.redaction import signals_json
 from sievelight.schemas import ADVISORY, EVIDENCE, HINT, PROVENANCE, SIGNAL
 
 VERSION_BASELINE = "0.1.0"  # fixed value
@@ -301,7 +301,7 @@ def emission_leaves() -> Column:
 
 def suspicious_text(v: Column) -> Column:
     """Necessary condition of any catalog hit, cheap enough for joined leaves."""
-    return S._maybe_secret(v) | v.rlike(r"(?U)\d{13}") | v.rlike(PHI_WORDS)
+    return S._maybe_secret(v) | v.rlike(r"(?U)\d{13}") | v.rlike(S.PHI_WORDS)
 
 
 def screen_reason(leaves: Column) -> Column:

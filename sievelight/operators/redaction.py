@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sievelight.functions import sensitive as S, variant as V
-from sievelight.functions.canonical import canonical_digest, json_array, json_map, json_object, json_string
+from sievelight.functions.canonical import canonical, canonical_digest, json_array, json_map, json_object, json_string
 from sievelight.functions.text import let, pin
 from sievelight.schemas import FINDING, RECEIPT, SIGNAL
 
@@ -46,9 +46,6 @@ FLAG_KEYS = ("content_truncated", "title_truncated", "tombstone")
 SIGNAL_TEXTS = ("code", "scope", "basis", "confidence", "recommended_effect", "explanation")
 
 
-# One of these words is part of every health-value match.
-PHI_WORDS = r"(?iU)mrn|medical|patient|date_of_birth|dob|ssn|social_security"
-
 # --- hits ---------------------------------------------------------------------------------------
 
 
@@ -151,7 +148,7 @@ def redact_json(df: DataFrame, col: str) -> DataFrame:
     """
     may_hit = F.coalesce(
         F.col(col).contains("@") | F.col(col).rlike(r"(?U)\d[\d .\-]{5,}\d") | S._maybe_secret(F.col(col))
-        | F.col(col).rlike(PHI_WORDS)
+        | F.col(col).rlike(S.PHI_WORDS)
         | F.col(col).contains("\\u"),
         F.lit(False),
     )
@@ -223,7 +220,7 @@ def identity_reason() -> Column:
     def check(fs: Column) -> Column:
         suspicious = let(
             F.array_join(F.transform(fs, lambda f: f["value"]), "\n"),
-            lambda v: S._maybe_secret(v) | v.rlike(r"(?U)\d{13}") | v.rlike(PHI_WORDS),
+            lambda v: S._maybe_secret(v) | v.rlike(r"(?U)\d{13}") | v.rlike(S.PHI_WORDS),
         )
         any_null = F.exists(fs, lambda f: f["value"].isNull())
         return F.when(any_null | suspicious, F.get(F.array_compact(F.transform(fs, why)), F.lit(0)))
@@ -267,7 +264,7 @@ def observation_fields(prefix: str = "") -> dict[str, Column]:
 
 def observation_json(prefix: str = "") -> Column:
     """Canonical JSON of an observation row."""
-    return json_object(observation_fields(prefix))
+    return canonical(json_object(observation_fields(prefix)))
 
 
 def gate_size(df: DataFrame, limit: int = MAX_OBSERVATION_BYTES) -> tuple[DataFrame, DataFrame]:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sievelight.functions.text import literal_array
+
 TOKEN_PATTERN = "[a-z0-9]+"
 CHANGE_KINDS = ["issue", "merge_request", "pull_request"]  # fixed values
 MAX_LITERAL_PHRASES = 2_000
@@ -13,11 +15,6 @@ def tokens(low: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(low, F.lit(TOKEN_PATTERN), F.lit(0)))
 
 
-def literal_array(values) -> Column:
-    values = list(values)
-    return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
-
-
 def is_token_term(term: str) -> bool:
     return term.isalnum()
 
