@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sievelight.functions.text import literal_array
+from sievelight.functions.text import let, literal_array
 
 TOKEN_PATTERN = "[a-z0-9]+"
 CHANGE_KINDS = ["issue", "merge_request", "pull_request"]  # fixed values
@@ -39,7 +39,8 @@ def matched_terms(text: Column, terms) -> Column:
 
     An alphanumeric term must be a whole ``[a-z0-9]+`` token; any other term matches as a substring.
     """
-    return pick(term_hits(F.lower(text), terms), terms)
+    # Each step is bound once: a lambda would evaluate it again for every term.
+    return let(F.lower(text), lambda low: let(term_hits(low, terms), lambda hits: pick(hits, terms)))
 
 
 def any_match(hits: Column, terms) -> Column:

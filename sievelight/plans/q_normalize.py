@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sievelight.operators import normalize as N
 from sievelight.plans.common import SQL_K, element, k_of, sql_element, table
-from sievelight.plans.q_redaction import CARDS, secrets, tracked
+from sievelight.plans.q_redaction import CARDS, TOKENS, secrets, tracked
 from sievelight.schemas import SIGNAL, observation_columns
 
 QUERIES, ORACLES = {}, {}
@@ -200,21 +200,14 @@ def emission_contract(spark, sf):
         bad.select("event_id", label.alias("verdict")))
 
 
-@query(f"""
-WITH e AS (SELECT event_id, user_id, {SQL_K} AS k, md5(CAST(event_id AS VARCHAR)) AS h FROM events),
-t AS (SELECT event_id, k % 20 AS c, CASE WHEN k % 20 = 0 THEN 'AKIA' || upper(left(h, 16)) WHEN k % 20 = 1 THEN 'ghp_' || h || left(h, 4)
-  WHEN k % 20 = 6 THEN 'xoxb-' || left(h, 12) WHEN k % 20 = 9 THEN 'glpat-' || left(h, 20) END AS tok FROM e)
-SELECT event_id, 'sensitive_data:secret (pattern=' || c || ', excerpt=''' || left(tok, 4) || repeat('*', CAST(length(tok) - 8 AS INTEGER))
-  || right(tok, 4) || ''', catalog=v1)' AS screen_reason FROM t WHERE tok IS NOT NULL
-UNION ALL SELECT event_id, 'sensitive_data:' || CASE WHEN c = 14 THEN 'pan' ELSE 'phi' END || ' (pattern=' || CASE WHEN c = 13 THEN 1 ELSE 0 END
-  || ', excerpt=''[' || CASE WHEN c = 14 THEN 'pan' ELSE 'phi' END || ':redacted]'', catalog=v1)' FROM t WHERE c IN (12, 13, 14)""")
+@query(TOKENS + """SELECT event_id, 'sensitive_data:' || CASE WHEN k % 20 < 12 THEN 'secret' WHEN k % 20 < 14 THEN 'phi' ELSE 'pan' END
+  || ' (pattern=' || CASE WHEN k % 20 < 12 THEN k % 20 WHEN k % 20 = 13 THEN 1 ELSE 0 END || ', excerpt='''
+  || CASE WHEN k % 20 < 12 THEN left(tok, 4) || repeat('*', CAST(least(length(tok), 64) - 8 AS INTEGER)) || right(left(tok, 64), 4)
+     WHEN k % 20 < 14 THEN '[phi:redacted]' ELSE '[pan:redacted]' END || ''', catalog=v1)' AS screen_reason FROM r WHERE k % 20 <= 14""")
 def sensitive_screen(spark, sf):
-    """Masked reasons of unredacted emissions (token families of fixed length, labels and cards)."""
-    em = N.to_emissions(tracked(spark, sf).join(
-        table(spark, sf, "events").select("event_id", (k_of() % 20).alias("c")), "event_id"))
-    rows = N.screen(em)
-    kinds = F.col("c").isin(0, 1, 6, 9, 12, 13, 14)
-    return rows.where(kinds & F.col("screen_reason").isNotNull()).select("event_id", "screen_reason")
+    """Masked reasons of unredacted emissions; clean ones have none."""
+    rows = N.screen(N.to_emissions(tracked(spark, sf)))
+    return rows.where("screen_reason IS NOT NULL").select("event_id", "screen_reason")
 
 
 @query(_VERDICT + """, b AS (SELECT *, event_id // 4 AS batch FROM v),

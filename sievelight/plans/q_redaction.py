@@ -61,7 +61,7 @@ def secrets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _CARD_SQL = "(" + str(CARDS) + ")[1 + CAST(event_id % 3 AS INTEGER)]"
-_TOKENS = f"""
+TOKENS = _TOKENS = f"""
 WITH e AS (SELECT event_id, event_type, user_id, {SQL_K} AS k, md5(CAST(event_id AS VARCHAR)) AS h FROM events),
 t AS (SELECT *, CASE k % 20
   WHEN 0 THEN 'AKIA' || upper(left(h, 16)) WHEN 1 THEN 'ghp_' || h || left(h, 4)
@@ -112,11 +112,11 @@ def catalog_redaction(spark, sf):
     return secrets(spark, sf).select("event_id", S.redact_catalog(F.col("text")).alias("clean"))
 
 
-@query(_TOKENS + """SELECT event_id, CASE WHEN k % 20 > 15 THEN clean ELSE NULL END AS clean FROM r WHERE k % 20 > 15""")
+@query(_TOKENS + "SELECT event_id, CASE WHEN k % 20 > 15 THEN clean ELSE 'pre ' || event_type END AS clean FROM r")
 def pii_redaction(spark, sf):
-    """E-mails and phones alone; the other texts hold phone-shaped digit runs by chance."""
-    rows = secrets(spark, sf).withColumn("clean", S.redact_pii(F.col("text")))
-    return rows.where("k % 20 > 15").select("event_id", "clean")
+    """E-mails and phones alone; the other events carry plain text."""
+    text = F.when(F.col("k") % 20 > 15, F.col("text")).otherwise(F.concat(F.lit("pre "), F.col("event_type")))
+    return secrets(spark, sf).select("event_id", S.redact_pii(text).alias("clean"))
 
 
 @query(_TOKENS + "SELECT event_id, clean AS text, credential, pii, secret FROM r")
