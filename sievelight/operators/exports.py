@@ -167,7 +167,7 @@ def audit_envelopes(df: DataFrame, json_col: str | None = None) -> DataFrame:
         return F.coalesce(F.map_keys(F.try_variant_get(x, path, "map<string,variant>")), no_keys)
 
     hints = F.coalesce(F.try_variant_get(v, "$.candidate_hints", "array<variant>"), F.array().cast("array<variant>"))
-    names = F.concat(keys(v), F.flatten(F.transform(hints, keys)))
+    names = F.concat(keys(v), F.flatten(F.transform(hints, lambda h: keys(h))))
     owned = F.array_sort(F.array_intersect(names, F.array(*map(F.lit, OWNED_FIELDS))))
     return df.withColumn("owned_field", F.get(owned, F.lit(0))).where("owned_field IS NOT NULL")
 
