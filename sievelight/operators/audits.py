@@ -18,7 +18,7 @@ from sievelight.functions.canonical import (
 )
 from sievelight.functions.crypto import sha256_tag
 from sievelight.functions.sensitive import EMAIL_PATTERN, has_hit
-from sievelight.functions.text import first_text, strip
+from sievelight.functions.text import first_text, pin, strip
 from sievelight.operators.redaction import FLAG_KEYS, observation_fields, signals_json
 from sievelight.operators.skew import blocked_running
 
@@ -47,8 +47,8 @@ def _advisory_json(arr: Column) -> Column:
     })))
 
 
-def emission_checkpoint(prefix: str, advisories: Column) -> Column:
-    """Canonical JSON of an emission with the given advisories."""
+def emission_fields(prefix: str) -> dict[str, Column]:
+    """Encoded JSON values of an emission checkpoint by key, without its advisories."""
 
     def c(name: str) -> Column:
         return F.col(prefix + name)
@@ -63,11 +63,11 @@ def emission_checkpoint(prefix: str, advisories: Column) -> Column:
         k: json_string(c("provenance")[k])
         for k in ("delivery_mode", "verification", "provider_event_id", "provider_resource_id")
     }))
-    return json_object({
+    return {
         **{k: json_string(c(k)) for k in ("source_id", "title", "body", "emission_type", "adapter_version")},
-        "evidence": evidence, "advisories": _advisory_json(advisories), "provenance": provenance,
+        "evidence": evidence, "provenance": provenance,
         "metadata": json_map(c("metadata"), signals, FLAG_KEYS),
-    })
+    }
 
 
 def phase_trace(df: DataFrame, trace: str = "trace_id", envelope: str = "envelope_json",
@@ -78,20 +78,29 @@ def phase_trace(df: DataFrame, trace: str = "trace_id", envelope: str = "envelop
     Each phase's input is the previous phase's output, so the digests form a chain.
     """
     scoped = lambda s: F.filter("e.advisories", lambda a: a["metadata"]["scope"] == s)
-    obs = observation_fields("o.")
     no_text = F.lit(None).cast("string")
-    base = df.select(
-        trace,
-        (F.col(capture) if capture else no_text).alias("_capture"),
-        json_object(obs).alias("_observation"),
-        json_object({**obs, "advisories": _advisory_json(scoped("integration"))}).alias("_annotated"),
-        emission_checkpoint("e.", scoped("integration")).alias("_normalized"),
-        emission_checkpoint("e.", F.col("e.advisories")).alias("_emission"),
-        F.col(envelope).alias("_envelope"),
+    packed = pin(df, {"o": F.col("o"), "e": F.col("e")})
+    obs, em = observation_fields("o."), emission_fields("e.")
+    # Encode every field once; the documents of the phases are put together from the same pieces.
+    encoded = pin(packed, {
+        **{f"_o_{k}": v for k, v in obs.items()}, **{f"_e_{k}": v for k, v in em.items()},
+        "_adv_integration": _advisory_json(scoped("integration")), "_adv_all": _advisory_json(F.col("e.advisories")),
+        "_provider_codes": F.transform(scoped("integration"), lambda a: a["kind"]),
+        "_universal_codes": F.transform(scoped("universal"), lambda a: a["kind"]),
+    }, drop=("o", "e"))
+
+    def whole(mark: str, keys, advisories: str | None = None) -> Column:
+        fields = {k: F.col(f"{mark}{k}") for k in keys}
+        return json_object(fields | ({"advisories": F.col(advisories)} if advisories else {}))
+
+    base = pin(encoded.select(
+        trace, *[F.col(c) for c in encoded.columns if c.startswith(("_o_", "_e_", "_adv", "_provider", "_universal"))],
+        F.col(envelope).alias("_envelope"), (F.col(capture) if capture else no_text).alias("_capture"),
         (F.col(delivery) if delivery else no_text).alias("_delivery"),
-        F.transform(scoped("integration"), lambda a: a["kind"]).alias("_provider_codes"),
-        F.transform(scoped("universal"), lambda a: a["kind"]).alias("_universal_codes"),
-    )
+    ), {
+        "_observation": whole("_o_", obs), "_annotated": whole("_o_", obs, "_adv_integration"),
+        "_normalized": whole("_e_", em, "_adv_integration"), "_emission": whole("_e_", em, "_adv_all"),
+    }, drop=tuple(f"_o_{k}" for k in obs) + tuple(f"_e_{k}" for k in em) + ("_adv_integration", "_adv_all"))
     delivered = F.coalesce(
         V.text(F.try_parse_json("_delivery"), "$.status") == "accepted", F.lit(False)
     ) | F.coalesce(V.integer(F.try_parse_json("_delivery"), "$.status") == 201, F.lit(False))

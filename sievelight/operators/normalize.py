@@ -73,6 +73,7 @@ def to_emissions(df: DataFrame, adapter_version: str | None = None, channel_mode
     }
     made = {"title", "evidence_id", "metadata", "advisory_signals", "redaction_receipt", "adapter_version"}
     keep = [c for c in df.columns if c not in gone | made]
+    df = pin(df, {"_provenance": provenance(channel_mode)})
     evidence = F.array(
         F.struct(
             "source_ref", "excerpt", "author", "timestamp", "evidence_id",
@@ -90,7 +91,7 @@ def to_emissions(df: DataFrame, adapter_version: str | None = None, channel_mode
         F.lit(None).cast("struct<dimensions:map<string,string>,rationale:string>").alias("confidence"),
         F.array().cast(f"array<{HINT}>").alias("routing_hints"),
         F.array().cast(f"array<{ADVISORY}>").alias("advisories"),
-        provenance(channel_mode).alias("provenance"),
+        F.col("_provenance").alias("provenance"),
         "metadata",
         "advisory_signals",
         *(["redaction_receipt"] if "redaction_receipt" in df.columns else []),

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sievelight.functions.crypto import hmac_sha256_hex
 from sievelight.operators import dedup, verify
-from sievelight.plans.common import SQL_K, element, instant, k_of, run_folder, struct, table
+from sievelight.plans.common import SQL_K, element, instant, k_of, run_folder, spread, struct, table
 from sievelight.sources.landing import body_payload
 from sievelight.streaming import dedup as stream_dedup
 
@@ -36,7 +36,7 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
     body = F.to_json(struct(
         id=F.col("event_id"), type=F.lit("Issue"), kind=F.col("event_type"), k=k_of(),
         webhookTimestamp=F.unix_millis(instant("ts")) + F.when(k_of() % 5 == 4, 61_000).otherwise(0)))
-    return table(spark, sf, "events").select(
+    return spread(table(spark, sf, "events")).select(
         "event_id", "event_type", "user_id", k_of().alias("k"), instant("ts").alias("received_at"),
         body.cast("binary").alias("body"))
 

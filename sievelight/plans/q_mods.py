@@ -43,7 +43,7 @@ P = len(PHRASES)
 
 
 def emissions(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "events").withColumn("k", k_of())
+    df = spread(table(spark, sf, "events")).withColumn("k", k_of())
     eid, e = F.col("event_id").cast("string"), F.col("event_id")
     body = F.concat_ws(" and ", element(PHRASES, e), element(PHRASES, e * 7 + F.col("k")))
     ref = F.when(e % 13 == 0, F.lit(" ")).otherwise(F.concat(F.lit("R-"), eid))

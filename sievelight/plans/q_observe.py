@@ -34,7 +34,7 @@ def over_events(sql: str):
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select(
+    return spread(table(spark, sf, "events")).select(
         "event_id", "event_type", "user_id", "value", k_of().alias("k"),
         E("event_id").cast("string").alias("eid"), E("user_id").cast("string").alias("uid"),
         F.date_format("ts", "yyyy-MM-dd").alias("day"))

@@ -56,7 +56,7 @@ def token_of():
 
 
 def secrets(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").withColumn("k", k_of()).select(
+    return spread(table(spark, sf, "events")).withColumn("k", k_of()).select(
         "event_id", "event_type", "user_id", "k", token_of().alias("text"))
 
 
@@ -175,7 +175,7 @@ def nested_json_redaction(spark, sf):
     text = F.col("text")
     doc = F.concat(F.lit('{"a":{"note":"'), text, F.lit('","n":'), F.col("k").cast("string"), F.lit('},"list":["'), text,
                    F.lit('",true,null]}'))
-    return R.redact_json(spread(secrets(spark, sf)).select("event_id", doc.alias("doc")), "doc")
+    return R.redact_json(secrets(spark, sf).select("event_id", doc.alias("doc")), "doc")
 
 
 def tracked(spark: SparkSession, sf: str, hostile: bool = False) -> DataFrame:
