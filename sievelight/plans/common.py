@@ -14,11 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores on an input of very few files; leave a normally partitioned input alone.
 
-    Text rules are CPU-bound, and a single small file would otherwise run in one task. On a real
-    table the input has more partitions than the session has cores, and nothing is shuffled.
+    Text rules are CPU-bound, and a single small file would otherwise run in one task (its splits
+    share one row group, so most of them are empty). On a real table the input has more partitions
+    than the session has cores, and nothing is shuffled.
     """
     wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted // 2 else df
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
 def k_of(props: str = "props") -> Column:
