@@ -82,7 +82,7 @@ def canonical_digest(encoded: Column) -> Column:
 
 
 def ascii_json(encoded: Column) -> Column:
-    """The variant that escapes every non-ASCII UTF-16 unit as ``\\uXXXX``.
+    """The variant that escapes every UTF-16 unit beyond ``~`` as ``\\uXXXX``.
 
     Only rows that hold such characters pay for the per-character walk.
     """
@@ -94,7 +94,7 @@ def ascii_json(encoded: Column) -> Column:
         # The numeric code point comes from the UTF-32 bytes; beyond the BMP it is a surrogate pair.
         code = F.conv(F.hex(F.encode(ch, "UTF-32")), 16, 10).cast("bigint")
         return (
-            F.when(code < 128, ch)
+            F.when(code < 127, ch)
             .when(code < 65536, unit(code))
             .otherwise(
                 F.concat(
@@ -107,7 +107,7 @@ def ascii_json(encoded: Column) -> Column:
     return let(
         encoded,
         lambda v: F.when(
-            v.rlike(r"[^\x00-\x7f]"),
+            v.rlike(r"[^\x00-\x7e]"),
             F.array_join(F.transform(F.regexp_extract_all(v, F.lit("(?s)."), F.lit(0)), escape), ""),
         ).otherwise(v),
     )

@@ -48,7 +48,11 @@ def when(cond, value):
     return F.when(cond, value if not isinstance(value, str) else F.lit(value))
 
 
-K = E("k")
+
+def kk():
+    return F.col("k")
+
+
 _DAY = "strftime(ts, '%Y-%m-%d')"
 
 _PR_TITLE = "CASE WHEN k % 4 > 0 THEN 'Change ' || event_type END"
@@ -58,12 +62,12 @@ _PR_REF = "'acme/' || event_type || '#' || eid"
 
 def _pr_fields():
     return dict(
-        title=when(K % 4 > 0, say("Change ", E("event_type"))),
-        body=when(K % 3 == 1, say("Contact user", E("uid"), "@example.com now")).when(
-            K % 3 == 2, say("Body of ", E("event_type"))),
+        title=when(kk() % 4 > 0, say("Change ", E("event_type"))),
+        body=when(kk() % 3 == 1, say("Contact user", E("uid"), "@example.com now")).when(
+            kk() % 3 == 2, say("Body of ", E("event_type"))),
         html_url=say("https://github.com/acme/pull/", E("eid")), user=struct(login=say("u", E("uid"))),
         base=struct(repo=struct(full_name=say("acme/", E("event_type")))),
-        merged_at=when(K % 2 == 0, E("day")))
+        merged_at=when(kk() % 2 == 0, E("day")))
 
 
 _PR_SQL = over_events(sql_observation(
@@ -112,9 +116,9 @@ SELECT event_id, 'acme/r#issues/' || eid || ':' || kind || ':' || sid || ':v:' |
 def observe_github_issue(spark, sf):
     df = events(spark, sf)
     issues = E("event_type").isin("click", "view")
-    action = element(_ISSUE_ACTIONS, K)
-    body = when(K % 5 == 0, "LGTM").when(K % 5 == 1, F.lit("<!-- tpl --> text")).otherwise(say("Body ", E("event_type")))
-    user = struct(login=when(K % 7 == 0, "dependabot[bot]").otherwise(say("u", E("uid"))))
+    action = element(_ISSUE_ACTIONS, kk())
+    body = when(kk() % 5 == 0, "LGTM").when(kk() % 5 == 1, F.lit("<!-- tpl --> text")).otherwise(say("Body ", E("event_type")))
+    user = struct(login=when(kk() % 7 == 0, "dependabot[bot]").otherwise(say("u", E("uid"))))
     issue = struct(id=E("event_id"), number=E("event_id"), node_id=say("n", E("eid")),
                    title=say("Title ", E("event_type")), body=body, updated_at=E("day"), user=user)
     comment = when(~issues, struct(id=say("c", E("eid")), node_id=say("nc", E("eid")), body=body, user=user))
@@ -145,13 +149,13 @@ def observe_gitlab(spark, sf):
     """Unknown kinds and titles of a wrong type are left out."""
     mr = E("event_type").isin("click", "view")
     kind = when(E("event_type") == "error", "pipeline").when(mr, F.lit("merge_request")).otherwise(F.lit("issue"))
-    title = when(K % 3 > 0, say(" Fix ", E("event_type"), " "))
-    good = struct(iid=E("event_id"), title=title, description=when(K % 2 == 0, say("Desc ", E("uid"))),
+    title = when(kk() % 3 > 0, say(" Fix ", E("event_type"), " "))
+    good = struct(iid=E("event_id"), title=title, description=when(kk() % 2 == 0, say("Desc ", E("uid"))),
                   url=say("https://gitlab.com/", E("eid")))
     body = F.to_json(struct(object_kind=kind, project=struct(path_with_namespace=F.lit("g/p")),
                             user=struct(username=say("u", E("uid"))), object_attributes=good))
     bad = F.to_json(struct(object_kind=kind, object_attributes=struct(iid=E("event_id"), title=F.lit(7))))
-    df = events(spark, sf).select("event_id", F.try_parse_json(F.when(K % 10 == 9, bad).otherwise(body)).alias("payload_v"))
+    df = events(spark, sf).select("event_id", F.try_parse_json(F.when(kk() % 10 == 9, bad).otherwise(body)).alias("payload_v"))
     return flat_observations(ob.observe_gitlab(df), "event_id")
 
 
@@ -161,7 +165,7 @@ SELECT event_type, CASE WHEN k % 10 = 9 THEN 'parse_error' ELSE 'payload_not_obj
 FROM e WHERE k % 10 IN (8, 9) GROUP BY ALL""")
 def payload_rejects(spark, sf):
     bad = F.lit('{"object_kind":"issue","object_attributes":{"iid":1,"title":{"x":1}}}')
-    text = F.when(K % 10 == 9, bad).when(K % 10 == 8, F.lit("[]")).otherwise(F.lit('{"object_kind":"issue"}'))
+    text = F.when(kk() % 10 == 9, bad).when(kk() % 10 == 8, F.lit("[]")).otherwise(F.lit('{"object_kind":"issue"}'))
     df = events(spark, sf).select("event_type", F.try_parse_json(text).alias("payload_v"))
     return ob.parse_rejects(df, "gitlab").groupBy("event_type", "reason").agg(F.count("*").alias("n"))
 
@@ -180,14 +184,14 @@ def observe_jira(spark, sf):
     """A zero timestamp counts as absent."""
     df = payload(
         events(spark, sf), ["event_id"], timestamp=E("event_id"), webhookEvent=F.lit("jira:issue_updated"),
-        issue_event_type_name=when(K % 2 == 0, "issue_created"),
+        issue_event_type_name=when(kk() % 2 == 0, "issue_created"),
         issue=struct(**{
-            "id": say("i", E("eid")), "key": when(K % 4 > 0, say("K-", E("eid"))),
+            "id": say("i", E("eid")), "key": when(kk() % 4 > 0, say("K-", E("eid"))),
             "self": say("https://jira/", E("eid")),
             "fields": struct(
-                summary=when(K % 3 > 0, say(" Summary ", E("event_type"))), description=struct(type=F.lit("doc")),
+                summary=when(kk() % 3 > 0, say(" Summary ", E("event_type"))), description=struct(type=F.lit("doc")),
                 status=struct(name=E("event_type")), issuetype=struct(name=F.lit("Bug")),
-                project=struct(key=F.lit("K")), updated=when(K % 5 == 0, E("day")))}))
+                project=struct(key=F.lit("K")), updated=when(kk() % 5 == 0, E("day")))}))
     return flat_observations(ob.observe_jira(df), "event_id")
 
 
@@ -199,16 +203,16 @@ SELECT event_id, 'L-' || eid AS ref, 'L-' || eid || ': Task ' || event_type AS t
             CASE WHEN k % 4 = 0 THEN 'administrative_only' END) AS signals
 FROM e WHERE k % 5 > 0 AND k % 7 > 0""")
 def observe_linear(spark, sf):
-    changed = F.when(K % 4 == 0, struct(stateId=F.lit("s"), priority=F.lit(1))).otherwise(
+    changed = F.when(kk() % 4 == 0, struct(stateId=F.lit("s"), priority=F.lit(1))).otherwise(
         struct(stateId=F.lit("s"), priority=F.lit(None).cast("int")))
-    other = F.when(K % 4 != 0, struct(title=F.lit("old")))
+    other = F.when(kk() % 4 != 0, struct(title=F.lit("old")))
     df = payload(
-        events(spark, sf), ["event_id"], type=when(K % 5 == 0, "Comment").otherwise(F.lit("Issue")),
-        action=when(K % 7 == 0, "remove").otherwise(F.lit("update")),
-        actor=struct(type=when(K % 3 == 0, "integration").otherwise(F.lit("user"))),
+        events(spark, sf), ["event_id"], type=when(kk() % 5 == 0, "Comment").otherwise(F.lit("Issue")),
+        action=when(kk() % 7 == 0, "remove").otherwise(F.lit("update")),
+        actor=struct(type=when(kk() % 3 == 0, "integration").otherwise(F.lit("user"))),
         data=struct(id=say("id", E("eid")), identifier=say("L-", E("eid")), title=say("Task ", E("event_type")),
-                    description=when(K % 2 == 0, say("Desc ", E("uid")))),
-        updatedFrom=F.when(K % 4 == 0, F.to_json(changed)).otherwise(F.to_json(other)), createdAt=E("day"),
+                    description=when(kk() % 2 == 0, say("Desc ", E("uid")))),
+        updatedFrom=F.when(kk() % 4 == 0, F.to_json(changed)).otherwise(F.to_json(other)), createdAt=E("day"),
         webhookId=say("w", E("eid")))
     # ``updatedFrom`` was built as text above; splice it in as an object.
     fixed = F.regexp_replace(
@@ -245,9 +249,9 @@ _SLACK_PLACE = "'C' || uid || ':' || eid || '.' || k"
 def observe_slack(spark, sf):
     df = payload(
         events(spark, sf), ["event_id"], team_id=F.lit("T"),
-        event=struct(type=F.lit("message"), channel=say("C", E("uid")), ts=say(E("eid"), ".", K.cast("string")),
-                     text=when(K % 3 == 1, say(" hello ", E("event_type"))),
-                     message=F.when(K % 3 == 2, struct(text=say("edited ", E("event_type")), user=say("U", E("uid"))))))
+        event=struct(type=F.lit("message"), channel=say("C", E("uid")), ts=say(E("eid"), ".", kk().cast("string")),
+                     text=when(kk() % 3 == 1, say(" hello ", E("event_type"))),
+                     message=F.when(kk() % 3 == 2, struct(text=say("edited ", E("event_type")), user=say("U", E("uid"))))))
     return flat_observations(ob.observe_slack(df), "event_id")
 
 
@@ -257,7 +261,7 @@ def observe_slack(spark, sf):
     title="'Notion page.' || event_type", stamp=_DAY)))
 def observe_notion_events(spark, sf):
     df = payload(events(spark, sf), ["event_id"], id=say("e", E("eid")), type=say("page.", E("event_type")),
-                 entity=struct(id=when(K % 3 > 0, say("p", E("eid")))), timestamp=E("day"))
+                 entity=struct(id=when(kk() % 3 > 0, say("p", E("eid")))), timestamp=E("day"))
     return flat_observations(ob.observe_notion(df), "event_id")
 
 
@@ -274,7 +278,7 @@ def observe_notion_pages(spark, sf):
         created_by=struct(id=say("u", E("uid"))), created_time=E("day"),
         properties=struct(
             Status=struct(type=F.lit("select")),
-            Name=struct(type=F.lit("title"), title=F.when(K % 4 > 0, rich))))
+            Name=struct(type=F.lit("title"), title=F.when(kk() % 4 > 0, rich))))
     return flat_observations(ob.observe_notion(df, "page"), "event_id")
 
 
@@ -291,10 +295,10 @@ _ZD_DESC = "CASE WHEN k % 5 > 0 THEN 'write to [redacted:email] please' END"
 def observe_zendesk(spark, sf):
     df = payload(
         events(spark, sf), ["event_id"], event=struct(type=F.lit("zen:event")), time=E("day"),
-        subject=when(K % 3 == 0, say("zen:ticket:", E("eid"))),
+        subject=when(kk() % 3 == 0, say("zen:ticket:", E("eid"))),
         detail=struct(
-            id=when(K % 3 == 1, say("t", E("eid"))), subject=when(K % 2 == 0, say("Subject ", E("event_type"))),
-            description=when(K % 5 > 0, say("write to a.b@", E("event_type"), ".example.org please")),
+            id=when(kk() % 3 == 1, say("t", E("eid"))), subject=when(kk() % 2 == 0, say("Subject ", E("event_type"))),
+            description=when(kk() % 5 > 0, say("write to a.b@", E("event_type"), ".example.org please")),
             status=E("event_type"), priority=F.lit("high"), requester_id=E("uid"), via=struct(channel=F.lit("web"))))
     return flat_observations(ob.observe_zendesk(df), "event_id")
 
@@ -312,9 +316,9 @@ def observe_sentry(spark, sf):
     df = payload(
         events(spark, sf), ["event_id"], action=F.lit("created"),
         data=struct(issue=struct(
-            id=when(K % 7 > 0, say("i", E("eid"))), shortId=say("S-", E("eid")),
-            title=when(K % 3 == 0, say("Error in ", E("event_type"))),
-            culprit=when(K % 3 == 1, say("mod.", E("event_type"))), level=F.lit("error"), status=E("event_type"),
+            id=when(kk() % 7 > 0, say("i", E("eid"))), shortId=say("S-", E("eid")),
+            title=when(kk() % 3 == 0, say("Error in ", E("event_type"))),
+            culprit=when(kk() % 3 == 1, say("mod.", E("event_type"))), level=F.lit("error"), status=E("event_type"),
             permalink=say("https://sentry.io/", E("eid")), firstSeen=E("day"))))
     return flat_observations(ob.observe_sentry(df), "event_id")
 
@@ -330,9 +334,9 @@ def observe_pagerduty(spark, sf):
     df = payload(
         events(spark, sf), ["event_id"],
         event=struct(event_type=F.lit("incident.triggered"), occurred_at=F.lit("later"), data=struct(
-            id=say("P", E("eid")), title=when(K % 3 == 0, say("Down ", E("event_type"))),
-            summary=when(K % 3 == 1, say("Sum ", E("event_type"))), html_url=say("https://pd/", E("eid")),
-            status=F.lit("open"), urgency=E("event_type"), created_at=when(K % 2 == 0, E("day")))))
+            id=say("P", E("eid")), title=when(kk() % 3 == 0, say("Down ", E("event_type"))),
+            summary=when(kk() % 3 == 1, say("Sum ", E("event_type"))), html_url=say("https://pd/", E("eid")),
+            status=F.lit("open"), urgency=E("event_type"), created_at=when(kk() % 2 == 0, E("day")))))
     return flat_observations(ob.observe_pagerduty(df), "event_id")
 
 
@@ -444,9 +448,9 @@ def observe_transcript(spark, sf):
 def observe_dev_data(spark, sf):
     df = payload(
         events(spark, sf), ["event_id"], eventName=E("event_type"), schema=F.lit("0.2.0"), timestamp=E("day"),
-        userId=say("u", E("uid")), modelName=F.lit("gpt"), eventId=when(K % 2 == 0, say("id", E("eid"))),
-        prompt=when(K % 4 == 0, say(" ask ", E("uid"))), completion=when(K % 4 == 1, say("done ", E("uid"))),
-        message=when(K % 4 == 2, say("said ", E("uid"))))
+        userId=say("u", E("uid")), modelName=F.lit("gpt"), eventId=when(kk() % 2 == 0, say("id", E("eid"))),
+        prompt=when(kk() % 4 == 0, say(" ask ", E("uid"))), completion=when(kk() % 4 == 1, say("done ", E("uid"))),
+        message=when(kk() % 4 == 2, say("said ", E("uid"))))
     return flat_observations(ob.observe_dev_data(df), "event_id")
 
 
@@ -458,9 +462,9 @@ def observe_dev_data(spark, sf):
 def observe_commits(spark, sf):
     df = payload(
         events(spark, sf), ["event_id"], hash=F.md5("eid"), message=say(" Fix ", E("event_type"), "\n\nlong text"),
-        author_name=when(K % 4 == 0, "Dev (aider)").otherwise(F.lit("Dev")),
-        committer_name=when(K % 4 == 1, "Bot (aider)"), authored_at=E("day"),
-        trailers=F.when(K % 4 == 2, F.array(struct(key=F.lit("Co-authored-by"), value=F.lit("Aider <x>")))))
+        author_name=when(kk() % 4 == 0, "Dev (aider)").otherwise(F.lit("Dev")),
+        committer_name=when(kk() % 4 == 1, "Bot (aider)"), authored_at=E("day"),
+        trailers=F.when(kk() % 4 == 2, F.array(struct(key=F.lit("Co-authored-by"), value=F.lit("Aider <x>")))))
     return flat_observations(ob.observe_commits(df), "event_id")
 
 
@@ -541,9 +545,9 @@ _SNOW_TAG = "concat_ws(', ', CASE WHEN k % 5 > 0 THEN 'state=' || k % 5 END, CAS
 def observe_servicenow(spark, sf):
     df = payload(
         events(spark, sf), ["event_id"], number=say("INC", E("eid")),
-        short_description=when(K % 3 > 0, say("Short ", E("event_type"))),
-        description=when(K % 2 == 0, say("Long ", E("uid"))), state=when(K % 5 > 0, (K % 5).cast("string")),
-        priority=when(K % 7 > 0, (K % 7).cast("string")))
+        short_description=when(kk() % 3 > 0, say("Short ", E("event_type"))),
+        description=when(kk() % 2 == 0, say("Long ", E("uid"))), state=when(kk() % 5 > 0, (kk() % 5).cast("string")),
+        priority=when(kk() % 7 > 0, (kk() % 7).cast("string")))
     return flat_observations(ob.observe_servicenow(df), "event_id")
 
 
@@ -555,8 +559,8 @@ def observe_servicenow(spark, sf):
 def observe_devin(spark, sf):
     df = payload(
         events(spark, sf), ["event_id"], session_id=say("s", E("eid")), status_enum=E("event_type"),
-        title=when(K % 3 > 0, say("Task ", E("uid"))), structured_output=when(K % 4 == 0, say("out ", E("uid"))),
-        pull_requests=F.when(K % 2 == 0, F.array(struct(pr_url=F.lit("")), struct(pr_url=say("https://pr/", E("eid"))))))
+        title=when(kk() % 3 > 0, say("Task ", E("uid"))), structured_output=when(kk() % 4 == 0, say("out ", E("uid"))),
+        pull_requests=F.when(kk() % 2 == 0, F.array(struct(pr_url=F.lit("")), struct(pr_url=say("https://pr/", E("eid"))))))
     return flat_observations(ob.observe_devin(df), "event_id")
 
 
@@ -587,9 +591,9 @@ def observe_audit_log(spark, sf):
     base = table(spark, sf, "events").withColumn("_sec", F.unix_seconds(instant("ts"))).select("event_id", "_sec")
     df = events(spark, sf).join(base, "event_id")
     rows = payload(
-        df, ["event_id"], id=say("a", E("eid")), type=E("event_type"), effective_at=F.when(K % 5 > 0, E("_sec")),
-        project=F.when(K % 2 == 0, struct(id=say("p", E("uid")))),
-        actor=struct(type=element(["session", "api_key", "user"], K)))
+        df, ["event_id"], id=say("a", E("eid")), type=E("event_type"), effective_at=F.when(kk() % 5 > 0, E("_sec")),
+        project=F.when(kk() % 2 == 0, struct(id=say("p", E("uid")))),
+        actor=struct(type=element(["session", "api_key", "user"], kk())))
     return ob.observe_audit_log(rows).select("event_id", E("source_ref.ref").alias("ref"), "excerpt", "title")
 
 
