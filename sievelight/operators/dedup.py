@@ -13,6 +13,7 @@ from sievelight.session import cut_lineage
 
 TTL_SECONDS = 86_400  # fixed value
 MAX_FOLD = 10_000  # distinct instants of one id folded inside a row; beyond it the rounds take over
+MAX_BROADCAST_IDS = 200_000  # more hot ids than this are joined by a shuffle instead
 
 
 def delivery_id(provider: str) -> Column:
@@ -133,24 +134,29 @@ def dedup_ttl(
         )
     )
     accepted = simple.unionByName(folded)
-    if not hot_keys.isEmpty():
-        accepted = accepted.unionByName(_ttl_rounds(instants, hot_keys, keys, step))
+    n_hot = hot_keys.count()
+    if n_hot:
+        small = F.broadcast if n_hot <= MAX_BROADCAST_IDS else (lambda side: side)
+        accepted = accepted.unionByName(_ttl_rounds(instants, hot_keys, keys, step, small))
     chosen = instants.join(accepted, [*keys, "_t"], "left_semi").select(
         *keys, "_t", F.col("_tie").alias(tiebreak)
     )
     return df.withColumn("_t", tick).join(chosen, [*keys, "_t", tiebreak], "left_semi").drop("_t")
 
 
-def _ttl_rounds(instants: DataFrame, start: DataFrame, keys: list[str], step: int) -> DataFrame:
-    """Advance all hot ids by one accepted instant per round."""
-    rest = cut_lineage(instants.join(F.broadcast(start.select(*keys)), keys, "left_semi").select(*keys, "_t"))
+def _ttl_rounds(instants: DataFrame, start: DataFrame, keys: list[str], step: int, small) -> DataFrame:
+    """Advance all hot ids by one accepted instant per round.
+
+    ``small`` marks a side with one row per hot id for broadcast when their number was checked.
+    """
+    rest = cut_lineage(instants.join(small(start.select(*keys)), keys, "left_semi").select(*keys, "_t"))
     frontier = cut_lineage(start)
     accepted = frontier
     rounds = 0
     while True:
         ahead = frontier.withColumnRenamed("_t", "_f")
         frontier = cut_lineage(
-            rest.join(F.broadcast(ahead), keys).where(F.col("_t") > F.col("_f") + step)
+            rest.join(small(ahead), keys).where(F.col("_t") > F.col("_f") + step)
             .groupBy(*keys).agg(F.min("_t").alias("_t"))
         )
         if frontier.isEmpty():
