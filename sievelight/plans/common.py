@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sievelight.functions import variant as V  # noqa: F401  (re-exported for the query modules)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -210,12 +210,27 @@ def ttl_dedup(spark, sf):
     return dedup.dedup_ttl(_replays(spark, sf), ["delivery_id"], "received_at", "event_id").select("event_id")
 
 
-@query()
+_BOUNDED = """
+WITH RECURSIVE e AS (SELECT event_id, event_type, user_id % 4 AS slice, user_id || '/' || event_type AS id, ts FROM events),
+o AS (SELECT *, row_number() OVER (PARTITION BY event_type, slice ORDER BY ts, event_id) AS rn FROM e),
+w AS (SELECT event_type, slice, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS event_id, CAST([] AS VARCHAR[]) AS seen, false AS keep FROM e GROUP BY ALL
+  UNION ALL
+  SELECT o.event_type, o.slice, o.rn, o.event_id, CASE WHEN list_contains(w.seen, o.id) THEN w.seen
+    ELSE list_append(w.seen, o.id)[-20:] END, NOT list_contains(w.seen, o.id)
+  FROM w JOIN o ON o.event_type = w.event_type AND o.slice = w.slice AND o.rn = w.rn + 1)
+SELECT event_id FROM w WHERE keep"""
+
+
+def _sliced(df: DataFrame) -> DataFrame:
+    return df.withColumn("slice", F.split_part("delivery_id", F.lit("/"), F.lit(1)).cast("int") % 4)
+
+
+@query(_BOUNDED)
 def bounded_dedup(spark, sf):
-    """At most 20 remembered ids per (event type, id slice)."""
+    """At most 20 remembered ids per event type and slice of users."""
     return dedup.dedup_bounded(
-        _replays(spark, sf), ["event_type"], "delivery_id", ["received_at", "event_id"], max_entries=20,
-        partitions=4).select("event_id")
+        _sliced(_replays(spark, sf)), ["event_type", "slice"], "delivery_id", ["received_at", "event_id"], max_entries=20,
+        partitions=1).select("event_id")
 
 
 _ACTIONS = ["opened", "edited", "created", "deleted", "labeled"]
@@ -279,9 +294,10 @@ def stream_ttl_dedup(spark, sf):
     return _drain(kept.select("event_id"))
 
 
-@query()
+@query(_BOUNDED)
 def stream_bounded_dedup(spark, sf):
     stream_dedup.use_rocksdb(spark)
     kept = stream_dedup.dedup_bounded_stream(
-        _stream(spark, sf), ["event_type"], "delivery_id", ["received_at", "event_id"], max_entries=20, partitions=4)
+        _sliced(_stream(spark, sf)), ["event_type", "slice"], "delivery_id", ["received_at", "event_id"], max_entries=20,
+        partitions=1)
     return _drain(kept.select("event_id"))

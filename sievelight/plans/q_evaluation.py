@@ -130,7 +130,22 @@ def spans(spark, sf):
     return found.unionByName(extra), expected
 
 
-@query()
+_MATCHES = """
+WITH RECURSIVE li AS (SELECT l_orderkey AS r, l_linenumber AS n, min(l_partkey) AS part, min(CAST(l_quantity AS INTEGER)) AS q, min(l_returnflag) AS c FROM lineitem GROUP BY ALL),
+ex AS (SELECT r, c, 'e' || n AS e, part % 40 AS s, part % 40 + q AS t FROM li),
+fo AS (SELECT r, c, 'f' || n AS f, greatest(part % 40 + part % 9 - 4, 0) AS s, greatest(part % 40 + q + part % 9 - 4, 1) AS t FROM li WHERE part % 10 <> 3
+  UNION ALL SELECT r, c, 'x' || n, part % 40 + 500, part % 40 + 510 FROM li WHERE part % 6 = 0),
+p AS (SELECT ex.r, ex.c, e, f, least(ex.t, fo.t) - greatest(ex.s, fo.s) AS overlap, ex.s = fo.s AND ex.t = fo.t AS exact
+  FROM ex JOIN fo ON ex.r = fo.r AND ex.c = fo.c AND fo.s < ex.t AND ex.s < fo.t),
+o AS (SELECT *, row_number() OVER (PARTITION BY r, c ORDER BY overlap DESC, e, f) AS rn FROM p),
+w AS (SELECT r, c, CAST(0 AS BIGINT) AS rn, '' AS e, '' AS f, CAST([] AS VARCHAR[]) AS used, CAST(0 AS BIGINT) AS overlap, false AS exact, false AS keep FROM o GROUP BY ALL
+  UNION ALL
+  SELECT o.r, o.c, o.rn, o.e, o.f, CASE WHEN list_has_any(w.used, [o.e, o.f]) THEN w.used ELSE list_concat(w.used, [o.e, o.f]) END,
+    CAST(o.overlap AS BIGINT), o.exact, NOT list_has_any(w.used, [o.e, o.f]) FROM w JOIN o ON o.r = w.r AND o.c = w.c AND o.rn = w.rn + 1)
+SELECT r AS record_id, 'body' AS field_path, c AS category, f AS found_id, e AS entity_id, overlap, exact FROM w WHERE keep"""
+
+
+@query(_MATCHES)
 def span_matches(spark, sf):
     found, expected = spans(spark, sf)
     return E.match_spans(found, expected)

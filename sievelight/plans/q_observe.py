@@ -340,7 +340,7 @@ def observe_pagerduty(spark, sf):
     return flat_observations(ob.observe_pagerduty(df), "event_id")
 
 
-def _turns(spark, sf, name: str, **extra):
+def _turns(spark, sf):
     """Conversations as meetings: the lines in order, one of them no object."""
     conv = table(spark, sf, "conversations").where("text IS NOT NULL")
     line = struct(turn=E("turn"), text=E("text"))
@@ -355,7 +355,7 @@ _CONV = "WITH c AS (SELECT conv_id, string_agg({expr}, {sep} ORDER BY turn) AS s
     "fathom", ref="CAST(conv_id AS VARCHAR)", kind="'meeting'", excerpt="said", mode="passive",
     title="'Meeting ' || conv_id", url="'https://f/' || conv_id", stamp="'t' || conv_id") + " FROM c")
 def observe_fathom(spark, sf):
-    rows = _turns(spark, sf, "fathom")
+    rows = _turns(spark, sf)
     segments = F.transform("lines", lambda x: struct(text=x["text"], speaker=struct(display_name=F.lit("Name"))))
     cid = E("conv_id").cast("string")
     df = payload(rows, ["conv_id"], recording_id=E("conv_id"), meeting_title=say("Meeting ", cid),
@@ -367,7 +367,7 @@ def observe_fathom(spark, sf):
     "granola", ref="'n' || conv_id", kind="'transcript'", excerpt="said", mode="passive",
     title="'Note ' || conv_id", stamp="'t' || conv_id") + " FROM c")
 def observe_granola(spark, sf):
-    rows = _turns(spark, sf, "granola")
+    rows = _turns(spark, sf)
     cid = E("conv_id").cast("string")
     df = payload(rows, ["conv_id"], id=say("n", cid), title=say("Note ", cid), created_at=say("t", cid),
                  transcript=F.transform("lines", lambda x: struct(text=x["text"])))
@@ -393,6 +393,15 @@ def page_text(spark, sf):
     return spread(table(spark, sf, "pages")).select("page_id", ob.page_text(html, lambda c: c).alias("plain"))
 
 
+@query(r"""
+WITH d AS (SELECT page_id, regexp_replace(html, '<[^<>]*>', ' ', 'g') AS t FROM pages),
+u AS (SELECT page_id, regexp_replace(replace(replace(replace(t, '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;?', '&', 'g') AS t FROM d)
+SELECT page_id, trim(regexp_replace(t, '[\s\x1c-\x1f\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')) AS plain FROM u""")
+def page_text_decoded(spark, sf):
+    """Whole pages with their character references decoded."""
+    return spread(table(spark, sf, "pages")).select("page_id", ob.page_text(E("html")).alias("plain"))
+
+
 @query("""
 WITH c AS (SELECT conv_id, string_agg(CASE WHEN turn % 3 = 0 THEN '## ' ELSE '' END || trim(text, ' ' || chr(10)), chr(10)
   ORDER BY turn) AS said FROM conversations GROUP BY conv_id) SELECT conv_id, """ + sql_observation(
@@ -400,7 +409,7 @@ WITH c AS (SELECT conv_id, string_agg(CASE WHEN turn % 3 = 0 THEN '## ' ELSE ''
     title="'Doc ' || conv_id") + " FROM c")
 def observe_google_doc(spark, sf):
     """Turns as paragraphs; every third one is a heading, every fourth sits in a table cell."""
-    rows = _turns(spark, sf, "google_drive")
+    rows = _turns(spark, sf)
     cid = E("conv_id").cast("string")
 
     def para(x):
