@@ -125,8 +125,9 @@ def full_redaction(spark, sf):
         "event_id", "r.*")
 
 
-# RE2 has no look-around: the oracle consumes the neighbours, which is the same on texts whose
-# numbers stand apart. Card numbers are checked with a Luhn sum over their digits.
+# RE2 has no look-around: the oracle consumes the neighbours. Characters that can stand between two
+# numbers are doubled first, so that each number has neighbours of its own. Card numbers are checked
+# with a Luhn sum over their digits.
 _DOC_SQL = r"""
 WITH c AS (SELECT doc_id, source, text, len(regexp_extract_all(text, '[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,63}')) AS mails,
   list_filter(regexp_extract_all(regexp_replace(text, '([^0-9A-Za-z_])', '\1\1', 'g'), '(?:^|[^0-9A-Za-z_])([0-9]{13,19})(?:$|[^0-9A-Za-z_])', 1), lambda x:
@@ -136,7 +137,7 @@ WITH c AS (SELECT doc_id, source, text, len(regexp_extract_all(text, '[A-Za-z0-9
 d AS (SELECT *, list_reduce(list_prepend(text, cards), lambda a, x: replace(a, x, '[redacted:pan]')) AS t2 FROM c),
 m AS (SELECT *, regexp_replace(t2, '[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,63}', '[m]', 'g') AS t3 FROM d),
 n AS (SELECT *, '(^|[^0-9])(?:(?:\+?[0-9]{1,3}[ .\-]?)?(?:\([0-9]{3}\)|[0-9]{3})[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}|(?:\+|00)[ .\-]?[0-9]{1,3}[ .\-]?(?:[0-9][ .\-]?){5,12}[0-9])($|[^0-9])' AS pat FROM m),
-p AS (SELECT *, len(regexp_extract_all(t3, pat)) + len(regexp_extract_all(regexp_replace(t3, pat, '\1[p]\2', 'g'),
+p AS (SELECT *, len(regexp_extract_all(regexp_replace(t3, '([^0-9 .()+-])', '\1\1', 'g'), pat)) + len(regexp_extract_all(regexp_replace(t3, pat, '\1[p]\2', 'g'),
   '(?i)(?:tel|phone|call|ring|mobile|cell|fax|whatsapp)[ :.\-]{1,4}(?:[0-9][ .\-]?){6,13}[0-9]')) AS phones FROM n)
 """
 
