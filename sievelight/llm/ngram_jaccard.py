@@ -1,19 +1,19 @@
 """Near-duplicate documents by a Jaccard self-join on word shingles with token-combination prefixes.
 
-Tokens are the distinct shingles of a document, in the order of their hashes. Of two sets of similarity t or more
-at most ``e = n - ceil(t n)`` tokens of either miss in the other, so prefixes of ``e + 1 + x`` tokens, extended by
-``x = max(1, ceil(n / 10))``, share at least ``x + 1`` tokens. That is used twice:
-
-* Counting: a set without ``x + 1`` prefix tokens that other sets have in their prefix has no partner. Such
-  sets leave, and tokens are counted again over the rest. Unrelated texts that share passages drop out here.
-* Index: tokens of up to ``RARE`` remaining sets are rare and indexed singly. Frequent tokens are dealt into at
-  most ``x`` classes by hash and indexed as pairs within a class: ``x + 1`` shared tokens are either one rare token
-  at least, or two of one class. Classes follow the set size in bands of a factor of 2; a set near the
-  lower end of its band is also indexed with the classes of the band below.
-
-Nodes are distinct sets, so copies never form pairs. Each index bucket is compared with one leader
-first; only buckets that the verified links leave with more than one component are searched further,
-and only across components.
+Tokens are the distinct shingles of a document. Of two sets of similarity t or more at most ``e = n - ceil(t n)``
+tokens of either miss in the other. Nodes are distinct sets, so copies never form pairs. The steps:
+
+1. Counting. Prefixes of ``e + 1 + x`` tokens in hash order, ``x = max(1, ceil(n / 10))``, share at least ``x + 1`` tokens.
+   Sets with fewer prefix tokens that other sets have too leave: most texts, also those that share a passage.
+2. Order. Over all tokens of the sets that stay, the number of sets with each token is counted exactly. Sets of which
+   under ``ceil(t n)`` tokens occur elsewhere leave; the others order their tokens from rare to frequent.
+3. Index. Tokens of up to ``RARE`` sets are rare and indexed singly. Frequent ones are dealt into classes by hash and
+   indexed as pairs within a class. The prefix is extended until the rare tokens plus, per class, the tokens
+   beyond the first exceed ``e``; then similar sets share a rare token or a pair. The number of classes
+   follows the set size in bands of a factor of 4 (sets near a band's end are indexed in the next band, too).
+4. Verification. Sets that share index entries form small clusters (found with one link per entry, never with all pairs).
+   The members of a cluster are compared in blocks of bounded size by a product of their token matrices, which returns
+   only the links of a spanning forest.
 """
 
 from __future__ import annotations
@@ -30,10 +30,12 @@ from sievelight.llm.tables import saved
 
 #: Sets that may share a token that is indexed singly.
 RARE = 16
-#: Members of one leader that are compared in one task.
-LEADER_ROWS = 2000
-#: Rounds of counting and dropping sets without partners; the result does not depend on it.
-ROUNDS = 2
+#: Sets of up to this size index single tokens only (pairs need some slack in the prefix).
+SMALL = 10
+#: Members of a block of a cluster, columns of a token matrix, rows of a token in a task's buffer that make it hot.
+BLOCK, COLUMNS, HOT = 256, 4096, 32
+#: Bits of the filter of remaining sets, at most (8 MB); false positives only cost transport.
+FILTER_BITS = 1 << 26
 
 
 def _key(tokens: np.ndarray) -> int:
@@ -69,16 +71,25 @@ def _shared_least(n: Column, num: int, den: int) -> Column:
 
 
 def _prefixes(words: int, num: int, den: int):
-    """(token, key, n) of the prefix of every set; a task sends each set once."""
+    """(token, key, known) of the prefix of every set; a task sends each set once.
+
+    A token that the task holds many times is known to be shared: two of its rows go to the token's partition, for
+    the rows of other tasks, and the rest are dealt out by key.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        tokens, keys, sizes, count = [], [], [], 0
+        tokens, keys, count = [], [], 0
 
         def out() -> pa.RecordBatch:
-            lengths = [len(t) for t in tokens]
-            return pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(keys, np.int64), lengths)),
-                pa.array(np.repeat(np.array(sizes, np.int32), lengths))], ["token", "key", "n"])
+            t = np.concatenate(tokens).view(np.int64)
+            k = np.repeat(np.array(keys, np.int64), [len(x) for x in tokens])
+            by = np.argsort(t, kind="stable")
+            t, k = t[by], k[by]
+            first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+            length = np.diff(np.append(first, len(t)))
+            rank = np.arange(len(t)) - np.repeat(first, length)
+            known = (np.repeat(length, length) >= HOT) & (rank >= 2)
+            return pa.RecordBatch.from_arrays([pa.array(t), pa.array(k), pa.array(known)], ["token", "key", "known"])
 
         for batch in batches:
             for s in shingle_sets(batch.column(0), words):
@@ -87,128 +98,247 @@ def _prefixes(words: int, num: int, den: int):
                     seen.add(key)
                     tokens.append(s[:_missing(n, num, den) + 1 + _extension(n)])
                     keys.append(key)
-                    sizes.append(n)
                     count += len(tokens[-1])
                     if count > 200_000:
                         yield out()
-                        tokens, keys, sizes, count = [], [], [], 0
+                        tokens, keys, count = [], [], 0
         if tokens:
             yield out()
 
     return run
 
 
-def signatures(tokens: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
-    """Index entries of one set from its shared prefix tokens and the number of sets that have each."""
-    rare = counts <= RARE
-    out, hot = [mix(tokens[rare], 21)], np.sort(tokens[~rare])
-    if len(hot) > 1:
-        band = 16
-        while band < n:
-            band *= 2
-        # A partner of the band below has up to band / 2 tokens, and this set up to 1.25 times as many.
-        for size in (band, band // 2) if band > 16 and 8 * n <= 5 * band else (band,):
-            classes = max(1, size // 20)
-            own = (mix(hot, 22) % np.uint64(classes)).astype(np.int64)
-            by = np.argsort(own, kind="stable")
-            t, c = hot[by], own[by]
-            for step in range(1, len(t)):
-                same = c[step:] == c[:-step]
-                if not same.any():
-                    break
-                out.append(mix(mix(t[:-step][same], 23) + t[step:][same], size))
-    return np.unique(np.concatenate(out))
+def _shared_per_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (known, token, key) -> (key, number of its tokens that other sets have)."""
+    token, last, decided = None, None, False  # of the last row; decided: its token is shared, its rows are counted
 
+    def counted(keys: np.ndarray) -> pa.RecordBatch:
+        k, c = np.unique(keys, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(k), pa.array(c.astype(np.int64))], ["key", "shared"])
 
-def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys, sizes = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
-        prefix = batch.column(2)
-        ends = np.cumsum([0, *(len(x) for x in prefix)])
-        pairs = prefix.flatten()
-        tokens = pairs.field(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        counts = pairs.field(1).to_numpy(zero_copy_only=False)
-        for low in range(0, len(keys), 500):
-            sigs = [signatures(tokens[ends[i]:ends[i + 1]], counts[ends[i]:ends[i + 1]], int(sizes[i]))
-                    for i in range(low, min(low + 500, len(keys)))]
-            own = np.repeat(keys[low:low + 500], [len(x) for x in sigs])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(own)], ["sig", "key"])
-
-
-def _shared(rows: DataFrame) -> DataFrame:
-    """Rows whose token other sets have too, with the number of rows of the token."""
-    tokens = rows.groupBy("token").agg(F.min("key").alias("a"), F.max("key").alias("b"), F.count("*").alias("sets"))
-    return rows.join(tokens.where("a <> b").select("token", "sets"), "token")
-
-
-def candidates(texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """``(sig, key)``: complete index entries of all sets that can have a partner."""
-    rows = saved(_shared(texts.mapInArrow(_prefixes(words, num, den), "token long, key long, n int")))
-    for _ in range(ROUNDS):
-        own = rows.groupBy("key").agg(F.count_distinct("token").alias("shared"), F.max("n").alias("n"))
-        live = own.where(F.col("shared") >= _shared_least(F.col("n"), num, den)).select("key")
-        rows = saved(_shared(rows.drop("sets").join(live, "key", "left_semi").distinct()))
-    sets = rows.groupBy("key").agg(F.max("n").alias("n"), F.collect_list(F.struct("token", "sets")).alias("prefix"))
-    return sets.select("key", "n", "prefix").mapInArrow(_index, "sig long, key long")
-
-
-def _keyed(words: int):
-    """Texts under their set's key; a task sends one text of each set."""
+        t, k, known = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        yield counted(k[known])
+        t, k = t[~known], k[~known]
+        if not len(t):
+            continue
+        if token is not None:
+            t, k = np.append(token, t), np.append(last, k)
+        fresh = np.concatenate([[True], (t[1:] != t[:-1]) | (k[1:] != k[:-1])])
+        t, k = t[fresh], k[fresh]
+        same = t[1:] == t[:-1]
+        shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        if decided:
+            shared |= t == token
+            yield counted(k[1:][shared[1:]])
+        else:
+            yield counted(k[shared])
+        token, last, decided = t[-1], k[-1], bool(shared[-1])
+
+
+def _positions(key: Column, bits: int) -> Column:
+    return F.array(*[F.pmod(F.xxhash64(key, F.lit(i)), F.lit(bits)) for i in range(3)])
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """A Bloom filter of bounded size, as words of 64 bits."""
+    bits = min(FILTER_BITS, 1 << max(10, (16 * max(1, keys.count())).bit_length()))
+    at = keys.select(F.explode(_positions(F.col("key"), bits)).alias("p"))
+    parts = at.groupBy(F.shiftright("p", 6).alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(pmod(p, 64) AS INT))")).alias("b")).toPandas()
+    out = np.zeros(max(1, bits // 64), np.uint64)
+    out[parts["w"].to_numpy(np.int64)] = parts["b"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def _sets(words: int):
+    """(key, n, tokens) of every set; a task sends each set once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            keep, keys = [], []
-            for i, s in enumerate(shingle_sets(batch.column(0), words)):
-                if len(s) and (key := _key(s)) not in seen:
+            keys, sets, count = [], [], 0
+            for s in [*shingle_sets(batch.column(0), words), None]:
+                if s is not None and len(s) and (key := _key(s)) not in seen:
                     seen.add(key)
-                    keep.append(i)
                     keys.append(key)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), batch.column(0).take(pa.array(keep, pa.int64()))], ["key", "text"])
+                    sets.append(s.view(np.int64))
+                    count += len(s)
+                if sets and (s is None or count > 500_000):
+                    offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(keys, pa.int64()), pa.array(np.diff(offsets).astype(np.int32)),
+                        pa.ListArray.from_arrays(offsets, np.concatenate(sets))], ["key", "n", "tokens"])
+                    keys, sets, count = [], [], 0
 
     return run
 
 
-def _verify(words: int, num: int, den: int):
-    """Rows sorted by (leader, slice), the leader's own row first: compare it with each that follows."""
+def signatures(tokens: np.ndarray, counts: np.ndarray, n: int, num: int = 80, den: int = 100) -> np.ndarray:
+    """Index entries of a set of n tokens, given those that other sets have and the number of sets with each.
+
+    The other tokens come first in the order, and fill the prefix without entries. Complete for thresholds of 0.8 or more.
+    """
+    order = np.lexsort((tokens, counts))
+    tokens, counts = tokens[order], counts[order]
+    need = _missing(n, num, den) + 1 - (n - len(tokens))
+    if need <= 0:
+        return tokens[:0]
+    rare = int(np.searchsorted(counts, RARE, "right"))
+    out = []
+    if n <= SMALL:
+        out.append(mix(tokens[:need], 21))
+    if n * den > SMALL * num:
+        out.append(tokens[:min(rare, need)])
+        if rare < need:
+            hot, least = tokens[rare:], need - rare
+            band = 16
+            while band < n:
+                band *= 4
+            for size in (band, band * 4) if n * den > band * num else (band,):
+                own = (mix(hot, 22) % np.uint64(max(1, size // 20))).astype(np.int64)
+                gain = np.ones(len(hot), np.int64)
+                gain[np.unique(own, return_index=True)[1]] = 0
+                end = int(np.searchsorted(np.cumsum(gain), least)) + 1
+                by = np.argsort(own[:end], kind="stable")
+                t, c = hot[:end][by], own[:end][by]
+                for step in range(1, len(t)):
+                    same = c[step:] == c[:-step]
+                    if not same.any():
+                        break
+                    out.append(mix(mix(t[:-step][same], 23) + t[step:][same], size))
+    return np.unique(np.concatenate(out))
+
+
+def _index(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, mine = None, None
         for batch in batches:
-            left, right = [], []
-            leaders, slices, keys = (batch.column(i).to_pylist() for i in range(3))
-            for leader, part, key, s in zip(leaders, slices, keys, shingle_sets(batch.column(4), words)):
-                if key == leader:
-                    at, mine = (leader, part), s
-                elif at == (leader, part):
-                    short, long = sorted((len(s), len(mine)))
-                    if short * den >= long * num:
-                        both = len(np.intersect1d(s, mine, assume_unique=True))
-                        if both * den >= num * (len(s) + len(mine) - both):
-                            left.append(leader)
-                            right.append(key)
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+            keys, sizes = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
+            prefix = batch.column(2)
+            ends = np.cumsum([0, *(len(x) for x in prefix)])
+            pairs = prefix.flatten()
+            tokens = pairs.field(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            counts = pairs.field(1).to_numpy(zero_copy_only=False)
+            for low in range(0, len(keys), 500):
+                sigs = [signatures(tokens[ends[i]:ends[i + 1]], counts[ends[i]:ends[i + 1]], int(sizes[i]), num, den)
+                        for i in range(low, min(low + 500, len(keys)))]
+                own = np.repeat(keys[low:low + 500], [len(x) for x in sigs])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(own)], ["sig", "key"])
 
     return run
 
 
-def _links(pairs: DataFrame, texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Verified ``(a, b)`` of candidate ``(leader, key)``; texts travel once per comparison.
+def remaining(texts: DataFrame, identity: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """Step 1: ``(key, n, tokens)`` of the sets that can have a partner."""
+    rows = texts.mapInArrow(_prefixes(words, num, den), "token long, key long, known boolean")
+    dealt = rows.repartition(F.when(F.col("known"), F.xxhash64("token", "key")).otherwise(F.col("token")))
+    shared = dealt.sortWithinPartitions("known", "token", "key").mapInArrow(_shared_per_key, "key long, shared long")
+    sizes = identity.where("n > 0").groupBy("key").agg(F.max("n").alias("n"))
+    live = saved(
+        shared.groupBy("key").agg(F.sum("shared").alias("shared")).join(sizes, "key")
+        .where(F.col("shared") >= _shared_least(F.col("n"), num, den)).select("key"))
+    words64 = texts.sparkSession.sparkContext.broadcast(_filter(live))
+    bits = len(words64.value) * 64
+    # The filter drops most sets in the task that made them; the join then is exact.
+    kept = texts.mapInArrow(_sets(words), "key long, n int, tokens array<long>").select(
+        "key", "n", "tokens", _positions(F.col("key"), bits).alias("p")).mapInArrow(_passes(words64), "key long, n int, tokens array<long>")
+    return saved(kept.join(live, "key", "left_semi").dropDuplicates(["key"]))
+
+
+def _passes(words64):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = words64.value
+        for batch in batches:
+            p = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, 3)
+            hit = ((table[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1)).astype(bool).all(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(3)], ["key", "n", "tokens"]).filter(pa.array(hit))
 
-    A leader with many members is split into slices, each of which gets its own copy of the leader.
-    """
-    slices = pairs.groupBy("leader").agg(F.ceil(F.count("*") / LEADER_ROWS).cast("int").alias("slices"))
-    members = pairs.join(slices, "leader").select(
-        "leader", F.pmod(F.xxhash64("key"), "slices").cast("int").alias("slice"), "key")
-    own = slices.select("leader", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.col("leader").alias("key"))
-    wanted = members.unionByName(own)
-    by_key = (
-        texts.mapInArrow(_keyed(words), "key long, text string")
-        .join(wanted.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]))
-    rows = wanted.join(by_key, "key")
-    dealt = rows.select("leader", "slice", "key", (F.col("key") != F.col("leader")).alias("follows"), "text")
+    return run
+
+
+def index(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Steps 2 and 3: ``(sig, key)`` of all sets of which enough tokens occur elsewhere."""
+    rows = sets.select("key", F.explode("tokens").alias("token"))
+    counts = rows.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1")
+    own = rows.join(counts, "token").groupBy("key").agg(F.collect_list(F.struct("token", "sets")).alias("prefix"))
+    ordered = own.join(sets.select("key", "n"), "key").where(F.size("prefix") >= F.ceil(F.col("n") * num / den))
+    return ordered.select("key", "n", "prefix").mapInArrow(_index(num, den), "sig long, key long")
+
+
+def _compare(keys: list[int], sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of a spanning forest of one block: positions a, b."""
+    m = len(sets)
+    tokens, own = np.concatenate(sets), np.repeat(np.arange(m), [len(s) for s in sets])
+    ids, at, counts = np.unique(tokens, return_inverse=True, return_counts=True)
+    column = np.cumsum(counts > 1) - 1
+    shared = counts[at] > 1
+    at, own = column[at[shared]], own[shared]
+    both = np.zeros((m, m), np.float32)
+    by = np.argsort(at, kind="stable")
+    at, own = at[by], own[by]
+    for low in range(0, int(column[-1]) + 1, COLUMNS):
+        a, b = np.searchsorted(at, [low, low + COLUMNS])
+        matrix = np.zeros((m, COLUMNS), np.float32)
+        matrix[own[a:b], at[a:b] - low] = 1
+        both += matrix @ matrix.T
+    size = np.array([len(s) for s in sets])
+    both = both.astype(np.int64)
+    linked = both * den >= num * (size[:, None] + size[None, :] - both)
+    np.fill_diagonal(linked, False)
+    label = np.full(m, -1)
+    left, right = [], []
+    for root in range(m):
+        if label[root] < 0:
+            label[root], front = root, [root]
+            while front:
+                x = front.pop()
+                new = np.flatnonzero(linked[x] & (label < 0))
+                label[new] = root
+                left += [x] * len(new)
+                right += new.tolist()
+                front += new.tolist()
+    return np.array(left, np.int64), np.array(right, np.int64)
+
+
+def _verify(num: int, den: int):
+    """Rows sorted by (cluster, i, j, key) -> verified links."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, keys, sets = None, [], []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if len(keys) > 1:
+                a, b = _compare(keys, sets, num, den)
+                k = np.array(keys, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(k[a]), pa.array(k[b])], ["a", "b"])
+
+        for batch in batches:
+            names = zip(*(batch.column(i).to_pylist() for i in range(4)))
+            for (*own, key), tokens in zip(names, batch.column(4)):
+                if own != group:
+                    yield from out()
+                    group, keys, sets = own, [], []
+                if not keys or keys[-1] != key:
+                    keys.append(key)
+                    sets.append(tokens.values.to_numpy())
+        yield from out()
+
+    return run
+
+
+def links(entries: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Step 4: verified ``(a, b)``, enough to connect all linked sets."""
+    first = entries.groupBy("sig").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("sig", "a")
+    star = entries.join(first, "sig").where("key <> a").select("a", F.col("key").alias("b")).distinct()
+    member = components(star).select(F.col("node").alias("key"), F.col("component").alias("cluster"))
+    sizes = member.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64(F.lit(9), "key"), "blocks").cast("int")
+    # A row goes to all pairs of its block and another; a cluster of one block is one group.
+    dealt = member.join(sizes, "cluster").withColumn("own", own).select(
+        "cluster", "key", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(
+            F.least("own", x).alias("i"), F.greatest("own", x).alias("j")))).alias("p")).select("cluster", "p.i", "p.j", "key")
+    rows = dealt.join(sets.select("key", "tokens"), "key").select("cluster", "i", "j", "key", "tokens")
     return (
-        dealt.repartition("leader", "slice").sortWithinPartitions("leader", "slice", "follows")
-        .mapInArrow(_verify(words, num, den), "a long, b long"))
+        rows.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "key")
+        .mapInArrow(_verify(num, den), "a long, b long"))
 
 
 def near_duplicates(
@@ -229,23 +359,8 @@ def near_duplicates(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     texts = rows.select("text")
     identity = saved(rows.mapInArrow(_identity(words), f"id {dict(rows.dtypes)['id']}, n long, key long"))
-    index = saved(candidates(texts, words, num, den))
-    shared = index.groupBy("sig").agg(F.min("key").alias("leader"), F.max("key").alias("last")).where("leader <> last").drop("last")
-    pairs = saved(index.join(shared, "sig").where("key <> leader").select("leader", "key").distinct())
-    links = saved(_links(pairs, texts, words, num, den))
-    found = components(links)
-    # Buckets that the links leave in several components: compare across these.
-    member = index.join(shared.select("sig"), "sig", "left_semi").join(
-        found.select(F.col("node").alias("key"), "component"), "key", "left").select(
-        "sig", "key", F.coalesce("component", "key").alias("component"))
-    open_sigs = member.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("sig")
-    left = saved(member.join(open_sigs, "sig", "left_semi"))
-    other = left.select("sig", F.col("key").alias("leader"), F.col("component").alias("of"))
-    tried = pairs.unionByName(pairs.select(F.col("key").alias("leader"), F.col("leader").alias("key")))
-    more = saved(
-        left.join(other, "sig").where("component < of").select("leader", "key").distinct()
-        .join(tried, ["leader", "key"], "left_anti"))
-    final = components(links.unionByName(_links(more, texts, words, num, den))) if not more.isEmpty() else found
+    sets = remaining(texts, identity, words, num, den)
+    final = components(links(saved(index(sets, num, den)), sets, num, den))
     grouped = identity.join(final.select(F.col("node").alias("key"), "component"), "key", "left").select(
         "id", "n", F.coalesce("component", "key").alias("component"))
     least = grouped.where("component is not null").groupBy("component").agg(F.min("id").alias("least"))
