@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievelight.llm import language, line_dedup, mixing, ngram_jaccard, packing
+from sievelight.llm import language, line_dedup, merkle, mixing, ngram_jaccard, packing, url_filter
 
 QUERIES, ORACLES = {}, {}
 
@@ -23,6 +23,11 @@ def op1_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_jaccard.near_duplicates(_documents(spark, sf))
 
 
+@query
+def op2_merkle_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.compare_edits(_documents(spark, sf))
+
+
 @query
 def op4_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(_documents(spark, sf), keep=["doc_id"]).select(
@@ -47,6 +52,31 @@ def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
         "row.doc_id", "size", "source_size", "target", "taken", F.size("shards").alias("n_shards"))
 
 
+#: The rules that the query judges by.
+RULES = [
+    url_filter.Rule("com", "/en/", "block"), url_filter.Rule("example.com", "/en/7", "allow"),
+    url_filter.Rule("net", "/de/", "allow"), url_filter.Rule("example.net", "/de/8", "block"),
+    url_filter.Rule("org", "/es/", "block"),
+]
+
+
+@query
+def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return url_filter.judge(spark.read.parquet(f"{sf}/pages.parquet"), RULES).select("row.page_id", "host", "path", "rule", "verdict")
+
+
+_RULE_ROWS = ", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in RULES)
+ORACLES["op10_url_filter"] = f"""
+WITH r(rh, rp, v) AS (VALUES {_RULE_ROWS}),
+a AS (SELECT row_number() OVER () AS n, page_id,
+  CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+b AS (SELECT n, page_id, rest, regexp_extract(rest, '^[^/?#]*') AS h FROM a),
+c AS (SELECT n, page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(substr(rest, length(h) + 1), '^[^?#]*') AS path FROM b),
+m AS (SELECT n, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(v, length(rh || rp)) AS v FROM c, r
+  WHERE (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM c LEFT JOIN m USING (n)"""
+
 # White space is stripped and A-Z lower-cased as in the operator.
 _KEY = r"""translate(trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""

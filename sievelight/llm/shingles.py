@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are hashed together; bounds the arrays of one step (a longer text is a step of its own).
-STEP = 1 << 20
+STEP = 1 << 18
 _MASK = (1 << 64) - 1
 _PRIME = 0x9E3779B97F4A7C15 | 1
 
@@ -45,7 +45,7 @@ _TABLES: dict[str, np.ndarray] = {}
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _TABLES or len(_TABLES["up"]) < n:
-        size = max(n, STEP + 1)
+        size = max(n, STEP + 2)
         _TABLES["up"] = _powers(_PRIME, size)
         _TABLES["down"] = _powers(pow(_PRIME, -1, 1 << 64), size)
     return _TABLES["up"], _TABLES["down"]
