@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievelight.llm import language, line_dedup, merkle, mixing, ngram_jaccard, packing, url_filter
+from sievelight.llm import language, line_dedup, merkle, mixing, ngram_jaccard, packing, personal_data, url_filter
 
 QUERIES, ORACLES = {}, {}
 
@@ -34,6 +34,14 @@ def op4_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
         "row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "certified")
 
 
+@query
+def op5_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    found = personal_data.spans(_documents(spark, sf))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.array_join("base", ","), 256).alias("base_sha256"),
+        F.array_join("spans", ",").alias("spans"))
+
+
 @query
 def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(_documents(spark, sf), keep=["doc_id"]).select(
