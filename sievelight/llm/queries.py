@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievelight.llm import language, line_dedup, merkle, mixing, ngram_jaccard, packing, personal_data, url_filter
+from sievelight.llm import language, line_dedup, merkle, mixing, ngram_jaccard, packing, personal_data, templates, url_filter
 
 QUERIES, ORACLES = {}, {}
 
@@ -42,6 +42,13 @@ def op5_personal_data(spark: SparkSession, sf: str) -> DataFrame:
         F.array_join("spans", ",").alias("spans"))
 
 
+@query
+def op6_html_templates(spark: SparkSession, sf: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    return templates.extract(pages, keep=["page_id", "url"]).select(
+        "row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(_documents(spark, sf), keep=["doc_id"]).select(
