@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievelight.llm import language, line_dedup, merkle, mixing, ngram_jaccard, packing, personal_data, templates, url_filter
+from sievelight.llm import language, line_dedup, media, merkle, mixing, ngram_jaccard, packing, personal_data, templates, url_filter
 
 QUERIES, ORACLES = {}, {}
 
@@ -28,6 +28,17 @@ def op2_merkle_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.compare_edits(_documents(spark, sf))
 
 
+@query
+def op3_webp_media(spark: SparkSession, sf: str) -> DataFrame:
+    stored = media.to_media(_documents(spark, sf), keep=["doc_id"])
+    read = media.read_media(stored.select(F.struct("row.doc_id", "n_bytes").alias("row"), "media"))
+    size = F.octet_length("samples")
+    return read.select(
+        "row.doc_id", "row.n_bytes", size.cast("long").alias("payload_bytes"), F.sha2("samples", 256).alias("payload_sha256"),
+        F.crc32(F.substring("samples", size - 63, F.lit(64))).alias("tail_crc32"), F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"), "feature")
+
+
 @query
 def op4_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(_documents(spark, sf), keep=["doc_id"]).select(
