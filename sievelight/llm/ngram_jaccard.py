@@ -136,29 +136,42 @@ def _shared_per_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         token, last, decided = t[-1], k[-1], bool(shared[-1])
 
 
-def _positions(key: Column, bits: int) -> Column:
-    return F.array(*[F.pmod(F.xxhash64(key, F.lit(i)), F.lit(bits)) for i in range(3)])
+def _positions(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Places of the keys in the filter, three rows."""
+    return np.stack([(mix(keys.view(np.uint64), 31 + i) % np.uint64(bits)).astype(np.int64) for i in range(3)])
 
 
 def _filter(keys: DataFrame) -> np.ndarray:
     """A Bloom filter of bounded size, as words of 64 bits."""
     bits = min(FILTER_BITS, 1 << max(10, (16 * max(1, keys.count())).bit_length()))
-    at = keys.select(F.explode(_positions(F.col("key"), bits)).alias("p"))
-    parts = at.groupBy(F.shiftright("p", 6).alias("w")).agg(
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _positions(batch.column(0).to_numpy(zero_copy_only=False), bits).ravel()
+            yield pa.RecordBatch.from_arrays([pa.array(at)], ["p"])
+
+    parts = keys.mapInArrow(places, "p long").groupBy(F.shiftright("p", 6).alias("w")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(pmod(p, 64) AS INT))")).alias("b")).toPandas()
-    out = np.zeros(max(1, bits // 64), np.uint64)
+    out = np.zeros(bits // 64, np.uint64)
     out[parts["w"].to_numpy(np.int64)] = parts["b"].to_numpy(np.int64).view(np.uint64)
     return out
 
 
-def _sets(words: int):
-    """(key, n, tokens) of every set; a task sends each set once."""
+def _sets(words: int, words64):
+    """(key, n, tokens) of every set that passes the filter; a task sends each set once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        table = words64.value
+        bits = len(table) * 64
+
+        def passes(key: int) -> bool:
+            p = _positions(np.array([key], np.int64), bits)[:, 0]
+            return bool(((table[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1)).all())
+
         for batch in batches:
             keys, sets, count = [], [], 0
             for s in [*shingle_sets(batch.column(0), words), None]:
-                if s is not None and len(s) and (key := _key(s)) not in seen:
+                if s is not None and len(s) and (key := _key(s)) not in seen and passes(key):
                     seen.add(key)
                     keys.append(key)
                     sets.append(s.view(np.int64))
@@ -237,24 +250,11 @@ def remaining(texts: DataFrame, identity: DataFrame, words: int, num: int, den:
         shared.groupBy("key").agg(F.sum("shared").alias("shared")).join(sizes, "key")
         .where(F.col("shared") >= _shared_least(F.col("n"), num, den)).select("key"))
     words64 = texts.sparkSession.sparkContext.broadcast(_filter(live))
-    bits = len(words64.value) * 64
     # The filter drops most sets in the task that made them; the join then is exact.
-    kept = texts.mapInArrow(_sets(words), "key long, n int, tokens array<long>").select(
-        "key", "n", "tokens", _positions(F.col("key"), bits).alias("p")).mapInArrow(_passes(words64), "key long, n int, tokens array<long>")
+    kept = texts.mapInArrow(_sets(words, words64), "key long, n int, tokens array<long>")
     return saved(kept.join(live, "key", "left_semi").dropDuplicates(["key"]))
 
 
-def _passes(words64):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = words64.value
-        for batch in batches:
-            p = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, 3)
-            hit = ((table[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1)).astype(bool).all(axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(3)], ["key", "n", "tokens"]).filter(pa.array(hit))
-
-    return run
-
-
 def index(sets: DataFrame, num: int, den: int) -> DataFrame:
     """Steps 2 and 3: ``(sig, key)`` of all sets of which enough tokens occur elsewhere."""
     rows = sets.select("key", F.explode("tokens").alias("token"))
