@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sievelight.functions.text import let
-from sievelight.llm.tables import folder
+from sievelight.llm.tables import folder, saved
 from sievelight.llm.text import BLANKS, ascii_lower
 
 FANOUT = 3
@@ -92,8 +92,8 @@ def drop_lines(docs: DataFrame, text_col: str = "text", min_docs: int = 10, batc
     for i in range(batches):
         own = lines.where(F.col("batch") == i)
         runs.add(own.select(F.explode(F.array_distinct("lines")).alias("line")).where("line is not null"))
-    # Positions of dropped lines, once per distinct text.
-    hits = (
+    # Positions of dropped lines, once per distinct text; written, so that the join can split a text of many copies.
+    hits = saved(
         lines.select("t", "n", F.posexplode("lines").alias("pos", "line")).join(runs.frequent(), "line")
         .groupBy("t", "n").agg(F.collect_set("pos").alias("dropped")))
     out = keyed.join(hits, ["t", "n"], "left")
