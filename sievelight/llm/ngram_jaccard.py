@@ -363,6 +363,7 @@ def near_duplicates(
     final = components(links(saved(index(sets, num, den)), sets, num, den))
     grouped = identity.join(final.select(F.col("node").alias("key"), "component"), "key", "left").select(
         "id", "n", F.coalesce("component", "key").alias("component"))
-    least = grouped.where("component is not null").groupBy("component").agg(F.min("id").alias("least"))
+    # Written, so that the join can split a group of many copies.
+    least = saved(grouped.where("component is not null").groupBy("component").agg(F.min("id").alias("least")))
     return grouped.join(least, "component", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"))
