@@ -156,7 +156,8 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", key: C
     rows = train.select(
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"),
         (key if key is not None else F.xxhash64(text_col)).alias("k")).where("text is not null and lang is not null")
-    languages = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    languages = sorted(sizes)
     if not languages:
         return None
     df = {r["bucket"]: r["docs"] for r in rows.select("text").mapInArrow(
@@ -167,7 +168,12 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", key: C
         idf[b] = np.log((1 + total) / (1 + n)) + 1
     each = max(1, sample // len(languages))
     order = Window.partitionBy("lang").orderBy("k")
-    picked = rows.select("lang", "k").withColumn("r", F.row_number().over(order)).where(F.col("r") <= each).select("lang", "k").distinct()
+    # A hash threshold leaves about four times the share of a language; the exact choice is made among these.
+    share = F.lit(0.0)
+    for name in languages:
+        share = F.when(F.col("lang") == name, min(1.0, 4 * each / sizes[name])).otherwise(share)
+    near = F.shiftrightunsigned("k", 1) <= share * float(1 << 63)
+    picked = rows.where(near).select("lang", "k").withColumn("r", F.row_number().over(order)).where(F.col("r") <= each).select("lang", "k").distinct()
     # At most ``sample`` keys (or one per language): bounded whatever the corpus.
     chosen = rows.join(F.broadcast(picked), ["lang", "k"], "left_semi").dropDuplicates(["lang", "k"])
     data = []
