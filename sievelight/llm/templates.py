@@ -260,7 +260,7 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", keep
     rows = pages.select(
         F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), host_and_path(F.col(url_col))[0].alias("host"),
         F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-    # One row per host, far smaller than the pages; a host with many pages is split by the skew handling of the join.
-    template = deduce(rows.select("host", "html")).select("host", "region", "words")
+    # One row per host, far smaller than the pages; written, so that the join knows its size and can split a large host.
+    template = saved(deduce(rows.select("host", "html")).select("host", "region", "words"))
     joined = rows.join(template, "host", "left").select("row", "host", "html", "region", "words")
     return joined.mapInArrow(_extract, f"row {rows.schema['row'].dataType.simpleString()}, text string")
