@@ -30,9 +30,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of linked documents."""
+    """One document, that of the smallest id, of each group of linked documents; repeated rows count once."""
     found = ngram_jaccard.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return docs.join(found.select(F.col("doc_id").alias("kept_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return docs.join(found.select(F.col("doc_id").alias("kept_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
