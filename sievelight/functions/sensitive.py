@@ -44,9 +44,13 @@ CARD_LABEL_PATTERN = (
     r"(?i)\b(?:order_id|order|ref|ref_id|transaction_id|txn_id|id|user_id|account_id|invoice_id|receipt)"
     r"\s*[:=]\s*\z"
 )
-# The label count of a domain is bounded (a name has at most 127): an unbounded group would let a
-# hostile "a.a.a..." text overflow the regex engine's stack and kill the task.
-EMAIL_PATTERN = r"\b[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,127}[A-Za-z]{2,63}\b"
+# A domain has any number of labels. A plain repeated group needs stack for each of them, and a hostile
+# "a.a.a..." text would overflow it: labels are taken in blocks, which repeat without a stack, so no level
+# repeats more than 128 times.
+_LABEL = r"(?:[A-Za-z0-9-]{1,63}\.)"
+EMAIL_PATTERN = (
+    rf"\b[A-Za-z0-9._%+-]{{1,64}}@(?:{_LABEL}{{8192}}+){{0,128}}(?:{_LABEL}{{128}}+){{0,64}}{_LABEL}{{1,128}}[A-Za-z]{{2,63}}\b"
+)
 PHONE_PATTERN = (
     r"(?<!\d)(?:(?:\+?\d{1,3}[ .\-]?)?(?:\(\d{3}\)|\d{3})[ .\-]?\d{3}[ .\-]?\d{4}"
     r"|(?:\+|00)[ .\-]?\d{1,3}[ .\-]?(?:\d[ .\-]?){5,12}\d)(?!\d)"

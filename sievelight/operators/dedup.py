@@ -25,6 +25,7 @@ def delivery_id(provider: str) -> Column:
 
     rules = {
         "github": lambda: first_text(h("X-GitHub-Delivery"), digest),
+        "github_issues": lambda: first_text(h("X-GitHub-Delivery"), digest),
         "gitlab": lambda: first_text(h("X-Gitlab-Event-UUID"), digest),
         "jira": lambda: first_text(h("X-Atlassian-Webhook-Identifier"), V.loose(v, "$.issue.id"), digest),
         "notion": lambda: first_text(V.loose(v, "$.id"), digest),
@@ -48,20 +49,31 @@ def with_delivery_id(df: DataFrame, provider: str) -> DataFrame:
     return out.where("delivery_id <> ''") if provider in DROP_WITHOUT_ID else out
 
 
-def admit_events(df: DataFrame, provider: str) -> DataFrame:
-    """Event-type gates that run before the payload job."""
+def _admitted(provider: str) -> Column:
     v = F.col("payload_v")
     if provider == "github_issues":
-        return df.where(admitted_issue_event(F.col("event_name"), V.text(v, "$.action")))
-    if provider == "linear":
-        return df.where(admitted_linear_event(v))
-    if provider == "slack":
-        return df.where(V.is_object(v) & (V.text(v, "$.type") != "url_verification"))
-    if provider == "github":
-        return df.where(V.is_object(v, "$.pull_request"))
-    if provider == "gitlab":
-        return df.where(V.text(v, "$.object_kind").isin("merge_request", "issue"))
-    return df.where(V.is_object(v))
+        gate = admitted_issue_event(F.col("event_name"), V.text(v, "$.action"))
+    elif provider == "linear":
+        gate = admitted_linear_event(v)
+    elif provider == "slack":
+        gate = V.is_object(v) & (V.text(v, "$.type") != "url_verification")
+    elif provider == "github":
+        gate = V.is_object(v, "$.pull_request")
+    elif provider == "gitlab":
+        gate = V.text(v, "$.object_kind").isin("merge_request", "issue")
+    else:
+        gate = V.is_object(v)
+    return F.coalesce(gate, F.lit(False))
+
+
+def admit_events(df: DataFrame, provider: str) -> DataFrame:
+    """Event-type gates that run before the payload job."""
+    return df.where(_admitted(provider))
+
+
+def refused_events(df: DataFrame, provider: str) -> DataFrame:
+    """The rows that ``admit_events`` leaves out."""
+    return df.where(~_admitted(provider))
 
 
 def _split_ids(df: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
@@ -81,24 +93,29 @@ def dedup_deliveries(df: DataFrame, keys: list[str], order: list[str], id_col: s
     return first.unionByName(without)
 
 
-def mark_duplicates(df: DataFrame, keys: list[str], order: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def mark_duplicates(df: DataFrame, keys: list[str], order: list[str], hot_rows: int = HOT_ROWS, id_col: str | None = None) -> DataFrame:
     """All rows, with ``duplicate_delivery`` true for every copy after the first.
 
-    The first copy comes from a map-side aggregate; it is joined back with hot ids salted.
+    Rows without an id are never duplicates. Of copies that tie in ``order`` one is the first: rows are
+    numbered once, in a checkpoint. The first copy comes from a map-side aggregate; it is joined back
+    with hot ids salted.
     """
-    per_key = df.groupBy(*keys).agg(
-        F.min(F.struct(*order)).alias("_first"), F.count("*").alias("_n")
-    )
-    out = attach_per_key(df, per_key, keys, "_n", order, hot_rows)
-    return out.withColumn("duplicate_delivery", F.struct(*order) != F.col("_first")).drop("_first")
+    with_id, without = _split_ids(df, id_col or keys[-1])
+    rows = cut_lineage(with_id.withColumn("_uid", F.monotonically_increasing_id()))
+    place = F.struct(*order, "_uid")
+    per_key = rows.groupBy(*keys).agg(F.min(place).alias("_first"), F.count("*").alias("_n"))
+    out = attach_per_key(rows, per_key, keys, "_n", [*order, "_uid"], hot_rows)
+    marked = out.withColumn("duplicate_delivery", place != F.col("_first")).drop("_first", "_uid")
+    return marked.unionByName(without.withColumn("duplicate_delivery", F.lit(False)))
 
 
 def dedup_ttl(
     df: DataFrame, keys: list[str], ts: str, tiebreak: str, ttl: int = TTL_SECONDS,
-    max_fold: int = MAX_FOLD,
+    max_fold: int = MAX_FOLD, id_col: str | None = None,
 ) -> DataFrame:
     """Accepted deliveries: the first copy, then the first copy more than ``ttl`` seconds after the
-    last accepted one. Replays do not extend the window.
+    last accepted one. Replays do not extend the window. Rows without an id are all accepted, and of
+    copies that tie in time and ``tiebreak`` one is.
 
     Copies are first reduced map-side to distinct instants per id. An id whose instants all lie
     within one ``ttl`` needs nothing but its minimum. Other ids fold their sorted instants inside
@@ -106,6 +123,7 @@ def dedup_ttl(
     accepted copy per round, each round being a distributed minimum over their remaining instants
     (at most time span / ttl rounds).
     """
+    df, without = _split_ids(df, id_col or keys[-1])
     tick = F.unix_micros(F.col(ts).cast("timestamp"))
     step = ttl * 1_000_000
     instants = df.withColumn("_t", tick).groupBy(*keys, "_t").agg(F.min(tiebreak).alias("_tie"))
@@ -141,7 +159,11 @@ def dedup_ttl(
     chosen = instants.join(accepted, [*keys, "_t"], "left_semi").select(
         *keys, "_t", F.col("_tie").alias(tiebreak)
     )
-    return df.withColumn("_t", tick).join(chosen, [*keys, "_t", tiebreak], "left_semi").drop("_t")
+    kept = df.withColumn("_t", tick).join(chosen, [*keys, "_t", tiebreak], "left_semi")
+    # One of several copies that tie; the rank filter sends one row of a key and task.
+    tied = Window.partitionBy(*keys, "_t", tiebreak).orderBy(tiebreak)
+    one = kept.withColumn("_rn", F.row_number().over(tied)).where("_rn = 1").drop("_rn", "_t")
+    return one.unionByName(without)
 
 
 def _ttl_rounds(instants: DataFrame, start: DataFrame, keys: list[str], step: int, small) -> DataFrame:
@@ -165,27 +187,3 @@ def _ttl_rounds(instants: DataFrame, start: DataFrame, keys: list[str], step: in
         rounds += 1
         if rounds % 20 == 0:
             accepted = cut_lineage(accepted)
-
-
-def dedup_bounded(
-    df: DataFrame, bucket: list[str], id_col: str, order: list[str], max_entries: int = 1000,
-    partitions: int = 64,
-) -> DataFrame:
-    """Accepted deliveries under a memory of ``max_entries`` ids per (bucket, id partition).
-
-    Only accepted deliveries enter the memory; the oldest leaves when it is full. That rule feeds
-    back on itself, so each memory is a sequential state machine. The id partition (a hash slice)
-    keeps them many and small: a busy source becomes ``partitions`` machines, each streaming over
-    its sorted keys with at most ``max_entries`` ids in memory. ``partitions=1`` gives one memory
-    per bucket.
-    """
-    from sievelight.streaming.dedup import bounded_filter
-
-    part = F.pmod(F.xxhash64(id_col), F.lit(partitions)).cast("int")
-    cols = [*bucket, id_col, *order]
-    keys = df.select(*cols).withColumn("_part", part)
-    sorted_keys = keys.repartition(*bucket, "_part").sortWithinPartitions(*bucket, "_part", *order)
-    kept = sorted_keys.mapInPandas(
-        bounded_filter([*bucket, "_part"], id_col, max_entries), schema=sorted_keys.schema
-    ).drop("_part")
-    return df.join(kept, cols, "left_semi")

@@ -100,9 +100,12 @@ def _with_leaves(node, leaves: Iterator[str]):
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def json_leaves(docs: pd.Series) -> pd.Series:
-    def leaves(doc: str) -> list[str]:
+    def leaves(doc: str) -> list[str] | None:
         out: list[str] = []
-        _string_leaves(json.loads(doc), out)
+        try:
+            _string_leaves(json.loads(doc), out)
+        except (ValueError, RecursionError):
+            return None
         return out
 
     return docs.map(leaves, na_action="ignore")
@@ -120,9 +123,12 @@ def json_keys(docs: pd.Series) -> pd.Series:
                 walk(v, out)
         return out
 
-    def keys(doc: str) -> list[str]:
-        node = json.loads(doc)
-        return sorted(walk(node, set())) if isinstance(node, (dict, list)) else []
+    def keys(doc: str) -> list[str] | None:
+        try:
+            node = json.loads(doc)
+            return sorted(walk(node, set())) if isinstance(node, (dict, list)) else []
+        except (ValueError, RecursionError):
+            return None
 
     return docs.map(keys, na_action="ignore")
 
@@ -131,7 +137,7 @@ def json_keys(docs: pd.Series) -> pd.Series:
 def json_rebuild(docs: pd.Series, leaves: pd.Series) -> pd.Series:
     return pd.Series(
         [
-            None if d is None else json.dumps(
+            None if d is None or ls is None else json.dumps(
                 _with_leaves(json.loads(d), iter(ls)), ensure_ascii=False, separators=(",", ":"))
             for d, ls in zip(docs, leaves)
         ],
@@ -139,12 +145,17 @@ def json_rebuild(docs: pd.Series, leaves: pd.Series) -> pd.Series:
     )
 
 
+UNREADABLE = "[redacted:unreadable]"
+
+
 def redact_json(df: DataFrame, col: str) -> DataFrame:
     """Redact every string leaf of a JSON text column of any depth; other leaves stay.
 
     Python only takes the text apart and puts it together. The rules run as the same built-in
     expressions as everywhere else, over the array of leaves. Text without any character a
-    rule needs (``@ : =`` a digit run or a token prefix) skips Python altogether.
+    rule needs (``@ : =`` a digit run or a token prefix) skips Python altogether. Text that can not be
+    read as JSON (broken, or nested too deep) is redacted as one text; if it has escapes, which could hide a
+    value, it is replaced whole. Of a repeated key the last value stays.
     """
     may_hit = F.coalesce(
         F.col(col).contains("@") | F.col(col).rlike(r"(?U)\d[\d .\-]{5,}\d") | S._maybe_secret(F.col(col))
@@ -152,12 +163,13 @@ def redact_json(df: DataFrame, col: str) -> DataFrame:
         | F.col(col).contains("\\u"),
         F.lit(False),
     )
-    bad = F.try_parse_json(F.col(col)).isNull()
-    walk = df.where(may_hit & ~bad)
-    rest = df.where(~may_hit | bad)
+    walk = df.where(may_hit)
+    rest = df.where(~may_hit)
     order = df.columns
+    raw = F.when(F.col(col).contains("\\u"), F.lit(UNREADABLE)).otherwise(S.redact(F.col(col)))
     leaves = pin(walk.withColumn("_leaves", json_leaves(F.col(col))), {"_clean": F.transform("_leaves", S.redact)})
-    redacted = leaves.withColumn(col, json_rebuild(F.col(col), F.col("_clean")))
+    rebuilt = leaves.withColumn("_new", json_rebuild(F.col(col), F.col("_clean")))
+    redacted = rebuilt.withColumn(col, F.when(F.col("_leaves").isNull(), raw).otherwise(F.col("_new")))
     return redacted.select(*order).unionByName(rest)
 
 
@@ -178,16 +190,18 @@ def key_reason() -> Column:
 def reject_sensitive_keys(df: DataFrame, json_cols: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """(clean, rejected): a metadata key that redaction would change rejects the row.
 
-    ``json_cols`` name JSON text columns whose keys are checked at every depth.
+    ``json_cols`` name JSON text columns whose keys are checked at every depth; text that can not be
+    read rejects the row.
     """
     cols = df.columns
     for c in json_cols:
-        df = df.withColumn(f"_keys_{c}", F.coalesce(json_keys(F.col(c)), F.array().cast("array<string>")))
+        df = df.withColumn(f"_keys_{c}", json_keys(F.col(c)))
     reason = key_reason()
     for c in json_cols:
         reason = F.coalesce(
             reason,
-            F.when(F.exists(F.col(f"_keys_{c}"), lambda k: S.redact(k) != k), F.lit(f"sensitive_metadata_key:{c}")),
+            F.when(F.col(c).isNotNull() & F.col(f"_keys_{c}").isNull(), F.lit(f"unreadable_json:{c}"))
+            .when(F.exists(F.col(f"_keys_{c}"), lambda k: S.redact(k) != k), F.lit(f"sensitive_metadata_key:{c}")),
         )
     clean, rejected = _split(df, reason)
     return clean.select(*cols), rejected.select(*cols, "reason")

@@ -8,7 +8,6 @@ from sievelight.functions.text import let, literal_array
 
 TOKEN_PATTERN = "[a-z0-9]+"
 CHANGE_KINDS = ["issue", "merge_request", "pull_request"]  # fixed values
-MAX_LITERAL_PHRASES = 2_000
 
 
 def tokens(low: Column) -> Column:
@@ -54,51 +53,27 @@ def is_change(evidence: Column) -> Column:
     )
 
 
-def match_rules(df: DataFrame, rules: DataFrame, key: str, text: str,
-                max_literal: int = MAX_LITERAL_PHRASES) -> DataFrame:
+def match_rules(df: DataFrame, rules: DataFrame, key: str, text: str) -> DataFrame:
     """Match every text with a rule table (``pos, term``): ``key, terms`` (by ``pos``), matches only.
 
-    Token rules are an equi join on the exploded distinct tokens. Phrase rules become literals while
-    there are at most ``max_literal`` of them (checked by reading one row more); beyond that they are
-    found by an equi join on their first three characters, and each candidate is then verified. No
-    nested-loop join in either case.
+    One algorithm at every number of rules: token rules are an equi join on the exploded distinct
+    tokens, phrase rules an equi join on their first (up to three) characters, after which each candidate
+    is verified. No nested-loop join, and nothing is collected. An empty phrase is in every text; a null
+    term matches nothing.
     """
     low = df.select(key, F.lower(text).alias("_low"))
-    word = rules.where(F.col("term").rlike(r"(?U)\A[\p{Alnum}]+\z")).select("pos", "term")
-    phrase = rules.where(~F.col("term").rlike(r"(?U)\A[\p{Alnum}]+\z")).select("pos", "term")
+    is_word = F.col("term").rlike(r"(?U)\A[\p{Alnum}]+\z")
+    word, phrase = rules.where(is_word).select("pos", "term"), rules.where(~is_word).select("pos", "term")
     by_word = (
         low.select(key, F.explode(tokens(F.col("_low"))).alias("term")).join(word, "term")
         .select(key, "pos", "term")
     )
-    head = phrase.limit(max_literal + 1).collect()
-    if len(head) <= max_literal:
-        pairs = F.array(*[F.struct(F.lit(r["pos"]).alias("pos"), F.lit(r["term"]).alias("term")) for r in head]) \
-            if head else F.array().cast("array<struct<pos:int,term:string>>")
-        by_phrase = low.select(
-            key, F.explode(F.filter(pairs, lambda r: F.contains(F.col("_low"), r["term"]))).alias("_r")
-        ).select(key, F.col("_r.pos").alias("pos"), F.col("_r.term").alias("term"))
-    else:
-        by_phrase = _phrases_by_anchor(low, phrase, key)
-    found = by_word.unionByName(by_phrase)
+    grams = [F.regexp_extract_all(F.col("_low"), F.lit(r"(?s)(?=(.{%d}))" % size), F.lit(1)) for size in (1, 2, 3)]
+    anchors = low.where("_low IS NOT NULL").select(
+        key, "_low", F.explode(F.array_distinct(F.concat(F.array(F.lit("")), *grams))).alias("_anchor"))
+    by_phrase = anchors.join(phrase.withColumn("_anchor", F.left("term", F.lit(3))), "_anchor").where(
+        F.contains(F.col("_low"), F.col("term"))).select(key, "pos", "term")
     # At most one entry per rule and text.
-    return found.groupBy(key).agg(
+    return by_word.unionByName(by_phrase).groupBy(key).agg(
         F.transform(F.array_sort(F.collect_set(F.struct("pos", "term"))), lambda r: r["term"]).alias("terms")
     )
-
-
-def _phrases_by_anchor(low: DataFrame, phrase: DataFrame, key: str) -> DataFrame:
-    """Candidates by the first three characters; shorter phrases anchor on one or two characters."""
-    out = None
-    for size in (1, 2, 3):
-        part = phrase.where(
-            F.char_length("term") == size if size < 3 else F.char_length("term") >= size
-        ).withColumn("_anchor", F.left("term", F.lit(size)))
-        grams = F.array_distinct(
-            F.regexp_extract_all(F.col("_low"), F.lit(r"(?s)(?=(.{%d}))" % size), F.lit(1))
-        )
-        anchors = low.select(key, F.explode(grams).alias("_anchor")).join(part, "_anchor")
-        hits = (
-            anchors.join(low, key).where(F.contains(F.col("_low"), F.col("term"))).select(key, "pos", "term")
-        )
-        out = hits if out is None else out.unionByName(hits)
-    return out

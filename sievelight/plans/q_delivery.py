@@ -175,23 +175,29 @@ def delivery_ids(spark, sf):
     return out
 
 
+def _ident() -> Column:
+    """Delivery ids that repeat; null for some users and blank for others."""
+    user = F.col("user_id")
+    return F.when(user % 17 == 3, F.lit(None)).when(user % 17 == 5, F.lit("")).otherwise(
+        F.concat(user.cast("string"), F.lit("/"), F.col("event_type")))
+
+
 def _replays(spark: SparkSession, sf: str) -> DataFrame:
-    ident = F.concat(F.col("user_id").cast("string"), F.lit("/"), F.col("event_type"))
-    return table(spark, sf, "events").select("event_id", "event_type", ident.alias("delivery_id"),
+    return table(spark, sf, "events").select("event_id", "event_type", _ident().alias("delivery_id"),
                                              instant("ts").alias("received_at"))
 
 
 @query("""
-SELECT event_id FROM (SELECT event_id, row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id) AS rn
-FROM events) WHERE rn = 1""")
+SELECT event_id FROM (SELECT event_id, user_id, row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id) AS rn
+FROM events) WHERE rn = 1 OR user_id % 17 IN (3, 5)""")
 def replay_dedup(spark, sf):
     return dedup.dedup_deliveries(
         _replays(spark, sf), ["event_type", "delivery_id"], ["received_at", "event_id"]).select("event_id")
 
 
 @query("""
-SELECT event_id, row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id) > 1 AS duplicate_delivery
-FROM events""")
+SELECT event_id, user_id % 17 NOT IN (3, 5) AND row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id) > 1
+  AS duplicate_delivery FROM events""")
 def duplicate_marks(spark, sf):
     return dedup.mark_duplicates(
         _replays(spark, sf), ["event_type", "delivery_id"], ["received_at", "event_id"]).select(
@@ -199,40 +205,17 @@ def duplicate_marks(spark, sf):
 
 
 @query("""
-WITH RECURSIVE e AS (SELECT event_id, user_id || '/' || event_type AS id, ts FROM events),
+WITH RECURSIVE e AS (SELECT event_id, user_id || '/' || event_type AS id, ts FROM events WHERE user_id % 17 NOT IN (3, 5)),
 o AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts, event_id) AS rn FROM e),
 w AS (SELECT id, rn, event_id, ts AS last, true AS keep FROM o WHERE rn = 1
   UNION ALL
   SELECT o.id, o.rn, o.event_id, CASE WHEN o.ts - w.last > INTERVAL 86400 SECOND THEN o.ts ELSE w.last END,
          o.ts - w.last > INTERVAL 86400 SECOND FROM w JOIN o ON o.id = w.id AND o.rn = w.rn + 1)
-SELECT event_id FROM w WHERE keep""")
+SELECT event_id FROM w WHERE keep UNION ALL SELECT event_id FROM events WHERE user_id % 17 IN (3, 5)""")
 def ttl_dedup(spark, sf):
     return dedup.dedup_ttl(_replays(spark, sf), ["delivery_id"], "received_at", "event_id").select("event_id")
 
 
-_BOUNDED = """
-WITH RECURSIVE e AS (SELECT event_id, event_type, user_id % 4 AS slice, user_id || '/' || event_type AS id, ts FROM events),
-o AS (SELECT *, row_number() OVER (PARTITION BY event_type, slice ORDER BY ts, event_id) AS rn FROM e),
-w AS (SELECT event_type, slice, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS event_id, CAST([] AS VARCHAR[]) AS seen, false AS keep FROM e GROUP BY ALL
-  UNION ALL
-  SELECT o.event_type, o.slice, o.rn, o.event_id, CASE WHEN list_contains(w.seen, o.id) THEN w.seen
-    ELSE list_append(w.seen, o.id)[-20:] END, NOT list_contains(w.seen, o.id)
-  FROM w JOIN o ON o.event_type = w.event_type AND o.slice = w.slice AND o.rn = w.rn + 1)
-SELECT event_id FROM w WHERE keep"""
-
-
-def _sliced(df: DataFrame) -> DataFrame:
-    return df.withColumn("slice", F.split_part("delivery_id", F.lit("/"), F.lit(1)).cast("int") % 4)
-
-
-@query(_BOUNDED)
-def bounded_dedup(spark, sf):
-    """At most 20 remembered ids per event type and slice of users."""
-    return dedup.dedup_bounded(
-        _sliced(_replays(spark, sf)), ["event_type", "slice"], "delivery_id", ["received_at", "event_id"], max_entries=20,
-        partitions=1).select("event_id")
-
-
 _ACTIONS = ["opened", "edited", "created", "deleted", "labeled"]
 
 
@@ -264,8 +247,7 @@ def admitted_events(spark, sf):
 def _stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = table(spark, sf, "events").schema
     raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    ident = F.concat(F.col("user_id").cast("string"), F.lit("/"), F.col("event_type"))
-    return raw.select("event_id", "event_type", ident.alias("delivery_id"), instant("ts").alias("received_at"))
+    return raw.select("event_id", "event_type", _ident().alias("delivery_id"), instant("ts").alias("received_at"))
 
 
 def _drain(stream: DataFrame) -> DataFrame:
@@ -281,23 +263,21 @@ def _drain(stream: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{folder}/out")
 
 
-@query("SELECT count(DISTINCT user_id || '/' || event_type) AS n_ids FROM events")
+@query("""SELECT user_id || '/' || event_type AS delivery_id, 1 AS n FROM events WHERE user_id % 17 NOT IN (3, 5) GROUP BY 1
+UNION ALL SELECT '', count(*) FROM events WHERE user_id % 17 IN (3, 5)""")
 def stream_replay_dedup(spark, sf):
     kept = stream_dedup.dedup_watermark(_stream(spark, sf), ["delivery_id"], delay="60 days")
-    return _drain(kept.select("event_id", "delivery_id")).agg(F.count("*").alias("n_ids"))
+    rows = _drain(kept.select("event_id", F.coalesce("delivery_id", F.lit("")).alias("delivery_id")))
+    return rows.groupBy("delivery_id").agg(F.count("*").alias("n"))
 
 
 @query(ORACLES["ttl_dedup"])
 def stream_ttl_dedup(spark, sf):
-    stream_dedup.use_rocksdb(spark)
-    kept = stream_dedup.dedup_ttl_stream(_stream(spark, sf), ["delivery_id"], "received_at", "event_id")
-    return _drain(kept.select("event_id"))
-
-
-@query(_BOUNDED)
-def stream_bounded_dedup(spark, sf):
-    stream_dedup.use_rocksdb(spark)
-    kept = stream_dedup.dedup_bounded_stream(
-        _sliced(_stream(spark, sf)), ["event_type", "slice"], "delivery_id", ["received_at", "event_id"], max_entries=20,
-        partitions=1)
-    return _drain(kept.select("event_id"))
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, stream_dedup.ROCKSDB)
+    try:
+        kept = stream_dedup.dedup_ttl_stream(_stream(spark, sf), ["delivery_id"], "received_at", "event_id")
+        return _drain(kept.select("event_id"))
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)

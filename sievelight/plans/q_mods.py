@@ -293,7 +293,7 @@ def rule_table_matches(spark, sf):
         ["small ring", "Blue Bolt and red widget", "reddish thing", "big gear"], F.col("c_custkey")))
     texts = table(spark, sf, "customer").select("c_custkey", note.alias("note"))
     distinct = rules.groupBy("term").agg(F.count("*").alias("n"), F.sum("pos").alias("s"), F.min("pos").alias("pos"))
-    found = T.match_rules(texts, distinct.select("pos", "term"), "c_custkey", "note", max_literal=20)
+    found = T.match_rules(texts, distinct.select("pos", "term"), "c_custkey", "note")
     hits = found.select("c_custkey", F.explode("terms").alias("term")).join(distinct, "term")
     return hits.groupBy("c_custkey").agg(F.sum("n").alias("n_rules"), F.sum("s").alias("pos_sum"))
 

@@ -94,17 +94,19 @@ def rejected_runs(spark, sf):
 
 
 @query("""
-WITH p AS (SELECT l_orderkey AS run_id, l_linenumber AS page_no, count(*) AS items,
-                  CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS bytes FROM lineitem GROUP BY ALL),
-w AS (SELECT *, sum(bytes) OVER r AS tb, sum(items) OVER r AS ti FROM p WHERE page_no <= 6
+WITH p AS (SELECT l_orderkey // 2 AS run_id, (l_linenumber - 1) * (1 + (l_orderkey // 2) % 3 * 40) + 8 * (l_orderkey % 2) AS page_no,
+                  count(*) AS items, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS bytes FROM lineitem GROUP BY ALL),
+w AS (SELECT *, row_number() OVER r AS rk, sum(bytes) OVER r AS tb, sum(items) OVER r AS ti FROM p
       WINDOW r AS (PARTITION BY run_id ORDER BY page_no)),
-b AS (SELECT *, CASE WHEN page_no > 5 THEN 'max_pages_exceeded' WHEN bytes > 90 THEN 'oversized_body'
+b AS (SELECT *, CASE WHEN rk > 5 THEN 'max_pages_exceeded' WHEN bytes > 90 THEN 'oversized_body'
         WHEN tb > 150 THEN 'aggregate_bytes_exceeded' WHEN ti > 6 THEN 'aggregate_items_exceeded' END AS reason FROM w)
 SELECT run_id, min(page_no) AS page_no, arg_min(reason, page_no) AS reason FROM b
 WHERE reason IS NOT NULL GROUP BY run_id""")
 def run_caps(spark, sf):
-    p = table(spark, sf, "lineitem").groupBy(
-        F.col("l_orderkey").alias("run_id"), F.col("l_linenumber").alias("page_no")).agg(
+    """Runs of two orders: page numbers from zero, with gaps of 1, 41 or 81."""
+    run = F.floor(F.col("l_orderkey") / 2)
+    page = (F.col("l_linenumber") - 1) * (1 + run % 3 * 40) + 8 * (F.col("l_orderkey") % 2)
+    p = table(spark, sf, "lineitem").groupBy(run.alias("run_id"), page.alias("page_no")).agg(
         F.count("*").alias("n_items"), F.sum(F.col("l_quantity").cast("bigint")).alias("n_bytes"))
     return pg.audit_run_caps(p, max_pages=5, max_items=6, max_bytes=150, max_page_bytes=90)
 

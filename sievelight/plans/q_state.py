@@ -83,16 +83,22 @@ def next_cursors(spark, sf):
     return I.next_cursor(_versions(spark, sf))
 
 
-@query(_NEXT)
+@query("""
+WITH o AS (SELECT CAST(o_custkey AS VARCHAR) AS repository_id, strftime(o_orderdate, '%Y-%m-%d') AS updated_at, printf('d%010d', o_orderkey) AS ev,
+  CASE WHEN o_orderkey % 11 = 3 THEN 'retry' WHEN o_orderkey % 13 = 5 THEN 'quarantine' ELSE 'advance' END AS verdict FROM orders),
+h AS (SELECT repository_id, min((updated_at, ev)) AS held FROM o WHERE verdict <> 'advance' GROUP BY 1)
+SELECT repository_id, max(updated_at) AS updated_at, arg_max(ev, (updated_at, ev)) AS last_provider_event_id, 1 AS schema_version
+FROM o LEFT JOIN h USING (repository_id) WHERE verdict = 'advance' AND (held IS NULL OR (updated_at, ev) < held) GROUP BY 1""")
 def stream_cursors(spark, sf):
-    """Store each micro-batch, then move the cursors."""
+    """Store each micro-batch, then move the cursors over what was delivered."""
     folder = run_folder(spark)
     schema = table(spark, sf, "orders").schema
     raw = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf)
     rows = raw.select(
         F.col("o_custkey").cast("string").alias("repository_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("updated_at"),
-        F.format_string("d%010d", "o_orderkey").alias("provider_event_id"))
-    q = stream_cursor.emit_with_cursor(rows, f"{folder}/out", f"{folder}/cursors", f"{folder}/state").trigger(
+        F.format_string("d%010d", "o_orderkey").alias("provider_event_id"),
+        F.when(F.col("o_orderkey") % 11 == 3, "retry").when(F.col("o_orderkey") % 13 == 5, "quarantine").otherwise("advance").alias("verdict"))
+    q = stream_cursor.emit_with_cursor(rows, f"{folder}/out", f"{folder}/cursors", f"{folder}/state", verdict="verdict").trigger(
         availableNow=True).start()
     q.awaitTermination()
     return stream_cursor.read_cursors(spark, f"{folder}/cursors")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sievelight.functions import variant as V
 from sievelight.schemas import DELIVERIES
@@ -33,8 +33,13 @@ def read_landing(spark: SparkSession, path: str, provider: str, streaming: bool
     return with_payload(raw)
 
 
+def oversized(body: str = "body", limit: int = MAX_BODY_BYTES) -> Column:
+    """Whether a body is above the cap."""
+    return F.coalesce(F.octet_length(F.col(body)) > limit, F.lit(False))
+
+
 def cap_bodies(df: DataFrame, body: str = "body", limit: int = MAX_BODY_BYTES) -> DataFrame:
-    """Drop bodies above the cap. Apply before any parse."""
+    """Bodies within the cap; apply before any parse. ``ingest.delivery_rejects`` returns the others."""
     return df.where(F.octet_length(F.col(body)) <= limit)
 
 

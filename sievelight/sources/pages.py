@@ -100,26 +100,28 @@ def unwrap_pages(pages: DataFrame) -> DataFrame:
 def audit_run_caps(pages: DataFrame, items: str = "n_items", size: str = "n_bytes", order: str = "page_no",
                    run: str = "run_id", max_pages: int = MAX_PAGES, max_items: int = MAX_ITEMS,
                    max_bytes: int = MAX_RUN_BYTES, max_page_bytes: int = MAX_PAGE_BYTES) -> DataFrame:
-    """First breach per run: ``run_id, page_no, reason``.
+    """First breach per run, in the order of its landed pages: ``run_id, page_no, reason``.
 
-    A run is over at page ``max_pages + 1`` whatever follows, so later pages are dropped before the
-    window: no run has more than that many rows in a task.
+    Pages are counted as they landed: numbers may have gaps, start anywhere, or repeat. Landed page
+    ``max_pages + 1`` is a breach whatever it holds, so only that many pages of a run are looked at; the
+    rank filter limits them per task before the shuffle.
     """
     from pyspark.sql import Window
 
-    w = Window.partitionBy(run).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    df = pages.where(F.col(order) <= max_pages + 1).select(
-        run, order, items, size, F.sum(size).over(w).alias("_bytes"), F.sum(items).over(w).alias("_items")
-    )
+    by = [F.col(order), F.col(size), F.col(items)]
+    ranked = pages.select(run, order, items, size, F.row_number().over(Window.partitionBy(run).orderBy(*by)).alias("_rank"))
+    w = Window.partitionBy(run).orderBy("_rank").rowsBetween(Window.unboundedPreceding, 0)
+    df = ranked.where(F.col("_rank") <= max_pages + 1).withColumns(
+        {"_bytes": F.sum(size).over(w), "_items": F.sum(items).over(w)})
     reason = (
-        F.when(F.col(order) > max_pages, F.lit("max_pages_exceeded"))
+        F.when(F.col("_rank") > max_pages, F.lit("max_pages_exceeded"))
         .when(F.col(size) > max_page_bytes, F.lit("oversized_body"))
         .when(F.col("_bytes") > max_bytes, F.lit("aggregate_bytes_exceeded"))
         .when(F.col("_items") > max_items, F.lit("aggregate_items_exceeded"))
     )
     return (
         df.withColumn("_why", reason).where("_why IS NOT NULL").groupBy(run)
-        .agg(F.min(order).alias(order), F.min_by("_why", order).alias("reason"))
+        .agg(F.min_by(order, "_rank").alias(order), F.min_by("_why", "_rank").alias("reason"))
     )
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from sievelight.operators.cursors import merge_cursors, next_cursor
+from sievelight.operators.cursors import delivered, merge_cursors, next_cursor
 
 CURSOR_SCHEMA = "repository_id string, updated_at string, last_provider_event_id string, schema_version int"
 
@@ -32,11 +32,16 @@ def read_cursors(spark: SparkSession, folder: str, before: int | None = None) ->
 
 
 def advance_cursor(batch: DataFrame, batch_id: int, out: str, cursors: str, repo: str = "repository_id",
-                   updated: str = "updated_at", event: str = "provider_event_id") -> None:
-    """Store the batch, then the merged cursors. Use inside ``foreachBatch``."""
+                   updated: str = "updated_at", event: str = "provider_event_id", verdict: str | None = None) -> None:
+    """Store the batch, then the merged cursors. Use inside ``foreachBatch``.
+
+    With ``verdict`` (the column of the delivery's outcome) a cursor moves only over advanced rows, up to the
+    first that is not; a cursor never moves back.
+    """
     spark = batch.sparkSession
     batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-    proposed = next_cursor(batch.where(F.col(updated).isNotNull()), repo, updated, event)
+    rows = batch.where(F.col(updated).isNotNull())
+    proposed = next_cursor(rows if verdict is None else delivered(rows, verdict, repo, updated, event), repo, updated, event)
     merged = merge_cursors(read_cursors(spark, cursors, batch_id), proposed.select(
         F.col(repo).alias("repository_id"), "updated_at", "last_provider_event_id", "schema_version"))
     merged.write.mode("overwrite").parquet(f"{cursors}/version={batch_id}")

@@ -1,16 +1,15 @@
-"""Replay dedup over streams, and the bounded memory shared with the batch job.
+"""Replay dedup over streams. Rows without an id are never duplicates, as in the batch jobs.
 
-* ``dedup_watermark``: built-in ``dropDuplicatesWithinWatermark``; drops late rows; state expires
-  with the watermark.
+* ``dedup_watermark``: built-in ``dropDuplicatesWithinWatermark``; state expires with the watermark. Rows
+  later than the watermark are dropped by the engine: run a backfill through the batch job.
 * ``dedup_ttl_stream``: exact time-to-live rule with keyed state; rows of a micro-batch are sorted
-  before they are judged, because files written in one instant arrive in any order.
-* ``dedup_bounded_stream``: at most ``max_entries`` remembered ids per bucket.
+  before they are judged, because files written in one instant arrive in any order. It needs the RocksDB
+  state store (``ROCKSDB``), which the caller's session has to be set to.
 """
 
 from __future__ import annotations
 
-from collections import OrderedDict
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -19,45 +18,14 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def use_rocksdb(spark) -> None:
-    """The stateful processors below need this state store; a set value is kept."""
-    if "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass", ""):
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+def _has_id(id_col: str):
+    return F.coalesce(F.col(id_col), F.lit("")) != ""
 
 
 def dedup_watermark(stream: DataFrame, keys: list[str], ts: str = "received_at", delay: str = "1 day") -> DataFrame:
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
-
-
-def bounded_filter(
-    bucket: list[str], id_col: str, max_entries: int
-) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Judge rows that arrive sorted by (bucket, order), remembering ids of one bucket at a time."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current: tuple | None = None
-        seen: OrderedDict[str, None] = OrderedDict()
-        for pdf in batches:
-            keep = []
-            for key, ident in zip(pdf[bucket].itertuples(index=False, name=None), pdf[id_col]):
-                if key != current:
-                    current, seen = key, OrderedDict()
-                keep.append(_accept(seen, ident, max_entries))
-            yield pdf[keep]
-
-    return run
-
-
-def _accept(seen: OrderedDict, ident, max_entries: int) -> bool:
-    """True when the id is new; new ids push out the oldest beyond the cap."""
-    if ident is None or ident == "":
-        return True
-    if ident in seen:
-        return False
-    seen[ident] = None
-    if len(seen) > max_entries:
-        seen.popitem(last=False)
-    return True
+    rows = stream.withWatermark(ts, delay)
+    named = _has_id(keys[-1])
+    return rows.where(named).dropDuplicatesWithinWatermark(keys).unionByName(rows.where(~named))
 
 
 class TtlDedup(StatefulProcessor):
@@ -104,64 +72,9 @@ def dedup_ttl_stream(
     State is one timestamp per id. An event-time timer drops it when the watermark passes the end of
     the id's window, so state holds only ids seen within ttl + delay.
     """
-    return stream.withWatermark(ts, delay).groupBy(*keys).transformWithStateInPandas(
+    rows = stream.withWatermark(ts, delay)
+    named = _has_id(keys[-1])
+    kept = rows.where(named).groupBy(*keys).transformWithStateInPandas(
         TtlDedup(ts, tiebreak, ttl_seconds), stream.schema, "Append", "EventTime"
     )
-
-
-class BoundedDedup(StatefulProcessor):
-    """Keyed by bucket: remembers the newest ``max_entries`` accepted ids."""
-
-    def __init__(self, id_col: str, order: list[str], max_entries: int, columns: list[str]) -> None:
-        self._id, self._order, self._max, self._columns = id_col, order, max_entries, columns
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        text, number = T.StringType(), T.LongType()
-        self._at = handle.getMapState(
-            "at", T.StructType([T.StructField("id", text)]), T.StructType([T.StructField("n", number)])
-        )
-        self._ids = handle.getMapState(
-            "ids", T.StructType([T.StructField("n", number)]), T.StructType([T.StructField("id", text)])
-        )
-        self._next = handle.getValueState("next", T.StructType([T.StructField("n", number)]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values(self._order, kind="stable")
-        n = self._next.get()[0] if self._next.exists() else 0
-        keep = []
-        for ident in pdf[self._id]:
-            if ident is None or ident == "":
-                keep.append(True)
-                continue
-            if self._at.containsKey((ident,)):
-                keep.append(False)
-                continue
-            self._at.updateValue((ident,), (n,))
-            self._ids.updateValue((n,), (ident,))
-            old = n - self._max
-            if old >= 0:
-                self._at.removeKey(self._ids.getValue((old,)))
-                self._ids.removeKey((old,))
-            n += 1
-            keep.append(True)
-        self._next.update((n,))
-        yield pdf.loc[keep, self._columns]
-
-    def close(self) -> None:
-        pass
-
-
-def dedup_bounded_stream(
-    stream: DataFrame, bucket: list[str], id_col: str, order: list[str], max_entries: int = 1000,
-    partitions: int = 64,
-) -> DataFrame:
-    """Bounded dedup per (bucket, id partition).
-
-    The id partition is a hash slice, so one busy source spreads over many state partitions, each
-    with its own cap. The rule that drops the least recently written *bucket* when more than 512
-    exist is global and has no keyed form: state expiry takes its place.
-    """
-    sliced = stream.withColumn("_part", F.pmod(F.xxhash64(id_col), F.lit(partitions)).cast("int"))
-    return sliced.groupBy(*bucket, "_part").transformWithStateInPandas(
-        BoundedDedup(id_col, order, max_entries, stream.columns), stream.schema, "Append", "None"
-    )
+    return kept.unionByName(rows.where(~named))

@@ -2,19 +2,19 @@
 
 Order: size cap, signature, parse, admission, delivery id, replay dedup, payload job, redaction,
 emission, advisories, contract. Everything before the dedup is a filter or projection, so rejected
-deliveries never reach the shuffle.
+deliveries never reach the shuffle; ``delivery_rejects`` returns them with a reason.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sievelight.operators.dedup import admit_events, dedup_deliveries, with_delivery_id
+from sievelight.operators.dedup import DROP_WITHOUT_ID, admit_events, dedup_deliveries, delivery_id, refused_events, with_delivery_id
 from sievelight.operators.exports import to_envelopes
 from sievelight.operators.normalize import normalize
 from sievelight.operators.observe import OBSERVERS, observe_github_pr
-from sievelight.operators.verify import verify_deliveries
-from sievelight.sources.landing import body_payload, cap_bodies
+from sievelight.operators.verify import header, verify_deliveries
+from sievelight.sources.landing import body_payload, cap_bodies, oversized
 from sievelight.streaming.dedup import dedup_watermark
 
 
@@ -26,15 +26,43 @@ def deliveries_to_emissions(
     On a stream the dedup is the watermark form; on a table it is the first delivery per id.
     """
     accepted, _ = verify_deliveries(cap_bodies(deliveries), provider, secret)
-    events = with_delivery_id(admit_events(body_payload(accepted), provider), provider)
+    events = with_delivery_id(admit_events(_named(body_payload(accepted)), provider), provider)
     if events.isStreaming:
         fresh = dedup_watermark(events, ["source", "delivery_id"], "received_at", delay)
     else:
         fresh = dedup_deliveries(events, ["source", "delivery_id"], ["received_at"])
-    rows = fresh.select("delivery_id", "received_at", "payload_v")
+    rows = fresh.select("delivery_id", "received_at", "event_name", "payload_v")
     obs = observe_github_pr(rows, webhook=True) if provider == "github" else OBSERVERS[provider](rows)
     return normalize(obs.withColumn("provider_event_id", F.col("delivery_id")), completed_at=completed_at)
 
 
+def _named(events: DataFrame) -> DataFrame:
+    """The event's name, which some providers send as a header."""
+    return events.withColumn("event_name", F.coalesce(header("X-GitHub-Event"), F.lit("")))
+
+
+def delivery_rejects(deliveries: DataFrame, provider: str, secret: str) -> DataFrame:
+    """Deliveries that never become events, with a value-free ``reason``; for batch and stream.
+
+    Each row gets the first that holds: ``oversized_body``, ``signature_rejected``, ``unparseable_body``,
+    ``not_admitted``, ``missing_delivery_id``. Bodies are not returned. Rejects after this (contract, identity) are the
+    second output of ``deliveries_to_emissions``.
+    """
+    kept = deliveries.columns
+    large = deliveries.where(oversized()).withColumn("reason", F.lit("oversized_body"))
+    good, unsigned = verify_deliveries(cap_bodies(deliveries), provider, secret)
+    events = _named(body_payload(good))
+    parsed = events.where("payload_v IS NOT NULL").withColumn("delivery_id", delivery_id(provider))
+    parts = [large, unsigned, events.where("payload_v IS NULL").withColumn("reason", F.lit("unparseable_body"))]
+    if provider in DROP_WITHOUT_ID:
+        parts.append(admit_events(parsed, provider).where("delivery_id = ''").withColumn("reason", F.lit("missing_delivery_id")))
+    parts.append(refused_events(parsed, provider).withColumn("reason", F.lit("not_admitted")))
+    out = None
+    for part in parts:
+        rows = part.select(*[c for c in kept if c != "body"], "reason")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def deliveries_to_envelopes(deliveries: DataFrame, provider: str, secret: str, completed_at: str = "") -> DataFrame:
     return to_envelopes(deliveries_to_emissions(deliveries, provider, secret, completed_at)[0])

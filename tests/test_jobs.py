@@ -69,6 +69,46 @@ def test_nested_json_keys_and_leaves(spark):
     assert [r.reason for r in bad.collect()] == ["sensitive_metadata_key:d"]
 
 
+def test_unreadable_json_fails_closed(spark):
+    deep = "[" * 100_000 + '"bob@example.com"' + "]" * 100_000
+    docs = ['{"a":"bob@example.com","a":"x"}', '{"a":"bob@example.com', '{"a":"bob\\u0040example.com', deep, "ok"]
+    df = spark.createDataFrame([(d,) for d in docs], "d string")
+    got = [r.d for r in R.redact_json(df, "d").collect()]
+    assert len(got) == 5 and not any("example.com" in g for g in got) and "ok" in got and R.UNREADABLE in got
+    keyed = df.select("d", F.create_map().cast("map<string,string>").alias("metadata"), F.create_map().cast("map<string,string>").alias("evidence_metadata"))
+    clean, bad = R.reject_sensitive_keys(keyed, ("d",))
+    assert clean.count() == 1 and {r.reason for r in bad.collect()} == {"unreadable_json:d"}
+
+
+def test_long_domains_are_redacted_whole(spark):
+    from sievelight.functions import sensitive as S
+
+    for labels in (1, 140, 9000):
+        text = "mail bob@" + "ab." * labels + "com now"
+        assert spark.createDataFrame([(text,)], "t string").select(S.redact_pii(F.col("t")).alias("r")).first().r == "mail [redacted:email] now"
+    hostile = "x@" + "a." * 100_000 + " and c@" + "a." * 50_000 + "1"
+    assert spark.createDataFrame([(hostile,)], "t string").select(S.redact_pii(F.col("t")).alias("r")).first().r == hostile
+
+
+def test_issue_events_and_rejects_of_the_seam(spark):
+    from sievelight.streaming.ingest import delivery_rejects
+
+    def row(i, body, event, good=True):
+        raw = body if isinstance(body, bytes) else json.dumps(body).encode()
+        mac = hmac.new(KEY.encode(), raw, hashlib.sha256).hexdigest()
+        return ({"x-hub-signature-256": "sha256=" + (mac if good else "0" * 64), "X-GitHub-Delivery": f"d{i}", "X-GitHub-Event": event}, bytearray(raw), i)
+
+    issue = {"action": "opened", "repository": {"full_name": "o/r", "id": 5, "node_id": "R5"}, "sender": {"login": "ann", "id": 1, "type": "User"},
+             "issue": {"id": 9, "node_id": "I9", "number": 4, "title": "It breaks", "body": "steps", "updated_at": "2024-01-01T00:00:00Z",
+                       "html_url": "https://github.com/o/r/issues/4", "user": {"login": "ann", "id": 1, "type": "User"}, "state": "open"}}
+    rows = [row(1, issue, "issues"), row(2, issue, "issues", good=False), row(3, issue, "push"), row(4, b"{", "issues"), row(5, b"[" + b" " * (1 << 20) + b"]", "issues")]
+    df = spark.createDataFrame(rows, "headers map<string,string>, body binary, s long").select("headers", "body", F.timestamp_seconds("s").alias("received_at"))
+    emissions, _ = deliveries_to_emissions(df, "github_issues", KEY)
+    assert [(e.delivery_id, e.body) for e in emissions.collect()] == [("d1", "steps")]
+    got = {r.headers["X-GitHub-Delivery"]: r.reason for r in delivery_rejects(df, "github_issues", KEY).collect()}
+    assert got == {"d2": "signature_rejected", "d3": "not_admitted", "d4": "unparseable_body", "d5": "oversized_body"}
+
+
 def test_failfast_raises(spark):
     import pytest
 

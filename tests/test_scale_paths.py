@@ -1,7 +1,6 @@
 """The paths that only run on hot keys or long chains, against brute force on small data."""
 
 import random
-from collections import OrderedDict
 
 from pyspark.sql import functions as F
 
@@ -50,24 +49,6 @@ def test_ttl_fold_and_rounds_agree_with_brute_force(spark):
         assert sorted(r.i for r in got.collect()) == want
 
 
-def test_bounded_memory(spark):
-    rng = random.Random(3)
-    rows = [(rng.choice("xy"), "d%d" % rng.randint(0, 12), i) for i in range(400)]
-    df = spark.createDataFrame(rows, "s string, d string, i int")
-    got = sorted(r.i for r in dedup.dedup_bounded(df, ["s"], "d", ["i"], max_entries=5, partitions=1).collect())
-    want = []
-    for s in "xy":
-        seen = OrderedDict()
-        for _, d, i in sorted((r for r in rows if r[0] == s), key=lambda r: r[2]):
-            if d in seen:
-                continue
-            seen[d] = None
-            want.append(i)
-            if len(seen) > 5:
-                seen.popitem(last=False)
-    assert got == sorted(want)
-
-
 def test_span_matching_is_greedy_by_overlap(spark):
     rng = random.Random(4)
     found, expected = [], []
@@ -93,12 +74,45 @@ def test_span_matching_is_greedy_by_overlap(spark):
     assert got == want
 
 
-def test_phrase_anchor_join_equals_literals(spark):
-    rules = spark.createDataFrame([(1, "x y"), (2, "ab"), (3, "-"), (4, "longer phrase"), (5, "a.")], "pos int, term string")
-    texts = spark.createDataFrame([(1, "Max Y ab"), (2, "a longer phrase - a.b"), (3, "cab")], "id int, t string")
-    a = {r.id: r.terms for r in terms.match_rules(texts, rules, "id", "t").collect()}
-    b = {r.id: r.terms for r in terms.match_rules(texts, rules, "id", "t", max_literal=0).collect()}
-    assert a == b == {1: ["x y", "ab"], 2: ["-", "longer phrase", "a."]}
+def test_rules_of_any_length(spark):
+    base = [(1, "x y"), (2, "ab"), (3, "-"), (4, "longer phrase"), (5, "a."), (6, ""), (7, None)]
+    texts = spark.createDataFrame([(1, "Max Y ab"), (2, "a longer phrase - a.b"), (3, "cab"), (4, None), (5, "")], "id int, t string")
+    want = {1: ["x y", "ab", ""], 2: ["-", "longer phrase", "a.", ""], 3: [""], 5: [""]}
+    for more in (0, 3000):  # the result does not depend on the number of rules
+        rules = spark.createDataFrame(base + [(100 + i, f"absent {i}") for i in range(more)], "pos int, term string")
+        assert {r.id: r.terms for r in terms.match_rules(texts, rules, "id", "t").collect()} == want
+
+
+def test_rows_without_id_and_ties(spark):
+    rows = [("x", 1, 1), ("x", 1, 1), ("", 1, 2), ("", 1, 2), (None, 1, 3), (None, 1, 3), ("y", 1, 4), ("y", 500, 5)]
+    df = spark.createDataFrame(rows, "k string, t long, i long").withColumn("ts", F.timestamp_seconds("t"))
+    assert sorted(r.i for r in dedup.dedup_deliveries(df, ["k"], ["ts", "i"]).collect()) == [1, 2, 2, 3, 3, 4]
+    assert sorted(r.i for r in dedup.dedup_ttl(df, ["k"], "ts", "i", ttl=100).collect()) == [1, 2, 2, 3, 3, 4, 5]
+    marks = sorted((r.i, r.duplicate_delivery) for r in dedup.mark_duplicates(df, ["k"], ["ts", "i"]).collect())
+    assert marks == [(1, False), (1, True), (2, False), (2, False), (3, False), (3, False), (4, False), (5, True)]
+
+
+def test_run_caps_count_landed_pages(spark):
+    from sievelight.sources import pages as pg
+
+    rows = [("gaps", n, 1, 10) for n in [*range(1, 51), *range(152, 261)]] + [("zero", n, 1, 10) for n in range(101)]
+    rows += [("fine", n, 1, 10) for n in range(100)] + [("late", 200, 1, 9 << 20), ("late", 1, 1, 10)]
+    got = pg.audit_run_caps(spark.createDataFrame(rows, "run_id string, page_no int, n_items long, n_bytes long"))
+    assert sorted(map(tuple, got.select("run_id", "page_no", "reason").collect())) == [
+        ("gaps", 202, "max_pages_exceeded"), ("late", 200, "oversized_body"), ("zero", 100, "max_pages_exceeded")]
+
+
+def test_cursor_waits_and_never_goes_back(spark):
+    from sievelight.operators import cursors as I
+
+    rows = [("a", "2024-01-01", "e1", "advance"), ("a", "2024-01-02", "e2", "retry"), ("a", "2024-01-03", "e3", "advance"),
+            ("b", "2024-01-01", "e1", "quarantine"), ("c", "2024-01-01", "e1", "advance")]
+    batch = spark.createDataFrame(rows, "repository_id string, updated_at string, provider_event_id string, verdict string")
+    new = I.next_cursor(I.delivered(batch, "verdict"))
+    assert sorted((r.repository_id, r.updated_at) for r in new.collect()) == [("a", "2024-01-01"), ("c", "2024-01-01")]
+    now = spark.createDataFrame([("c", "2024-05-01", "e9", 1), ("d", "2024-01-01", "e1", 1)], new.schema)
+    assert sorted((r.repository_id, r.updated_at) for r in I.merge_cursors(now, new).collect()) == [
+        ("a", "2024-01-01"), ("c", "2024-05-01"), ("d", "2024-01-01")]
 
 
 def test_ledger_link_skips_broken_entries(spark):
