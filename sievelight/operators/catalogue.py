@@ -288,11 +288,11 @@ def validate_access(requests: DataFrame, resources: DataFrame, key: str = "resou
     rid = F.col(key)
     error = (
         F.when(F.col("_known").isNull(), _outcome(
-            F.lit("not_found"), F.concat(F.lit("Resource "), rid, F.lit(" not found in fixtures")), null, null))
+            F.lit("not_found"), F.concat(F.lit("Resource "), rid, F.lit(" is not in the catalogue")), null, null))
         .when(F.col("permission") == "denied", _outcome(
-            F.lit("permission_denied"), F.concat(F.lit("Permission denied for "), rid), F.lit("denied"), F.col("_hint")))
+            F.lit("permission_denied"), F.concat(F.lit("No permission for "), rid), F.lit("denied"), F.col("_hint")))
         .when(F.col("permission") == "action_needed", _outcome(
-            F.lit("action_needed"), F.concat(F.lit("Action needed for "), rid), F.lit("action_needed"), F.col("_hint")))
+            F.lit("action_needed"), F.concat(F.lit("The owner has to act on "), rid), F.lit("action_needed"), F.col("_hint")))
     )
     return requests.join(r, key, "left").withColumn("error", error).drop("_hint", "_known")
 
@@ -382,20 +382,20 @@ def discovery_outcome(df: DataFrame, provider: str) -> DataFrame:
     failed, needed, denied = "provider_error", "action_needed", "permission_denied"
     null = F.lit(None).cast("string")
     unexpected = _outcome(
-        F.lit(failed), F.concat(F.lit("unexpected provider status "), status.cast("string")), null, null)
+        F.lit(failed), F.concat(F.lit("the provider answered with status "), status.cast("string")), null, null)
     if provider == "github":
         message = F.lower(V.printed(v, "$.message"))
         limited = (_header("x-ratelimit-remaining") == "0") | message.contains("rate limit")
         error = _case([
-            (status == 401, needed, "installation credentials expired or invalid", needed,
-             "Regenerate or re-install the GitHub App installation."),
-            ((status == 403) & limited, failed, "GitHub API rate limit exceeded", None,
-             "Retry after the rate-limit reset."),
-            (status == 403, denied, "installation lacks permission for this resource", "denied",
-             "Grant the GitHub App access to this repository."),
-            (status == 404, "not_found", "resource not found", None, None),
-            (status == 422, failed, "stale or invalid pagination cursor", None, "Restart listing without a cursor."),
-            (status >= 500, failed, "GitHub provider unavailable", None, "Retry later."),
+            (status == 401, needed, "the app's credentials are no longer accepted", needed,
+             "Install the GitHub App again or issue new credentials."),
+            ((status == 403) & limited, failed, "GitHub refused the call for its rate", None,
+             "Wait for the limit to reset, then try again."),
+            (status == 403, denied, "the app may not read this resource", "denied",
+             "Add this repository to the app's access list."),
+            (status == 404, "not_found", "there is no such resource", None, None),
+            (status == 422, failed, "the page cursor is no longer valid", None, "List again from the first page."),
+            (status >= 500, failed, "GitHub did not answer properly", None, "Retry later."),
         ], unexpected)
         ok = status == 200
     elif provider == "google_drive":
@@ -404,19 +404,19 @@ def discovery_outcome(df: DataFrame, provider: str) -> DataFrame:
             V.printed(v, "$.error.status")))
         limited = reason.contains("ratelimitexceeded") | (_header("retry-after") != "")
         error = _case([
-            (status == 401, needed, "Google credentials expired or revoked", needed,
-             "Re-authorize Google access (drive.readonly / documents.readonly)."),
+            (status == 401, needed, "the Google grant has ended", needed,
+             "Grant read access to Drive and Documents again."),
             ((status == 403) & (reason.contains("insufficientpermissions") | reason.contains("insufficientscopes")),
-             needed, "OAuth scope is insufficient for Drive discovery", needed,
-             f"Re-authorize with {DRIVE_SCOPE} to enable file listing."),
-            ((status == 403) & limited, failed, "Google Drive rate limit exceeded", None,
-             "Retry after the rate-limit window."),
-            (status == 403, denied, "the connected account lacks access to this shared drive", "denied",
-             "Grant the account access to the shared drive."),
-            (status == 404, "not_found", "resource not found or deleted", None, None),
-            (status == 400, failed, "stale or invalid page token", None, "Restart listing without a page token."),
-            (status == 429, failed, "Google Drive rate limit exceeded", None, "Retry after the rate-limit window."),
-            (status >= 500, failed, "Google Drive provider unavailable", None, "Retry later."),
+             needed, "the grant does not cover listing Drive files", needed,
+             f"Grant {DRIVE_SCOPE}, which listing needs."),
+            ((status == 403) & limited, failed, "Google Drive refused the call for its rate", None,
+             "Wait until the limit has passed, then try again."),
+            (status == 403, denied, "the account is no member of this shared drive", "denied",
+             "Add the account to the shared drive."),
+            (status == 404, "not_found", "there is no such resource any more", None, None),
+            (status == 400, failed, "the page token is no longer valid", None, "List again from the first page."),
+            (status == 429, failed, "Google Drive refused the call for its rate", None, "Wait until the limit has passed, then try again."),
+            (status >= 500, failed, "Google Drive did not answer properly", None, "Retry later."),
         ], unexpected)
         ok = status == 200
     elif provider == "linear":
@@ -427,17 +427,17 @@ def discovery_outcome(df: DataFrame, provider: str) -> DataFrame:
         words = lambda *ws: F.exists(F.array(*map(F.lit, ws)), lambda w: F.contains(sig, w))
         error = _case([
             (F.exists(errors, lambda e: V.text(e, "$.code") == "RATELIMITED"), failed,
-             "Linear API rate limit exceeded", None, "Retry after the rate-limit window."),
+             "Linear refused the call for its rate", None, "Wait until the limit has passed, then try again."),
             ((status == 400) | ~any_error, failed,
-             F.concat(F.lit("Linear request failed (status "), status.cast("string"), F.lit(")")), None,
+             F.concat(F.lit("Linear answered with an error (status "), status.cast("string"), F.lit(")")), None,
              "Retry later."),
-            (words("authentication", "unauthenticated", "invalid api key"), needed, "Linear authentication failed",
-             needed, "Re-issue the Linear API key with workspace read access."),
+            (words("authentication", "unauthenticated", "invalid api key"), needed, "Linear did not accept the key",
+             needed, "Create a Linear key that can read the workspace."),
             (words("forbidden", "access denied", "not authorized"), denied,
-             "the API key lacks access to this Linear resource", "denied",
-             "Grant the key access to this team/workspace."),
-            (words("not_found", "not found", "entitynotfound"), "not_found", "Linear resource not found", None, None),
-        ], _outcome(F.lit(failed), F.lit("Linear GraphQL error"), null, F.lit("Retry later.")))
+             "the key may not read this Linear resource", "denied",
+             "Extend the key to this team or workspace."),
+            (words("not_found", "not found", "entitynotfound"), "not_found", "Linear has no such resource", None, None),
+        ], _outcome(F.lit(failed), F.lit("Linear reported a query error"), null, F.lit("Retry later.")))
         ok = (status == 200) & ~any_error
     else:
         raise ValueError(f"unknown provider: {provider}")

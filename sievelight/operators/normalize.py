@@ -118,7 +118,7 @@ def advisory(code, scope, basis, confidence, effect, message) -> Column:
 def schema_error(reason: Column | str) -> Column:
     return advisory(
         "heuristic_schema_error", "universal", reason, "high", "annotate",
-        "An integration heuristic signal was malformed; evidence was preserved.",
+        "A signal of the integration could not be read; the evidence itself is kept.",
     )
 
 
@@ -146,7 +146,7 @@ def integration_advisories() -> Column:
                 lambda why: F.when(why.isNotNull(), schema_error(why)).otherwise(
                     advisory(
                         x["code"], x["scope"], first_text(x["basis"], "integration_rule"), x["confidence"],
-                        x["effect"], first_text(s["explanation"], "Integration-specific advisory signal."),
+                        x["effect"], first_text(s["explanation"], "A signal that the integration gave."),
                     )
                 ),
             ),
@@ -171,26 +171,26 @@ def adv_bot() -> tuple[Column, Column]:
     actor = strip_lower(F.coalesce(F.col("metadata")["actor_type"], F.lit("")))
     return (actor == "bot") | F.exists(_authors(), lambda a: a.endswith("[bot]")), advisory(
         "bot_authored", "universal", "provider_actor_type_or_author_suffix", "high", "annotate",
-        "The source was authored by an automation identity.")
+        "An automation account wrote this.")
 
 
 def adv_dependency() -> tuple[Column, Column]:
     return F.exists(_authors(), lambda a: a.contains("dependabot") | a.contains("renovate")), advisory(
         "dependency_automation", "universal", "known_dependency_automation_identity", "high", "rank_lower",
-        "The source was produced by dependency automation.")
+        "A dependency bot made this.")
 
 
 def adv_status() -> tuple[Column, Column]:
     return strip_lower(F.col("body")).isin(*STATUS_ONLY), advisory(
         "status_only", "universal", "exact_status_vocabulary", "high", "rank_lower",
-        "The source body contains only a bounded status phrase.")
+        "The text is a stock phrase and nothing else.")
 
 
 def adv_template() -> tuple[Column, Column]:
     body = strip_lower(F.col("body"))
     return body.startswith("<!--") | body.contains("issue template"), advisory(
         "template_dominant", "universal", "template_marker", "medium", "rank_lower",
-        "Template or boilerplate markers dominate the captured source.")
+        "The text still carries the marks of its template.")
 
 
 def adv_flags() -> list[tuple[Column, Column]]:
@@ -198,16 +198,16 @@ def adv_flags() -> list[tuple[Column, Column]]:
     return [
         (_flag("duplicate_delivery"), advisory(
             "duplicate_delivery", "universal", "connector_delivery_identity", "high", "annotate",
-            "The connector identified this delivery as a replay or duplicate.")),
+            "The connector has seen this delivery before.")),
         (_flag("generated_sync_event"), advisory(
             "generated_sync_event", "universal", "connector_sync_marker", "high", "rank_lower",
-            "The source represents a generated synchronization event.")),
+            "A synchronization made this event, not a person.")),
         (_flag("stale_source"), advisory(
             "stale_source", "universal", "connector_freshness_marker", "high", "route",
-            "The connector marked the source as stale.")),
+            "The connector says that the source is out of date.")),
         (low, advisory(
             "low_source_trust", "universal", "connector_source_trust_marker", "medium", "route",
-            "The connector marked the source trust posture as low.")),
+            "The connector trusts this source little.")),
     ]
 
 

@@ -108,20 +108,20 @@ def sql_mod(found: str, *outputs: str, where: str = "len(hits) > 0") -> str:
 
 
 A, G, Q, L, D = M.ANNOTATION, M.GOVERNANCE, M.QUESTION, M.LENS, M.DEPENDENCY
-_ISSUES = """list_filter([CASE WHEN NOT has_ev THEN 'emission carries zero SourceEvidence (no reviewable pointer)' END,
- CASE WHEN has_ev AND e % 13 = 0 AND e % 2 = 0 THEN 'evidence has no locatable ref or url (source ' || src || ')' END,
- CASE WHEN has_ev AND trim(excerpt) = '' THEN 'evidence excerpt is blank (no reviewable content)' END], lambda x: x IS NOT NULL)"""
-_TRUST = """list_filter([CASE WHEN source_id = 'mcp_registry' THEN 'mcp_registry is a public/no-auth source (attacker-publishable content)' END,
- CASE WHEN e % 5 IN (2, 4) THEN 'emission_type ''' || CASE WHEN e % 5 = 2 THEN 'hint' ELSE 'advisory' END || ''' is advisory by construction' END,
+_ISSUES = """list_filter([CASE WHEN NOT has_ev THEN 'there is no evidence to review' END,
+ CASE WHEN has_ev AND e % 13 = 0 AND e % 2 = 0 THEN 'no reference or url leads to the evidence (source ' || src || ')' END,
+ CASE WHEN has_ev AND trim(excerpt) = '' THEN 'the excerpt is blank, there is nothing to review' END], lambda x: x IS NOT NULL)"""
+_TRUST = """list_filter([CASE WHEN source_id = 'mcp_registry' THEN 'mcp_registry is open to all writers' END,
+ CASE WHEN e % 5 IN (2, 4) THEN 'emission_type ''' || CASE WHEN e % 5 = 2 THEN 'hint' ELSE 'advisory' END || ''' only ever advises' END,
  CASE WHEN has_ev AND kind IN ('pull_request','message','commit','issue','merge_request','meeting') AND e % 4 IN (1, 2)
-   THEN 'no actor identity on ' || kind || ' evidence' END,
- CASE WHEN has_ev AND kind = '' THEN 'evidence has no declared kind (unknown schema)' END], lambda x: x IS NOT NULL)"""
+   THEN 'nobody is named as the author of ' || kind || ' evidence' END,
+ CASE WHEN has_ev AND kind = '' THEN 'the evidence does not say what it is' END], lambda x: x IS NOT NULL)"""
 _MARKS = ("list_sort(list_distinct(list_transform(regexp_extract_all(low, '\\b(confidential|internal\\s+only|internal-only|proprietary|nda|"
           "do\\s+not\\s+share|do\\s+not\\s+distribute|restricted|classified|privileged)\\b'), lambda m: regexp_replace(m, '\\s+', ' ', 'g'))))")
 _SEC = "list_sort(list_distinct(regexp_extract_all(low, '\\b(" + "|".join(M.SECURITY_WORDS) + ")\\b')))"
 _VULN = "has_ev AND kind = 'vulnerability'"
 _REF = "CASE WHEN e % 13 = 0 THEN ' ' ELSE 'R-' || e END"
-_PKG = "CASE WHEN e % 3 = 0 THEN 'unspecified package(s)' ELSE 'pkg-a,pkg-b' END"
+_PKG = "CASE WHEN e % 3 = 0 THEN 'packages not named' ELSE 'pkg-a,pkg-b' END"
 _SYSTEMS = {n: M.SYSTEM_MARKERS[n] for n in sorted(M.SYSTEM_MARKERS)}
 _FOREIGN = "list_filter([" + ", ".join(
     f"CASE WHEN src <> '{n}' AND {sql_any(t)} THEN '{n}' END" for n, t in _SYSTEMS.items()) + "], lambda x: x IS NOT NULL)"
@@ -129,107 +129,107 @@ _OWN = "(SELECT f.*, unnest(hits) AS dom FROM f)"
 
 MOD_SQL = {
     "adapter-contract": sql_mod(
-        _ISSUES, advise(A, "'evidence-contract risk on ' || src || ': ' || array_to_string(hits, '; ')"),
-        advise(G, "'adapter contract not fully preserved: ' || array_to_string(hits, '; ')",
+        _ISSUES, advise(A, "'incomplete evidence on ' || src || ': ' || array_to_string(hits, '; ')"),
+        advise(G, "'the evidence lost parts on the way: ' || array_to_string(hits, '; ')",
                "'issues=' || array_to_string(hits, '; ') || ';source=' || src"),
-        route("'connectors'", "'evidence pointer missing on ' || src || ' — review the connector parse surface'",
+        route("'connectors'", "'no pointer on ' || src || ': check how the connector reads it'",
               where="NOT has_ev OR (e % 13 = 0 AND e % 2 = 0)")),
     "ai-authorship-review": sql_mod(
         f"list_sort({sql_hits(M.UNCERTAINTY)})",
-        advise(G, "'AI-authored evidence from ' || src || ' carries low-confidence/unfinished markers: ' || j",
+        advise(G, "'text written by a model, from ' || src || ', calls itself unsure or unfinished: ' || j",
                "'markers=' || j || ';source=' || src"),
-        route("'qa'", "'AI-authored evidence needs human review (' || src || '): ' || j"),
-        advise(Q, "'Has the AI-authored change from ' || src || ' (' || j || ') been human-reviewed and tested before acceptance?'"),
+        route("'qa'", "'a person should read this model text (' || src || '): ' || j"),
+        advise(Q, "'Did a person review and test the model change from ' || src || ' (' || j || ') before it was taken?'"),
         where="len(hits) > 0 AND src IN ('aider','claude_code','continue_dev','copilot','cursor','devin')"),
     "authority-boundary": sql_mod(
-        sql_hits(M.AUTHORITY), advise(A, "'change on ' || src || ' names an authority-crossing action: ' || j"),
-        advise(G, "'possible authority-boundary crossing (' || j || ') — confirm human review + policy gate'", "'source=' || src || ';terms=' || j"),
-        route("'governance'", "'authority-boundary risk in ' || src || ': ' || j", "'high'"),
-        advise(Q, "'Is the ''' || j || ''' path gated by explicit human approval, actor identity, and an audit record?'"),
+        sql_hits(M.AUTHORITY), advise(A, "'change on ' || src || ' speaks of an action beyond its authority: ' || j"),
+        advise(G, "'authority may be exceeded (' || j || '): have a person and the policy confirm it'", "'source=' || src || ';terms=' || j"),
+        route("'governance'", "'authority at risk in ' || src || ': ' || j", "'high'"),
+        advise(Q, "'Is the ''' || j || ''' step bound to human approval, a known actor and a record?'"),
         where="len(hits) > 0 AND chg"),
     "code-review-risk": sql_mod(
-        sql_groups(M.RISK_AREAS), advise(A, "'change on ' || src || ' touches high-risk area(s): ' || j"),
-        advise(G, "'PR-level review risk (' || j || ') — review blast radius before merge'", "'areas=' || j || ';source=' || src"),
-        route("'review'", "'high-risk change area(s) in ' || src || ': ' || j", "'high'"),
-        advise(Q, "'Does this change to ' || j || ' have a tested rollback and a clear blast-radius bound?'"),
+        sql_groups(M.RISK_AREAS), advise(A, "'change on ' || src || ' reaches into sensitive areas: ' || j"),
+        advise(G, "'risky change (' || j || '): weigh its reach before the merge'", "'areas=' || j || ';source=' || src"),
+        route("'review'", "'sensitive areas changed in ' || src || ': ' || j", "'high'"),
+        advise(Q, "'Does this change to ' || j || ' come with a tried way back and a known reach?'"),
         where="len(hits) > 0 AND chg"),
     "compliance-routing": sql_mod(
-        sql_hits(M.COMPLIANCE), advise(G, "'evidence on ' || src || ' touches regulated scope: ' || j", "'frameworks=' || j || ';source=' || src"),
-        route("'compliance'", "'regulatory framework named in ' || src || ': ' || j", "'high'"),
-        advise(Q, "'Does the ' || j || ' obligation have a documented control owner and evidence trail for this change?'")),
+        sql_hits(M.COMPLIANCE), advise(G, "'evidence on ' || src || ' is under regulation: ' || j", "'frameworks=' || j || ';source=' || src"),
+        route("'compliance'", "'a regulation is named in ' || src || ': ' || j", "'high'"),
+        advise(Q, "'Does the ' || j || ' duty have a named owner and a record for this change?'")),
     "connector-freshness": sql_mod(
-        sql_hits(M.BREAK_TERMS), advise(A, "'provider-freshness signal on ' || src || ': ' || j", where="len(hits) > 0"),
-        advise(G, "'provider change may stale a connector assumption (' || j || ') — review references/auth'",
+        sql_hits(M.BREAK_TERMS), advise(A, "'sign of a provider change on ' || src || ': ' || j", where="len(hits) > 0"),
+        advise(G, "'a provider change may break the connector (' || j || '): check references and sign-in'",
                "'source=' || src || ';terms=' || j", "len(hits) > 0"),
-        route("'connectors'", "'freshness review for ' || src || ': ' || j", where="len(hits) > 0"),
-        advise(A, "'api-version mention on ' || src || ' (soft freshness signal)'", where="len(hits) = 0"),
+        route("'connectors'", "'check for provider changes: ' || src || ': ' || j", where="len(hits) > 0"),
+        advise(A, "'an api version is named on ' || src || ' (weak sign of a change)'", where="len(hits) = 0"),
         where=f"len(hits) > 0 OR {sql_any(M.VERSION_TERMS)}"),
     "cross-system-reference": sql_mod(
-        _FOREIGN, advise(A, "'evidence on ' || src || ' references other system(s): ' || j", "'foreign_systems=' || j"),
-        advise(Q, "'Does the reference to ' || j || ' stay in sync with the ' || src || ' item, or need manual reconciliation?'",
+        _FOREIGN, advise(A, "'evidence on ' || src || ' points to other systems: ' || j", "'foreign_systems=' || j"),
+        advise(Q, "'Does the reference to ' || j || ' keep up with the ' || src || ' item, or must someone compare them?'",
                "'foreign_systems=' || j"),
-        route("'integrations'", "'cross-system reference in ' || src || ': ' || j")),
+        route("'integrations'", "'other systems named in ' || src || ': ' || j")),
     "data-classification": sql_mod(
         f"list_concat({_MARKS}, CASE WHEN regexp_matches(text, '\\[redacted:[a-z]+\\]') THEN ['redacted-pii'] ELSE [] END)",
         advise(A, "'data classification: RESTRICTED (' || j || ')'", "'classification=restricted;signals=' || j",
                ids=f"CASE WHEN has_ev THEN {_REF} ELSE '' END"),
-        route("'restricted-review'", "'restricted-classified evidence (' || j || ')'"),
-        advise(G, "'evidence classified RESTRICTED -> route to restricted review (' || j || ')'", "'classification=restricted'")),
+        route("'restricted-review'", "'restricted content (' || j || ')'"),
+        advise(G, "'restricted content, for the restricted review (' || j || ')'", "'classification=restricted'")),
     "decision-drift": sql_mod(
         sql_hits(M.CONFLICT_CUES),
-        advise(A, f"'possible decision drift on ' || src || ': ' || array_to_string({sql_hits(M.DECISION_ANCHORS)}, ', ') || ' + ' || j"),
-        advise(G, "'evidence may conflict with a recorded decision (' || j || ') — review the decision record'",
+        advise(A, f"'a decision may have moved on ' || src || ': ' || array_to_string({sql_hits(M.DECISION_ANCHORS)}, ', ') || ' + ' || j"),
+        advise(G, "'this may contradict a recorded decision (' || j || '): read the record again'",
                f"'anchors=' || array_to_string({sql_hits(M.DECISION_ANCHORS)}, ', ') || ';cues=' || j || ';source=' || src"),
-        route("'governance'", "'decision drift in ' || src || ': ' || j"),
-        advise(Q, "'Does the recorded decision need an update or a superseding ADR given this (' || j || ')?'"),
+        route("'governance'", "'moved decision in ' || src || ': ' || j"),
+        advise(Q, "'Must the recorded decision be changed or replaced after this (' || j || ')?'"),
         where=f"len(hits) > 0 AND {sql_any(M.DECISION_ANCHORS)}"),
     "dependency-risk": sql_mod(
         f"list_filter({sql_list(M.MANIFEST_FILES)}, lambda t: contains(lower(title || ' ' || body), t))",
-        advise(D, f"'Dependency vulnerability ' || {_REF} || ' affects ' || {_PKG}",
+        advise(D, f"'Vulnerable dependency ' || {_REF} || ' affects ' || {_PKG}",
                f"'aliases=' || CASE WHEN e % 4 = 0 THEN 'X-1, ghsa-2' ELSE 'X-1' END || ';packages=' || {_PKG} || ';severity=CVSS:9;vuln=' || {_REF}",
                _VULN, ids=_REF),
         route("'security'", f"'dependency vulnerability ' || {_REF} || ' in ' || {_PKG}", "CASE WHEN e % 4 = 0 THEN 'high' ELSE 'normal' END", _VULN),
-        advise(A, f"'evidence is a dependency vulnerability advisory (' || {_REF} || ')'", where=_VULN, ids=_REF),
-        advise(D, "'dependency manifest referenced (' || j || ') — review the change'", "'manifests=' || j || ';source=' || source_id",
+        advise(A, f"'this reports a vulnerable dependency (' || {_REF} || ')'", where=_VULN, ids=_REF),
+        advise(D, "'a dependency manifest is named (' || j || '): look at the change'", "'manifests=' || j || ';source=' || source_id",
                f"NOT coalesce({_VULN}, false) AND len(hits) > 0"),
-        advise(A, "'emission references a dependency manifest (' || j || ')'", where=f"NOT coalesce({_VULN}, false) AND len(hits) > 0"),
+        advise(A, "'a dependency manifest is part of this (' || j || ')'", where=f"NOT coalesce({_VULN}, false) AND len(hits) > 0"),
         where="true"),
     "noisy-source-gate": sql_mod(
-        "['x']", route("'reviewer'", "'high-noise source ''' || source_id || ''' — suggest a manual review gate unless this source''s trust is raised'",
+        "['x']", route("'reviewer'", "'noisy source ''' || source_id || ''': put a person before it until it is trusted more'",
                        "'low'").replace("SELECT event_id, 'routing_hint', NULL, '', '',",
                                         "SELECT event_id, 'routing_hint' AS output_type, NULL AS message, '' AS meta, '' AS ids,", 1)
-        .replace("'reviewer',", "'reviewer' AS role,", 1).replace("trust is raised', 'low'", "trust is raised' AS reason, 'low' AS priority", 1),
-        "SELECT event_id, 'advisory_governance_result', 'evidence from high-noise source ''' || source_id || '''; gate manually unless trust is raised', "
+        .replace("'reviewer',", "'reviewer' AS role,", 1).replace("trusted more', 'low'", "trusted more' AS reason, 'low' AS priority", 1),
+        "SELECT event_id, 'advisory_governance_result', 'evidence from noisy source ''' || source_id || '''; a person should pass it until it is trusted more', "
         "'source=' || source_id, '', NULL, NULL, NULL FROM f", where="source_id IN ('slack','granola','fathom')"),
     "notification-scope-risk": sql_mod(
-        sql_hits(M.BROADCAST), advise(G, "'evidence on ' || src || ' describes a broad/unscoped notification: ' || j", "'signals=' || j || ';source=' || src"),
-        route("'security'", "'over-broad notification scope in ' || src || ': ' || j"),
-        advise(Q, "'Is the ''' || j || ''' notification scoped to the necessary recipients, or is it over-broad?'")),
+        sql_hits(M.BROADCAST), advise(G, "'evidence on ' || src || ' notifies more people than named: ' || j", "'signals=' || j || ';source=' || src"),
+        route("'security'", "'notification to too many in ' || src || ': ' || j"),
+        advise(Q, "'Is the ''' || j || ''' notification limited to those who need it, or is it over-broad?'")),
     "ownership-routing": sql_mod(
-        sql_groups(M.DOMAINS), advise(A, "'change on ' || src || ' maps to owner lens(es): ' || j"),
-        advise(L, "'review through the ' || dom || ' lens'", "'lens=' || dom || ';source=' || src").replace("FROM f", f"FROM {_OWN}"),
+        sql_groups(M.DOMAINS), advise(A, "'change on ' || src || ' concerns these owners: ' || j"),
+        advise(L, "'look at it as ' || dom || ' lens'", "'lens=' || dom || ';source=' || src").replace("FROM f", f"FROM {_OWN}"),
         route("dom", "dom || '-owned change in ' || src").replace("FROM f", f"FROM {_OWN}"), where="len(hits) > 0 AND chg"),
     "policy-exemption-audit": sql_mod(
-        sql_hits(M.EXEMPTIONS), advise(G, "'evidence on ' || src || ' claims a policy exemption/waiver: ' || j", "'source=' || src || ';terms=' || j"),
-        route("'policy'", "'policy-exemption claim in ' || src || ': ' || j", "'high'"),
-        advise(Q, "'Has the ''' || j || ''' exemption been explicitly re-approved by a policy owner with an audit record and expiry?'")),
+        sql_hits(M.EXEMPTIONS), advise(G, "'evidence on ' || src || ' claims to be exempt from a policy: ' || j", "'source=' || src || ';terms=' || j"),
+        route("'policy'", "'claimed exemption in ' || src || ': ' || j", "'high'"),
+        advise(Q, "'Has the ''' || j || ''' exemption been renewed by the owner of the policy, with a record and an end?'")),
     "security-mentions": sql_mod(
-        _SEC, advise(G, "'security-relevant mentions: ' || j", "'keywords=' || j"),
-        route("'security'", "'security mentions in evidence (' || j || ')'"), advise(A, "'evidence mentions security topics: ' || j")),
+        _SEC, advise(G, "'security is mentioned: ' || j", "'keywords=' || j"),
+        route("'security'", "'security mentions in evidence (' || j || ')'"), advise(A, "'the text is about security: ' || j")),
     "source-trust-calibration": sql_mod(
-        _TRUST, advise(A, "'source-trust note on ' || src || ': ' || array_to_string(hits, '; ')"),
-        advise(G, "'weak provenance on ' || src || ' — keep advisory / manual review: ' || array_to_string(hits, '; ')",
+        _TRUST, advise(A, "'on the trust in ' || src || ': ' || array_to_string(hits, '; ')"),
+        advise(G, "'origin of little weight on ' || src || ', advise only or review by hand: ' || array_to_string(hits, '; ')",
                "'signals=' || array_to_string(hits, '; ') || ';source=' || src"),
-        route("'review'", "'calibrate source trust for ' || src || ' (weak provenance): ' || array_to_string(hits, '; ')")),
+        route("'review'", "'set the trust in ' || src || ' (origin of little weight): ' || array_to_string(hits, '; ')")),
     "test-adequacy": sql_mod(
-        sql_hits(M.BEHAVIOR), advise(A, "'behavior change on ' || src || ' (' || j || ') with no test signal in the text'"),
-        advise(G, "'possible test gap — behavior change (' || j || ') names no test/fixture'", "'behavior=' || j || ';source=' || src"),
-        route("'review'", "'test-adequacy review for ' || src || ': ' || j"),
-        advise(Q, "'Does this ' || j || ' change add or update a test that exercises the new behavior?'"),
+        sql_hits(M.BEHAVIOR), advise(A, "'behavior change on ' || src || ' (' || j || '), and no test is mentioned'"),
+        advise(G, "'tests may be missing: new behaviour (' || j || ') without a test or fixture'", "'behavior=' || j || ';source=' || src"),
+        route("'review'", "'check the tests of ' || src || ': ' || j"),
+        advise(Q, "'Does this ' || j || ' change bring or alter a test of what is new?'"),
         where=f"len(hits) > 0 AND chg AND NOT {sql_any(M.TEST_TERMS)}"),
     "webhook-risk": sql_mod(
-        sql_hits(M.WEBHOOK_RISKS), advise(A, "'emission touches webhook handling (' || src || ')'"),
-        advise(G, "'webhook risk named (' || j || ') — verify signature + replay protection'", "'risks=' || j || ';source=' || src", "len(hits) > 0"),
+        sql_hits(M.WEBHOOK_RISKS), advise(A, "'webhook handling is concerned (' || src || ')'"),
+        advise(G, "'a webhook risk is named (' || j || '): check signatures and replays'", "'risks=' || j || ';source=' || src", "len(hits) > 0"),
         route("'security'", "'webhook risk in ' || src || ': ' || j", "'high'", "len(hits) > 0"), where=sql_any(M.WEBHOOK_TERMS)),
 }
 

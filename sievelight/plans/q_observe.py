@@ -106,9 +106,9 @@ a AS (SELECT *, CASE WHEN event_name = 'issues' THEN 'issue' ELSE 'issue_comment
      OR (event_name = 'issue_comment' AND action IN ('created','edited','deleted'))),
 v AS (SELECT *, sha256(concat_ws(chr(31), kind, sid, node, action, updated, title, body)) AS ver FROM a)
 SELECT event_id, 'acme/r#issues/' || eid || ':' || kind || ':' || sid || ':v:' || ver AS ref, kind,
-  CASE WHEN action = 'deleted' THEN 'GitHub ' || kind || ' ' || sid || ' was deleted or became unavailable.'
+  CASE WHEN action = 'deleted' THEN 'GitHub ' || kind || ' ' || sid || ' can no longer be read.'
        ELSE body END AS excerpt,
-  CASE WHEN action = 'deleted' THEN 'GitHub issue #' || eid || ': source unavailable' ELSE title END AS title,
+  CASE WHEN action = 'deleted' THEN 'GitHub issue #' || eid || ': no longer readable' ELSE title END AS title,
   login AS author, updated AS stamp, 'github:77:' || kind || ':' || sid || ':' || ver AS evidence_id,
   concat_ws(',', CASE WHEN k % 7 = 0 THEN 'bot_authored,dependency_automation' END,
      CASE WHEN body LIKE '<!--%' THEN 'template_dominant' END, CASE WHEN body = 'LGTM' THEN 'status_only' END) AS signals,
