@@ -96,7 +96,8 @@ def drop_lines(docs: DataFrame, text_col: str = "text", min_docs: int = 10, batc
     hits = saved(
         lines.select("t", "n", F.posexplode("lines").alias("pos", "line")).join(runs.frequent(), "line")
         .groupBy("t", "n").agg(F.collect_set("pos").alias("dropped")))
-    out = keyed.join(hits, ["t", "n"], "left")
+    # A merge join at every size: the dropped positions grow with the corpus.
+    out = keyed.join(hits.hint("merge"), ["t", "n"], "left")
     none = F.array().cast("array<int>")
 
     def rest(lines: Column) -> Column:
