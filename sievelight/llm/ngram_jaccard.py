@@ -13,7 +13,7 @@ tokens of either miss in the other. Nodes are distinct sets, so copies never for
    follows the set size in bands of a factor of 4 (sets near a band's end are indexed in the next band, too).
 4. Verification. Sets that share index entries form small clusters (found with one link per entry, never with all pairs).
    The members of a cluster are compared in blocks of bounded size by a product of their token matrices, which returns
-   only the links of a spanning forest.
+   the links of a spanning forest and, per set, the number of documents linked to it in that block.
 """
 
 from __future__ import annotations
@@ -241,18 +241,18 @@ def _index(num: int, den: int):
 
 
 def remaining(texts: DataFrame, identity: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Step 1: ``(key, n, tokens)`` of the sets that can have a partner."""
+    """Step 1: ``(key, n, tokens, copies)`` of the sets that can have a partner; copies: documents with the set."""
     rows = texts.mapInArrow(_prefixes(words, num, den), "token long, key long, known boolean")
     dealt = rows.repartition(F.when(F.col("known"), F.xxhash64("token", "key")).otherwise(F.col("token")))
     shared = dealt.sortWithinPartitions("known", "token", "key").mapInArrow(_shared_per_key, "key long, shared long")
-    sizes = identity.where("n > 0").groupBy("key").agg(F.max("n").alias("n"))
+    sizes = identity.where("n > 0").groupBy("key").agg(F.max("n").alias("n"), F.count("*").alias("copies"))
     live = saved(
         shared.groupBy("key").agg(F.sum("shared").alias("shared")).join(sizes, "key")
-        .where(F.col("shared") >= _shared_least(F.col("n"), num, den)).select("key"))
-    words64 = texts.sparkSession.sparkContext.broadcast(_filter(live))
+        .where(F.col("shared") >= _shared_least(F.col("n"), num, den)).select("key", "copies"))
+    words64 = texts.sparkSession.sparkContext.broadcast(_filter(live.select("key")))
     # The filter drops most sets in the task that made them; the join then is exact.
     kept = texts.mapInArrow(_sets(words, words64), "key long, n int, tokens array<long>")
-    return saved(kept.join(live, "key", "left_semi").dropDuplicates(["key"]))
+    return saved(kept.join(live, "key").dropDuplicates(["key"]))
 
 
 def index(sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -264,9 +264,12 @@ def index(sets: DataFrame, num: int, den: int) -> DataFrame:
     return ordered.select("key", "n", "prefix").mapInArrow(_index(num, den), "sig long, key long")
 
 
-def _compare(keys: list[int], sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a spanning forest of one block: positions a, b."""
-    m = len(sets)
+def _compare(sets: list[np.ndarray], own: np.ndarray, copies: np.ndarray, num: int, den: int):
+    """Links of a spanning forest of a pair of blocks (positions a, b) and the linked documents of each set.
+
+    ``own`` is the block of each set; of two different blocks only the pairs across count.
+    """
+    m, block = len(sets), own
     tokens, own = np.concatenate(sets), np.repeat(np.arange(m), [len(s) for s in sets])
     ids, at, counts = np.unique(tokens, return_inverse=True, return_counts=True)
     column = np.cumsum(counts > 1) - 1
@@ -284,6 +287,8 @@ def _compare(keys: list[int], sets: list[np.ndarray], num: int, den: int) -> tup
     both = both.astype(np.int64)
     linked = both * den >= num * (size[:, None] + size[None, :] - both)
     np.fill_diagonal(linked, False)
+    across = block[:, None] != block[None, :] if (block != block[0]).any() else True
+    count = (linked & across) @ copies
     label = np.full(m, -1)
     left, right = [], []
     for root in range(m):
@@ -296,36 +301,44 @@ def _compare(keys: list[int], sets: list[np.ndarray], num: int, den: int) -> tup
                 left += [x] * len(new)
                 right += new.tolist()
                 front += new.tolist()
-    return np.array(left, np.int64), np.array(right, np.int64)
+    return np.array(left, np.int64), np.array(right, np.int64), count
 
 
 def _verify(num: int, den: int):
-    """Rows sorted by (cluster, i, j, key) -> verified links."""
+    """Rows sorted by (cluster, i, j, key) -> verified links ``(a, b, null)`` and counts ``(a, null, n)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, keys, sets = None, [], []
+        group, keys, sets, blocks, copies = None, [], [], [], []
 
         def out() -> Iterator[pa.RecordBatch]:
-            if len(keys) > 1:
-                a, b = _compare(keys, sets, num, den)
-                k = np.array(keys, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(k[a]), pa.array(k[b])], ["a", "b"])
+            # Of two blocks, one may be empty: its members come in the groups of the other blocks.
+            if len(keys) > 1 and (group[1] == group[2] or len(set(blocks)) == 2):
+                a, b, count = _compare(sets, np.array(blocks), np.array(copies, np.int64), num, den)
+                k, some = np.array(keys, np.int64), count > 0
+                n = len(a) + int(some.sum())
+                none = np.arange(n) >= len(a)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate([k[a], k[some]])), pa.array(np.append(k[b], np.zeros(n - len(a), np.int64)), mask=none),
+                    pa.array(np.append(np.zeros(len(a), np.int64), count[some]), mask=~none)], ["a", "b", "n"])
 
         for batch in batches:
-            names = zip(*(batch.column(i).to_pylist() for i in range(4)))
-            for (*own, key), tokens in zip(names, batch.column(4)):
+            names = zip(*(batch.column(i).to_pylist() for i in range(6)))
+            for (*own, key, block, copy), tokens in zip(names, batch.column(6)):
                 if own != group:
                     yield from out()
-                    group, keys, sets = own, [], []
+                    group, keys, sets, blocks, copies = own, [], [], [], []
                 if not keys or keys[-1] != key:
                     keys.append(key)
                     sets.append(tokens.values.to_numpy())
+                    blocks.append(block)
+                    copies.append(copy)
         yield from out()
 
     return run
 
 
 def links(entries: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Step 4: verified ``(a, b)``, enough to connect all linked sets."""
+    """Step 4: verified ``(a, b, null)``, enough to connect all linked sets, and ``(a, null, n)``, whose n add up to the
+    number of documents with other sets that a is linked to."""
     first = entries.groupBy("sig").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("sig", "a")
     star = entries.join(first, "sig").where("key <> a").select("a", F.col("key").alias("b")).distinct()
     member = components(star).select(F.col("node").alias("key"), F.col("component").alias("cluster"))
@@ -333,18 +346,18 @@ def links(entries: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     own = F.pmod(F.xxhash64(F.lit(9), "key"), "blocks").cast("int")
     # A row goes to all pairs of its block and another; a cluster of one block is one group.
     dealt = member.join(sizes, "cluster").withColumn("own", own).select(
-        "cluster", "key", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(
-            F.least("own", x).alias("i"), F.greatest("own", x).alias("j")))).alias("p")).select("cluster", "p.i", "p.j", "key")
-    rows = dealt.join(sets.select("key", "tokens"), "key").select("cluster", "i", "j", "key", "tokens")
+        "cluster", "key", "own", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(
+            F.least("own", x).alias("i"), F.greatest("own", x).alias("j")))).alias("p")).select("cluster", "p.i", "p.j", "key", "own")
+    rows = dealt.join(sets.select("key", "tokens", "copies"), "key").select("cluster", "i", "j", "key", "own", "copies", "tokens")
     return (
         rows.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "key")
-        .mapInArrow(_verify(num, den), "a long, b long"))
+        .mapInArrow(_verify(num, den), "a long, b long, n long"))
 
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, threshold: tuple[int, int] = (80, 100),
 ) -> DataFrame:
-    """``(id, n_shingles, component_id)`` for every row of ``docs``.
+    """``(id, n_shingles, component_id, n_links)`` for every row of ``docs``; n_links: other rows linked to it.
 
     Rows are linked when their shingle sets have a Jaccard similarity of at least ``num/den`` (not
     below 0.8); ``component_id`` is the smallest id reachable over links. Words are maximal runs without ASCII white
@@ -360,10 +373,15 @@ def near_duplicates(
     texts = rows.select("text")
     identity = saved(rows.mapInArrow(_identity(words), f"id {dict(rows.dtypes)['id']}, n long, key long"))
     sets = remaining(texts, identity, words, num, den)
-    final = components(links(saved(index(sets, num, den)), sets, num, den))
-    grouped = identity.join(final.select(F.col("node").alias("key"), "component"), "key", "left").select(
-        "id", "n", F.coalesce("component", "key").alias("component"))
-    # Written, so that the join can split a group of many copies.
+    found = saved(links(saved(index(sets, num, den)), sets, num, den))
+    member = components(found.where("b is not null").select("a", "b")).select(F.col("node").alias("key"), "component")
+    counts = found.where("n is not null").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("others"))
+    copies = identity.where("key is not null").groupBy("key").agg(F.count("*").alias("copies")).where("copies > 1")
+    # Written, so that the joins can split a group of many copies.
+    final = saved(member.join(counts, "key", "full").join(copies, "key", "full"))
+    grouped = identity.join(final, "key", "left").select(
+        "id", "n", F.coalesce("component", "key").alias("component"),
+        (F.coalesce("others", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"))
     least = saved(grouped.where("component is not null").groupBy("component").agg(F.min("id").alias("least")))
     return grouped.join(least, "component", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"))
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"), "n_links")

@@ -53,18 +53,20 @@ def brute_components(rows, num=80, den=100):
     for _, t, _, _ in rows:
         w = WORD.findall((t or "").translate(LOWER))
         sets.append({tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
-    label = list(range(len(rows)))
+    label, n_links = list(range(len(rows))), [0] * len(rows)
     for i, a in enumerate(sets):
         for j in range(i):
             both = len(a & sets[j])
             if both and den * both >= num * (len(a) + len(sets[j]) - both):
+                n_links[i] += 1
+                n_links[j] += 1
                 x, y = label[i], label[j]
                 label = [y if v == x else v for v in label]
     least = {}
     for v, (i, *_) in zip(label, rows):
         if i is not None:
             least[v] = min(least.get(v, i), i)
-    return sorted(((i, len(s), least.get(v, i)) for v, s, (i, *_) in zip(label, sets, rows)), key=str)
+    return sorted(((i, len(s), least.get(v, i), n) for v, s, n, (i, *_) in zip(label, sets, n_links, rows)), key=str)
 
 
 def test_jaccard_equals_brute_force(spark, corpus):
@@ -527,7 +529,7 @@ def test_pipeline_on_small_fixture(spark, tmp_path, corpus):
         kept = corpus_pipeline.saved(stage(spark, kept, str(tmp_path)))
         assert kept.columns == docs.columns, name
         if name == "ngram_jaccard":
-            want = {(i, c) for i, _, c in brute_components([tuple(r)[:4] for r in before.collect()]) if i == c}
+            want = {(i, c) for i, _, c, _ in brute_components([tuple(r)[:4] for r in before.collect()]) if i == c}
             assert {(r["doc_id"], r["doc_id"]) for r in kept.collect()} == want
     assert corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().count() == kept.select("doc_id").distinct().count()
     assert json.dumps([n for n, _ in corpus_pipeline.STAGES])
