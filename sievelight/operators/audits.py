@@ -20,7 +20,7 @@ from sievelight.functions.crypto import sha256_tag
 from sievelight.functions.sensitive import EMAIL_PATTERN, has_hit
 from sievelight.functions.text import first_text, pin, strip
 from sievelight.operators.redaction import FLAG_KEYS, observation_fields, signals_json
-from sievelight.operators.skew import blocked_running
+from sievelight.operators.skew import blocked_before
 
 # --- K1: phase traces -----------------------------------------------------------------------------
 
@@ -365,20 +365,21 @@ def parse_ledger(df: DataFrame, body: str = "body") -> DataFrame:
 def audit_ledger(df: DataFrame, ledger: str, pos: str = "pos", block_size: int = 100_000) -> DataFrame:
     """``ledger, pos, problem`` for entries ``content, previous, chain, is_genesis``.
 
-    The link to compare with is the last valid one before the entry. It comes from a running maximum
-    over (position, link), split into blocks of positions, so a ledger of any length is checked in parallel.
+    The link to compare with is the last valid one before the entry. It comes from a running maximum over
+    (position, link), next to the first genesis as a running minimum; both are split into blocks of positions in
+    one pass, so a ledger of any length is checked in parallel.
     """
     whole = F.col("content").isNotNull() & F.col("previous").isNotNull() & F.col("chain").isNotNull()
     gen = F.col("is_genesis")
     link = F.when(gen | whole, F.struct(F.col(pos).alias("p"), F.when(gen, F.col("content")).otherwise(
         F.col("chain")).alias("link")))
-    block = F.floor(F.col(pos) / block_size)
-    rows = blocked_running(df, [ledger], [pos], block, link, "_last", F.max, lambda a, b: F.greatest(a, b), False)
-    rows = blocked_running(rows, [ledger], [pos], block, gen.cast("int"), "_gens", F.sum, lambda a, b: a + b)
+    rows = blocked_before(
+        df, [ledger], [pos], F.floor(F.col(pos) / block_size),
+        {"_last": (link, F.max, F.greatest), "_first": (F.when(gen, F.col(pos)), F.min, F.least)})
     expected = F.col("_last.link")
     return _problems(
         rows, [ledger, pos],
-        F.when(gen & (F.col("_gens") > 1), F.lit("multiple_genesis")),
+        F.when(gen & F.col("_first").isNotNull(), F.lit("multiple_genesis")),
         F.when(gen & F.col("content").isNull(), F.lit("genesis_without_content_hash")),
         F.when(gen & F.col("chain").isNotNull(), F.lit("genesis_with_chain_hash")),
         F.when(~gen & ~whole, F.lit("missing_hash")),

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
+from sievelight.operators.skew import blocked_before
 from sievelight.session import cut_lineage
 
 # --- L1-L3: field paths, spans, preservation --------------------------------------------------------
@@ -125,6 +129,8 @@ def audit_corpus(manifest: DataFrame, files: DataFrame) -> DataFrame:
 
 SPAN_KEYS = ["record_id", "field_path", "category"]
 BIN = 256
+#: Positions per block of the island search.
+BLOCK = 65_536
 
 
 def _span_bins(df: DataFrame, width: int) -> DataFrame:
@@ -134,7 +140,7 @@ def _span_bins(df: DataFrame, width: int) -> DataFrame:
 
 
 def overlapping_pairs(found: DataFrame, expected: DataFrame, keys: list[str], width: int = BIN) -> DataFrame:
-    """(found_id, entity_id, overlap, exact) for spans of equal keys that overlap.
+    """(found_id, entity_id, overlap, exact, lo, hi) for spans of equal keys that overlap; lo, hi: hull of both.
 
     Spans are cut into position bins and joined on (keys, bin), so a long text with many spans
     spreads over tasks and distant spans never meet. A pair is kept only in the bin where its
@@ -150,37 +156,50 @@ def overlapping_pairs(found: DataFrame, expected: DataFrame, keys: list[str], wi
         .where((F.col("start") < F.col("e_end")) & (F.col("e_start") < F.col("end")))
         .where(F.col("_bin") == F.floor(from_ / width))
         .select(*keys, "found_id", "entity_id", (to - from_).alias("overlap"),
-                ((F.col("start") == F.col("e_start")) & (F.col("end") == F.col("e_end"))).alias("exact"))
+                ((F.col("start") == F.col("e_start")) & (F.col("end") == F.col("e_end"))).alias("exact"),
+                F.least("start", "e_start").alias("lo"), F.greatest("end", "e_end").alias("hi"))
     )
 
 
 def match_spans(found: DataFrame, expected: DataFrame, keys: list[str] | None = None, width: int = BIN) -> DataFrame:
     """One-to-one matches, largest overlap first: ``keys, found_id, entity_id, overlap, exact``.
 
-    Ties go to the smaller entity id, then the smaller found id. Each round keeps the pairs that are
-    the best of both their ends, which are exactly the pairs a greedy pass would take, and removes
-    their ends; rounds repeat until no pair is left. No group is gathered in one task.
+    Ties go to the smaller entity id, then the smaller found id. Pairs that overlap without a gap form an
+    island; islands are independent, so each is passed once, best pair first. Pairs arrive sorted and
+    stream by: a task only remembers the ends taken in the current island. Of repeated rows one matches.
     """
     keys = keys or SPAN_KEYS
     pairs = cut_lineage(overlapping_pairs(found, expected, keys, width))
-    matched = None
-    while True:
-        # Larger rank = better; ids are negated through an ordering struct.
-        best = F.min(F.struct((-F.col("overlap")).alias("o"), F.col("entity_id").alias("e"), F.col("found_id").alias("f")))
-        by_found = pairs.groupBy(*keys, "found_id").agg(best.alias("_bf"))
-        by_entity = pairs.groupBy(*keys, "entity_id").agg(best.alias("_be"))
-        mutual = (
-            by_found.select(*keys, "found_id", F.col("_bf.e").alias("entity_id"))
-            .join(by_entity.select(*keys, "entity_id", F.col("_be.f").alias("found_id")), [*keys, "entity_id", "found_id"])
-        )
-        chosen = cut_lineage(pairs.join(mutual, [*keys, "entity_id", "found_id"], "left_semi"))
-        matched = chosen if matched is None else matched.unionByName(chosen)
-        pairs = cut_lineage(
-            pairs.join(chosen.select(*keys, "found_id"), [*keys, "found_id"], "left_anti")
-            .join(chosen.select(*keys, "entity_id"), [*keys, "entity_id"], "left_anti")
-        )
-        if pairs.isEmpty():
-            return matched
+    # An island starts where no earlier pair of the same keys reaches; block borders keep hot keys apart.
+    block = F.floor(F.col("lo") / BLOCK)
+    order = ["lo", "hi", "entity_id", "found_id"]
+    reach = blocked_before(pairs, keys, order, block, {"_reach": (F.col("hi"), F.max, F.greatest)})
+    fresh = F.col("_reach").isNull() | (F.col("lo") >= F.col("_reach"))
+    known = blocked_before(reach, keys, order, block, {"_before": (F.when(fresh, F.col("lo")), F.max, F.greatest)})
+    islands = known.withColumn("_island", F.when(fresh, F.col("lo")).otherwise(F.col("_before")))
+    group = [*keys, "_island"]
+    out = [*keys, "found_id", "entity_id", "overlap", "exact"]
+    ranked = islands.select(*group, *out[len(keys):]).repartition(*group).sortWithinPartitions(
+        *group, F.desc("overlap"), "entity_id", "found_id")
+    return ranked.mapInPandas(_greedy(group, out), ranked.select(*out).schema)
+
+
+def _greedy(group: list[str], out: list[str]):
+    """Rows sorted by (group, best pair first) -> the pairs whose ends no better pair of the group took."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, ends = None, set()
+        for pdf in batches:
+            keep = []
+            for found, entity, *own in zip(pdf["found_id"], pdf["entity_id"], *(pdf[c] for c in group)):
+                if own != current:
+                    current, ends = own, set()
+                pair = {("found", found), ("entity", entity)}
+                keep.append(ends.isdisjoint(pair))
+                if keep[-1]:
+                    ends |= pair
+            yield pdf.loc[keep, out]
+
+    return run
 
 
 def label_spans(found: DataFrame, expected: DataFrame, matches: DataFrame, keys: list[str] | None = None,

@@ -57,6 +57,27 @@ def blocked_lag(
     return out.withColumns({n: F.col(f"_p.{n}") for n in values}).drop("_p", "_prev", "_carry", "_rn", "_block")
 
 
+def blocked_before(
+    df: DataFrame, keys: list[str], order: list[str], block: Column,
+    values: dict[str, tuple[Column, Callable[[Column], Column], Callable[[Column, Column], Column]]],
+) -> DataFrame:
+    """Running minima and maxima over the rows before the current one, all in one pass over the blocks.
+
+    ``values`` holds (value, aggregate, combine) by name. ``combine`` is ``least`` or ``greatest``, which
+    skip nulls, so a side without rows needs no case.
+    """
+    df = df.withColumns({"_block": block, **{f"_v_{n}": v for n, (v, _, _) in values.items()}})
+    inner = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.withColumns({f"_in_{n}": agg(F.col(f"_v_{n}")).over(inner) for n, (_, agg, _) in values.items()})
+    totals = df.groupBy(*keys, "_block").agg(*[agg(F.col(f"_v_{n}")).alias(f"_t_{n}") for n, (_, agg, _) in values.items()])
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*keys, "_block", *[
+        agg(F.col(f"_t_{n}")).over(earlier).alias(f"_carry_{n}") for n, (_, agg, _) in values.items()])
+    out = rows.join(carry, [*keys, "_block"])
+    out = out.withColumns({n: combine(F.col(f"_carry_{n}"), F.col(f"_in_{n}")) for n, (_, _, combine) in values.items()})
+    return out.drop("_block", *[f"{p}_{n}" for n in values for p in ("_v", "_in", "_carry")])
+
+
 def blocked_running(
     df: DataFrame, keys: list[str], order: list[str], block: Column, value: Column, name: str,
     agg: Callable[[Column], Column], combine: Callable[[Column, Column], Column], inclusive: bool = True,

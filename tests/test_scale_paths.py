@@ -74,6 +74,20 @@ def test_span_matching_is_greedy_by_overlap(spark):
     assert got == want
 
 
+def test_span_chain_of_any_length(spark, monkeypatch):
+    """A chain in which each pair only becomes the best once its better neighbour is settled; hot blocks of 64 positions."""
+    monkeypatch.setattr(E, "BLOCK", 64)
+    cols = "record_id int, field_path string, category string, {} string, start int, end int"
+    at, found, expected = 0, [], []
+    for i in range(200):  # overlaps shrink along the chain, so the first pairs win in turn
+        width = 1000 - 2 * i
+        expected.append((1, "p", "pii", "e%03d" % i, at, at + width + (width - 1)))
+        found.append((1, "p", "pii", "f%03d" % i, at + width - 1, at + 2 * width - 1 + (width - 2)))
+        at += 2 * width - 1
+    m = E.match_spans(spark.createDataFrame(found, cols.format("found_id")), spark.createDataFrame(expected, cols.format("entity_id")))
+    assert sorted((r.found_id, r.entity_id) for r in m.collect()) == [("f%03d" % i, "e%03d" % i) for i in range(200)]
+
+
 def test_rules_of_any_length(spark):
     base = [(1, "x y"), (2, "ab"), (3, "-"), (4, "longer phrase"), (5, "a."), (6, ""), (7, None)]
     texts = spark.createDataFrame([(1, "Max Y ab"), (2, "a longer phrase - a.b"), (3, "cab"), (4, None), (5, "")], "id int, t string")
