@@ -278,8 +278,9 @@ def emission_leaves() -> Column:
     def flat(arr: Column, make) -> Column:
         return F.flatten(F.transform(arr, make))
 
+    # Body and excerpt are mostly one text; a repeated leaf can not change the first hit.
     return F.filter(
-        F.concat(
+        F.array_distinct(F.concat(
             F.array("title", "body", "source_id"),
             flat(F.col("evidence"), lambda e: F.array(
                 e["excerpt"], e["source_ref"]["url"], e["source_ref"]["ref"], e["source_ref"]["source_id"],
@@ -295,7 +296,7 @@ def emission_leaves() -> Column:
             flat(F.coalesce(F.col("advisory_signals"), F.array().cast(f"array<{SIGNAL}>")),
                  lambda s: F.array(s["code"], s["scope"], s["basis"], s["confidence"],
                                    s["recommended_effect"], s["explanation"])),
-        ),
+        )),
         lambda x: x.isNotNull() & (x != ""),
     )
 
