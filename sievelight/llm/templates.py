@@ -43,6 +43,7 @@ LEFT_OUT_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|sidebar|menu|nav\w*|navigation|breadcrumbs?|footer|header|notices?|cookies?|"
     r"consent|popup|modal|newsletter|subscribe|comments?|disqus|respond|related|share|social|toolbar|widget)(?:$|[\s_-])", re.I)
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>", re.S)
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in RAW}
 _NAME = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _SPACE = re.compile(r"[\s ]+")
 
@@ -63,7 +64,7 @@ def blocks_of(page: str) -> tuple[list[Block], Counter]:
     paths: Counter = Counter()
     stack: list[tuple[str, str, bool]] = [("", "", False)]  # tag, path, left out
     now: Block | None = None
-    link, at, skip = 0, 0, None
+    link, at = 0, 0
 
     def add(raw: str) -> None:
         nonlocal now
@@ -77,19 +78,13 @@ def blocks_of(page: str) -> tuple[list[Block], Counter]:
         if link:
             now.links += len(text)
 
-    for m in _TAG.finditer(page):
+    while m := _TAG.search(page, at):
         closing, tag = m.group(1), (m.group(2) or "").lower()
-        if skip:
-            if not (closing and tag == skip):
-                continue
-        elif m.start() > at:
+        if m.start() > at:
             add(page[at:m.start()])
         at = m.end()
         if not tag:
             continue
-        if skip:
-            skip = None
-            continue
         if closing:
             if tag in BLOCKS:
                 now = None
@@ -123,11 +118,13 @@ def blocks_of(page: str) -> tuple[list[Block], Counter]:
         if tag in BLOCKS:
             paths[path] += 1
         if tag in RAW and not m.group(3).endswith("/"):
-            skip = tag
+            # What stands inside is no markup: only the element's own end tag ends it, or the page's end.
+            end = _RAW_END[tag].search(page, at)
+            at = end.end() if end else len(page)
         elif tag not in VOID and not m.group(3).endswith("/"):
             stack.append((tag, path, left_out))
             link += tag == "a"
-    if not skip and at < len(page):
+    if at < len(page):
         add(page[at:])
     for b in out:
         b.text = " ".join("".join(b.text).split())

@@ -407,6 +407,15 @@ def test_template_without_article(spark):
     assert texts == {f"story {i} about item{i} and more words here" for i in range(12)}
 
 
+@pytest.mark.parametrize("raw", [
+    "<script>for(i=0;i<n;i++){}</script>", "<script>if(a<b)x=\"it's\"</SCRIPT >", "<script>var s='</scripts>\"';a<b</script\n>",
+    "<style>a::after{content:\"'\"}p<b{}</style>", "<textarea><b 'x</textarea>", "<title>a<b \"c</title>"])
+def test_raw_elements_end_at_their_own_end_tag(raw):
+    page = f"<html><head>{raw}</head><body><article><p>first</p>{raw}<p>it's \"second\"</p></article></body></html>"
+    assert templates.main_text(page, None, frozenset()) == "first\n\nit's \"second\""
+    assert templates.main_text("<article><p>first</p><script>a<b", None, frozenset()) == "first"
+
+
 # ---- language
 
 
