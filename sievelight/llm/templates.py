@@ -2,7 +2,8 @@
 
 Tokens of a page are its elements (by path) and words (by path and word). Over the pages of a host, tokens with the same
 occurrence vector (the same count on every page) form an equivalence class; the vectors are compared through sums of
-hashes of (page, count), so a host's pages need not meet in one task. A class is valid if it covers nearly all
+hashes of (page, count), so a host's pages need not meet in one task; equal pages count once, and neither depends on the
+partitions. A class is valid if it covers nearly all
 pages of the host; the elements of valid classes nest by their paths and make up the host's template. What the template
 does not fix are slots. The slots below the template's article (or, without one, its richest text region) are
 the main text; elsewhere, and within it, navigation, notices, adverts, forms and comments are left out.
@@ -16,6 +17,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -25,7 +27,8 @@ from sievelight.llm.url_filter import host_and_path
 
 #: A class is valid from this share of the host's pages on, and from so many pages.
 SUPPORT, LEAST_PAGES = 0.9, 5
-#: A task with this many pages of a host reports only tokens that half of them have: others can not be in a valid class.
+#: A task with this many pages of a host reports only tokens that half of them have. What other tasks report of the others
+#: bounds their count; those that could still be in a valid class are counted again, without this limit.
 LOCAL_PAGES = 8
 
 # How elements are treated.
@@ -137,17 +140,23 @@ def _hash(*parts) -> int:
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, token, element, vector, pages) sums over the distinct pages of the task."""
+    """(host, token, vector, pages, seen, chars) sums over the task's pages, which are distinct; of a third column's tokens, if there is one.
+
+    ``seen`` counts the host's pages in the task if the task leaves out tokens, else 0.
+    """
     sums: dict[str, dict[str, dict[str, list[int]]]] = {}  # host, path, word ("" for the element)
     pages: Counter = Counter()
     rich: dict[str, Counter] = {}
-    seen: set[int] = set()
+    wanted: dict[str, frozenset[str]] | None = None
     for batch in batches:
-        for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
+        if len(columns) > 2:
+            wanted = wanted or {}
+            for host, tokens in zip(columns[0], columns[2]):
+                if host not in wanted:
+                    wanted[host] = frozenset(tokens)
+        for host, html in zip(*columns[:2]):
             page = _hash(html)
-            if (host, page) in seen:
-                continue
-            seen.add((host, page))
             pages[host] += 1
             found, paths = blocks_of(html)
             own = sums.setdefault(host, {})
@@ -162,6 +171,8 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 counts[""] = n
                 words = own.setdefault(path, {})
                 for word, c in counts.items():
+                    if wanted is not None and _token(path, word) not in wanted[host]:
+                        continue
                     if c not in mark:
                         mark[c] = _hash(page, c)
                     if word in words:
@@ -172,12 +183,13 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         words[word] = [mark[c], 1]
     rows: list[tuple] = []
     for host, own in sums.items():
-        rows.append((host, "", 0, pages[host], 0))
-        few = pages[host] < LOCAL_PAGES
+        all_of_them = wanted is not None or pages[host] < LOCAL_PAGES
+        seen = 0 if all_of_them else pages[host]
+        rows.append((host, "", 0, pages[host], seen, 0))
         for path, words in own.items():
             chars = rich.get(host, {}).get(path, 0)
-            rows += [(host, f"{path}\t{w}" if w else "<" + path, v & 0x7FFFFFFFFFFFFFFF, n, 0 if w else chars)
-                     for w, (v, n) in words.items() if few or 2 * n >= pages[host]]
+            rows += [(host, _token(path, w), v & 0x7FFFFFFFFFFFFFFF, n, seen, 0 if w else chars)
+                     for w, (v, n) in words.items() if all_of_them or 2 * n >= seen]
         if len(rows) > 20_000:
             yield _token_rows(rows)
             rows = []
@@ -185,10 +197,29 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _token_rows(rows)
 
 
+def _token(path: str, word: str) -> str:
+    return f"{path}\t{word}" if word else "<" + path
+
+
 def _token_rows(rows: list[tuple]) -> pa.RecordBatch:
     columns = [list(c) for c in zip(*rows)]
-    kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "token", "vector", "pages", "chars"])
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "token", "vector", "pages", "seen", "chars"])
+
+
+def _distinct(pages: DataFrame) -> DataFrame:
+    """Equal pages of a host once. Only pages whose hash repeats are compared as a whole."""
+    keyed = pages.select("host", "html", F.xxhash64("host", "html").alias("h"))
+    repeated = saved(keyed.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
+    return keyed.join(repeated, "h", "left_anti").select("host", "html").unionByName(
+        keyed.join(repeated, "h", "left_semi").select("host", "html").distinct())
+
+
+def _sums(pages: DataFrame) -> DataFrame:
+    # Tasks report vectors below 2^63: their sum below 2^63 is the same for all partitions.
+    return pages.mapInArrow(_tokens, "host string, token string, vector long, pages long, seen long, chars long").groupBy("host", "token").agg(
+        F.pmod(F.sum(F.col("vector").cast("decimal(38,0)")), F.lit(Decimal(1 << 63))).alias("vector"),
+        F.sum("pages").alias("pages"), F.sum("seen").alias("seen"), F.sum("chars").alias("chars"))
 
 
 def deduce(pages: DataFrame) -> DataFrame:
@@ -197,10 +228,19 @@ def deduce(pages: DataFrame) -> DataFrame:
     ``elements`` are paths and ``words`` path-word tokens of valid classes; ``region`` is the template's article, or the
     element with the most text that is not links. Hosts with fewer than ``LEAST_PAGES`` distinct pages get empty lists.
     """
-    sums = saved(pages.mapInArrow(_tokens, "host string, token string, vector long, pages long, chars long").groupBy("host", "token").agg(
-        F.sum(F.col("vector").cast("decimal(38,0)")).alias("vector"), F.sum("pages").alias("pages"), F.sum("chars").alias("chars")))
-    total = sums.where("token = ''").select("host", F.col("pages").alias("total"))
-    tokens = sums.where("token <> ''").join(total, "host").where((F.col("pages") >= SUPPORT * F.col("total")) & (F.col("total") >= LEAST_PAGES))
+    pages = _distinct(pages)
+    sums = saved(_sums(pages))
+    total = sums.where("token = ''").select("host", F.col("pages").alias("total"), F.col("seen").alias("cut"))
+    # A task that cut and did not report a token has it on less than half of its pages.
+    missing = F.col("cut") - F.col("seen")
+    able = sums.where("token <> ''").join(total, "host").where(
+        (F.col("total") >= LEAST_PAGES) & (F.col("pages") + missing / 2 >= SUPPORT * F.col("total"))).withColumn("missing", missing)
+    tokens = able.where("missing = 0").select("host", "token", "vector", "pages", "chars")
+    again = saved(able.where("missing > 0").groupBy("host").agg(F.collect_list("token").alias("tokens")))
+    if not again.isEmpty():
+        exact = _sums(pages.join(again, "host").select("host", "html", "tokens")).where("token <> ''")
+        exact = exact.join(total, "host").where(F.col("pages") >= SUPPORT * F.col("total"))
+        tokens = tokens.unionByName(exact.select(*tokens.columns))
     # Classes: tokens with one vector. Those of an element and of a word in it nest by the path.
     classes = tokens.withColumn("size", F.count("*").over(Window.partitionBy("host", "vector")))
     element = F.col("token").startswith("<")

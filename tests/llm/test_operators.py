@@ -416,6 +416,29 @@ def test_raw_elements_end_at_their_own_end_tag(raw):
     assert templates.main_text("<article><p>first</p><script>a<b", None, frozenset()) == "first"
 
 
+def test_template_does_not_depend_on_partitions(spark):
+    page = "<html><body>%s<div class='text'><p>story %d about item%d and more words here</p></div></body></html>"
+    notice = "<div class='top'><p>Our shop sells things</p></div>"
+    # 90 of 100 pages have the notice; the last partition has 6 of them, fewer than half of its 16 pages.
+    pages = [("s", page % (notice if i < 90 else "", i, i)) for i in range(100)]
+    parts = [pages[i:i + 21] for i in range(0, 84, 21)] + [pages[84:]]
+
+    def template(parts):
+        df = spark.createDataFrame(spark.sparkContext.parallelize(parts, len(parts)).flatMap(lambda p: p), "host string, html string")
+        r = templates.deduce(df).first()
+        return sorted(r["elements"]), sorted(r["words"]), r["region"]
+
+    one = template([pages])
+    assert "/html/body/div.top/p" in one[0] and "/html/body/div.top/p\tshop" in one[1]
+    assert template(parts) == one and template([pages[i::7] for i in range(7)]) == one
+    # Equal pages count once, also in different partitions.
+    assert template([*parts, [pages[99]] * 9, [pages[99], *pages[:3]], pages[90:]]) == one
+    # 89 of 100 are too few in any partitions.
+    few = [("s", page % (notice if i < 89 else "", i, i)) for i in range(100)]
+    assert "/html/body/div.top/p" not in template([few])[0]
+    assert template([few[:84], few[84:]]) == template([few])
+
+
 # ---- language
 
 
