@@ -33,7 +33,7 @@ LOCAL_PAGES = 8
 
 # How elements are treated.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math".split())
+RAW = frozenset("script style textarea title noscript iframe template svg".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre section select summary table "
@@ -42,9 +42,13 @@ BLOCKS = frozenset(
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 LEFT_OUT = frozenset("nav header footer aside form menu dialog button select head object canvas audio video".split()) | RAW
 MAIN = ("article", "main")
-LEFT_OUT_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|sidebar|menu|nav\w*|navigation|breadcrumbs?|footer|header|notices?|cookies?|"
-    r"consent|popup|modal|newsletter|subscribe|comments?|disqus|respond|related|share|social|toolbar|widget)(?:$|[\s_-])", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_NAMES = (r"(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|sidebar|menu|nav\w*|navigation|breadcrumbs?|footer|header|notices?|cookies?|"
+          r"consent|popup|modal|newsletter|subscribe|comments?|disqus|respond|related|share|social|toolbar|widget)")
+#: Outside an article a part of a class, id or role is enough. Inside only a whole class or role leaves an element out; a part of
+#: one makes its text doubtful: the template's words or links in more than half of it have to confirm. Headings have no such names.
+LEFT_OUT_NAMES = re.compile(rf"(?:^|[\s_-]){_NAMES}(?:$|[\s_-])", re.I)
+WHOLE_NAMES = re.compile(rf"(?:^|\s){_NAMES}(?:$|\s)", re.I)
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>", re.S)
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in RAW}
 _NAME = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -53,10 +57,11 @@ _SPACE = re.compile(r"[\s ]+")
 
 @dataclass
 class Block:
-    """A run of text in one block element: its path, its text, and the length of its link text."""
+    """A run of text in one block element: its path, whether it is left out or doubtful, its text, and the length of its link text."""
 
     path: str
     left_out: bool
+    doubtful: bool
     text: list[str] = field(default_factory=list)
     links: int = 0
 
@@ -65,7 +70,7 @@ def blocks_of(page: str) -> tuple[list[Block], Counter]:
     """Blocks with text in page order, and the number of elements per path."""
     out: list[Block] = []
     paths: Counter = Counter()
-    stack: list[tuple[str, str, bool]] = [("", "", False)]  # tag, path, left out
+    stack: list[tuple[str, str, bool, bool, bool]] = [("", "", False, False, False)]  # tag, path, left out, doubtful, in an article
     now: Block | None = None
     link, at = 0, 0
 
@@ -75,7 +80,7 @@ def blocks_of(page: str) -> tuple[list[Block], Counter]:
         if now is None:
             if not text.strip():
                 return
-            now = Block(stack[-1][1], stack[-1][2])
+            now = Block(*stack[-1][1:4])
             out.append(now)
         now.text.append(text)
         if link:
@@ -117,7 +122,12 @@ def blocks_of(page: str) -> tuple[list[Block], Counter]:
         path = f"{inside[1]}/{name}" if tag in BLOCKS else inside[1]
         named = " ".join(attributes.values())
         # An article's own header and footer stay menus and by-lines: they are left out like the page's.
-        left_out = inside[2] or tag in LEFT_OUT or (tag not in ("html", "body", *MAIN) and bool(named) and bool(LEFT_OUT_NAMES.search(named)))
+        left_out, doubtful, article = inside[2] or tag in LEFT_OUT, inside[3], inside[4] or tag in MAIN
+        if named and tag not in ("html", "body", *MAIN) and not (article and tag in HEADINGS) and LEFT_OUT_NAMES.search(named):
+            if article and not WHOLE_NAMES.search(f"{attributes.get('class', '')} {attributes.get('role', '')}"):
+                doubtful = True
+            else:
+                left_out = True
         if tag in BLOCKS:
             paths[path] += 1
         if tag in RAW and not m.group(3).endswith("/"):
@@ -125,7 +135,7 @@ def blocks_of(page: str) -> tuple[list[Block], Counter]:
             end = _RAW_END[tag].search(page, at)
             at = end.end() if end else len(page)
         elif tag not in VOID and not m.group(3).endswith("/"):
-            stack.append((tag, path, left_out))
+            stack.append((tag, path, left_out, doubtful, article))
             link += tag == "a"
     if at < len(page):
         add(page[at:])
@@ -258,6 +268,7 @@ def deduce(pages: DataFrame) -> DataFrame:
 def main_text(page: str, region: str | None, words: frozenset[str]) -> str:
     """The main text of a page, given the region of its host's template and the template's words."""
     found, paths = blocks_of(page)
+    fixed = lambda b: all(f"{b.path}\t{w}" in words for w in b.text.split(" "))
     within = lambda b, top: b.path == top or b.path.startswith(top + "/")
     own = [p for p in paths if re.search(r"/(?:article|main)(?:\.[^/]*)?$", p)]
     top = next((t for tag in MAIN for t in sorted(own, key=len) if re.search(rf"/{tag}(?:\.[^/]*)?$", t)), None)
@@ -265,9 +276,10 @@ def main_text(page: str, region: str | None, words: frozenset[str]) -> str:
         # Every article of the page, in page order; the template's words outside them are gone with the rest.
         kind = [t for t in own if re.search(rf"/{MAIN[0]}(?:\.[^/]*)?$", t)] or own
         kept = [b for b in found if not b.left_out and any(within(b, t) for t in kind)]
+        kept = [b for b in kept if not (b.doubtful and (2 * b.links > len(b.text) or fixed(b)))]
     else:
         kept = [b for b in found if not b.left_out and (not region or not any(within(x, region) for x in found) or within(b, region))]
-        kept = [b for b in kept if not all(f"{b.path}\t{w}" in words for w in b.text.split(" "))]
+        kept = [b for b in kept if not fixed(b)]
     return "\n\n".join(b.text for b in kept)
 
 

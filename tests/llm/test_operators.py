@@ -439,6 +439,25 @@ def test_template_does_not_depend_on_partitions(spark):
     assert template([few[:84], few[84:]]) == template([few])
 
 
+@pytest.mark.parametrize("kept", [
+    '<section id="related-work"><p>text</p></section>', '<h2 id="social-effects">text</h2>', '<h2 id="navigation" class="header">text</h2>',
+    '<p class="share-price">text</p>', '<div class="section-header">text</div>', '<div id="comments">text</div>', "<p><math><mi>te</mi>xt</math></p>"])
+def test_names_in_an_article_leave_out_no_text_of_its_own(kept):
+    assert templates.main_text(f"<article><p>first</p>{kept}<p>last</p></article>", None, frozenset()) == "first\n\ntext\n\nlast"
+
+
+def test_names_in_an_article_leave_out_what_is_confirmed(spark):
+    whole = '<div class="box related">more</div><div role="navigation">go</div>'
+    links = '<ul class="share-list"><li><a href="/a">to a friend</a></ul>'
+    notice = '<div class="newsletter-box">Join our list today</div>'
+    page = f'<nav id="nav-bar">menu</nav><article><p>story %d of page%d</p>{whole}{links}{notice}<div class="share-price">up by %d</div></article>'
+    df = spark.createDataFrame([(i, f"http://s.example/{i}", page % (i, i, i)) for i in range(12)], "page_id long, url string, html string")
+    got = {r["text"] for r in templates.extract(df).collect()}
+    assert got == {f"story {i} of page{i}\n\nup by {i}" for i in range(12)}
+    # Outside an article a part of a name is enough.
+    assert templates.main_text('<div id="top-menu">go</div><p>text</p>', None, frozenset()) == "text"
+
+
 # ---- language
 
 
