@@ -256,8 +256,8 @@ AND n_chars >= 200 AND n_chars < 9000""")
 def declared_filters(spark, sf):
     spec = filters.FilterSpec(include_keywords=["ing", "ung"], exclude_keywords=["Token"],
                               include_authors=["en", "de"], after=200, before=9000)
-    docs = table(spark, sf, "documents").where("source <> 'src3'")
-    return filters.apply_filters(docs, spec, text="text", author="lang", timestamp="n_chars").select("doc_id")
+    docs = filters.apply_filters(table(spark, sf, "documents"), spec, text="text", author="lang", timestamp="n_chars")
+    return filters.apply_filters(docs, filters.FilterSpec(exclude_authors=["src3"]), author="source").select("doc_id")
 
 
 @query("""

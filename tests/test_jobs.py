@@ -144,3 +144,23 @@ def test_modules_import_without_a_session():
 
     code = "import __spark_entry__ as e; assert len(e.queries()) > 150 and set(e.oracle_sql()) <= set(e.queries())"
     assert subprocess.run([sys.executable, "-c", code], cwd=str(__import__("pathlib").Path(__file__).parents[1])).returncode == 0
+
+
+def test_declared_filters_leave_out_rows_by_the_specs_only(spark, tmp_path, monkeypatch):
+    from sievelight.plans import q_sources
+
+    rows = [(i, ["Sing", "Rechnung", "token sing", "plain"][i % 4], ["en", "de", "fr"][i % 3], f"src{i % 5}", [100, 200, 8999, 9000][i // 60 % 4])
+            for i in range(480)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    apply, seen = q_sources.filters.apply_filters, []
+
+    def counted(df, *args, **names):
+        seen.append(df.count())
+        return apply(df, *args, **names)
+
+    monkeypatch.setattr(q_sources.filters, "apply_filters", counted)
+    got = sorted(r["doc_id"] for r in q_sources.declared_filters(spark, str(tmp_path)).collect())
+    assert got == [i for i, text, lang, source, n in rows if text in ("Sing", "Rechnung") and lang != "fr" and source != "src3" and 200 <= n < 9000]
+    # The operator gets every row, and src3 reaches the second spec.
+    assert seen[0] == len(rows) and seen[1] == len([r for r in rows if r[1] in ("Sing", "Rechnung") and r[2] != "fr" and 200 <= r[4] < 9000])
