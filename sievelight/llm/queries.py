@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievelight.llm import language, line_dedup, media, merkle, mixing, ngram_jaccard, packing, personal_data, templates, url_filter
+from sievelight.llm import language, line_dedup, media, merkle, mixing, ngram_jaccard, packing, personal_data, templates, url_filter, vector_codes
 
 QUERIES, ORACLES = {}, {}
 
@@ -78,6 +78,12 @@ def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
         "row.doc_id", "size", "source_size", "target", "taken", F.size("shards").alias("n_shards"))
 
 
+@query
+def op11_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_codes.compress(spark.read.parquet(f"{sf}/embeddings.parquet")).select(
+        "row.vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 #: The rules that the query judges by.
 RULES = [
     url_filter.Rule("com", "/en/", "block"), url_filter.Rule("example.com", "/en/7", "allow"),
@@ -114,3 +120,34 @@ f AS (SELECT k FROM k WHERE k <> '' GROUP BY k HAVING count(DISTINCT r) >= 10)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (f.k IS NOT NULL) AS n_dropped,
   sha256(coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (f.k IS NULL), '')) AS kept_sha256
 FROM k LEFT JOIN f ON k.k = f.k GROUP BY doc_id, r"""
+
+
+def _lloyd_sql() -> str:
+    """Rounds unrolled: assignments ``a{r}`` of all parts to the entries ``c{r}``, which start as those of the smallest ids."""
+    nearest = """SELECT vec_id, p, arg_min(e, d * 100 + e) AS e, min(d) AS d FROM (
+  SELECT x.vec_id, x.p, c.e, list_sum(list_transform(range(1, len(c.v) + 1), lambda i: (x.v[i] - c.v[i]) * (x.v[i] - c.v[i])))::BIGINT AS d
+  FROM x JOIN c{r} c ON x.p = c.p) GROUP BY vec_id, p"""
+    steps = []
+    for r in range(vector_codes.ROUNDS):
+        steps.append(f"a{r} AS MATERIALIZED ({nearest.format(r=r)})")
+        steps.append(f"""m{r} AS MATERIALIZED (SELECT p, e, i, floor_div(sum(v), count(*)) AS v FROM (
+  SELECT a.p, a.e, generate_subscripts(x.v, 1) AS i, unnest(x.v) AS v FROM a{r} a JOIN x ON a.vec_id = x.vec_id AND a.p = x.p) GROUP BY p, e, i),
+c{r + 1} AS MATERIALIZED (SELECT c.p, c.e, coalesce(n.v, c.v) AS v FROM c{r} c
+  LEFT JOIN (SELECT p, e, list(v ORDER BY i) AS v FROM m{r} GROUP BY p, e) n ON c.p = n.p AND c.e = n.e)""")
+    last, parts = vector_codes.ROUNDS, vector_codes.PARTS
+    steps.append(f"z AS MATERIALIZED ({nearest.format(r=last)})")
+    return f"""
+WITH k AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda t: floor(t::DOUBLE * {vector_codes.SCALE})::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda t: t IS NULL OR NOT isfinite(t))) = 0),
+x AS MATERIALIZED (SELECT vec_id, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] AS v
+  FROM k, (SELECT unnest(range({parts})) AS p)),
+s AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM k ORDER BY vec_id LIMIT {vector_codes.ENTRIES}),
+c0 AS MATERIALIZED (SELECT x.p, s.e, x.v FROM x JOIN s ON x.vec_id = s.vec_id),
+{", ".join(steps)},
+h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{last}),
+r AS (SELECT vec_id, string_agg(printf('%02x', e::INTEGER), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM z GROUP BY vec_id)
+SELECT r.vec_id, code, error, sum(error) OVER (PARTITION BY k.label)::BIGINT AS label_error, codebooks_sha256
+FROM r JOIN k ON r.vec_id = k.vec_id, h""".replace("floor_div(sum(v), count(*))", "((sum(v) - ((sum(v) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT")
+
+
+ORACLES["op11_vector_codes"] = _lloyd_sql()
