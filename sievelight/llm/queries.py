@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievelight.llm import language, line_dedup, media, merkle, mixing, ngram_jaccard, packing, personal_data, templates, url_filter, vector_codes
+from sievelight.llm import language, line_dedup, media, merkle, mixing, ngram_jaccard, packing, personal_data, secret_scan, templates, url_filter, vector_codes
 
 QUERIES, ORACLES = {}, {}
 
@@ -84,6 +84,13 @@ def op11_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
         "row.vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+@query
+def op12_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_scan.scan(_documents(spark, sf), keep=["doc_id"]).select(
+        "row.doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.array_join("base", ","), 256).alias("base_sha256"),
+        F.array_join("spans", ",").alias("spans"))
+
+
 #: The rules that the query judges by.
 RULES = [
     url_filter.Rule("com", "/en/", "block"), url_filter.Rule("example.com", "/en/7", "allow"),
