@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievelight.llm import language, line_dedup, media, merkle, mixing, ngram_jaccard, packing, personal_data, secret_scan, templates, url_filter, vector_codes
+from sievelight.llm import language, line_dedup, media, merkle, mixing, ngram_jaccard, packing, personal_data, secret_scan, templates, token_alignment, url_filter, vector_codes
 
 QUERIES, ORACLES = {}, {}
 
@@ -91,6 +91,12 @@ def op12_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
         F.array_join("spans", ",").alias("spans"))
 
 
+@query
+def op13_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return token_alignment.align(_documents(spark, sf), keep=["doc_id"]).select(
+        "row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 #: The rules that the query judges by.
 RULES = [
     url_filter.Rule("com", "/en/", "block"), url_filter.Rule("example.com", "/en/7", "allow"),
