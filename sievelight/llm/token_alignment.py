@@ -37,7 +37,7 @@ _ENCODERS: dict[tuple[str, str], tuple] = {}
 
 
 def _encoders(ranks: str, pieces: str):
-    """The two tokenizers, and the bytes of every id of each."""
+    """The two tokenizers, the bytes of every id of side B, and how many each id has."""
     if (ranks, pieces) not in _ENCODERS:
         import base64
 
@@ -49,43 +49,45 @@ def _encoders(ranks: str, pieces: str):
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         first = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
         second = sentencepiece.SentencePieceProcessor(model_file=pieces)
-        a_bytes: list[bytes] = [b""] * (max(table.values()) + 1)
-        for token, i in table.items():
-            a_bytes[i] = token
+        a_sizes = np.zeros(max(table.values()) + 1, np.int64)
+        a_sizes[list(table.values())] = [len(token) for token in table]
         b_bytes = [
             bytes([int(p[3:5], 16)]) if second.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in ((i, second.id_to_piece(i)) for i in range(second.vocab_size()))]
-        sizes = [np.array([len(x) for x in side], np.int64) for side in (a_bytes, b_bytes)]
-        _ENCODERS[ranks, pieces] = first, second, a_bytes, b_bytes, *sizes
+        _ENCODERS[ranks, pieces] = first, second, b_bytes, a_sizes, np.array([len(x) for x in b_bytes], np.int64)
     return _ENCODERS[ranks, pieces]
 
 
-def _aligned(text: str, encoders: tuple) -> tuple[list[int], list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _aligned(text: str, encoders: tuple) -> tuple[np.ndarray, ...]:
     """Ids of both sides; per link the place of its tokens; per group the number of tokens before its end. Empty if bytes differ."""
-    first, second, a_bytes, b_bytes, a_sizes, b_sizes = encoders
+    first, second, b_bytes, a_sizes, b_sizes = encoders
     none = np.zeros(0, np.int64)
     if not text:
-        return [], [], none, none, none, none
-    whole = (" " + text).encode()
-    a, b = first.encode_ordinary(" " + text), second.encode(text, num_threads=1)
-    if b"".join([a_bytes[i] for i in a]) != whole or b"".join([b_bytes[i] for i in b]) != whole:
-        return [], [], none, none, none, none
-    a_ends, b_ends = a_sizes[a].cumsum(), b_sizes[b].cumsum()
-    ends = np.union1d(a_ends, b_ends)
-    common = np.intersect1d(a_ends, b_ends, assume_unique=True)
-    return (a, b, np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends),
-            np.searchsorted(a_ends, common) + 1, np.searchsorted(b_ends, common) + 1)
-
-
-def _groups_sha(a: list[int], b: list[int], a_cuts: np.ndarray, b_cuts: np.ndarray) -> str:
-    digest, i, j = hashlib.sha256(), 0, 0
-    a_text, b_text = [str(x) for x in a], [str(x) for x in b]
-    parts = []
+        return none, none, none, none, none, none
+    whole = " " + text
+    octets, spelled = whole.encode(), second.encode(text, num_threads=1)
+    # Side A has all bytes and drops none, so its tokens always spell the text.
+    if b"".join(map(b_bytes.__getitem__, spelled)) != octets:
+        return none, none, none, none, none, none
+    a, b = first.encode_to_numpy(whole, disallowed_special=()).astype(np.int64), np.array(spelled, np.int64)
+    # Ends as flags per byte: their running counts give the token of each segment and the tokens before each common end.
+    a_ends, b_ends = np.zeros((2, len(octets) + 1), bool)
+    a_ends[a_sizes[a].cumsum()], b_ends[b_sizes[b].cumsum()] = True, True
+    a_before, b_before = a_ends.cumsum(), b_ends.cumsum()
+    ends, common = np.flatnonzero(a_ends | b_ends), np.flatnonzero(a_ends & b_ends)
+    return a, b, a_before[ends - 1], b_before[ends - 1], a_before[common], b_before[common]
+
+
+def _groups_sha(a: np.ndarray, b: np.ndarray, a_cuts: np.ndarray, b_cuts: np.ndarray) -> str:
+    parts, i, j = [], 0, 0
+    a_text, b_text = [str(x) for x in a.tolist()], [str(x) for x in b.tolist()]
     for m, n in zip(a_cuts.tolist(), b_cuts.tolist()):
-        parts.append(",".join(a_text[i:m]) + "|" + ",".join(b_text[j:n]))
+        if m - i == 1 == n - j:
+            parts.append(a_text[i] + "|" + b_text[j])
+        else:
+            parts.append(",".join(a_text[i:m]) + "|" + ",".join(b_text[j:n]))
         i, j = m, n
-    digest.update(";".join(parts).encode())
-    return digest.hexdigest()
+    return hashlib.sha256(";".join(parts).encode()).hexdigest()
 
 
 def _zip(*arrays: np.ndarray) -> bytes:
@@ -135,10 +137,10 @@ def _encode(ranks: str, pieces: str, buffer_records: int):
             rows = [[], [], [], [], [], []]
             for text in batch.column(1):
                 a, b, a_at, b_at, a_cuts, b_cuts = _aligned(text.as_py() or "", encoders)
-                for column, value in zip(rows, (uid, len(a), len(b), len(a_cuts), len(a_at), _groups_sha(a, b, a_cuts, b_cuts) if a else "")):
+                for column, value in zip(rows, (uid, len(a), len(b), len(a_cuts), len(a_at), _groups_sha(a, b, a_cuts, b_cuts) if len(a) else "")):
                     column.append(value)
-                if a:
-                    a_ids, b_ids = np.array(a, np.int64)[a_at], np.array(b, np.int64)[b_at]
+                if len(a):
+                    a_ids, b_ids = a[a_at], b[b_at]
                     pairs.append((b_ids % RADIX) << 2 * ID_BITS | b_ids << ID_BITS | a_ids)
                     docs.append(np.full(len(a_at), uid - first, np.int32))
                     held += len(a_at)
