@@ -196,7 +196,8 @@ def limits(counts: list[tuple[int, int, int, int]], rate: float = RATE) -> dict[
         # The share of words among the candidates, from where words score; all of them if the decoys do not score there.
         words = min(1.0, (candidates[WORDS:].sum() + 0.5) / candidates.sum() * decoys.sum() / (decoys[WORDS:].sum() + 0.5))
         false = words * candidates.sum() * (np.cumsum(decoys) + 1) / (decoys.sum() + 1)
-        fine = np.flatnonzero(false <= rate * np.maximum(np.cumsum(candidates), 1e-9))
+        # What the battery itself rejects (p < 0.01) is not accepted, however few words a stratum has.
+        fine = np.flatnonzero((false <= rate * np.maximum(np.cumsum(candidates), 1e-9))[:WORDS])
         if len(fine):
             out[stratum] = int(fine[-1])
     return out
