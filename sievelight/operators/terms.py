@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import re
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sievelight.functions.text import let, literal_array
 
 TOKEN_PATTERN = "[a-z0-9]+"
+_TOKEN = re.compile(TOKEN_PATTERN)
 CHANGE_KINDS = ["issue", "merge_request", "pull_request"]  # fixed values
 
 
@@ -53,27 +60,88 @@ def is_change(evidence: Column) -> Column:
     )
 
 
-def match_rules(df: DataFrame, rules: DataFrame, key: str, text: str) -> DataFrame:
+#: Characters of rule terms that one automaton holds; a larger table is matched in shards of about this size.
+SHARD_CHARS = 4_000_000
+_AUTOMATA: dict[str, tuple] = {}
+
+
+def _automaton(name: str, terms: list[str], is_word: list[bool]):
+    """Word terms as a lookup, phrases as one automaton with failure links, and the empty phrases; built once per worker."""
+    if name not in _AUTOMATA:
+        import ahocorasick
+
+        _AUTOMATA.clear()
+        words, phrases, empty = {}, ahocorasick.Automaton(), []
+        for i, (term, word) in enumerate(zip(terms, is_word)):
+            if word:
+                words[term] = i
+            elif term:
+                phrases.add_word(term, i)
+            else:
+                empty.append(i)
+        if len(phrases):
+            phrases.make_automaton()
+        _AUTOMATA[name] = words, phrases, empty
+    return _AUTOMATA[name]
+
+
+def _hits(low: str, words: dict, phrases, empty: list[int]) -> set[int]:
+    found = set(empty)
+    if words:
+        found.update(words[t] for t in set(_TOKEN.findall(low)) if t in words)
+    if len(phrases):
+        found.update(i for _, i in phrases.iter(low))
+    return found
+
+
+def _shard_matcher(rules: list, key_type: pa.DataType, entry: pa.DataType, spark: SparkSession):
+    """A function over ``(key, lower-cased text)`` batches that returns ``(key, hits)`` of the texts with any."""
+    places: dict[tuple[str, bool], list] = {}
+    for r in rules:
+        places.setdefault((r["term"], r["is_word"]), []).append(r["pos"])
+    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, [t for t, _ in places], [w for _, w in places], list(places.values())))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, terms, is_word, positions = shared.value
+        automaton = _automaton(name, terms, is_word)
+        for batch in batches:
+            rows, hits = [], []
+            for i, low in enumerate(batch.column(1)):
+                low = low.as_py()
+                found = _hits(low, *automaton) if low is not None else ()
+                if found:
+                    rows.append(i)
+                    hits.append([{"pos": p, "term": terms[j]} for j in found for p in positions[j]])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(hits, pa.list_(entry))], ["key", "hits"])
+
+    return run
+
+
+def match_rules(df: DataFrame, rules: DataFrame, key: str, text: str, shard_chars: int = SHARD_CHARS) -> DataFrame:
     """Match every text with a rule table (``pos, term``): ``key, terms`` (by ``pos``), matches only.
 
-    One algorithm at every number of rules: token rules are an equi join on the exploded distinct
-    tokens, phrase rules an equi join on their first (up to three) characters, after which each candidate
-    is verified. No nested-loop join, and nothing is collected. An empty phrase is in every text; a null
-    term matches nothing.
+    The rules become one automaton, which every task runs once over each of its texts. What is shuffled afterwards is a
+    row per text that matches, with its hits: it does not grow with the length of a text. An alphanumeric term must be a whole
+    ``[a-z0-9]+`` token of the lower-cased text, any other is searched as a substring; an empty term is in every text, a null
+    term in none. Texts of equal keys share a row.
+
+    A table of rules is collected and broadcast only up to ``shard_chars`` characters. A larger one is dealt by hash of the
+    term into as many shards as it takes, each an automaton and a pass of its own, so that no task or driver holds more than one.
     """
-    low = df.select(key, F.lower(text).alias("_low"))
-    is_word = F.col("term").rlike(r"(?U)\A[\p{Alnum}]+\z")
-    word, phrase = rules.where(is_word).select("pos", "term"), rules.where(~is_word).select("pos", "term")
-    by_word = (
-        low.select(key, F.explode(tokens(F.col("_low"))).alias("term")).join(word, "term")
-        .select(key, "pos", "term")
-    )
-    grams = [F.regexp_extract_all(F.col("_low"), F.lit(r"(?s)(?=(.{%d}))" % size), F.lit(1)) for size in (1, 2, 3)]
-    anchors = low.where("_low IS NOT NULL").select(
-        key, "_low", F.explode(F.array_distinct(F.concat(F.array(F.lit("")), *grams))).alias("_anchor"))
-    by_phrase = anchors.join(phrase.withColumn("_anchor", F.left("term", F.lit(3))), "_anchor").where(
-        F.contains(F.col("_low"), F.col("term"))).select(key, "pos", "term")
-    # At most one entry per rule and text.
-    return by_word.unionByName(by_phrase).groupBy(key).agg(
-        F.transform(F.array_sort(F.collect_set(F.struct("pos", "term"))), lambda r: r["term"]).alias("terms")
-    )
+    spark = df.sparkSession
+    is_word = F.coalesce(F.col("term").rlike(r"(?U)\A[\p{Alnum}]+\z"), F.lit(False))
+    rules = rules.where("term IS NOT NULL").select("pos", "term", is_word.alias("is_word")).distinct()
+    # A rule counts for more than its characters: a place, a list entry, links.
+    size = rules.agg(F.sum(F.length("term") + 16).alias("n")).first()["n"] or 0
+    shards = max(1, -(-size // shard_chars))
+    low = df.select(F.col(key).alias("key"), F.lower(text).alias("low")).where("low IS NOT NULL")
+    entry = T.StructType([T.StructField("pos", rules.schema["pos"].dataType), T.StructField("term", T.StringType())])
+    schema = T.StructType([T.StructField("key", low.schema["key"].dataType), T.StructField("hits", T.ArrayType(entry))])
+    found = None
+    for shard in range(shards):
+        own = rules.where(F.pmod(F.xxhash64("term"), F.lit(shards)) == shard).collect()
+        part = low.mapInArrow(_shard_matcher(own, to_arrow_type(schema["key"].dataType), to_arrow_type(entry), spark), schema)
+        found = part if found is None else found.unionByName(part)
+    merged = found.groupBy("key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"))
+    return merged.select(F.col("key").alias(key), F.transform("hits", lambda r: r["term"]).alias("terms"))

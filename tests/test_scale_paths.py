@@ -97,6 +97,27 @@ def test_rules_of_any_length(spark):
         assert {r.id: r.terms for r in terms.match_rules(texts, rules, "id", "t").collect()} == want
 
 
+def test_hostile_rules_equal_brute_force(spark):
+    """Overlapping, nested, one-character, repeated and non-ASCII terms; 100 000 rules; several shards."""
+    rng = random.Random(9)
+    words = ["ab", "ba", "a b", "b a", " ", ".", "..", "a.", ".a", "ab ab", "ü", "ü.", "über x", "aa", "a-a-a", "-a-", "🙂", "🙂 a"]
+    base = [(i, rng.choice(words) if i % 3 else rng.choice(words) + rng.choice(words)) for i in range(200)] + [(7, "ab"), (8, "ab"), (9, None), (10, "")]
+    rows = [(i, "".join(rng.choice(["ab", "a", " ", ".", "ü", "über X", "-a", "🙂", "B A", "Ab "]) for _ in range(rng.randint(0, 60)))) for i in range(80)]
+    rows += [(0, "a.b"), (100, "." * 50_000 + "ab ab"), (101, None)]
+    want = {}
+    for i, t in rows:
+        if t is not None:
+            low = t.lower()
+            token = set(terms._TOKEN.findall(low))
+            own = {(p, r) for p, r in base if r is not None and (r in token if r.isalnum() else r in low)}
+            want[i] = want.get(i, set()) | own
+    want = {i: [r for _, r in sorted(own)] for i, own in want.items()}
+    texts = spark.createDataFrame(rows, "id int, t string").repartition(3)
+    for more, chars in ((0, 400), (100_000, terms.SHARD_CHARS)):
+        rules = spark.createDataFrame(base + [(1000 + i, f"absent {i}") for i in range(more)], "pos int, term string")
+        assert {r.id: r.terms for r in terms.match_rules(texts, rules, "id", "t", chars).collect()} == want
+
+
 def test_rows_without_id_and_ties(spark):
     rows = [("x", 1, 1), ("x", 1, 1), ("", 1, 2), ("", 1, 2), (None, 1, 3), (None, 1, 3), ("y", 1, 4), ("y", 500, 5)]
     df = spark.createDataFrame(rows, "k string, t long, i long").withColumn("ts", F.timestamp_seconds("t"))
