@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sievelight.functions import sensitive as S, variant as V
 from sievelight.functions.canonical import canonical, canonical_digest, json_array, json_map, json_object, json_string
+from sievelight.functions.json_text import decoded, replaced, value_spans
 from sievelight.functions.text import let, pin
 from sievelight.schemas import FINDING, RECEIPT, SIGNAL
 
@@ -75,38 +75,12 @@ def redact_map(m: Column) -> Column:
     return F.transform_values(m, lambda _, v: S.redact(v))
 
 
-def _string_leaves(node, out: list) -> None:
-    """Collect the string leaves of a parsed JSON value, in order."""
-    if isinstance(node, str):
-        out.append(node)
-    elif isinstance(node, dict):
-        for v in node.values():
-            _string_leaves(v, out)
-    elif isinstance(node, list):
-        for v in node:
-            _string_leaves(v, out)
-
-
-def _with_leaves(node, leaves: Iterator[str]):
-    """The same value with its string leaves replaced in order."""
-    if isinstance(node, str):
-        return next(leaves)
-    if isinstance(node, dict):
-        return {k: _with_leaves(v, leaves) for k, v in node.items()}
-    if isinstance(node, list):
-        return [_with_leaves(v, leaves) for v in node]
-    return node
-
-
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def json_leaves(docs: pd.Series) -> pd.Series:
+    """The string values of each text, in order; null when it is not JSON."""
     def leaves(doc: str) -> list[str] | None:
-        out: list[str] = []
-        try:
-            _string_leaves(json.loads(doc), out)
-        except (ValueError, RecursionError):
-            return None
-        return out
+        spans = value_spans(doc)
+        return None if spans is None else [decoded(doc[a:b]) for a, b in spans]
 
     return docs.map(leaves, na_action="ignore")
 
@@ -135,27 +109,20 @@ def json_keys(docs: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.StringType())
 def json_rebuild(docs: pd.Series, leaves: pd.Series) -> pd.Series:
-    return pd.Series(
-        [
-            None if d is None or ls is None else json.dumps(
-                _with_leaves(json.loads(d), iter(ls)), ensure_ascii=False, separators=(",", ":"))
-            for d, ls in zip(docs, leaves)
-        ],
-        dtype=object,
-    )
+    return pd.Series([None if d is None or ls is None else replaced(d, value_spans(d), list(ls)) for d, ls in zip(docs, leaves)], dtype=object)
 
 
 UNREADABLE = "[redacted:unreadable]"
 
 
 def redact_json(df: DataFrame, col: str) -> DataFrame:
-    """Redact every string leaf of a JSON text column of any depth; other leaves stay.
+    """Redact every string value of a JSON text column of any depth; every other character stays as it is.
 
-    Python only takes the text apart and puts it together. The rules run as the same built-in
+    Python only finds the values by position and puts redacted ones in their places. The rules run as the same built-in
     expressions as everywhere else, over the array of leaves. Text without any character a
-    rule needs (``@ : =`` a digit run or a token prefix) skips Python altogether. Text that can not be
-    read as JSON (broken, or nested too deep) is redacted as one text; if it has escapes, which could hide a
-    value, it is replaced whole. Of a repeated key the last value stays.
+    rule needs (``@ : =`` a digit run or a token prefix) skips Python altogether. Text that is not JSON is
+    redacted as one text; if it has escapes, which could hide a value, it is replaced whole. All values of a repeated
+    key stay, each redacted. Keys are not values: ``reject_sensitive_keys`` judges them.
     """
     may_hit = F.coalesce(
         F.col(col).contains("@") | F.col(col).rlike(r"(?U)\d[\d .\-]{5,}\d") | S._maybe_secret(F.col(col))

@@ -170,11 +170,15 @@ def restricted_sources(spark, sf):
         F.count("*").alias("emissions"), F.count_if(F.col("n") > 0).alias("restricted"))
 
 
-@query(_TOKENS + """SELECT event_id, '{"a":{"note":"' || clean || '","n":' || k || '},"list":["' || clean || '",true,null]}' AS doc
+#: Numbers that a parse would change, white space, an escape, an empty list, a repeated key.
+_LEFT_ALONE = ' , "n" :\t[1.00,-0.0, 1e400,12345678901234567890.123 ,{"caf\\u00e9":"\\u00e9\\/"}],"n":[ ]'
+
+
+@query(_TOKENS + f"""SELECT event_id, '{{"a":{{"note":"' || clean || '"{_LEFT_ALONE},"k":' || k || '}},"list":["' || clean || '",true,null]}}' AS doc
 FROM r""")
 def nested_json_redaction(spark, sf):
     text = F.col("text")
-    doc = F.concat(F.lit('{"a":{"note":"'), text, F.lit('","n":'), F.col("k").cast("string"), F.lit('},"list":["'), text,
+    doc = F.concat(F.lit('{"a":{"note":"'), text, F.lit(f'"{_LEFT_ALONE},"k":'), F.col("k").cast("string"), F.lit('},"list":["'), text,
                    F.lit('",true,null]}'))
     return R.redact_json(secrets(spark, sf).select("event_id", doc.alias("doc")), "doc")
 

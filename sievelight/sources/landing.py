@@ -15,9 +15,22 @@ def _reader(spark: SparkSession, streaming: bool):
     return spark.readStream if streaming else spark.read
 
 
+REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
+
+
+def parsed(df: DataFrame, text: str, name: str = "payload_v") -> DataFrame:
+    """Add the value of a JSON text, null for text that is not JSON; of a repeated key the last value counts.
+
+    Spark rejects repeated keys unless a session setting allows them. It is turned on here, unless the session sets it itself.
+    """
+    if REPEATED_KEYS not in df.sparkSession.conf.getAll:
+        df.sparkSession.conf.set(REPEATED_KEYS, "true")
+    return df.withColumn(name, F.try_parse_json(F.col(text)))
+
+
 def with_payload(df: DataFrame, text: str = "payload") -> DataFrame:
     """Add the parsed ``payload_v``; unparseable text gives null and never fails the job."""
-    return df.withColumn("payload_v", F.try_parse_json(F.col(text)))
+    return parsed(df, text)
 
 
 def split_payloads(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -33,25 +46,25 @@ def read_landing(spark: SparkSession, path: str, provider: str, streaming: bool
     return with_payload(raw)
 
 
-def oversized(body: str = "body", limit: int = MAX_BODY_BYTES) -> Column:
-    """Whether a body is above the cap."""
-    return F.coalesce(F.octet_length(F.col(body)) > limit, F.lit(False))
+def body_reason(body: str = "body", limit: int = MAX_BODY_BYTES) -> Column:
+    """``missing_body`` for a null body, ``oversized_body`` above the cap, else null."""
+    return F.when(F.col(body).isNull(), F.lit("missing_body")).when(F.octet_length(F.col(body)) > limit, F.lit("oversized_body"))
 
 
 def cap_bodies(df: DataFrame, body: str = "body", limit: int = MAX_BODY_BYTES) -> DataFrame:
-    """Bodies within the cap; apply before any parse. ``ingest.delivery_rejects`` returns the others."""
-    return df.where(F.octet_length(F.col(body)) <= limit)
+    """Bodies within the cap; apply before any parse. ``body_reason`` names why a row is left out."""
+    return df.where(body_reason(body, limit).isNull())
 
 
 def read_deliveries(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Webhook deliveries (``headers, body, received_at``) from parquet, oversized bodies dropped."""
+    """Webhook deliveries (``headers, body, received_at``) from parquet that have a body within the cap."""
     return cap_bodies(_reader(spark, streaming).schema(DELIVERIES).parquet(path))
 
 
 def body_payload(df: DataFrame) -> DataFrame:
     """Parse a delivery body; a body that is not UTF-8 gives a null payload."""
     valid = F.when(F.is_valid_utf8(F.col("body").cast("string")), F.col("body").cast("string"))
-    return df.withColumn("payload", valid).withColumn("payload_v", F.try_parse_json("payload"))
+    return parsed(df.withColumn("payload", valid), "payload")
 
 
 def read_documents(responses: DataFrame) -> tuple[DataFrame, DataFrame]:

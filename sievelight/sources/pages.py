@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sievelight.functions import variant as V
+from sievelight.sources.landing import parsed
 
 # Where the items of a provider's page sit ("$" = the page itself is the list), and
 # for wrapped items the path inside each element.
@@ -29,7 +30,7 @@ MAX_PAGES, MAX_ITEMS, MAX_RUN_BYTES, MAX_PAGE_BYTES = 100, 50_000, 64 * 1_048_57
 
 
 def with_page(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("page_v", F.try_parse_json("body"))
+    return parsed(pages, "body", "page_v")
 
 
 def _by_provider(make) -> Column:

@@ -14,7 +14,7 @@ from sievelight.operators.exports import to_envelopes
 from sievelight.operators.normalize import normalize
 from sievelight.operators.observe import OBSERVERS, observe_github_pr
 from sievelight.operators.verify import header, verify_deliveries
-from sievelight.sources.landing import body_payload, cap_bodies, oversized
+from sievelight.sources.landing import body_payload, body_reason, cap_bodies
 from sievelight.streaming.dedup import dedup_watermark
 
 
@@ -44,16 +44,16 @@ def _named(events: DataFrame) -> DataFrame:
 def delivery_rejects(deliveries: DataFrame, provider: str, secret: str) -> DataFrame:
     """Deliveries that never become events, with a value-free ``reason``; for batch and stream.
 
-    Each row gets the first that holds: ``oversized_body``, ``signature_rejected``, ``unparseable_body``,
+    Each row gets the first that holds: ``missing_body``, ``oversized_body``, ``signature_rejected``, ``unparseable_body``,
     ``not_admitted``, ``missing_delivery_id``. Bodies are not returned. Rejects after this (contract, identity) are the
     second output of ``deliveries_to_emissions``.
     """
     kept = deliveries.columns
-    large = deliveries.where(oversized()).withColumn("reason", F.lit("oversized_body"))
+    unread = deliveries.withColumn("reason", body_reason()).where("reason IS NOT NULL")
     good, unsigned = verify_deliveries(cap_bodies(deliveries), provider, secret)
     events = _named(body_payload(good))
     parsed = events.where("payload_v IS NOT NULL").withColumn("delivery_id", delivery_id(provider))
-    parts = [large, unsigned, events.where("payload_v IS NULL").withColumn("reason", F.lit("unparseable_body"))]
+    parts = [unread, unsigned, events.where("payload_v IS NULL").withColumn("reason", F.lit("unparseable_body"))]
     if provider in DROP_WITHOUT_ID:
         parts.append(admit_events(parsed, provider).where("delivery_id = ''").withColumn("reason", F.lit("missing_delivery_id")))
     parts.append(refused_events(parsed, provider).withColumn("reason", F.lit("not_admitted")))
