@@ -49,7 +49,8 @@ def with_delivery_id(df: DataFrame, provider: str) -> DataFrame:
     return out.where("delivery_id <> ''") if provider in DROP_WITHOUT_ID else out
 
 
-def _admitted(provider: str) -> Column:
+def is_admitted(provider: str) -> Column:
+    """The event-type gate of a provider; never null."""
     v = F.col("payload_v")
     if provider == "github_issues":
         gate = admitted_issue_event(F.col("event_name"), V.text(v, "$.action"))
@@ -68,12 +69,12 @@ def _admitted(provider: str) -> Column:
 
 def admit_events(df: DataFrame, provider: str) -> DataFrame:
     """Event-type gates that run before the payload job."""
-    return df.where(_admitted(provider))
+    return df.where(is_admitted(provider))
 
 
 def refused_events(df: DataFrame, provider: str) -> DataFrame:
     """The rows that ``admit_events`` leaves out."""
-    return df.where(~_admitted(provider))
+    return df.where(~is_admitted(provider))
 
 
 def _split_ids(df: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:

@@ -12,6 +12,7 @@ import binascii
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sievelight.functions import variant as V
+from sievelight.functions.text import pin
 from sievelight.functions.crypto import hmac_sha256_hex
 from sievelight.functions.text import strip
 
@@ -148,9 +149,15 @@ def _strict_prefix(sig: Column) -> Column:
     return F.when(sig.startswith("sha256="), F.substring(sig, F.lit(8), F.char_length(sig)))
 
 
+def mark_deliveries(df: DataFrame, provider: str, secret: str) -> DataFrame:
+    """All rows with ``reason``: null, or ``signature_rejected``. The keyed hash is evaluated once per row."""
+    return pin(df, {"reason": F.when(~verified(provider, secret), F.lit("signature_rejected"))})
+
+
 def verify_deliveries(df: DataFrame, provider: str, secret: str) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected) rows; the rejected carry a value-free reason."""
-    marked = df.withColumn("_ok", verified(provider, secret))
-    accepted = marked.where("_ok").drop("_ok")
-    rejected = marked.where("NOT _ok").drop("_ok").withColumn("reason", F.lit("signature_rejected"))
-    return accepted, rejected
+    """(accepted, rejected) rows; the rejected carry a value-free reason.
+
+    Each output evaluates the rule for itself. A job that needs both writes ``mark_deliveries`` once, by its reason.
+    """
+    marked = mark_deliveries(df, provider, secret)
+    return marked.where("reason IS NULL").drop("reason"), marked.where("reason IS NOT NULL")

@@ -14,7 +14,7 @@ from sievelight.functions.crypto import hmac_sha256_hex
 from sievelight.operators import dedup, verify
 from sievelight.plans.common import SQL_K, element, instant, k_of, run_folder, spread, struct, table
 from sievelight.sources.landing import body_payload
-from sievelight.streaming import dedup as stream_dedup
+from sievelight.streaming import dedup as stream_dedup, ingest
 
 QUERIES, ORACLES = {}, {}
 
@@ -32,11 +32,17 @@ def query(oracle: str | None = None, name: str | None = None):
     return add
 
 
-def _events(spark: SparkSession, sf: str) -> DataFrame:
+def _landed(spark: SparkSession, sf: str) -> DataFrame:
+    """The events as a stream of files."""
+    return spark.readStream.schema(table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+
+
+def _events(spark: SparkSession, sf: str, streaming: bool = False) -> DataFrame:
     body = F.to_json(struct(
         id=F.col("event_id"), type=F.lit("Issue"), kind=F.col("event_type"), k=k_of(),
         webhookTimestamp=F.unix_millis(instant("ts")) + F.when(k_of() % 5 == 4, 61_000).otherwise(0)))
-    return spread(table(spark, sf, "events")).select(
+    events = _landed(spark, sf) if streaming else spread(table(spark, sf, "events"))
+    return events.select(
         "event_id", "event_type", "user_id", k_of().alias("k"), instant("ts").alias("received_at"),
         body.cast("binary").alias("body"))
 
@@ -74,8 +80,8 @@ def _headers(**pairs: Column) -> Column:
     return F.create_map(*entries)
 
 
-def _signed(spark: SparkSession, sf: str, provider: str) -> tuple[DataFrame, str]:
-    df = _events(spark, sf)
+def _signed(spark: SparkSession, sf: str, provider: str, df: DataFrame | None = None) -> tuple[DataFrame, str]:
+    df = _events(spark, sf) if df is None else df
     mac = hmac_sha256_hex(F.col("body"), KEY.encode())
     prefixed = F.concat(F.lit("sha256="), mac)
     # Time windows: k%5 = 4 is outside.
@@ -119,16 +125,12 @@ _STRICT = {"slack", "fathom", "linear", "notion", "github_issues"}
 def _verified(provider: str):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         df, secret = _signed(spark, sf, provider)
-        accepted, rejected = verify.verify_deliveries(df, provider, secret)
-        rows = accepted.select("event_type", F.lit("accepted").alias("outcome")).unionByName(
-            rejected.select("event_type", F.col("reason").alias("outcome")))
-        return rows.groupBy("event_type", "outcome").agg(F.count("*").alias("n"))
+        return verify.mark_deliveries(df, provider, secret).select("event_id", F.coalesce("reason", F.lit("accepted")).alias("outcome"))
 
     good = "0, 1" if provider in _STRICT else "0, 1, 4"
     query(f"""
-WITH e AS (SELECT event_type, {SQL_K} AS k FROM events)
-SELECT event_type, CASE WHEN k % 5 IN ({good}) THEN 'accepted' ELSE 'signature_rejected' END AS outcome,
-       count(*) AS n FROM e GROUP BY ALL""", f"verified_{provider}")(run)
+WITH e AS (SELECT event_id, {SQL_K} AS k FROM events)
+SELECT event_id, CASE WHEN k % 5 IN ({good}) THEN 'accepted' ELSE 'signature_rejected' END AS outcome FROM e""", f"verified_{provider}")(run)
 
 
 for _p in ("github", "github_issues", "jira", "notion", "sentry", "linear", "pagerduty", "gitlab", "slack",
@@ -245,9 +247,7 @@ def admitted_events(spark, sf):
 
 
 def _stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = table(spark, sf, "events").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    return raw.select("event_id", "event_type", _ident().alias("delivery_id"), instant("ts").alias("received_at"))
+    return _landed(spark, sf).select("event_id", "event_type", _ident().alias("delivery_id"), instant("ts").alias("received_at"))
 
 
 def _drain(stream: DataFrame) -> DataFrame:
@@ -271,13 +271,68 @@ def stream_replay_dedup(spark, sf):
     return rows.groupBy("delivery_id").agg(F.count("*").alias("n"))
 
 
-@query(ORACLES["ttl_dedup"])
-def stream_ttl_dedup(spark, sf):
+def _with_rocksdb(spark: SparkSession, run) -> DataFrame:
+    """Run a stream with the state store that keyed judges need."""
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key, None)
     spark.conf.set(key, stream_dedup.ROCKSDB)
     try:
-        kept = stream_dedup.dedup_ttl_stream(_stream(spark, sf), ["delivery_id"], "received_at", "event_id")
-        return _drain(kept.select("event_id"))
+        return run()
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def _closed(stream: DataFrame, ts: str, key: str) -> DataFrame:
+    """The stream and one row without an id in the far future, which closes all windows."""
+    spark, folder = stream.sparkSession, run_folder(stream.sparkSession)
+    spark.range(1).select(F.lit("2200-01-01").cast("timestamp").alias(ts), F.lit("").alias(key)).write.parquet(folder)
+    last = spark.readStream.schema(spark.read.parquet(folder).schema).parquet(folder)
+    return stream.unionByName(last, allowMissingColumns=True)
+
+
+@query(ORACLES["ttl_dedup"])
+def stream_ttl_dedup(spark, sf):
+    def run():
+        stream = _closed(_stream(spark, sf), "received_at", "delivery_id")
+        return _drain(stream_dedup.dedup_ttl_stream(stream, ["delivery_id"], "received_at", "event_id").select("event_id"))
+
+    return _with_rocksdb(spark, run).where("event_id IS NOT NULL")
+
+
+_OUTCOME_SQL = f"""
+WITH e AS (SELECT event_id, ts, user_id || '/' || event_type AS id, {SQL_K} AS k FROM events),
+r AS (SELECT *, CASE WHEN k % 11 = 0 THEN 'missing_body' WHEN k % 5 IN (2, 3) THEN 'signature_rejected'
+  WHEN k % 7 = 6 THEN 'unparseable_body' END AS reason FROM e),
+o AS (SELECT CASE WHEN reason IS NULL THEN id ELSE '' END AS delivery_id, coalesce(reason,
+  CASE WHEN row_number() OVER (PARTITION BY id, reason ORDER BY ts) = 1 THEN 'accepted' ELSE 'duplicate' END) AS outcome FROM r)
+SELECT delivery_id, outcome, count(*) AS n FROM o GROUP BY ALL"""
+
+
+def _broken(spark: SparkSession, sf: str, streaming: bool = False) -> tuple[DataFrame, str]:
+    """Signed deliveries of which some have no body, a damaged signature, or a body that is no JSON."""
+    df = _events(spark, sf, streaming).withColumn("body", F.when(F.col("k") % 7 == 6, F.lit("{").cast("binary")).otherwise(F.col("body")))
+    signed, secret = _signed(spark, sf, "jira", df)
+    named = F.map_concat("headers", F.create_map(F.lit("X-Atlassian-Webhook-Identifier"), F.concat_ws("/", "user_id", "event_type")))
+    body = F.when(F.col("k") % 11 != 0, F.col("body"))
+    return signed.select("event_id", "received_at", named.alias("headers"), body.alias("body")), secret
+
+
+def _outcomes(judged: DataFrame) -> DataFrame:
+    """Ids of rejected rows are left out: whether one was read depends on the rule that failed."""
+    judges = ("accepted", "duplicate", "late")
+    return judged.select("event_id", "outcome", F.when(F.col("outcome").isin(*judges), F.col("delivery_id")).otherwise("").alias("delivery_id"))
+
+
+@query(_OUTCOME_SQL)
+def delivery_outcomes(spark, sf):
+    """Accepted and rejected deliveries add up to all that landed."""
+    df, secret = _broken(spark, sf)
+    return _outcomes(ingest.judged_deliveries(df, "jira", secret)).groupBy("delivery_id", "outcome").agg(F.count("*").alias("n"))
+
+
+@query(_OUTCOME_SQL)
+def stream_delivery_outcomes(spark, sf):
+    df, secret = _broken(spark, sf, True)
+    year = 366 * 86_400
+    rows = _with_rocksdb(spark, lambda: _drain(_outcomes(ingest.judged_deliveries(df, "jira", secret, "60 days", year))))
+    return rows.groupBy("delivery_id", "outcome").agg(F.count("*").alias("n"))
