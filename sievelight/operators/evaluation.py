@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, Window
+from pyspark.sql import Column, DataFrame, functions as F
 
-from sievelight.operators.skew import blocked_before
+from sievelight.operators.skew import blocked_before, ranked
 from sievelight.session import cut_lineage
 
 # --- L1-L3: field paths, spans, preservation --------------------------------------------------------
@@ -298,11 +298,11 @@ def gate_rollup(gates: DataFrame) -> DataFrame:
 
 
 def rank_candidates(scores: DataFrame, rollup: DataFrame) -> DataFrame:
-    """Weighted score and rank among candidates that passed every gate. A table of a few candidates."""
+    """Weighted score and rank among candidates that passed every gate; equal scores share a rank."""
     total = sum((F.col(k) * w for k, w in WEIGHTS.items()), F.lit(0.0))
     eligible = scores.join(rollup.where("all_passed").select("candidate"), "candidate", "left_semi")
     scored = eligible.withColumn("weighted_score", F.round(total, 6))
-    return scored.withColumn("rank", F.rank().over(Window.orderBy(F.col("weighted_score").desc())))
+    return ranked(scored, "weighted_score", "rank")
 
 
 def audit_candidates(matrix: DataFrame, gates: DataFrame, metrics: DataFrame) -> DataFrame:

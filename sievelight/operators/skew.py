@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sievelight.session import cut_lineage
+
 HOT_ROWS = 1_000_000
+#: A longer list of hot keys is joined by a shuffle.
+MAX_HOT_KEYS = 100_000
 SALTS = 64
 
 
@@ -16,13 +20,16 @@ def attach_per_key(
 ) -> DataFrame:
     """Join a per-key summary back to its rows without sending a hot key to one task.
 
-    ``count`` is the number of rows of the key. Keys above ``hot_rows`` are at most
-    ``total rows / hot_rows`` many, so their list is safe to broadcast: it holds only the keys.
-    Rows of those keys get a salt from the ``spread`` columns and their summary row is repeated
-    once per salt; all other keys join as usual, in the same single shuffle.
+    ``count`` is the number of rows of the key. Keys above ``hot_rows`` are counted first: without any the join is a
+    plain one, up to ``MAX_HOT_KEYS`` their list is broadcast, beyond that it is joined by a shuffle. Rows of hot keys get a salt
+    from the ``spread`` columns and their summary row is repeated once per salt; all other keys join as usual, in the
+    same single shuffle.
     """
     hot = per_key.where(F.col(count) > hot_rows).select(*keys, F.lit(True).alias("_hot"))
-    salted = rows.join(F.broadcast(hot), keys, "left").withColumn(
+    many = hot.limit(MAX_HOT_KEYS + 1).count()
+    if not many:
+        return rows.join(per_key.drop(count), keys, how)
+    salted = rows.join(F.broadcast(hot) if many <= MAX_HOT_KEYS else hot, keys, "left").withColumn(
         "_salt",
         F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(salts)))
         .otherwise(F.lit(0)).cast("int"),
@@ -99,3 +106,20 @@ def blocked_running(
         combine(F.col("_carry"), F.col("_in"))
     )
     return out.withColumn(name, both).drop("_block", "_v", "_in", "_carry")
+
+
+def ranked(df: DataFrame, value: str, name: str) -> DataFrame:
+    """``rank()`` over all rows by ``value``, highest first and nulls last, added as ``name``.
+
+    Rows are counted per distinct value, the values are range-partitioned, and each range adds the number of rows in the ranges
+    above it: no task sees all rows. Only one row per range meets in one place. Equal values share a rank.
+    """
+    counts = df.groupBy(F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
+    # The ranges are drawn from a sample, so they are kept before they are numbered.
+    placed = cut_lineage(counts.repartitionByRange(F.col("_value").desc()).withColumn("_block", F.spark_partition_id()))
+    above = placed.groupBy("_block").agg(F.sum("_n").alias("_total")).select(
+        "_block", F.coalesce(F.sum("_total").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_above"))
+    inside = Window.partitionBy("_block").orderBy(F.col("_value").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = placed.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(above, "_block").select(
+        "_value", (F.col("_above") + F.col("_before") + 1).alias(name))
+    return df.join(ranks, F.col(value).eqNullSafe(F.col("_value"))).drop("_value")

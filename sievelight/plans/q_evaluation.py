@@ -255,6 +255,17 @@ def candidate_ranking(spark, sf):
     return E.rank_candidates(scores, rollup).select("candidate", "weighted_score", "rank")
 
 
+@query("""
+WITH s AS (SELECT 'c' || o_custkey AS candidate, CAST(sum(o_orderkey % 10) AS DOUBLE) / 10 AS a FROM orders GROUP BY 1),
+w AS (SELECT candidate, round(a * 0.3 + a * 0.2 + a * 0.2 + a * 0.1 + a * 0.1 + a * 0.1, 6) AS weighted_score FROM s)
+SELECT candidate, weighted_score, rank() OVER (ORDER BY weighted_score DESC) AS rank FROM w""")
+def customer_ranking(spark, sf):
+    """Every customer as a candidate: a table that grows, with many ties."""
+    scores = table(spark, sf, "orders").groupBy(F.concat(F.lit("c"), F.col("o_custkey")).alias("candidate")).agg(
+        (F.sum(F.col("o_orderkey") % 10).cast("double") / 10).alias("a")).select("candidate", *[F.col("a").alias(k) for k in E.WEIGHTS])
+    return E.rank_candidates(scores, scores.select("candidate", F.lit(True).alias("all_passed"))).select("candidate", "weighted_score", "rank")
+
+
 @query(_GATES + """, n AS (SELECT r.*, n_nationkey AS nk FROM r JOIN nation ON candidate = 'n' || n_nationkey)
 SELECT candidate, 'missing_in_metrics' AS problem FROM n WHERE nk % 5 = 1
 UNION ALL SELECT candidate, 'hard_gates_inconsistent' FROM n WHERE nk % 5 = 2

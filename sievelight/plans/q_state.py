@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from sievelight.operators import catalogue as C, cursors as I
 from sievelight.plans.common import SQL_K, element, k_of, payload, run_folder, sql_element, struct, table
@@ -182,6 +182,27 @@ def resource_tree(spark, sf):
     return C.resource_tree(_drive(spark, sf)).select("resource_id", "ancestor_1", "ancestor_2")
 
 
+@query("""
+WITH c AS (SELECT c_nationkey AS nk, c_custkey AS ck, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS pos,
+  min(c_custkey) OVER (PARTITION BY c_nationkey) AS top FROM customer)
+SELECT 'folder_' || ck AS resource_id, nk % 6 = 5 AS cyclic, CASE WHEN nk % 6 = 5 THEN NULL WHEN nk % 6 = 4 THEN pos + 1 ELSE pos END AS depth,
+  CASE WHEN nk % 6 = 5 THEN NULL WHEN nk % 6 = 4 THEN 'drive_' || nk ELSE 'folder_' || top END AS root_id FROM c
+UNION ALL SELECT 'drive_' || n_nationkey, false, 0, 'drive_' || n_nationkey FROM nation WHERE n_nationkey % 6 = 4""")
+def resource_lineage(spark, sf):
+    """The customers of a nation as one chain of folders: below a drive, below a parent that is not listed, or closed to a cycle."""
+    own = Window.partitionBy("c_nationkey").orderBy("c_custkey")
+    nation = F.col("c_nationkey")
+    last = F.max("c_custkey").over(Window.partitionBy("c_nationkey"))
+    before = F.lag("c_custkey").over(own)
+    parent = F.when(before.isNotNull(), F.concat(F.lit("folder_"), before)).when(nation % 6 == 5, F.concat(F.lit("folder_"), last)).when(
+        nation % 6 == 4, F.concat(F.lit("drive_"), nation)).when(nation % 6 == 3, F.lit("drive_unlisted"))
+    folders = table(spark, sf, "customer").select(
+        F.lit("google_drive").alias("provider"), F.concat(F.lit("folder_"), F.col("c_custkey")).alias("resource_id"), parent.alias("parent_id"))
+    drives = table(spark, sf, "nation").where("n_nationkey % 6 = 4").select(
+        F.lit("google_drive").alias("provider"), F.concat(F.lit("drive_"), F.col("n_nationkey")).alias("resource_id"), F.lit(None).cast("string").alias("parent_id"))
+    return C.resource_lineage(folders.unionByName(drives)).select("resource_id", "cyclic", "depth", "root_id")
+
+
 @query("SELECT 'doc_' || c_custkey AS resource_id FROM customer WHERE c_nationkey = 7")
 def folder_children(spark, sf):
     return C.resource_children(_drive(spark, sf), "folder_7").select("resource_id")

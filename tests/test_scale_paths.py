@@ -118,6 +118,76 @@ def test_hostile_rules_equal_brute_force(spark):
         assert {r.id: r.terms for r in terms.match_rules(texts, rules, "id", "t", chars).collect()} == want
 
 
+def test_lineage_of_deep_chains_and_cycles(spark):
+    from sievelight.operators.catalogue import resource_lineage
+
+    rng, parent = random.Random(12), {}
+    parent |= {f"n{i}": f"n{i - 1}" if i else None for i in range(1000)}
+    parent |= {f"x{i}": f"n{rng.randrange(1000)}" for i in range(300)} | {f"h{i}": "n0" for i in range(300)}  # a hot folder
+    parent |= {f"c{i}": f"c{(i + 1) % 7}" for i in range(7)} | {"self": "self", "t0": "c3", "t1": "t0", "lost": "nowhere"}
+    rows = [("p", k, v) for k, v in parent.items()] + [("q", "n5", None), ("p", "n7", "n6"), ("p", None, "n1")]
+
+    def end(node):
+        seen = [node]
+        while parent[node] in parent:
+            node = parent[node]
+            if node in seen:
+                return None, None, True
+            seen.append(node)
+        return node, len(seen) - 1, False
+
+    want = sorted([("p", k, *end(k)) for k in parent] + [("q", "n5", "n5", 0, False)])
+    df = spark.createDataFrame(rows, "provider string, resource_id string, parent_id string").repartition(3)
+    assert sorted(map(tuple, resource_lineage(df).select("provider", "resource_id", "root_id", "depth", "cyclic").collect())) == want
+    assert resource_lineage(df.limit(0)).collect() == []
+
+
+def test_distributed_rank_equals_rank(spark):
+    from pyspark.sql import Window
+
+    rng = random.Random(13)
+    df = spark.createDataFrame([(i, rng.choice([None, 0.0, -0.0, float("nan"), 1.5, round(rng.random(), 2)])) for i in range(700)], "i int, v double").repartition(5)
+    got = skew.ranked(df, "v", "r")
+    want = df.withColumn("r", F.rank().over(Window.orderBy(F.col("v").desc())))
+    assert sorted((x.i, x.r) for x in got.collect()) == sorted((x.i, x.r) for x in want.collect())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan.split("_total")[0]
+    assert skew.ranked(df.limit(0), "v", "r").collect() == []
+
+
+def test_cursor_versions_stay_few_and_survive_failures(spark, tmp_path, monkeypatch):
+    import os
+
+    from sievelight.streaming import cursor
+
+    out, folder = str(tmp_path / "out"), str(tmp_path / "cursors")
+
+    def batch(n):
+        return spark.createDataFrame([("r1", f"2024-01-{n + 1:02d}", f"e{n}"), ("r2", "2024-01-01", "e0")],
+                                     "repository_id string, updated_at string, provider_event_id string")
+
+    def now():
+        return {r.repository_id: r.updated_at for r in cursor.read_cursors(spark, folder).collect()}
+
+    assert now() == {}
+    for n in range(6):
+        cursor.advance_cursor(batch(n), n, out, folder)
+        assert now() == {"r1": f"2024-01-{n + 1:02d}", "r2": "2024-01-01"}
+    assert sorted(f for f in os.listdir(folder) if f.startswith("version=")) == ["version=4", "version=5"]
+    # A replay of the last batch starts from the version before it.
+    assert {r.repository_id: r.updated_at for r in cursor.read_cursors(spark, folder, 5).collect()}["r1"] == "2024-01-05"
+    for step in ("_point_to", "_drop_others"):
+        with monkeypatch.context() as m:
+            m.setattr(cursor, step, lambda *a: 1 / 0)
+            try:
+                cursor.advance_cursor(batch(6), 6, out, folder)
+            except ZeroDivisionError:
+                pass
+        assert now()["r1"] == ("2024-01-06" if step == "_point_to" else "2024-01-07")
+    cursor.advance_cursor(batch(6), 6, out, folder)
+    assert now()["r1"] == "2024-01-07" and spark.read.parquet(out).count() == 14
+
+
 def test_rows_without_id_and_ties(spark):
     rows = [("x", 1, 1), ("x", 1, 1), ("", 1, 2), ("", 1, 2), (None, 1, 3), (None, 1, 3), ("y", 1, 4), ("y", 500, 5)]
     df = spark.createDataFrame(rows, "k string, t long, i long").withColumn("ts", F.timestamp_seconds("t"))
