@@ -240,3 +240,12 @@ def write_emissions(df: DataFrame, kind: str, path: str, mode: str = "append", p
         raise ValueError(f"unknown sink kind: {kind}")
 
 
+
+
+def write_by_outcome(marked: DataFrame, path: str, reason: str = "reason") -> None:
+    """Write a marked table once, kept and rejected rows in partitions of their own (``outcome=kept``, ``outcome=rejected``).
+
+    Readers of one outcome read its partition alone, and no rule runs a second time.
+    """
+    outcome = F.when(F.col(reason).isNull(), F.lit("kept")).otherwise(F.lit("rejected"))
+    marked.withColumn("outcome", outcome).write.partitionBy("outcome").parquet(path)

@@ -382,6 +382,18 @@ def normalize(
     return valid, rejects
 
 
+def mark_normalized(observations: DataFrame, adapter_version: str | None = None, completed_at: str = "") -> DataFrame:
+    """All rows of ``normalize`` in one pass: emissions with ``reason``, null for valid ones.
+
+    Redaction, contract and screen stand once in the plan, which reads its input once. A row that the guards reject is an
+    emission by its columns, but its text is what came in: never let one through whose reason is set.
+    """
+    from sievelight.operators.redaction import mark_sanitized
+
+    emissions = with_advisories(to_emissions(mark_sanitized(observations, completed_at).withColumnRenamed("reason", "_gate"), adapter_version))
+    return pin(emissions, {"reason": F.coalesce("_gate", contract_reason(), screen_reason(emission_leaves()))}, drop=("_gate",))
+
+
 def emission_json() -> Column:
     """Canonical JSON of an emission, used for the zero-finding receipt."""
     from sievelight.functions.canonical import json_array, json_map, json_object, json_string

@@ -265,16 +265,37 @@ def sanitize(
     a row go through one copy of the rules as an array. ``completed_at`` is an argument, so a replay
     gives equal rows.
     """
-    cols = df.columns
+    marked = _gated(df, limit)
+    rejected = marked.where("reason IS NOT NULL").drop("_in_digest")
+    clean = _redacted(marked.where("reason IS NULL").drop("reason"), completed_at, engine)
+    return clean.select(*df.columns, "redaction_receipt"), rejected.select(*df.columns, "reason")
+
+
+def mark_sanitized(
+    df: DataFrame, completed_at: str = "", engine: str = ENGINE, limit: int = MAX_OBSERVATION_BYTES
+) -> DataFrame:
+    """All rows of ``sanitize`` in one pass, with ``redaction_receipt`` and ``reason``.
+
+    Clean rows are redacted and have a null reason; rejected rows stay as they came and have no receipt. Each rule stands once in the
+    plan: write the table once, by outcome (``exports.write_by_outcome``), when both kinds of rows are wanted.
+    """
+    out = _redacted(_gated(df, limit), completed_at, engine, F.col("reason").isNull())
+    return out.select(*df.columns, "redaction_receipt", "reason")
+
+
+def _gated(df: DataFrame, limit: int) -> DataFrame:
+    """The rows with ``reason``, null when they pass, and the digest of what came in."""
     gate = F.when(F.octet_length("_in_json") > limit, F.lit("oversized_payload")).otherwise(
         F.coalesce(identity_reason(), key_reason())
     )
-    marked = pin(
+    return pin(
         pin(df, {"_in_json": observation_json()}),
         {"reason": gate, "_in_digest": canonical_digest(F.col("_in_json"))}, drop=("_in_json",),
     )
-    rejected = marked.where("reason IS NOT NULL").drop("_in_digest")
 
+
+def _redacted(marked: DataFrame, completed_at: str, engine: str, passed: Column | None = None) -> DataFrame:
+    """Free text redacted and a receipt added, for the rows that have ``passed`` (all by default)."""
     no_text = F.array().cast("array<string>")
     texts = F.flatten(F.transform(
         F.coalesce("advisory_signals", F.array().cast(f"array<{SIGNAL}>")),
@@ -284,9 +305,10 @@ def sanitize(
         F.array("excerpt", "title", "author"),
         F.coalesce(F.map_values("evidence_metadata"), no_text), F.coalesce(F.map_values("metadata"), no_text), texts,
     )
-    cleaned = pin(
-        marked.where("reason IS NULL").drop("reason"), {"_r": F.transform(leaves, S.redact_with_findings)}
-    )
+    def where(value: Column, otherwise: Column | None = None) -> Column:
+        return value if passed is None else F.when(passed, value) if otherwise is None else F.when(passed, value).otherwise(otherwise)
+
+    cleaned = pin(marked, {"_r": where(F.transform(leaves, S.redact_with_findings))})
     n_evidence = F.greatest(F.size("evidence_metadata"), F.lit(0))
     n_meta = F.greatest(F.size("metadata"), F.lit(0))
     first_signal = F.lit(3) + n_evidence + n_meta
@@ -317,25 +339,17 @@ def sanitize(
         rows = F.concat(F.col("_r"), F.slice("_r", first_signal + 1, twice))
         return F.aggregate(rows, F.lit(0), lambda acc, x: acc + x[name])
 
-    out = (
-        cleaned.withColumns(
-            {
-                "excerpt": F.get("_r", F.lit(0))["text"], "title": F.get("_r", F.lit(1))["text"],
-                "author": F.get("_r", F.lit(2))["text"],
-                "evidence_metadata": remap("evidence_metadata", F.lit(3), n_evidence),
-                "metadata": remap("metadata", F.lit(3) + n_evidence, n_meta),
-                "advisory_signals": signals,
-                "_findings": findings_array(total("credential"), total("pii"), total("secret")),
-            }
-        )
-        .withColumn(
-            "redaction_receipt",
-            receipt_struct(
-                F.col("_in_digest"), canonical_digest(observation_json()), F.col("_findings"), completed_at, engine
-            ),
-        )
-    )
-    return out.select(*cols, "redaction_receipt"), rejected.select(*cols, "reason")
+    values = {
+        "excerpt": F.get("_r", F.lit(0))["text"], "title": F.get("_r", F.lit(1))["text"],
+        "author": F.get("_r", F.lit(2))["text"],
+        "evidence_metadata": remap("evidence_metadata", F.lit(3), n_evidence),
+        "metadata": remap("metadata", F.lit(3) + n_evidence, n_meta),
+        "advisory_signals": signals,
+    }
+    findings = findings_array(total("credential"), total("pii"), total("secret"))
+    out = cleaned.withColumns({**{k: where(v, F.col(k)) for k, v in values.items()}, "_findings": where(findings)})
+    receipt = receipt_struct(F.col("_in_digest"), canonical_digest(observation_json()), F.col("_findings"), completed_at, engine)
+    return out.withColumn("redaction_receipt", where(receipt))
 
 
 def receipt_struct(

@@ -241,7 +241,6 @@ SELECT event_type, count(*) FILTER (k % 10 NOT IN (3, 7) OR (k % 10 = 3 AND k %
   count(*) FILTER (k % 10 = 7 OR (k % 10 = 3 AND k % 20 <= 14)) AS rejected FROM e GROUP BY 1""")
 def normalized_outcomes(spark, sf):
     """The whole seam over hostile observations."""
-    good, bad = N.normalize(tracked(spark, sf, hostile=True), completed_at="2024-01-01T00:00:00Z")
-    rows = good.select("event_type", F.lit(1).alias("ok")).unionByName(bad.select("event_type", F.lit(0).alias("ok")))
+    rows = N.mark_normalized(tracked(spark, sf, hostile=True), completed_at="2024-01-01T00:00:00Z")
     return rows.groupBy("event_type").agg(
-        F.count_if(F.col("ok") == 1).alias("emitted"), F.count_if(F.col("ok") == 0).alias("rejected"))
+        F.count_if(F.col("reason").isNull()).alias("emitted"), F.count_if(F.col("reason").isNotNull()).alias("rejected"))

@@ -262,9 +262,7 @@ def sensitive_keys(spark, sf):
 @query(_TOKENS + """SELECT event_type, CASE WHEN k % 10 = 3 AND k % 20 <= 14 THEN 'sensitive_identity_field:source_ref.ref'
   WHEN k % 10 = 7 THEN 'sensitive_metadata_key:metadata' ELSE 'clean' END AS outcome, count(*) AS n FROM r GROUP BY ALL""")
 def sanitize_outcomes(spark, sf):
-    good, bad = R.sanitize(tracked(spark, sf, hostile=True))
-    rows = good.select("event_type", F.lit("clean").alias("outcome")).unionByName(
-        bad.select("event_type", F.col("reason").alias("outcome")))
+    rows = R.mark_sanitized(tracked(spark, sf, hostile=True)).select("event_type", F.coalesce("reason", F.lit("clean")).alias("outcome"))
     return rows.groupBy("event_type", "outcome").agg(F.count("*").alias("n"))
 
 

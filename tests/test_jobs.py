@@ -57,6 +57,28 @@ def test_null_identity_and_oversized_rows_are_rejected(spark):
     assert sorted(r.reason for r in bad.collect()) == ["engine_unavailable", "oversized_payload"]
 
 
+def test_marked_tables_equal_the_two_outputs(spark, tmp_path):
+    from sievelight.operators.exports import write_by_outcome
+
+    cols = observation_columns("github", ref=F.col("r"), kind="issue", excerpt=F.col("x"), mode="active", author=F.lit("bob@example.com"),
+                               metadata={"note": F.col("x")})
+    texts = [("a", "t"), (None, "t"), ("b", "y" * 3000), ("c", "mail x@y.org"), ("d", ""), ("AKIA" + "A" * 16, "t"), ("e", "ok")]
+    df = spark.createDataFrame(texts, "r string, x string").select("r", *cols)
+    good, bad = R.sanitize(df, "2024", limit=2000)
+    write_by_outcome(R.mark_sanitized(df, "2024", limit=2000), str(tmp_path / "marked"))
+    kept, rejected = (spark.read.parquet(str(tmp_path / "marked" / f"outcome={o}")) for o in ("kept", "rejected"))
+    assert sorted(map(str, kept.drop("reason").collect())) == sorted(map(str, good.select(*kept.drop("reason").columns).collect()))
+    assert sorted(map(str, rejected.drop("redaction_receipt").collect())) == sorted(map(str, bad.select(*rejected.drop("redaction_receipt").columns).collect()))
+    valid, rejects = N.normalize(df, completed_at="2024")
+    marked = N.mark_normalized(df, completed_at="2024")
+    fine = marked.where("reason IS NULL")
+    assert sorted(map(str, fine.select(*valid.columns).collect())) == sorted(map(str, valid.collect()))
+    assert sorted((r.r or "", r.reason) for r in marked.where("reason IS NOT NULL").collect()) == sorted((r.r or "", r.reason) for r in rejects.collect())
+    # One scan of the input, and the screen once.
+    plan = marked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1 and "Union" not in plan
+
+
 def test_nested_json_keys_and_leaves(spark):
     doc = json.dumps({"a": {"a@b.org": 1}, "l": ["x@y.org", {"z": "ok"}], "n": 1.5, "u": "é"})
     df = spark.createDataFrame([(doc,), ("{}",), ("not json",), (None,)], "d string")
