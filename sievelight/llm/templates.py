@@ -1,12 +1,12 @@
 """Main text of web pages by template deduction with token equivalence classes.
 
-Tokens of a page are its elements (by path) and words (by path and word). Over the pages of a host, tokens with the same
+Tokens of a page are its elements (by path), words (by path and word) and whole blocks (by path and text). Over the pages of a host, tokens with the same
 occurrence vector (the same count on every page) form an equivalence class; the vectors are compared through sums of
 hashes of (page, count), so a host's pages need not meet in one task; equal pages count once, and neither depends on the
 partitions. A class is valid if it covers nearly all
 pages of the host; the elements of valid classes nest by their paths and make up the host's template. What the template
-does not fix are slots. The slots below the template's article (or, without one, its richest text region) are
-the main text; elsewhere, and within it, navigation, notices, adverts, forms and comments are left out.
+does not fix are slots. The slots below a page's article and main elements (or, without one, the template's richest text
+region) are the main text; elsewhere, and within it, navigation, notices, adverts, forms and comments are left out.
 """
 
 from __future__ import annotations
@@ -44,11 +44,14 @@ LEFT_OUT = frozenset("nav header footer aside form menu dialog button select hea
 MAIN = ("article", "main")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _NAMES = (r"(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|sidebar|menu|nav\w*|navigation|breadcrumbs?|footer|header|notices?|cookies?|"
-          r"consent|popup|modal|newsletter|subscribe|comments?|disqus|respond|related|share|social|toolbar|widget)")
+          r"consent|newsletter|subscribe|comments?|disqus|respond)")
+_COMMENTS = r"(?:comments?|comment-?list|comments-area|disqus(?:_thread)?|respond)"
 #: Outside an article a part of a class, id or role is enough. Inside only a whole class or role leaves an element out; a part of
 #: one makes its text doubtful: the template's words or links in more than half of it have to confirm. Headings have no such names.
 LEFT_OUT_NAMES = re.compile(rf"(?:^|[\s_-]){_NAMES}(?:$|[\s_-])", re.I)
 WHOLE_NAMES = re.compile(rf"(?:^|\s){_NAMES}(?:$|\s)", re.I)
+#: Reader comments, also by a whole id, and also on an article of their own.
+COMMENT_NAMES = re.compile(rf"(?:^|\s){_COMMENTS}(?:$|\s)", re.I)
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>", re.S)
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in RAW}
 _NAME = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -123,7 +126,9 @@ def blocks_of(page: str) -> tuple[list[Block], Counter]:
         named = " ".join(attributes.values())
         # An article's own header and footer stay menus and by-lines: they are left out like the page's.
         left_out, doubtful, article = inside[2] or tag in LEFT_OUT, inside[3], inside[4] or tag in MAIN
-        if named and tag not in ("html", "body", *MAIN) and not (article and tag in HEADINGS) and LEFT_OUT_NAMES.search(named):
+        if named and tag not in ("html", "body", *HEADINGS) and any(COMMENT_NAMES.search(v) for v in attributes.values()):
+            left_out = True
+        elif named and tag not in ("html", "body", *MAIN) and not (article and tag in HEADINGS) and LEFT_OUT_NAMES.search(named):
             if article and not WHOLE_NAMES.search(f"{attributes.get('class', '')} {attributes.get('role', '')}"):
                 doubtful = True
             else:
@@ -178,6 +183,8 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             mark: dict[int, int] = {}  # hash of (page, count)
             for path, n in paths.items():
                 counts = Counter(" ".join(texts[path]).split(" ")) if path in texts else {}
+                for text in texts.get(path, ()):
+                    counts[_whole(text)] = counts.get(_whole(text), 0) + 1
                 counts[""] = n
                 words = own.setdefault(path, {})
                 for word, c in counts.items():
@@ -207,6 +214,11 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _token_rows(rows)
 
 
+def _whole(text: str) -> str:
+    """The token of a block's whole text: it repeats even where its words also stand in other text of the path."""
+    return f"\x00{_hash(text):x}"
+
+
 def _token(path: str, word: str) -> str:
     return f"{path}\t{word}" if word else "<" + path
 
@@ -266,21 +278,25 @@ def deduce(pages: DataFrame) -> DataFrame:
 
 
 def main_text(page: str, region: str | None, words: frozenset[str]) -> str:
-    """The main text of a page, given the region of its host's template and the template's words."""
+    """The main text of a page, given the region of its host's template and the template's words.
+
+    The page's own article and main elements choose the region, together, so that a main body beside an article stays; without
+    one the template's region does. In either, blocks that the template fixes go.
+    """
     found, paths = blocks_of(page)
-    fixed = lambda b: all(f"{b.path}\t{w}" in words for w in b.text.split(" "))
+
+    def fixed(b: Block) -> bool:
+        return bool(words) and (_token(b.path, _whole(b.text)) in words or all(_token(b.path, w) in words for w in b.text.split(" ")))
+
     within = lambda b, top: b.path == top or b.path.startswith(top + "/")
-    own = [p for p in paths if re.search(r"/(?:article|main)(?:\.[^/]*)?$", p)]
-    top = next((t for tag in MAIN for t in sorted(own, key=len) if re.search(rf"/{tag}(?:\.[^/]*)?$", t)), None)
-    if top is not None:
-        # Every article of the page, in page order; the template's words outside them are gone with the rest.
-        kind = [t for t in own if re.search(rf"/{MAIN[0]}(?:\.[^/]*)?$", t)] or own
-        kept = [b for b in found if not b.left_out and any(within(b, t) for t in kind)]
-        kept = [b for b in kept if not (b.doubtful and (2 * b.links > len(b.text) or fixed(b)))]
-    else:
-        kept = [b for b in found if not b.left_out and (not region or not any(within(x, region) for x in found) or within(b, region))]
-        kept = [b for b in kept if not fixed(b)]
-    return "\n\n".join(b.text for b in kept)
+    tops = [p for p in paths if re.search(r"/(?:article|main)(?:\.[^/]*)?$", p) and not COMMENT_NAMES.search(p.rsplit("/", 1)[1].replace(".", " "))]
+    kept = [b for b in found if not b.left_out]
+    if tops:
+        kept = [b for b in kept if any(within(b, t) for t in tops)]
+        kept = [b for b in kept if not (b.doubtful and 2 * b.links > len(b.text))]
+    elif region and any(within(b, region) for b in found):
+        kept = [b for b in kept if within(b, region)]
+    return "\n\n".join(b.text for b in kept if not fixed(b))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,8 +317,8 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", keep
 
     ``row`` is a struct of the columns ``keep`` (all but the html by default). A null html is empty; a null url or one without
     a host counts as one host; repeated pages count once for the template and get equal texts. Character
-    references are decoded, white space inside a block is one space, blocks are joined by an empty line. Pages without an
-    article element use the host's template; hosts of few pages have none and keep all text that is not left out.
+    references are decoded, white space inside a block is one space, blocks are joined by an empty line. Blocks that the host's
+    template fixes are left out everywhere; hosts of few pages have no template and keep all text that tags or names do not leave out.
     An empty table gives an empty result.
     """
     others = keep if keep is not None else [c for c in pages.columns if c != html_col]

@@ -5,6 +5,7 @@ import json
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -388,12 +389,20 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
 <footer>&copy; site</footer></body></html>"""
 
 
+def own_page(i):
+    """The page with a body of its own: what all pages of a host share is its template."""
+    page = PAGE % (i, i, i)
+    for word in ("One", "three", "bold", "tail", "<li>a", "<li>b"):
+        page = page.replace(word, f"{word}{i}")
+    return page
+
+
 def test_html(spark):
-    rows = [(i, f"http://h.example/{i}", PAGE % (i, i, i)) for i in range(8)]
+    rows = [(i, f"http://h.example/{i}", own_page(i)) for i in range(8)]
     rows += [(20, None, None), (21, "x", ""), (22, "http://o.example/", "plain < text"), (23, "http://o.example/", "<p>a<p>b<script>x"), (23, "http://o.example/", "<p>a<p>b<script>x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("x")).withColumn("host", F.lit("y"))
     got = {r["page_id"]: r["text"] for r in templates.extract(df, keep=["page_id"]).select("row.page_id", "text").collect()}
-    assert got[3] == "Head & 3\n\nOne two three\n\nbold <x> end tail\n\na\n\nb"
+    assert got[3] == "Head & 3\n\nOne3 two three3\n\nbold3 <x> end tail3\n\na3\n\nb3"
     assert (got[20], got[21], got[22], got[23]) == ("", "", "plain < text", "a\n\nb")
     assert templates.extract(df).count() == len(rows) and templates.extract(df.limit(0)).count() == 0
 
@@ -441,7 +450,8 @@ def test_template_does_not_depend_on_partitions(spark):
 
 @pytest.mark.parametrize("kept", [
     '<section id="related-work"><p>text</p></section>', '<h2 id="social-effects">text</h2>', '<h2 id="navigation" class="header">text</h2>',
-    '<p class="share-price">text</p>', '<div class="section-header">text</div>', '<div id="comments">text</div>', "<p><math><mi>te</mi>xt</math></p>"])
+    '<p class="share-price">text</p>', '<div class="section-header">text</div>', '<div id="on-comments">text</div>', '<p class="widget">text</p>', '<div class="share">text</div>',
+    '<div class="related">text</div>', '<div class="modal popup">text</div>', "<p><math><mi>te</mi>xt</math></p>"])
 def test_names_in_an_article_leave_out_no_text_of_its_own(kept):
     assert templates.main_text(f"<article><p>first</p>{kept}<p>last</p></article>", None, frozenset()) == "first\n\ntext\n\nlast"
 
@@ -458,6 +468,53 @@ def test_names_in_an_article_leave_out_what_is_confirmed(spark):
     assert templates.main_text('<div id="top-menu">go</div><p>text</p>', None, frozenset()) == "text"
 
 
+def test_main_body_beside_an_article_stays_and_reader_comments_go():
+    empty = frozenset()
+    assert templates.main_text("<main><article><p>A teaser</p></article><p>Main body long text here</p></main>", None, empty) == (
+        "A teaser\n\nMain body long text here")
+    for comments in ('<article class="comment"><p>me too</p></article>', '<section id="comments"><p>me too</p></section>',
+                     '<div id="comments"><p>me too</p></div>', '<ol class="comment-list"><li>me too</ol>', '<article class="comment odd">me too</article>'):
+        assert templates.main_text(f"<main><p>text</p>{comments}</main>", None, empty) == "text"
+        assert templates.main_text(f"<article><p>text</p>{comments}</article>", None, empty) == "text"
+        assert templates.main_text(f"<p>text</p>{comments}", None, empty) == "text"
+
+
+def brute_template(pages):
+    """Tokens of classes of two or more with one occurrence vector over all distinct pages, on nine of ten pages or more."""
+    counts = []
+    for page in dict.fromkeys(pages):
+        found, paths = templates.blocks_of(page)
+        own = Counter({f"<{p}": n for p, n in paths.items()})
+        for b in found:
+            if not b.left_out:
+                own.update(f"{b.path}\t{w}" for w in [*b.text.split(" "), templates._whole(b.text)])
+        counts.append(own)
+    vectors = {t: tuple(c[t] for c in counts) for c in counts for t in c}
+    valid = {t: v for t, v in vectors.items() if sum(n > 0 for n in v) >= templates.SUPPORT * len(counts)}
+    sizes = Counter(valid.values())
+    return ({t[1:] for t in valid if t[0] == "<"}, {t for t, v in valid.items() if t[0] != "<" and sizes[v] > 1}) if len(counts) >= 5 else (set(), set())
+
+
+def test_template_decides_inside_articles(spark):
+    r, words = random.Random(21), vocabulary(22, 300)
+    notice = "<p class='x'>Sign up for our daily mail now</p>"
+    pages = {f"h{h}": [] for h in range(3)}
+    for h, own in pages.items():
+        for i in range(14):
+            body = "".join(f"<p>{' '.join(r.choice(words) for _ in range(r.randint(8, 30)))} now our</p>" for _ in range(r.randint(1, 4)))
+            own.append(f"<html><body><article><h1>{r.choice(words)} {i}</h1>{body}{notice if h != 'h2' else ''}</article></body></html>")
+    df = spark.createDataFrame([(h, p) for h, own in pages.items() for p in own], "host string, html string").repartition(3)
+    for t in templates.deduce(df).collect():
+        elements, fixed = brute_template(pages[t["host"]])
+        assert (set(t["elements"]), set(t["words"])) == (elements, fixed)
+    rows = spark.createDataFrame([(f"http://{h}/{i}", p) for h, own in pages.items() for i, p in enumerate(own)], "url string, html string")
+    got = {x["url"]: x["text"] for x in templates.extract(rows, keep=["url"]).select("row.url", "text").collect()}
+    for h, own in pages.items():
+        for i, p in enumerate(own):
+            want = [b.text for b in templates.blocks_of(p)[0] if b.text != "Sign up for our daily mail now"]
+            assert got[f"http://{h}/{i}"] == "\n\n".join(want)
+
+
 # ---- language
 
 
