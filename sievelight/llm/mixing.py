@@ -23,6 +23,8 @@ WEIGHTS, MOST_PASSES = (5, 2, 1), 3
 BLOCK_WORDS = 1 << 14
 SHARD_WORDS = 1 << 22
 SHARD_LIMIT = 1 << 14
+#: Blocks in all, at most: of a corpus with more words they are longer. Numbers of blocks that one row of a range makes.
+MOST_BLOCKS, RANGE_BLOCKS = 1 << 28, 1 << 16
 #: Slices of the permuted order of a source, so that no task holds a whole source.
 SLICES = 1024
 
@@ -65,12 +67,13 @@ def split_quotas(blocks: list[int], shards: int, seed: int) -> list[list[int]]:
     return halve(np.array(blocks, np.int64), shards)
 
 
-def _step(n: int) -> int:
-    """A multiplier prime to n, near the golden section: i -> i * step mod n permutes the blocks."""
-    step = max(1, int(n * 0.6180339887))
+def _permutation(n: int, rank: int, seed: int) -> tuple[int, int]:
+    """Step and shift of a permutation of n blocks, i -> (i * step + shift) mod n: near the golden section, moved by the seed."""
+    rng = np.random.default_rng([seed, rank])
+    step = max(1, int(n * (0.6180339887 + 0.01 * rng.random())))
     while math.gcd(step, n) != 1:
         step += 1
-    return step
+    return step, int(rng.integers(n))
 
 
 def placements(
@@ -95,9 +98,10 @@ def placements(
     plan = total.withColumns({
         "words": F.round("target").cast("long"),
         "passes": F.when(F.col("source_size") > 0, F.floor(F.round("target") / F.col("source_size"))).otherwise(0).cast("long"),
-    }).withColumn("rest", F.col("words") - F.col("passes") * F.col("source_size")).withColumn(
-        "blocks", F.ceil(F.col("words") / block_words).cast("long"))
-    counts = [(r["rank"], r["blocks"]) for r in plan.select("rank", "blocks").orderBy("rank").collect()]
+    }).withColumn("rest", F.col("words") - F.col("passes") * F.col("source_size"))
+    wanted = [(r["rank"], r["words"]) for r in plan.select("rank", "words").orderBy("rank").collect()]
+    block_words = max(block_words, -(-sum(n for _, n in wanted) // MOST_BLOCKS))
+    counts = [(rank, -(-n // block_words)) for rank, n in wanted]
     all_words = sum(b for _, b in counts) * block_words
     shards = min(SHARD_LIMIT, 1 << max(0, math.ceil(math.log2(max(1, all_words / SHARD_WORDS)))))
     quotas = split_quotas([b for _, b in counts], shards, seed)
@@ -107,32 +111,36 @@ def placements(
             if n:
                 dealt.append({"rank": counts[i][0], "low": at[i], "high": at[i] + n - 1, "shard": shard})
                 at[i] += n
-    steps = [{"rank": rank, "step": _step(n), "of": n} for rank, n in counts if n]
+    steps = [{"rank": rank, "step": step, "shift": shift, "of": n} for rank, n in counts if n for step, shift in [_permutation(n, rank, seed)]]
     spark = docs.sparkSession
 
     def table(rows: list[dict], schema: str) -> DataFrame:
         return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
 
-    drawn = table(dealt, "rank int, low long, high long, shard int").select(
-        "rank", "shard", F.explode(F.sequence("low", "high")).alias("drawn"))
-    # Block i of a source is drawn at i * step mod its number of blocks.
+    ranges = table(dealt, "rank int, low long, high long, shard int").select(
+        "rank", "shard", "high", F.explode(F.sequence("low", "high", F.lit(RANGE_BLOCKS).cast("long"))).alias("low"))
+    if sum(n for _, n in counts) > RANGE_BLOCKS:
+        ranges = ranges.repartition("rank", "low")  # each task makes the blocks of some ranges
+    drawn = ranges.select("rank", "shard", F.explode(
+        F.sequence("low", F.least("high", F.col("low") + RANGE_BLOCKS - 1))).alias("drawn"))
+    # Block i of a source is drawn at (i * step + shift) mod its number of blocks.
     before = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = sums.withColumn("before", F.coalesce(F.sum("own").over(before), F.lit(0))).drop("own").alias("s").join(
         plan.alias("p"), F.col("s.source").eqNullSafe(F.col("p.source"))).select("s.*", "rank", "source_size", "target", "passes", "rest")
-    slices = slices.join(table(steps, "rank int, step long, of long"), "rank", "left")
+    slices = slices.join(table(steps, "rank int, step long, shift long, of long"), "rank", "left")
     inner = Window.partitionBy("rank", "d.slice").orderBy("h", "uid").rowsBetween(Window.unboundedPreceding, -1)
     laid = sized.alias("d").join(
         slices.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")) & (F.col("d.slice") == F.col("s.slice"))).select(
-        "uid", "row", "size", "h", "rank", "source_size", "target", "passes", "rest", "step", "of",
+        "uid", "row", "size", "h", "rank", "source_size", "target", "passes", "rest", "step", "shift", "of",
         (F.col("before") + F.coalesce(F.sum("size").over(inner), F.lit(0))).alias("start"))
     part = F.greatest(F.lit(0), F.least("size", F.col("rest") - F.col("start")))
     passes = F.filter(
         F.transform(F.sequence(F.lit(0).cast("long"), F.col("passes")), lambda p: F.struct(
             p.alias("pass"), F.when(p < F.col("passes"), F.col("size")).otherwise(part).alias("words"))),
         lambda x: x["words"] > 0)
-    taken = laid.select("uid", "row", "size", "h", "rank", "source_size", "target", "start", "step", "of", F.explode_outer(passes).alias("t"))
+    taken = laid.select("uid", "row", "size", "h", "rank", "source_size", "target", "start", "step", "shift", "of", F.explode_outer(passes).alias("t"))
     block = F.floor((F.col("t.pass") * F.col("source_size") + F.col("start")) / block_words)
-    placed = taken.withColumn("drawn", F.pmod(block * F.col("step"), F.col("of"))).join(drawn, ["rank", "drawn"], "left")
+    placed = taken.withColumn("drawn", F.pmod(block * F.col("step") + F.col("shift"), F.col("of"))).join(drawn, ["rank", "drawn"], "left")
     return placed.select(
         "uid", "row", "size", "source_size", "target", F.col("t.pass").alias("pass"), F.col("t.words").alias("words"), "shard",
         F.xxhash64(F.lit(seed), "shard", "h", "t.pass").alias("position"))

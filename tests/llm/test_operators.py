@@ -593,6 +593,25 @@ def test_mixing(spark, corpus):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_blocks_of_a_mix_are_a_permutation_and_bounded(spark, corpus, monkeypatch):
+    for n in (1, 2, 7, 1000, 65_537):
+        (step, shift), other = mixing._permutation(n, 3, 1), mixing._permutation(n, 3, 2)
+        assert sorted((i * step + shift) % n for i in range(n)) == list(range(n)) and (n < 1000 or (step, shift) != other)
+
+    def taken(**kw):
+        return sorted((str(r["row"]), r["taken"], r["target"]) for r in mixing.mix(table(spark, corpus), **kw).collect())
+
+    want = taken()
+    # Many short blocks made by several ranges and dealt to several shards, then few long ones: what the mix takes is the same.
+    monkeypatch.setattr(mixing, "RANGE_BLOCKS", 64)
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 1 << 12)
+    rows = mixing.placements(table(spark, corpus), block_words=16).collect()
+    assert len({r["shard"] for r in rows if r["pass"] is not None}) > 4 and not any(r["shard"] is None for r in rows if r["pass"] is not None)
+    assert taken(block_words=16) == want
+    monkeypatch.setattr(mixing, "MOST_BLOCKS", 10)
+    assert taken(block_words=16) == want
+
+
 def test_split_quotas():
     quotas = mixing.split_quotas([1000, 10, 0, 333], 8, 3)
     assert np.sum(quotas, axis=0).tolist() == [1000, 10, 0, 333] and max(map(sum, quotas)) - min(map(sum, quotas)) <= 1
@@ -641,3 +660,17 @@ def test_pipeline_on_small_fixture(spark, tmp_path, corpus):
             assert {(r["doc_id"], r["doc_id"]) for r in kept.collect()} == want
     assert corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().count() == kept.select("doc_id").distinct().count()
     assert json.dumps([n for n, _ in corpus_pipeline.STAGES])
+
+
+def test_pipeline_stages_with_clashing_columns_nulls_and_empty_tables(spark, tmp_path, corpus):
+    import corpus_pipeline
+
+    names = ["kept_id", "taken_id", "copies", "copy", "kept", "own", "mixed", "n", "col", "row", "uid", "lang_pred"]
+    docs = table(spark, corpus).drop("row", "uid").withColumns({c: F.lit(c) for c in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, str(tmp_path))
+        assert got.columns == docs.columns and got.where(" OR ".join(f"{c} <> '{c}'" for c in names)).count() == 0, name
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+    # Only texts without a letter are rejected by the first stage.
+    kept = corpus_pipeline.language_id(spark, docs, str(tmp_path))
+    assert kept.count() == sum(any(ch.isalpha() for ch in t or "") for _, t, *_ in corpus)
