@@ -11,7 +11,7 @@ import base64
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sievelight.functions.crypto import hmac_sha256_hex
-from sievelight.operators import dedup, verify
+from sievelight.operators import dedup, history, verify
 from sievelight.plans.common import SQL_K, element, instant, k_of, run_folder, spread, struct, table
 from sievelight.sources.landing import body_payload
 from sievelight.streaming import dedup as stream_dedup, ingest
@@ -218,6 +218,23 @@ def ttl_dedup(spark, sf):
     return dedup.dedup_ttl(_replays(spark, sf), ["delivery_id"], "received_at", "event_id").select("event_id")
 
 
+@query(ORACLES["ttl_dedup"])
+def daily_ttl_dedup(spark, sf):
+    """The same rule over runs of a third of the time each, with a history of the ids between them."""
+    rows = _replays(spark, sf)
+    low, high = rows.agg(F.min("received_at"), F.max("received_at")).first()
+    seen = history.SeenIds(spark, f"{run_folder(spark)}/seen", ["delivery_id"], 8)
+    edges = [low + (high - low) * k / 3 for k in range(3)]
+    out = None
+    for run, start in enumerate(edges):
+        own = rows.where(F.col("received_at") >= start)
+        if run < 2:
+            own = own.where(F.col("received_at") < edges[run + 1])
+        kept = history.dedup_run(own, run, seen, "received_at", "event_id", edges[run + 1] if run < 2 else high).select("event_id")
+        out = kept if out is None else out.unionByName(kept)
+    return out
+
+
 _ACTIONS = ["opened", "edited", "created", "deleted", "labeled"]
 
 

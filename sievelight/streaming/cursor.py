@@ -39,7 +39,7 @@ def _pointer(spark: SparkSession, folder: str) -> dict[str, int | None]:
         stream.close()
 
 
-def _point_to(spark: SparkSession, folder: str, version: int, previous: int | None) -> None:
+def point_to(spark: SparkSession, folder: str, version: int, previous: int | None) -> None:
     """Replace the pointer: written aside, then renamed over the old one in one step."""
     jvm = spark._jvm
     fs, new = _hadoop(spark, f"{folder}/{POINTER}.{uuid.uuid4().hex}")
@@ -52,7 +52,7 @@ def _point_to(spark: SparkSession, folder: str, version: int, previous: int | No
     context.rename(new, jvm.org.apache.hadoop.fs.Path(f"{folder}/{POINTER}"), options)
 
 
-def _drop_others(spark: SparkSession, folder: str, keep: set[int | None]) -> None:
+def drop_other_versions(spark: SparkSession, folder: str, keep: set[int | None]) -> None:
     fs, path = _hadoop(spark, folder)
     for status in fs.listStatus(path):
         name = status.getPath().getName()
@@ -60,7 +60,7 @@ def _drop_others(spark: SparkSession, folder: str, keep: set[int | None]) -> Non
             fs.delete(status.getPath(), True)
 
 
-def _version_before(spark: SparkSession, folder: str, before: int | None) -> int | None:
+def version_before(spark: SparkSession, folder: str, before: int | None) -> int | None:
     pointer = _pointer(spark, folder)
     newest = pointer["version"]
     return newest if newest is None or before is None or newest < before else pointer["previous"]
@@ -68,7 +68,7 @@ def _version_before(spark: SparkSession, folder: str, before: int | None) -> int
 
 def read_cursors(spark: SparkSession, folder: str, before: int | None = None) -> DataFrame:
     """The newest cursor version (below ``before``, the batch that is at work, when given); empty when there is none."""
-    version = _version_before(spark, folder, before)
+    version = version_before(spark, folder, before)
     if version is None:
         return spark.createDataFrame([], CURSOR_SCHEMA)
     return spark.read.schema(CURSOR_SCHEMA).parquet(f"{folder}/version={version}")
@@ -85,12 +85,12 @@ def advance_cursor(batch: DataFrame, batch_id: int, out: str, cursors: str, repo
     batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
     rows = batch.where(F.col(updated).isNotNull())
     proposed = next_cursor(rows if verdict is None else delivered(rows, verdict, repo, updated, event), repo, updated, event)
-    previous = _version_before(spark, cursors, batch_id)
+    previous = version_before(spark, cursors, batch_id)
     merged = merge_cursors(read_cursors(spark, cursors, batch_id), proposed.select(
         F.col(repo).alias("repository_id"), "updated_at", "last_provider_event_id", "schema_version"))
     merged.write.mode("overwrite").parquet(f"{cursors}/version={batch_id}")
-    _point_to(spark, cursors, batch_id, previous)
-    _drop_others(spark, cursors, {batch_id, previous})
+    point_to(spark, cursors, batch_id, previous)
+    drop_other_versions(spark, cursors, {batch_id, previous})
 
 
 def emit_with_cursor(stream: DataFrame, out: str, cursors: str, checkpoint: str, **columns: str) -> DataStreamWriter:

@@ -176,18 +176,45 @@ def test_cursor_versions_stay_few_and_survive_failures(spark, tmp_path, monkeypa
     assert sorted(f for f in os.listdir(folder) if f.startswith("version=")) == ["version=4", "version=5"]
     # A replay of the last batch starts from the version before it.
     assert {r.repository_id: r.updated_at for r in cursor.read_cursors(spark, folder, 5).collect()}["r1"] == "2024-01-05"
-    for step in ("_point_to", "_drop_others"):
+    for step in ("point_to", "drop_other_versions"):
         with monkeypatch.context() as m:
             m.setattr(cursor, step, lambda *a: 1 / 0)
             try:
                 cursor.advance_cursor(batch(6), 6, out, folder)
             except ZeroDivisionError:
                 pass
-        assert now()["r1"] == ("2024-01-06" if step == "_point_to" else "2024-01-07")
+        assert now()["r1"] == ("2024-01-06" if step == "point_to" else "2024-01-07")
     cursor.advance_cursor(batch(6), 6, out, folder)
     assert now()["r1"] == "2024-01-07" and spark.read.parquet(out).count() == 14
 
 
+def test_daily_runs_with_a_history_equal_one_run(spark, tmp_path):
+    from sievelight.operators.history import SeenIds, dedup_run
+
+    rng = random.Random(17)
+    rows = [(rng.choice(["a", "b", "c", "", None] + [f"x{k}" for k in range(40)]), rng.randint(0, 4999), i) for i in range(400)]
+
+    def table(rows):
+        return spark.createDataFrame(rows, "k string, t long, i long").withColumn("ts", F.timestamp_seconds("t"))
+
+    want = sorted(r.i for r in dedup.dedup_ttl(table(rows), ["k"], "ts", "i", ttl=700).collect())
+    history = SeenIds(spark, str(tmp_path / "seen"), ["k"], 4)
+    got = []
+    for day in range(5):
+        own = table([r for r in rows if day * 1000 <= r[1] < (day + 1) * 1000])
+        if day == 3:  # a repeated run starts from the version before it
+            dedup_run(own, day, history, "ts", "i", "1970-01-01 01:06:40+00:00", ttl=700)
+        plan = history.of(own)
+        if plan is not None:
+            text = plan._jdf.queryExecution().executedPlan().toString()
+            seen = text[text.index("seen_") - 3000 if text.index("seen_") > 3000 else 0:]
+            assert "Bucketed: true" in text and text.count("Exchange") == 1, seen
+        until = f"1970-01-01 {(day + 1) * 1000 // 3600:02d}:{(day + 1) * 1000 % 3600 // 60:02d}:{(day + 1) * 1000 % 60:02d}+00:00"
+        got += [r.i for r in dedup_run(own, day, history, "ts", "i", until, ttl=700).collect()]
+    assert sorted(got) == want
+    assert history.read().agg(F.min("last")).first()[0] >= (5000 - 700) * 1_000_000
+
+
 def test_rows_without_id_and_ties(spark):
     rows = [("x", 1, 1), ("x", 1, 1), ("", 1, 2), ("", 1, 2), (None, 1, 3), (None, 1, 3), ("y", 1, 4), ("y", 500, 5)]
     df = spark.createDataFrame(rows, "k string, t long, i long").withColumn("ts", F.timestamp_seconds("t"))
