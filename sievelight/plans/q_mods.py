@@ -352,17 +352,23 @@ def k_card():
     return (F.col("k") % 4 != 1) & (F.col("k") % 5 == 0)
 
 
-@query("SELECT 'compliance-routing' AS mod_id, 'outputs_mismatch' AS reason UNION ALL SELECT 'made-up', 'id_mismatch'")
+@query("""
+WITH p AS (SELECT p_partkey AS k FROM part)
+SELECT mod_id, reason, count(*) AS n FROM (
+  SELECT CASE WHEN k % 3 = 0 THEN 'made-up-' || k % 7 ELSE 'compliance-routing' END AS mod_id,
+    CASE WHEN k % 3 = 0 THEN 'id_mismatch' WHEN k % 5 = 0 THEN 'version_mismatch' WHEN k % 5 = 1 THEN 'outputs_mismatch'
+      WHEN k % 5 = 2 THEN 'forbidden_baseline_missing' END AS reason FROM p) WHERE reason IS NOT NULL GROUP BY ALL""")
 def manifest_audit(spark, sf):
-    """Declared manifests (two of them wrong, taken from the nation table) against the code."""
-    code = M.manifests(spark)
-    n = table(spark, sf, "nation")
-    wrong = n.where("n_nationkey = 0").select(
-        F.lit("made-up").alias("mod_id"), F.lit("0.1.0").alias("version"), F.array(F.lit("routing_hint")).alias("outputs"),
-        F.array(F.col("n_name")).alias("forbidden"))
-    declared = code.withColumn("outputs", F.when(F.col("mod_id") == "compliance-routing", F.array(F.lit("routing_hint"))).otherwise(
-        F.col("outputs"))).unionByName(wrong)
-    return M.audit_manifests(declared, code)
+    """One declared manifest per part, right or wrong by a rule, against the code of one mod."""
+    code = M.manifests(spark).where("mod_id = 'compliance-routing'")
+    k = F.col("p_partkey")
+    own = table(spark, sf, "part").select("p_partkey").join(code.withColumnRenamed("mod_id", "_mod"))
+    declared = own.select(
+        F.when(k % 3 == 0, F.concat(F.lit("made-up-"), k % 7)).otherwise(F.col("_mod")).alias("mod_id"),
+        F.when(k % 5 == 0, F.lit("9.9.9")).otherwise(F.col("version")).alias("version"),
+        F.when(k % 5 == 1, F.array(F.lit("routing_hint"))).otherwise(F.col("outputs")).alias("outputs"),
+        F.when(k % 5 == 2, F.array(F.lit("other"))).otherwise(F.col("forbidden")).alias("forbidden"))
+    return M.audit_manifests(declared, code).groupBy("mod_id", "reason").agg(F.count("*").alias("n"))
 
 
 @query("""

@@ -384,13 +384,12 @@ def observe_confluence(spark, sf):
 
 
 @query(r"""
-SELECT page_id, trim(regexp_replace(regexp_replace(replace(html, '&', '+'), '<[^<>]*>', ' ', 'g'),
+SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^<>]*>', ' ', 'g'),
   '[\s\x1c-\x1f\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')) AS plain
 FROM pages""")
 def page_text(spark, sf):
-    """Tag stripping and whitespace on whole pages, with the ampersands replaced up front."""
-    html = F.replace("html", F.lit("&"), F.lit("+"))
-    return spread(table(spark, sf, "pages")).select("page_id", ob.page_text(html, lambda c: c).alias("plain"))
+    """Tag stripping and white space on whole pages; character references stay as they are."""
+    return spread(table(spark, sf, "pages")).select("page_id", ob.page_text(E("html"), lambda c: c).alias("plain"))
 
 
 @query(r"""

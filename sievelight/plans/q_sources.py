@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievelight.plans.common import SQL_K, element, k_of, struct, table
+from sievelight.plans.common import SQL_K, element, k_of, run_folder, struct, table
+from sievelight.session import cut_lineage
 from sievelight.sources import filters, landing, pages as pg
 
 QUERIES, ORACLES = {}, {}
@@ -203,15 +204,41 @@ def document_responses(spark, sf):
     return rows.groupBy("event_type", "outcome").agg(F.count("*").alias("n"))
 
 
-@query("SELECT 'events.parquet' AS name, 'yes' AS non_empty UNION ALL SELECT n || '.parquet', 'yes' FROM "
-       "(SELECT unnest(['region','nation','customer','supplier','part','orders','lineitem','documents','embeddings',"
-       "'pages','benchmark','labels','conversations']) AS n)")
+_KIND, _SQL_KIND = r"kind=([^/]+)/", "event_type || '-' || event_id % 16"
+
+
+def _written(spark: SparkSession, sf: str) -> str:
+    """Events as text files, one for some of the events of a type, one line per event, in order."""
+    folder = run_folder(spark)
+    kind = F.concat_ws("-", "event_type", F.col("event_id") % 16)
+    rows = table(spark, sf, "events").select(kind.alias("kind"), F.concat_ws("|", "event_id", F.lit("é"), "props").alias("value"), "event_id")
+    rows.repartition("kind").sortWithinPartitions("kind", "event_id").drop("event_id").write.partitionBy("kind").text(folder)
+    return folder
+
+
+@query(f"SELECT {_SQL_KIND} AS kind, sha256(string_agg(event_id || '|é|' || props || chr(10), '' ORDER BY event_id)) AS digest FROM events GROUP BY 1")
 def local_files(spark, sf):
-    """Files of the data folder as rows; content is read as text with replacement marks."""
-    files = landing.read_files(spark, sf, "*.parquet")
-    return files.select(
-        F.regexp_extract("path", "([^/]+)$", 1).alias("name"),
-        F.when(F.length("content") > 0, F.lit("yes")).otherwise(F.lit("no")).alias("non_empty"))
+    """Whole files as rows, by their content."""
+    files = landing.read_files(spark, _written(spark, sf), "*.txt")
+    return files.select(F.regexp_extract("path", _KIND, 1).alias("kind"), F.sha2("content", 256).alias("digest"))
+
+
+@query(f"""
+WITH l AS (SELECT {_SQL_KIND} AS kind, event_id || '|é|' || props AS line FROM events)
+SELECT kind, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars, CAST(sum(CAST('0x' || left(md5(line), 12) AS BIGINT)) AS BIGINT) AS digests
+FROM l GROUP BY kind""")
+def local_file_lines(spark, sf):
+    """The same files line by line, in byte ranges that several tasks share."""
+    key, folder = "spark.sql.files.maxPartitionBytes", _written(spark, sf)
+    before = spark.conf.get(key)
+    spark.conf.set(key, "16k")
+    try:
+        lines = landing.read_file_lines(spark, folder, "*.txt").withColumn("kind", F.regexp_extract("path", _KIND, 1))
+        part = F.conv(F.left(F.md5("line"), F.lit(12)), 16, 10).cast("long")
+        return cut_lineage(lines.groupBy("kind").agg(
+            F.count("*").alias("n_lines"), F.sum(F.char_length("line")).alias("n_chars"), F.sum(part).alias("digests")))
+    finally:
+        spark.conf.set(key, before)
 
 
 @query("""

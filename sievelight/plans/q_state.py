@@ -62,13 +62,13 @@ def _versions(spark, sf):
 
 
 @query("""
-WITH c AS (SELECT c_custkey, '199' || (5 + c_custkey % 5) || '-06-01' AS since FROM customer WHERE c_nationkey < 20)
+WITH c AS (SELECT c_custkey, CASE WHEN c_nationkey < 20 THEN '199' || (5 + c_custkey % 5) || '-06-01' END AS since FROM customer)
 SELECT o_orderkey AS id FROM orders LEFT JOIN c ON o_custkey = c_custkey
 WHERE o_orderstatus <> 'P' AND (since IS NULL OR strftime(o_orderdate, '%Y-%m-%d') >= since)""")
 def incremental_pull(spark, sf):
-    cursors = table(spark, sf, "customer").where("c_nationkey < 20").select(
-        F.col("c_custkey").cast("string").alias("repository_id"),
-        F.concat(F.lit("199"), (5 + F.col("c_custkey") % 5).cast("string"), F.lit("-06-01")).alias("updated_at"))
+    since = F.concat(F.lit("199"), (5 + F.col("c_custkey") % 5).cast("string"), F.lit("-06-01"))
+    cursors = table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("repository_id"), F.when(F.col("c_nationkey") < 20, since).alias("updated_at"))
     return I.in_order(I.incremental(_versions(spark, sf), cursors, is_pull="is_pull"), "updated_at", "id").select("id")
 
 

@@ -95,6 +95,19 @@ def read_files(spark: SparkSession, path: str, glob: str = "*", streaming: bool
     )
 
 
+def read_file_lines(spark: SparkSession, path: str, glob: str = "*", streaming: bool = False) -> DataFrame:
+    """The lines of files of any size as ``path, start, line, modified``: byte ranges of a file go to many tasks.
+
+    Splits end at line borders, so no line and no character is cut; ``start`` is the first byte of the range that a line was read in,
+    and the rows of a range are in the file's order. Use it where a file can be larger than a row (``read_files``). Bytes
+    that are no UTF-8 become replacement marks.
+    """
+    lines = _reader(spark, streaming).option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path)
+    return lines.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+        F.make_valid_utf8("value").alias("line"), F.col("_metadata.file_modification_time").alias("modified"))
+
+
 def explode_lines(df: DataFrame) -> DataFrame:
     """Rows that hold a ``lines`` list become one row per list member; other rows stay."""
     v = F.col("payload_v")

@@ -215,6 +215,24 @@ def test_daily_runs_with_a_history_equal_one_run(spark, tmp_path):
     assert history.read().agg(F.min("last")).first()[0] >= (5000 - 700) * 1_000_000
 
 
+def test_one_large_file_is_read_by_many_tasks(spark, tmp_path):
+    from sievelight.sources.landing import read_file_lines
+
+    lines = [f"{i} é🙂 " + "x" * (i % 300) for i in range(5000)] + ["y" * 200_000, "", "last"]
+    (tmp_path / "big.log").write_bytes("\n".join(lines).encode())
+    (tmp_path / "bad.log").write_bytes(b"a\xff\nb")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        df = read_file_lines(spark, str(tmp_path), "*.log")
+        got = df.withColumn("task", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    big = sorted((r for r in got if r.path.endswith("big.log")), key=lambda r: (r.start, r["at"]))
+    assert [r.line for r in big] == lines and len({r.task for r in big}) > 20
+    assert sorted(r.line for r in got if r.path.endswith("bad.log")) == ["a\ufffd", "b"]
+
+
 def test_rows_without_id_and_ties(spark):
     rows = [("x", 1, 1), ("x", 1, 1), ("", 1, 2), ("", 1, 2), (None, 1, 3), (None, 1, 3), ("y", 1, 4), ("y", 500, 5)]
     df = spark.createDataFrame(rows, "k string, t long, i long").withColumn("ts", F.timestamp_seconds("t"))
