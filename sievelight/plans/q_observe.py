@@ -374,15 +374,6 @@ def observe_granola(spark, sf):
     return flat_observations(ob.observe_granola(df), "conv_id")
 
 
-@query()
-def observe_confluence(spark, sf):
-    """Web pages as storage bodies (entity decoding has no SQL form; tests use a fixture)."""
-    df = payload(spread(table(spark, sf, "pages")), ["page_id"], id=E("page_id").cast("string"),
-                 title=say("Page ", E("page_id").cast("string")), body=struct(storage=struct(value=E("html"))),
-                 _links=struct(base=F.lit("https://wiki/"), webui=say("/p/", E("page_id").cast("string"))))
-    return flat_observations(ob.observe_confluence(df), "page_id")
-
-
 @query(r"""
 SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^<>]*>', ' ', 'g'),
   '[\s\x1c-\x1f\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')) AS plain
@@ -392,15 +383,46 @@ def page_text(spark, sf):
     return spread(table(spark, sf, "pages")).select("page_id", ob.page_text(E("html"), lambda c: c).alias("plain"))
 
 
-@query(r"""
+#: The text of a page without tags, with its character references decoded.
+_PAGE_TEXT = r"""
 WITH d AS (SELECT page_id, regexp_replace(html, '<[^<>]*>', ' ', 'g') AS t FROM pages),
 u AS (SELECT page_id, regexp_replace(replace(replace(replace(t, '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;?', '&', 'g') AS t FROM d)
-SELECT page_id, trim(regexp_replace(t, '[\s\x1c-\x1f\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')) AS plain FROM u""")
+SELECT page_id, trim(regexp_replace(t, '[\s\x1c-\x1f\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')) AS plain FROM u"""
+
+
+@query(_PAGE_TEXT)
 def page_text_decoded(spark, sf):
     """Whole pages with their character references decoded."""
     return spread(table(spark, sf, "pages")).select("page_id", ob.page_text(E("html")).alias("plain"))
 
 
+# Redaction of page text in SQL: card numbers that pass the check digit, e-mail addresses, then phone numbers. A phone number has no digit
+# before or after it; it is replaced twice, as neighbours share the character between them.
+_LUHN = """list_sum(list_transform(range(1, length(c) + 1), lambda i:
+  CASE WHEN (length(c) - i) % 2 = 0 THEN c[i]::INTEGER ELSE (c[i]::INTEGER * 2) % 10 + (c[i]::INTEGER * 2) // 10 END)) % 10 = 0"""
+_PHONE = r"""regexp_replace({}, '(^|[^0-9])(?:(?:\+?[0-9]{{1,3}}[ .\-]?)?(?:\([0-9]{{3}}\)|[0-9]{{3}})[ .\-]?[0-9]{{3}}[ .\-]?[0-9]{{4}}'
+  '|(?:\+|00)[ .\-]?[0-9]{{1,3}}[ .\-]?(?:[0-9][ .\-]?){{5,12}}[0-9])($|[^0-9])', '\1[redacted:phone]\2', 'g')"""
+_CALLED = r"""regexp_replace(t, '((?i:tel|phone|call|ring|mobile|cell|fax|whatsapp)\b[ :.\-]{1,4})(?:[0-9][ .\-]?){6,13}[0-9]', '\1[redacted:phone]', 'g')"""
+_REDACTED = f"""
+WITH x AS ({_PAGE_TEXT}),
+c AS (SELECT page_id, plain, list_filter(list_distinct(regexp_extract_all(plain, '[0-9]{{13,19}}')), lambda c: {_LUHN}) AS cards FROM x),
+p AS (SELECT page_id, list_reduce(cards, lambda t, n: replace(t, n, '[redacted:pan]'), plain) AS t FROM c),
+m AS (SELECT page_id, regexp_replace(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]+', '[redacted:email]', 'g') AS t FROM p),
+f AS (SELECT page_id, {_PHONE.format(_PHONE.format('t'))} AS t FROM m),
+r AS (SELECT page_id, {_CALLED} AS t FROM f)
+SELECT page_id, """
+
+
+@query(_REDACTED + sql_observation(
+    "confluence", ref="CAST(page_id AS VARCHAR)", kind="'page'", excerpt="t", mode="active", title="'Page ' || page_id", url="'https://wiki/p/' || page_id") + " FROM r")
+def observe_confluence(spark, sf):
+    """Web pages as storage bodies, redacted."""
+    df = payload(spread(table(spark, sf, "pages")), ["page_id"], id=E("page_id").cast("string"),
+                 title=say("Page ", E("page_id").cast("string")), body=struct(storage=struct(value=E("html"))),
+                 _links=struct(base=F.lit("https://wiki/"), webui=say("/p/", E("page_id").cast("string"))))
+    return flat_observations(ob.observe_confluence(df), "page_id")
+
+
 @query("""
 WITH c AS (SELECT conv_id, string_agg(CASE WHEN turn % 3 = 0 THEN '## ' ELSE '' END || trim(text, ' ' || chr(10)), chr(10)
   ORDER BY turn) AS said FROM conversations GROUP BY conv_id) SELECT conv_id, """ + sql_observation(
