@@ -561,6 +561,29 @@ def test_lines(spark, batches):
     assert line_dedup.drop_lines(table(spark, rows).limit(0)).count() == 0
 
 
+def test_line_runs_stay_where_they_are(spark):
+    """Runs are merged and anti-joined without an exchange of a run, and count what a plain grouping counts."""
+    r = random.Random(9)
+    runs, seen = line_dedup.LineRuns(spark, threshold=6, buckets=5), {}
+    for i in range(7):
+        lines = [min(r.randrange(40), r.randrange(40)) for _ in range(50)]
+        for x in lines:
+            seen[x] = seen.get(x, 0) + 1
+        batch = spark.createDataFrame([(x,) for x in lines], "line long")
+        fresh = runs.fresh(batch)
+        fresh.collect()
+        plan = fresh._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        # Two exchanges, both of the batch: its counts, and their way to the buckets.
+        assert plan.count("Exchange") == 2 and plan.count("Bucketed: true") == sum(x is not None for x in runs.levels)
+        runs.add(batch)
+    assert [x is not None for x in runs.levels] == [True, True, True]
+    merged = runs.merged(runs.levels[0], runs.levels[1])
+    merged.collect()
+    plan = merged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "Exchange" not in plan and plan.count("Bucketed: true") == 2 and "SortMergeJoin" in plan
+    assert {x["line"] for x in runs.frequent().collect()} == {x for x, n in seen.items() if n >= 6}
+
+
 # ---- mixing
 
 
