@@ -1,15 +1,16 @@
 """Lossless WebP: a decoder for all features of the format and a small encoder.
 
 Pixels are ``uint32`` ARGB arrays of shape (height, width). ``decode`` reads any still lossless file. ``decode_many``
-decodes many images in step, one symbol of each at a time, with numpy; images that use more than one prefix
-code group, the colour cache or back-references fall back to the general decoder, symbol by symbol.
+decodes many images in step, one symbol of each at a time, with numpy, with colour caches and back-references; images of more
+than one prefix code group fall back to the general decoder, symbol by symbol. The encoder uses a predictor, a
+colour cache and back-references where they make a file shorter.
 """
 
 from __future__ import annotations
 
-import heapq
 import struct
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 
@@ -101,14 +102,12 @@ def make_code(lengths: np.ndarray) -> Code:
         return Code(0, np.array([(int(used[0]) << 4) if len(used) else 0], np.int32))
     if (1 << (15 - lengths[used])).sum() != 1 << 15:
         raise Corrupt("a prefix code is not complete")
-    symbols, codes = _reversed_codes(lengths)
-    bits = int(lengths[symbols[-1]])
-    table = np.zeros(1 << bits, np.int32)
-    for n in np.unique(lengths[symbols]).tolist():
-        own = lengths[symbols] == n
-        places = codes[own][:, None] + (np.arange(1 << (bits - n)) << n)[None, :]
-        table[places] = (symbols[own] << 4 | n)[:, None]
-    return Code(bits, table)
+    symbols = used[np.argsort(lengths[used], kind="stable")]
+    n = lengths[symbols]
+    bits = int(n[-1])
+    # In canonical order the codes fill the table from the first bit on; the stream has the first bit lowest.
+    table = np.repeat(symbols << 4 | n, 1 << (bits - n))
+    return Code(bits, table[_MIRROR[:1 << bits] >> (15 - bits)].astype(np.int32))
 
 
 def read_lengths(source: Bits, size: int) -> np.ndarray:
@@ -269,8 +268,24 @@ def _add(a: int, b: int) -> int:
     return ((a & 0xFF00FF00) + (b & 0xFF00FF00)) & 0xFF00FF00 | ((a & 0x00FF00FF) + (b & 0x00FF00FF)) & 0x00FF00FF
 
 
+def _running(residuals: np.ndarray, mode: int) -> np.ndarray:
+    """``undo_predictor`` for a single mode, left (1) or top (2): the neighbours' sums, channel by channel."""
+    parts = np.ascontiguousarray(residuals, np.uint32).view(np.uint8).reshape(*residuals.shape, 4).copy()
+    parts[0, 0] += np.array([0, 0, 0, 255], np.uint8)
+    if mode == 1:
+        parts[:, 0] = np.cumsum(parts[:, 0], axis=0, dtype=np.uint8)
+        parts = np.cumsum(parts, axis=1, dtype=np.uint8)
+    else:
+        parts[0] = np.cumsum(parts[0], axis=0, dtype=np.uint8)
+        parts = np.cumsum(parts, axis=0, dtype=np.uint8)
+    return np.ascontiguousarray(parts).view(np.uint32).reshape(residuals.shape)
+
+
 def undo_predictor(image: np.ndarray, modes: np.ndarray, bits: int) -> np.ndarray:
     height, width = image.shape
+    used = np.unique(modes >> 8 & 15)
+    if len(used) == 1 and used[0] in (1, 2):
+        return _running(image, int(used[0]))
     rows: list[list[int]] = []
     for y, line in enumerate(image.tolist()):
         above, now = rows[-1] if rows else [], []
@@ -378,37 +393,43 @@ def decode(data: bytes) -> np.ndarray:
 
 
 def decode_many(files: list[bytes]) -> list[np.ndarray]:
-    """``decode`` of many files, in step where they have one group of codes and literals only."""
+    """``decode`` of many files, in step where they have one group of codes."""
     out: list[np.ndarray | None] = [None] * len(files)
-    images, tables, known = [], [np.zeros(1, np.int32)], {}
+    images, rich, tables, known = [], [], [np.zeros(1, np.int32)], {}
     offset = 1
     for i, data in enumerate(files):
         source, width, height = _open(data)
         transforms, inner = _transforms(source, width, height)
         start = source.at
-        if source.read(1) or source.read(1):
+        cache_bits = source.read(4) if source.read(1) else 0
+        if cache_bits > 11 or source.read(1):
             source.at = start
             out[i] = _undo(read_image(source, inner, height, True), transforms)
             continue
-        places, last = [], None
-        for n in (GREEN_SYMBOLS, LITERALS, LITERALS, LITERALS, DISTANCES):
-            if last is not None and n == LITERALS and source.peek(last[1]) == last[0]:
+        places, last, plain = [], None, True
+        for k, n in enumerate((GREEN_SYMBOLS + ((1 << cache_bits) if cache_bits else 0), LITERALS, LITERALS, LITERALS, DISTANCES)):
+            if last is not None and k < 4 and source.peek(last[1]) == last[0]:
                 source.at += last[1]  # the description of the code before, again
                 places.append(places[-1])
                 continue
             begin = source.at
             lengths = read_lengths(source, n)
-            if n == LITERALS:
+            if k in (1, 2, 3):
                 last = source.between(begin, source.at), source.at - begin
-            if len(places) < 4:
-                key = lengths[:LITERALS].tobytes() if not lengths[LITERALS:].any() else lengths.tobytes()
-                if key not in known:
-                    code = make_code(lengths)
-                    known[key] = offset, (1 << code.bits) - 1
-                    tables.append(code.table)
-                    offset += len(code.table)
-                places.append(known[key])
-        images.append((i, source, inner, height, transforms, places, start))
+            elif k == 0:
+                plain = not lengths[LITERALS:].any()
+            elif plain:
+                continue  # no distance is ever read
+            key = lengths[:LITERALS].tobytes() if not lengths[LITERALS:].any() else lengths.tobytes()
+            if key not in known:
+                code = make_code(lengths)
+                known[key] = offset, (1 << code.bits) - 1
+                tables.append(code.table)
+                offset += len(code.table)
+            places.append(known[key])
+        (images if plain else rich).append((i, source, inner, height, transforms, places, start, cache_bits))
+    if rich:
+        _decode_rich(rich, np.concatenate(tables), out)
     if not images:
         return out
     images.sort(key=lambda x: -(x[2] * x[3]))
@@ -441,14 +462,99 @@ def decode_many(files: list[bytes]) -> list[np.ndarray]:
         at[:n] = pos
         pixels[place[:n] + k] = value
     good = plain & (at <= end)
-    for (i, source, inner, height, transforms, _, start), ok, p, n in zip(images, good, place, sizes):
+    _place(images, pixels, place, good, out)
+    return out
+
+
+def _place(images: list[tuple], pixels: np.ndarray, place: np.ndarray, good: np.ndarray, out: list) -> None:
+    """Undo the transforms. What did not decode in step goes through the general decoder, which names the fault."""
+    for (i, source, inner, height, transforms, _, start, _), ok, p in zip(images, good, place):
         if ok:
-            image = pixels[p:p + n].reshape(height, inner)
+            image = pixels[p:p + inner * height].reshape(height, inner)
         else:
             source.at = start
             image = read_image(source, inner, height, True)
         out[i] = _undo(image, transforms)
-    return out
+
+
+_NEAR = np.array([(0, 0), *NEAR], np.int64)
+
+
+def _decode_rich(images: list[tuple], table: np.ndarray, out: list) -> None:
+    """Images with colour caches or back-references, in step: one literal, cache entry or reference of each at a time."""
+    data = [x[1].data for x in images]
+    starts = np.cumsum([0, *map(len, data)])
+    raw = np.frombuffer(b"".join(data) + bytes(8), np.uint8).astype(np.uint32)
+    words = raw[:-3] | raw[1:-2] << 8 | raw[2:-1] << 16 | raw[3:] << 24
+    at, end = starts[:-1] * 8 + np.array([x[1].at for x in images]), starts[1:] * 8
+    base = np.array([[p[0] for p in x[5]] for x in images]).T
+    mask = np.array([[p[1] for p in x[5]] for x in images], np.uint32).T
+    width, sizes = np.array([x[2] for x in images]), np.array([x[2] * x[3] for x in images])
+    place = np.cumsum([0, *sizes[:-1]])
+    bits = np.array([x[7] for x in images])
+    slots = np.cumsum([0, *np.where(bits, 1 << bits, 0)[:-1]])
+    cache = np.zeros(int(slots[-1]) + (1 << 11), np.uint32)
+    pixels, done = np.zeros(int(sizes.sum()), np.uint32), np.zeros(len(images), np.int64)
+    good = np.ones(len(images), bool)
+
+    def word(own: np.ndarray) -> np.ndarray:
+        pos = at[own]
+        return words[np.minimum(pos >> 3, len(words) - 1)] >> (pos & 7).astype(np.uint32)
+
+    def symbols(code: int, own: np.ndarray) -> np.ndarray:
+        entry = table[base[code, own] + (word(own) & mask[code, own])]
+        at[own] += entry & 15
+        return entry >> 4
+
+    def values(symbol: np.ndarray, own: np.ndarray) -> np.ndarray:
+        extra = np.where(symbol < 4, 0, (symbol - 2) >> 1).astype(np.int64)
+        more = word(own).astype(np.int64) & ((1 << extra) - 1)
+        at[own] += extra
+        return np.where(symbol < 4, symbol + 1, ((2 + (symbol & 1)) << extra) + more + 1)
+
+    def remember(own: np.ndarray, value: np.ndarray) -> None:
+        have = bits[own] > 0
+        own, value = own[have], value[have]
+        slot = (value * np.uint32(CACHE_FACTOR)) >> (32 - bits[own]).astype(np.uint32)
+        cache[slots[own] + slot] = value  # of several values for a slot the last one stays
+
+    live = np.arange(len(images))
+    while len(live):
+        symbol = symbols(0, live)
+        own = live[symbol < LITERALS]
+        if len(own):
+            value = symbol[symbol < LITERALS].astype(np.uint32) << np.uint32(8)
+            for code, shift in ((1, 16), (2, 0), (3, 24)):
+                value |= symbols(code, own).astype(np.uint32) << np.uint32(shift)
+            pixels[place[own] + done[own]] = value
+            remember(own, value)
+            done[own] += 1
+        cached = symbol >= GREEN_SYMBOLS
+        if cached.any():
+            own = live[cached]
+            value = cache[slots[own] + symbol[cached] - GREEN_SYMBOLS]
+            pixels[place[own] + done[own]] = value
+            remember(own, value)
+            done[own] += 1
+        refers = (symbol >= LITERALS) & ~cached
+        if refers.any():
+            own = live[refers]
+            n = values(symbol[refers] - LITERALS, own)
+            code = values(symbols(4, own), own)
+            near = _NEAR[np.where(code > len(NEAR), 0, code)]
+            back = np.where(code > len(NEAR), code - len(NEAR), np.maximum(1, near[:, 0] + near[:, 1] * width[own]))
+            fits = (back <= done[own]) & (done[own] + n <= sizes[own])
+            good[own[~fits]] = False
+            own, n, back = own[fits], n[fits], back[fits]
+            step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            first, period = np.repeat(place[own] + done[own], n), np.repeat(back, n)
+            # A reference that reaches into itself repeats its first ``back`` pixels.
+            value = pixels[first - period + step % period]
+            pixels[first + step] = value
+            remember(np.repeat(own, n), value)
+            done[own] += n
+        live = live[good[live] & (done[live] < sizes[live])]
+    _place(images, pixels, place, good & (at <= end), out)
 
 
 # ---- writing
@@ -461,24 +567,28 @@ def code_lengths(counts: np.ndarray, limit: int = CODE_BITS) -> np.ndarray:
     if len(used) <= 1:
         lengths[used] = 1
         return lengths
-    weight = [int(counts[s]) for s in used]
+    weight, m = np.asarray(counts, np.int64)[used], len(used)
     while True:
-        heap = [(w, i) for i, w in enumerate(weight)]
-        heapq.heapify(heap)
-        parent, n = [0] * (2 * len(used) - 1), len(used)
-        while len(heap) > 1:
-            a, i = heapq.heappop(heap)
-            b, j = heap[0]
-            parent[i] = parent[j] = n
-            heapq.heapreplace(heap, (a + b, n))
-            n += 1
-        depth = [0] * n
-        for i in range(n - 2, -1, -1):
+        order = np.argsort(weight, kind="stable")
+        # Leaves in order of weight; joint nodes arise in order of weight, too.
+        nodes, parent, leaf, joint = weight[order].tolist() + [0] * (m - 1), [0] * (2 * m - 1), 0, m
+        for k in range(m, 2 * m - 1):
+            for _ in range(2):
+                if joint >= k or leaf < m and nodes[leaf] <= nodes[joint]:
+                    parent[leaf] = k
+                    nodes[k] += nodes[leaf]
+                    leaf += 1
+                else:
+                    parent[joint] = k
+                    nodes[k] += nodes[joint]
+                    joint += 1
+        depth = [0] * (2 * m - 1)
+        for i in range(2 * m - 3, -1, -1):
             depth[i] = depth[parent[i]] + 1
-        if max(depth[:len(used)]) <= limit:
-            lengths[used] = depth[:len(used)]
+        if max(depth[:m]) <= limit:
+            lengths[np.asarray(used)[order]] = depth[:m]
             return lengths
-        weight = [max(1, w >> 2) + 1 for w in weight] if max(weight) > 2 else [1] * len(weight)
+        weight = np.maximum(1, weight >> 2) + 1 if weight.max() > 2 else np.ones(m, np.int64)
 
 
 class Writer:
@@ -516,28 +626,38 @@ def write_lengths(lengths: np.ndarray) -> Writer:
         out.put(1, 1)
         out.put(int(used[0]) if len(used) else 0, 8)
         return out
+    if not _FIXED:
+        _FIXED.update(_first_codes())
     out.put(0, 1)
     out.put(19 - 4, 4)
     for s in LENGTH_ORDER:
         out.put(int(_FIRST[s]), 3)
     out.put(0, 1)
-    codes, at, values = _first_codes() if not _FIXED else _FIXED, 0, lengths.tolist()
-    _FIXED.update(codes)
-    while at < len(values):
-        run = 1
-        if values[at] == 0:
-            while at + run < len(values) and run < 138 and values[at + run] == 0:
-                run += 1
-        if run >= 11:
-            out.put(*codes[18])
-            out.put(run - 11, 7)
-        elif run >= 3:
-            out.put(*codes[17])
-            out.put(run - 3, 3)
-        else:
-            run = 1
-            out.put(*codes[values[at]])
-        at += run
+    value, size, at = 0, 0, 0
+
+    def put(code: int, n: int) -> None:
+        nonlocal value, size
+        value |= code << size
+        size += n
+
+    for place, n in zip([*used.tolist(), len(lengths)], [*lengths[used].tolist(), None]):
+        zeros = place - at
+        while zeros:
+            run = min(zeros, 138)
+            if run >= 11:
+                put(*_FIXED[18])
+                put(run - 11, 7)
+            elif run >= 3:
+                put(*_FIXED[17])
+                put(run - 3, 3)
+            else:
+                run = 1
+                put(*_FIXED[0])
+            zeros -= run
+        if n is not None:
+            put(*_FIXED[n])
+        at = place + 1
+    out.put(value, size)
     return out
 
 
@@ -563,29 +683,184 @@ def _packed_bits(codes: np.ndarray, lengths: np.ndarray) -> tuple[int, int]:
     return int.from_bytes((low + high).astype("<u4").tobytes(), "little"), total
 
 
-def encode_samples(samples: np.ndarray, width: int = 16) -> bytes:
-    """Bytes as a lossless file: four bytes a pixel, rows of ``width`` pixels, one prefix code for all channels."""
-    pixels = samples.reshape(-1, 4)
-    height = len(pixels) // width
-    lengths = code_lengths(np.bincount(samples, minlength=256))
-    code = np.zeros(256, np.int64)
+#: Pixels that a back-reference repeats at least; it costs about as many bits as two literals.
+SHORTEST = 2
+#: Share of its bits that an image must save, by estimate, to be tried with back-references and a cache.
+LEAST_GAIN = 0.07
+
+
+def _value_parts(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of lengths or distances from 1, the number of their extra bits, and these bits."""
+    d = np.asarray(values, np.int64) - 1
+    high = np.log2(np.maximum(d, 1)).astype(np.int64)
+    extra = np.where(d < 4, 0, high - 1)
+    return np.where(d < 4, d, 2 * high + (d >> np.maximum(high - 1, 0) & 1)), extra, d & ((1 << extra) - 1)
+
+
+@lru_cache(maxsize=8)
+def _near_codes(width: int) -> dict[int, int]:
+    """The first short code of each distance that has one."""
+    return {max(1, x + y * width): i for i, (x, y) in reversed(list(enumerate(NEAR, 1)))}
+
+
+def _references(p: np.ndarray) -> list[tuple[int, int, int]]:
+    """``(place, length, distance)`` of repeats from left to right: each to the nearest earlier place that begins alike."""
+    key = p[:-1].astype(np.uint64) << np.uint64(32) | p[1:]
+    order = np.argsort(key, kind="stable")
+    same = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+    earlier = np.full(len(key), -1, np.int64)
+    earlier[order[same + 1]] = order[same]
+    found, until = [], 0
+    for i in np.flatnonzero(earlier >= 0).tolist():
+        if i < until:
+            continue
+        j = int(earlier[i])
+        differ = p[i:] != p[j:j + len(p) - i]
+        n = int(differ.argmax()) if differ.any() else len(p) - i
+        n = min(n, 4096)
+        if n >= SHORTEST:
+            found.append((i, n, i - j))
+            until = i + n
+    return found
+
+
+def _cache_slots(p: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Slot of each pixel, and whether the cache holds it there: the last pixel of the slot was the same one."""
+    slot = ((p * np.uint32(CACHE_FACTOR)) >> np.uint32(32 - bits)).astype(np.int64)
+    order = np.argsort(slot, kind="stable")
+    held = np.zeros(len(p), bool)
+    held[order[1:]] = (slot[order[1:]] == slot[order[:-1]]) & (p[order[1:]] == p[order[:-1]])
+    return slot, held
+
+
+def _coded(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code and number of bits of each symbol; a lone symbol takes none."""
+    code = np.zeros(len(lengths), np.int64)
     symbols, values = _reversed_codes(lengths)
     code[symbols] = values
-    used = lengths if len(symbols) > 1 else np.zeros(256, np.int64)
+    return code, lengths if len(symbols) > 1 else np.zeros(len(lengths), np.int64)
+
+
+def _bits_of(lengths: np.ndarray, counts: np.ndarray) -> int:
+    return int((lengths * counts).sum()) if np.count_nonzero(lengths) > 1 else 0
+
+
+def _rich_image(p: np.ndarray, width: int, most: int) -> Writer | None:
+    """The image with back-references and a colour cache; None if that can not be shorter than ``most`` bits."""
+    if len(p) <= SHORTEST:
+        return None
+    found = _references(p)
+    cache_bits = max(1, min(8, len(p).bit_length() - 3))
+    slot, held = _cache_slots(p, cache_bits)
+    inside = np.zeros(len(p), bool)
+    for i, n, _ in found:
+        inside[i:i + n] = True
+    hits = int((held & ~inside).sum())
+    # What a literal (a pixel's share of ``most``), a reference and a cache entry cost, roughly.
+    literal = most / len(p)
+    cached = hits * (literal - 12) > 60
+    gain = literal * int(inside.sum()) - 27 * len(found) + (hits * (literal - 12) if cached else 0)
+    if gain < 100 + LEAST_GAIN * most:
+        return None
+    starts = np.zeros(len(p), bool)
+    starts[[i for i, _, _ in found]] = True
+    at = np.flatnonzero(~inside | starts)
+    refers, entry = starts[at], ~inside[at] & held[at] if cached else np.zeros(len(at), bool)
+    literal_at = ~refers & ~entry
+    q = p[at]
+    symbol = (q >> 8 & 255).astype(np.int64)
+    symbol[entry] = GREEN_SYMBOLS + slot[at[entry]]
+    near = _near_codes(width)
+    length, length_bits, length_more = _value_parts(np.array([n for _, n, _ in found], np.int64))
+    back, back_bits, back_more = _value_parts(np.array([near.get(d, d + len(NEAR)) for _, _, d in found], np.int64))
+    symbol[refers] = LITERALS + length
+    other = np.stack([q >> 16 & 255, q & 255, q >> 24], 1).astype(np.int64)
+    counts = [np.bincount(symbol, minlength=GREEN_SYMBOLS + ((1 << cache_bits) if cached else 0)),
+              np.bincount(other[literal_at].ravel(), minlength=LITERALS), np.bincount(back, minlength=DISTANCES)]
+    lengths = [code_lengths(c) for c in counts]
+    out = Writer()
+    out.put(int(cached), 1)
+    if cached:
+        out.put(cache_bits, 4)
+    out.put(0, 1)
+    described = [write_lengths(x) for x in lengths]
+    for i in (0, 1, 1, 1, 2):
+        out.append(described[i])
+    if out.size + sum(_bits_of(x, c) for x, c in zip(lengths, counts)) + int(length_bits.sum() + back_bits.sum()) >= most:
+        return None
+    (green, green_n), (rest, rest_n), (far, far_n) = map(_coded, lengths)
+    codes, sizes = np.zeros((len(at), 4), np.int64), np.zeros((len(at), 4), np.int64)
+    codes[:, 0], sizes[:, 0] = green[symbol], green_n[symbol]
+    codes[literal_at, 1:], sizes[literal_at, 1:] = rest[other[literal_at]], rest_n[other[literal_at]]
+    codes[refers, 1:] = np.stack([length_more, far[back], back_more], 1)
+    sizes[refers, 1:] = np.stack([length_bits, far_n[back], back_bits], 1)
+    out.put(*_packed_bits(codes.ravel(), sizes.ravel()))
+    return out
+
+
+def _residuals(image: np.ndarray, mode: int) -> np.ndarray:
+    """What the predictor left (1) or top (2) leaves of each pixel."""
+    parts = np.ascontiguousarray(image, np.uint32).view(np.uint8).reshape(*image.shape, 4)
+    guess = np.zeros_like(parts)
+    guess[0, 1:], guess[1:, 0], guess[0, 0, 3] = parts[0, :-1], parts[:-1, 0], 255
+    guess[1:, 1:] = parts[1:, :-1] if mode == 1 else parts[:-1, 1:]
+    return np.ascontiguousarray(parts - guess).view(np.uint32).reshape(image.shape)
+
+
+def _information(samples: np.ndarray) -> float:
+    """Bits that the samples take by their own frequencies."""
+    n = np.bincount(samples, minlength=256)
+    n = n[n > 0]
+    return float(len(samples) * np.log2(len(samples)) - (n * np.log2(n)).sum())
+
+
+def encode_samples(samples: np.ndarray, width: int = 16) -> bytes:
+    """Bytes as a lossless file: four bytes a pixel, rows of ``width`` pixels.
+
+    Residuals of a predictor are stored where they hold clearly less information than the samples. Then
+    the shorter of two forms: one prefix code for all channels, or back-references with or without a colour cache.
+    """
+    image = samples.view(">u4").astype(np.uint32).reshape(-1, width)
     out = Writer()
     out.put(0x2F, 8)
     out.put(width - 1, 14)
-    out.put(height - 1, 14)
+    out.put(len(image) - 1, 14)
     out.put(1, 1)
-    out.put(0, 3 + 1 + 1 + 1)  # version, no transform, no cache, one group
+    out.put(0, 3)
+    plain, mode = _information(samples) - 200, 0
+    for m in (1, 2):
+        left = _residuals(image, m)
+        if (own := _information(left.reshape(-1).view(np.uint8))) < plain:
+            plain, mode = own, m
+    if mode:
+        image = _residuals(image, mode)
+        samples = np.frombuffer(image.astype(">u4").tobytes(), np.uint8)
+        out.put(1, 1)
+        out.put(PREDICTOR, 2)
+        out.put(7, 3)  # blocks of 512 x 512 pixels, all of one mode, which takes no bits
+        out.put(0, 1)
+        for symbol in (mode, 0, 0, 0, 0):
+            own = np.zeros(LITERALS, np.int64)
+            own[symbol] = 1
+            out.append(write_lengths(own))
+    out.put(0, 1)
+    counts = np.bincount(samples, minlength=256)
+    lengths = code_lengths(counts)
     literal = write_lengths(lengths)
-    out.append(write_lengths(np.concatenate([lengths, np.zeros(GREEN_SYMBOLS - 256, np.int64)])))
-    for _ in range(3):
-        out.append(literal)
-    out.append(write_lengths(np.zeros(DISTANCES, np.int64)))
-    # Bytes of a pixel are alpha, red, green, blue; the stream has green, red, blue, alpha.
-    stream = pixels[:, (2, 1, 3, 0)].ravel()
-    out.put(*_packed_bits(code[stream], used[stream]))
+    # The description of green's code is a few bits longer, for the symbols of references.
+    rich = _rich_image(image.ravel(), width, 4 * literal.size + 20 + _bits_of(lengths, counts))
+    if rich is None:
+        rich = Writer()
+        rich.put(0, 1 + 1)  # no cache, one group
+        rich.append(write_lengths(np.concatenate([lengths, np.zeros(GREEN_SYMBOLS - 256, np.int64)])))
+        for _ in range(3):
+            rich.append(literal)
+        rich.append(write_lengths(np.zeros(DISTANCES, np.int64)))
+        code, used = _coded(lengths)
+        # Bytes of a pixel are alpha, red, green, blue; the stream has green, red, blue, alpha.
+        stream = samples.reshape(-1, 4)[:, (2, 1, 3, 0)].ravel()
+        rich.put(*_packed_bits(code[stream], used[stream]))
+    out.append(rich)
     return _riff(out.data())
 
 

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievelight.llm import language, line_dedup, media, merkle, mixing, ngram_jaccard, packing, personal_data, templates, url_filter, webp
+from sievelight.llm import queries as llm_queries
 from sievelight.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -290,6 +291,57 @@ def test_media_round_trip(spark, corpus):
     assert media.to_media(docs.limit(0)).count() == 0
 
 
+SF = "/root/testdata/sf0.001"
+
+
+def features(data: bytes) -> set[str]:
+    """What the codes of the media's files hold."""
+    found = set()
+    for file in media._files(data):
+        source, width, height = webp._open(file)
+        transforms, _ = webp._transforms(source, width, height)
+        found |= {"predictor" for t in transforms if t[0] == webp.PREDICTOR}
+        bits = source.read(4) if source.read(1) else 0
+        assert not source.read(1)
+        lengths = webp.read_lengths(source, webp.GREEN_SYMBOLS + ((1 << bits) if bits else 0))
+        found |= {"reference"} if lengths[256:280].any() else set()
+        found |= {"cache"} if bits and lengths[280:].any() else set()
+    return found
+
+
+def test_media_use_the_format(spark):
+    """The query's files hold references and caches; a text that runs on has a predictor, a text that repeats itself references."""
+    rows = llm_queries.QUERIES["op3_webp_media"](spark, SF).collect()
+    assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    stored = media.to_media(spark.read.parquet(f"{SF}/documents.parquet"), keep=["doc_id"]).collect()
+    counts = Counter(f for x in stored for f in features(x["media"]))
+    assert counts["reference"] >= 20 and counts["cache"] >= 10  # of 200 documents, most of them short
+    assert {x["doc_id"]: x["media_sha256"] for x in rows} == {x["row"]["doc_id"]: hashlib.sha256(x["media"]).hexdigest() for x in stored}
+    slope = "".join(chr(32 + (i // 4 + 7 * (i % 4) + (i * i // 97) % 2) % 90) for i in range(8000))
+    made = media.to_media(table(spark, [(1, slope, "en", "s"), (2, "abcdefg " * 2000, "en", "s")]), keep=["doc_id"])
+    got = {x["row"]["doc_id"]: features(x["media"]) for x in made.collect()}
+    assert "predictor" in got[1] and "reference" in got[2]
+    back = {x["row"]["doc_id"]: bytes(x["samples"]).rstrip(b"\0").decode() for x in media.read_media(made.select("row", "media")).collect()}
+    assert back == {1: slope, 2: "abcdefg " * 2000}
+
+
+def test_rich_files_by_both_decoders():
+    r = np.random.default_rng(3)
+    tiles = [r.integers(0, k, 64 * n).astype(np.uint8) for k in (1, 2, 3, 20, 256) for n in (1, 2, 30, 128)]
+    tiles += [np.tile(r.integers(0, 256, 4 * k).astype(np.uint8), 1024)[:8192] for k in (1, 2, 3, 15, 16, 17, 400)]
+    tiles += [np.cumsum(r.integers(-2, 3, (16 * 90, 4)), axis=0).astype(np.uint8).ravel()]
+    tiles += [np.cumsum(r.integers(-1, 2, (90, 64)), axis=0).astype(np.uint8).ravel()]
+    words = [r.integers(97, 123, 4 * k).astype(np.uint8) for k in (1, 2, 3, 4, 9) for _ in range(30)]
+    tiles += [np.concatenate([words[i] for i in r.integers(0, 150, 900)])[:64 * n] for n in (4, 20, 128)]
+    files = [webp.encode_samples(t) for t in tiles]
+    for tile, file, image in zip(tiles, files, webp.decode_many(files)):
+        assert webp.samples_of(image) == tile.tobytes() == webp.samples_of(webp.decode(file))
+    assert {"reference", "cache", "predictor"} <= set().union(*map(features, files))
+    for file in files[-3:]:
+        with pytest.raises(webp.Corrupt):
+            webp.decode_many([file[:len(file) // 2]])
+
+
 # ---- packing
 
 
