@@ -251,7 +251,7 @@ def admitted_events(spark, sf):
     body = F.to_json(struct(
         action=F.when(k % 7 == 0, F.lit("remove")).otherwise(element(_ACTIONS, k)),
         type=F.when(k % 3 == 0, F.lit("url_verification")).otherwise(F.lit("Issue")),
-        data=struct(identifier=F.col("event_id"))))
+        data=struct(identifier=F.col("event_id").cast("string"))))  # text, as the provider sends it: a number 0 counts as none
     name = F.when(F.col("event_type").isin("click", "view"), F.lit("issues")).otherwise(F.lit("issue_comment"))
     df = table(spark, sf, "events").select(
         "event_id", name.alias("event_name"), F.try_parse_json(body).alias("payload_v"),
