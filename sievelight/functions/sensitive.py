@@ -95,8 +95,9 @@ def _maybe_secret(v: Column) -> Column:
     )
 
 
-def _secret_patterns() -> Column:
-    return literal_array(_u(p) for _, p, _ in SECRET_PATTERNS)
+def _matches(v: Column, patterns) -> Column:
+    """The matches of each pattern, an array per pattern. The patterns are literals: one that changes by row is compiled by row."""
+    return F.array(*[F.regexp_extract_all(v, F.lit(_u(p)), F.lit(0)) for p in patterns])
 
 
 def _maybe_phi(v: Column) -> Column:
@@ -128,26 +129,19 @@ def card_runs(v: Column) -> Column:
 def detect_secrets(v: Column) -> Column:
     """Matches of the 12 token families as ``array<struct<cls, pattern_id, match_excerpt>>``."""
 
-    def family(pattern: Column, idx: Column) -> Column:
-        return F.transform(
-            F.regexp_extract_all(v, pattern, F.lit(0)), lambda m: _hit("secret", idx, mask_secret(m))
-        )
+    def family(found: Column, idx: Column) -> Column:
+        return F.transform(found, lambda m: _hit("secret", idx, mask_secret(m)))
 
-    return F.when(_maybe_secret(v), F.flatten(F.transform(_secret_patterns(), family))).otherwise(
-        F.array().cast(HIT_TYPE)
-    )
+    found = _matches(v, (p for _, p, _ in SECRET_PATTERNS))
+    return F.when(_maybe_secret(v), F.flatten(F.transform(found, family))).otherwise(F.array().cast(HIT_TYPE))
 
 
 def detect_phi(v: Column) -> Column:
-    def label(pattern: Column, idx: Column) -> Column:
-        return F.transform(
-            F.regexp_extract_all(v, pattern, F.lit(0)), lambda _: _hit("phi", idx, F.lit("[phi:redacted]"))
-        )
+    def label(found: Column, idx: Column) -> Column:
+        return F.transform(found, lambda _: _hit("phi", idx, F.lit("[phi:redacted]")))
 
-    patterns = literal_array(_u(p) for _, p in PHI_PATTERNS)
-    return F.when(
-        _maybe_phi(v) & v.rlike(PHI_WORDS), F.flatten(F.transform(patterns, label))
-    ).otherwise(F.array().cast(HIT_TYPE))
+    found = _matches(v, (p for _, p in PHI_PATTERNS))
+    return F.when(_maybe_phi(v) & v.rlike(PHI_WORDS), F.flatten(F.transform(found, label))).otherwise(F.array().cast(HIT_TYPE))
 
 
 def detect_pan(v: Column) -> Column:
@@ -231,9 +225,9 @@ def redact_catalog(col: Column) -> Column:
     """Secret, then phi (value-consuming), then card placeholders."""
 
     def secrets(v: Column) -> Column:
-        return F.aggregate(
-            _secret_patterns(), v, lambda acc, p: F.regexp_replace(acc, p, F.lit("[redacted:secret]"))
-        )
+        for _, p, _ in SECRET_PATTERNS:
+            v = F.regexp_replace(v, F.lit(_u(p)), F.lit("[redacted:secret]"))
+        return v
 
     def phi(v: Column) -> Column:
         out = F.regexp_replace(v, _u(PHI_PATTERNS[0][1]), "[redacted:phi]")

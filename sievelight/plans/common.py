@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from sievelight.functions.text import pin
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input of very few files; leave a normally partitioned input alone.
+#: Rows of a task where text rules run, at about a millisecond or less a row.
+ROWS_PER_TASK = 20_000
 
-    Text rules are CPU-bound, and a single small file would otherwise run in one task (its splits
-    share one row group, so most of them are empty). On a real table the input has more partitions
-    than the session has cores, and nothing is shuffled.
+
+def spread(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Deal an input out so that no task has more than about ``rows_per_task`` rows, and all cores have work.
+
+    Text rules are CPU-bound, and columns of numbers and short texts compress well: one split of a file can hold millions of rows.
+    The count reads file footers alone. An input that already has as many partitions is left alone.
     """
-    wanted = df.sparkSession.sparkContext.defaultParallelism
+    wanted = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows_per_task))
     return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
@@ -26,6 +30,11 @@ def k_of(props: str = "props") -> Column:
     return F.get_json_object(props, "$.k").cast("int")
 
 
+def with_k(df: DataFrame) -> DataFrame:
+    """Add ``k``, read once per row: as a plain column each of its uses would parse the properties again."""
+    return pin(df, {"k": k_of()})
+
+
 def instant(col: str) -> Column:
     """A zone-less timestamp read as UTC, whatever the session's time zone is."""
     return F.expr(f"timestamp_micros(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {col}))")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sievelight.operators import mods as M
 from sievelight.operators import terms as T
-from sievelight.plans.common import SQL_K, element, k_of, meta_text, spread, sql_element, sql_list, sql_text, table
+from sievelight.plans.common import SQL_K, element, k_of, meta_text, spread, sql_element, sql_list, sql_text, table, with_k
 from sievelight.schemas import ADVISORY, EVIDENCE, HINT, PROVENANCE, SIGNAL
 
 QUERIES, ORACLES = {}, {}
@@ -43,7 +43,7 @@ P = len(PHRASES)
 
 
 def emissions(spark: SparkSession, sf: str) -> DataFrame:
-    df = spread(table(spark, sf, "events")).withColumn("k", k_of())
+    df = with_k(spread(table(spark, sf, "events")))
     eid, e = F.col("event_id").cast("string"), F.col("event_id")
     body = F.concat_ws(" and ", element(PHRASES, e), element(PHRASES, e * 7 + F.col("k")))
     ref = F.when(e % 13 == 0, F.lit(" ")).otherwise(F.concat(F.lit("R-"), eid))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sievelight.operators import normalize as N
-from sievelight.plans.common import SQL_K, element, k_of, spread, sql_element, table
+from sievelight.plans.common import SQL_K, element, k_of, spread, sql_element, table, with_k
 from sievelight.plans.q_redaction import CARDS, TOKENS, secrets, tracked
 from sievelight.schemas import SIGNAL, observation_columns
 
@@ -46,7 +46,7 @@ def _signal(index):
 
 
 def observations(spark: SparkSession, sf: str) -> DataFrame:
-    df = spread(table(spark, sf, "events")).withColumn("k", k_of())
+    df = with_k(spread(table(spark, sf, "events")))
     eid = F.col("event_id").cast("string")
     k = F.col("k")
     flag = lambda n, v: F.when(k % n == 0, F.lit(v)).otherwise(F.lit(""))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sievelight.operators import observe as ob
 from sievelight.plans.common import (
-    SQL_K, element, flat_observations, k_of, payload, spread, sql_observation, struct, table,
+    SQL_K, element, flat_observations, k_of, payload, spread, sql_observation, struct, table, with_k,
 )
 
 QUERIES, ORACLES = {}, {}
@@ -34,8 +34,8 @@ def over_events(sql: str):
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "events")).select(
-        "event_id", "event_type", "user_id", "value", k_of().alias("k"),
+    return with_k(spread(table(spark, sf, "events"))).select(
+        "event_id", "event_type", "user_id", "value", "k",
         E("event_id").cast("string").alias("eid"), E("user_id").cast("string").alias("uid"),
         F.date_format("ts", "yyyy-MM-dd").alias("day"))
 

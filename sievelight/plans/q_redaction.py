@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sievelight.functions import sensitive as S
 from sievelight.functions.canonical import canonical_digest
+from sievelight.functions.text import pin
 from sievelight.operators import mods, normalize, observe, redaction as R
-from sievelight.plans.common import SQL_K, element, k_of, spread, struct, table
+from sievelight.plans.common import SQL_K, element, k_of, spread, struct, table, with_k
 from sievelight.schemas import observation_columns
 
 QUERIES, ORACLES = {}, {}
@@ -56,8 +57,8 @@ def token_of():
 
 
 def secrets(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "events")).withColumn("k", k_of()).select(
-        "event_id", "event_type", "user_id", "k", token_of().alias("text"))
+    rows = with_k(spread(table(spark, sf, "events")).select("event_id", "event_type", "user_id", "props"))
+    return pin(rows, {"text": token_of()}, drop=("props",))
 
 
 _CARD_SQL = "(" + str(CARDS) + ")[1 + CAST(event_id % 3 AS INTEGER)]"
@@ -186,8 +187,8 @@ def nested_json_redaction(spark, sf):
     return R.redact_json(secrets(spark, sf).select("event_id", doc.alias("doc")), "doc")
 
 
-def tracked(spark: SparkSession, sf: str, hostile: bool = False) -> DataFrame:
-    """Observations with a sensitive excerpt; ``hostile`` adds bad ids and metadata keys by rule."""
+def tracked(spark: SparkSession, sf: str, hostile: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Observations with a sensitive excerpt; ``hostile`` has bad ids and metadata keys by rule. ``keep`` names columns of ``secrets`` to carry along."""
     df = secrets(spark, sf)
     eid = F.col("event_id").cast("string")
     bad_ref = F.when(F.col("k") % 10 == 3, F.col("text")).otherwise(F.concat(F.lit("R-"), eid))
@@ -197,11 +198,10 @@ def tracked(spark: SparkSession, sf: str, hostile: bool = False) -> DataFrame:
         mode="webhook", title=F.concat(F.lit("T "), F.col("event_type")), author=F.lit("alice"),
         timestamp=F.lit("2024-01-01"), provider_event_id=F.concat(F.lit("ev-"), eid),
         evidence_id=F.concat(F.lit("slack:"), eid), metadata={"channel": F.lit("C1"), "note": F.col("text")})
-    out = df.select("event_id", "event_type", *cols)
     if hostile:
-        out = out.withColumn("_k", F.col("event_id")).join(df.select("event_id", key.alias("_key")), "event_id").withColumn(
-            "metadata", F.create_map(F.col("_key"), F.lit("C1"))).drop("_k", "_key")
-    return out
+        cols = [*cols, F.create_map(key, F.lit("C1")).alias("_keyed")]
+    out = df.select("event_id", "event_type", *keep, *cols)
+    return out.withColumn("metadata", F.col("_keyed")).drop("_keyed") if hostile else out
 
 
 _JSON = ("'{\"author\":\"alice\",\"evidence_id\":\"slack:' || event_id || '\",\"evidence_metadata\":{},\"excerpt\":\"' || X || "
