@@ -26,6 +26,8 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 ACCEPTED, DUPLICATE, LATE = "accepted", "duplicate", "late"
 #: Tasks that rows without an id are dealt to, and the grain of timers.
 SALTS, TIMER_MS = 64, 1000
+#: New instants of an id that are held in memory before they go to its state.
+CHUNK = 4096
 
 
 def _has_id(id_col: str) -> Column:
@@ -55,6 +57,11 @@ class _Judge(StatefulProcessor):
                 yield (*row, LATE)
             else:
                 yield from self._arrive(row, tie, micros)
+        yield from self._arrived()
+
+    def _arrived(self) -> Iterator[tuple]:
+        """After the last row of an id in a batch."""
+        return iter([])
 
     def _when(self, ms: int) -> None:
         self._handle.registerTimer((ms // TIMER_MS + 1) * TIMER_MS)
@@ -69,8 +76,10 @@ class _Judge(StatefulProcessor):
 class TtlJudge(_Judge):
     """Keyed by delivery id: a copy is accepted when it is more than ``ttl`` after the last accepted one."""
 
+    # Every call of the state is a round trip to the JVM: a new id costs one a row, and what has passed leaves in bulk.
+
     def __init__(self, ttl_seconds: int) -> None:
-        self._ttl, self._judged = ttl_seconds * 1_000_000, None
+        self._ttl, self._judged, self._new = ttl_seconds * 1_000_000, None, {}
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
@@ -80,14 +89,30 @@ class TtlJudge(_Judge):
 
     def _arrive(self, row: tuple, tie, micros: int) -> Iterator[tuple]:
         """One row per instant waits, that of the least tie breaker; the others of the instant are duplicates."""
-        if self._waiting.containsKey((micros,)):
-            other_tie, other = (pickle.loads(x) for x in self._waiting.getValue((micros,)))
+        if micros in self._new:
+            other_tie, other = self._new[micros]
             if not _before(tie, other_tie):
                 yield (*row, DUPLICATE)
                 return
             yield (*other, DUPLICATE)
-        self._waiting.updateValue((micros,), (pickle.dumps(tie), pickle.dumps(row)))
-        self._when(micros // 1000)
+        self._new[micros] = (tie, row)
+        if len(self._new) >= CHUNK:
+            yield from self._arrived()
+
+    def _arrived(self) -> Iterator[tuple]:
+        new, self._new = self._new, {}
+        if not new:
+            return
+        known = self._waiting.exists()
+        for micros, (tie, row) in new.items():
+            if known and self._waiting.containsKey((micros,)):
+                other_tie, other = (pickle.loads(x) for x in self._waiting.getValue((micros,)))
+                if not _before(tie, other_tie):
+                    yield (*row, DUPLICATE)
+                    continue
+                yield (*other, DUPLICATE)
+            self._waiting.updateValue((micros,), (pickle.dumps(tie), pickle.dumps(row)))
+        self._when(min(new) // 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[tuple]:
         watermark = timerValues.getCurrentWatermarkInMs()
@@ -95,22 +120,31 @@ class TtlJudge(_Judge):
             return
         self._judged = (key, watermark)
         last = before = self._last_micros()
-        waits = False
-        passed = []
+        passed, later = [], None
         for (t,) in self._waiting.keys():
             if t // 1000 < watermark:
                 passed.append(t)
             else:
-                waits = True
+                later = t if later is None else min(later, t)
+        accepted = set()
         for t in sorted(passed):
-            row = pickle.loads(self._waiting.getValue((t,))[1])
-            self._waiting.removeKey((t,))
-            fresh = last is None or t - last > self._ttl
-            last = t if fresh else last
-            yield (*row, ACCEPTED if fresh else DUPLICATE)
+            if last is None or t - last > self._ttl:
+                last = t
+                accepted.add(t)
+        if passed:
+            for (t,), (_, row) in self._waiting.iterator():
+                if t // 1000 < watermark:
+                    yield (*pickle.loads(row), ACCEPTED if t in accepted else DUPLICATE)
+            if later is None:
+                self._waiting.clear()
+            else:
+                for t in passed:
+                    self._waiting.removeKey((t,))
+        if later is not None:
+            self._when(later // 1000)  # one timer stands for all that wait: that of the first
         if last is None:
             return
-        if (last + self._ttl) // 1000 < watermark and not waits:
+        if (last + self._ttl) // 1000 < watermark and later is None:
             self._last.clear()  # no copy that can still come is within its window
         elif last != before:
             self._last.update((last,))
