@@ -8,10 +8,13 @@ so clean text costs a few byte searches instead of thirty regex passes.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, functions as F, types as T
 
-from sievelight.functions.text import let, literal_array
+from sievelight.functions.text import let
 
 # Catalog patterns. (label, pattern, literals of which one occurs in every match)
 SECRET_PATTERNS: list[tuple[str, str, tuple[str, ...]]] = [
@@ -66,6 +69,16 @@ PHI_WORDS = r"(?iU)mrn|medical|patient|date_of_birth|dob|ssn|social_security"
 # Seven digits with optional separators occur in every phone-shaped match.
 _PHONE_GUARD = r"(?U)\d[\d .\-]{5,}\d"
 _CARD_GUARD = r"(?U)\d{13}"
+# Each secret holds one of these. ``sk-`` alone is part of ordinary words, so it needs its run. The class of first characters
+# comes first: without it the scan would try every alternative at every position.
+_SECRET_STARTS = "".join(sorted({x[0] for _, _, lits in SECRET_PATTERNS for x in lits} - {"-"}))
+_SECRET_LITERALS = "|".join(
+    [re.escape(x) for _, _, lits in SECRET_PATTERNS for x in lits if x != "sk-"] + [r"sk-(?:proj-)?[A-Za-z0-9]{32}"])
+_SECRET_GUARD = f"(?=[{_SECRET_STARTS}])(?:{_SECRET_LITERALS})"
+# A health label ends in one of these letters before its separator.
+_LABEL_END = r"(?iU)[nrdelhby]\s*[:=]"
+# Every rule's match holds one of these: text without any of them stays as it is. ``\p{Nd}`` is the Unicode-aware ``\d``.
+_ANY_GUARD = rf"(?=[@:=\p{{Nd}}{_SECRET_STARTS}])(?:[@:=]|\p{{Nd}}[\p{{Nd}} .\-]{{5,}}\p{{Nd}}|{_SECRET_LITERALS})"
 
 HIT_TYPE = T.ArrayType(
     T.StructType(
@@ -84,15 +97,22 @@ def _u(pattern: str) -> str:
 
 
 def _has_any(v: Column, literals: tuple[str, ...]) -> Column:
-    return F.exists(literal_array(literals), lambda x: F.contains(v, x))
+    return reduce(Column.__or__, [F.contains(v, F.lit(x)) for x in literals])
+
+
+def maybe_any(v: Column) -> Column:
+    """Necessary condition of a match of any rule: one scan decides for most text."""
+    return v.rlike(_ANY_GUARD)
+
+
+def maybe_hit(v: Column) -> Column:
+    """Necessary condition of a catalog hit."""
+    return _maybe_secret(v) | v.rlike(_CARD_GUARD) | (v.rlike(_LABEL_END) & v.rlike(PHI_WORDS))
 
 
 def _maybe_secret(v: Column) -> Column:
-    """Necessary condition of a secret. ``sk-`` alone is part of ordinary words, so it needs its run."""
-    literals = tuple(x for _, _, lits in SECRET_PATTERNS for x in lits if x != "sk-")
-    return _has_any(v, literals) | (
-        F.contains(v, F.lit("sk-")) & v.rlike(r"sk-(?:proj-)?[A-Za-z0-9]{32}")
-    )
+    """Necessary condition of a secret."""
+    return v.rlike(_SECRET_GUARD)
 
 
 def _matches(v: Column, patterns) -> Column:
@@ -101,7 +121,7 @@ def _matches(v: Column, patterns) -> Column:
 
 
 def _maybe_phi(v: Column) -> Column:
-    return v.rlike("[:=]")
+    return v.rlike(_LABEL_END)
 
 
 def _guarded(col: Column, guard: Callable[[Column], Column], step: Callable[[Column], Column]) -> Column:
@@ -225,8 +245,8 @@ def redact_catalog(col: Column) -> Column:
     """Secret, then phi (value-consuming), then card placeholders."""
 
     def secrets(v: Column) -> Column:
-        for _, p, _ in SECRET_PATTERNS:
-            v = F.regexp_replace(v, F.lit(_u(p)), F.lit("[redacted:secret]"))
+        for _, p, lits in SECRET_PATTERNS:
+            v = _guarded(v, lambda t, lits=lits: _has_any(t, lits), lambda t, p=p: F.regexp_replace(t, F.lit(_u(p)), F.lit("[redacted:secret]")))
         return v
 
     def phi(v: Column) -> Column:
@@ -259,7 +279,7 @@ def redact_pii(col: Column) -> Column:
 
 def redact(col: Column) -> Column:
     """Emit-safe text. ``detect(redact(x))`` is empty: the catalog also runs last."""
-    return redact_catalog(redact_pii(redact_catalog(col)))
+    return _guarded(col, maybe_any, lambda v: redact_catalog(redact_pii(redact_catalog(v))))
 
 
 def _count(v: Column, pattern: str, guard: Column) -> Column:
@@ -272,18 +292,26 @@ def redact_with_findings(col: Column) -> Column:
     Catalog classes are counted on the text before redaction (cards as ``credential``, health
     values under ``pii``), e-mails and phones on the text each of their steps sees.
     """
-    start = let(
-        F.coalesce(col, F.lit("")),
-        lambda v: let(
-            detect(v),
-            lambda h: F.struct(
-                redact_catalog(v).alias("t"),
-                F.size(F.filter(h, lambda x: x["cls"] == "secret")).alias("secret"),
-                F.size(F.filter(h, lambda x: x["cls"] == "phi")).alias("phi"),
-                F.size(F.filter(h, lambda x: x["cls"] == "pan")).alias("pan"),
-            ),
-        ),
-    )
+    none = F.lit(0)
+
+    def whole(v: Column) -> Column:
+        found = F.array(*[_count(v, p, _has_any(v, lits)) for _, p, lits in SECRET_PATTERNS])
+        runs = F.size(F.filter(card_runs(v), lambda r: r["valid"]))
+        start = F.struct(
+            redact_catalog(v).alias("t"),
+            F.when(_maybe_secret(v), F.aggregate(found, none, lambda acc, n: acc + n)).otherwise(none).alias("secret"),
+            F.when(_maybe_phi(v) & v.rlike(PHI_WORDS), F.regexp_count(v, F.lit(_u(PHI_PATTERNS[0][1]))) + F.regexp_count(v, F.lit(_u(PHI_PATTERNS[1][1]))))
+            .otherwise(none).alias("phi"),
+            F.when(v.rlike(_CARD_GUARD), runs).otherwise(none).alias("pan"),
+        )
+        return _redact_counted(start)
+
+    clean = lambda v: F.struct(v.alias("text"), none.alias("credential"), none.alias("pii"), none.alias("secret"))
+    return let(F.coalesce(col, F.lit("")), lambda v: F.when(maybe_any(v), whole(v)).otherwise(clean(v)))
+
+
+def _redact_counted(start: Column) -> Column:
+    """E-mails and phones of a text whose catalog matches are counted and replaced, then the catalog once more."""
     mailed = let(
         start,
         lambda s: F.struct(
@@ -308,9 +336,10 @@ def redact_with_findings(col: Column) -> Column:
     return let(
         phoned,
         lambda s: F.struct(
-            redact_catalog(
-                F.regexp_replace(s["t"], _u(PHONE_KEYWORD_PATTERN), "$1[redacted:phone]")
-            ).alias("text"),
+            redact_catalog(_guarded(
+                s["t"], lambda v: v.rlike(_PHONE_GUARD),
+                lambda v: F.regexp_replace(v, _u(PHONE_KEYWORD_PATTERN), "$1[redacted:phone]"),
+            )).alias("text"),
             s["pan"].alias("credential"),
             (
                 s["pii"]

@@ -303,7 +303,7 @@ def emission_leaves() -> Column:
 
 def suspicious_text(v: Column) -> Column:
     """Necessary condition of any catalog hit, cheap enough for joined leaves."""
-    return S._maybe_secret(v) | v.rlike(r"(?U)\d{13}") | v.rlike(S.PHI_WORDS)
+    return S.maybe_hit(v)
 
 
 def screen_reason(leaves: Column) -> Column:

@@ -11,7 +11,7 @@ from sievelight.functions import sensitive as S, variant as V
 from sievelight.functions.canonical import canonical, canonical_digest, json_array, json_map, json_object, json_string
 from sievelight.functions.json_text import decoded, replaced, value_spans
 from sievelight.functions.text import let, pin
-from sievelight.schemas import FINDING, RECEIPT, SIGNAL
+from sievelight.schemas import FINDING, RECEIPT, SIGNAL, empty_map
 
 MAX_OBSERVATION_BYTES = 1_048_576  # fixed value
 ENGINE = "sievelight-redaction"
@@ -43,6 +43,8 @@ IDENTITY_FIELDS = [
     "provider_event_id", "provider_resource_id", "evidence_id", "timestamp",
 ]
 FLAG_KEYS = ("content_truncated", "title_truncated", "tombstone")
+OBSERVATION_TEXTS = ("excerpt", "title", "author", "mode", "timestamp", "provider_event_id", "provider_resource_id", "evidence_id")
+OBSERVATION_MAPS = ("evidence_metadata", "metadata")
 SIGNAL_TEXTS = ("code", "scope", "basis", "confidence", "recommended_effect", "explanation")
 
 
@@ -199,10 +201,7 @@ def identity_reason() -> Column:
         )
 
     def check(fs: Column) -> Column:
-        suspicious = let(
-            F.array_join(F.transform(fs, lambda f: f["value"]), "\n"),
-            lambda v: S._maybe_secret(v) | v.rlike(r"(?U)\d{13}") | v.rlike(S.PHI_WORDS),
-        )
+        suspicious = let(F.array_join(F.transform(fs, lambda f: f["value"]), "\n"), S.maybe_hit)
         any_null = F.exists(fs, lambda f: f["value"].isNull())
         return F.when(any_null | suspicious, F.get(F.array_compact(F.transform(fs, why)), F.lit(0)))
 
@@ -231,21 +230,38 @@ def observation_fields(prefix: str = "") -> dict[str, Column]:
 
     Sources with signals carry them in both metadata objects.
     """
-    texts = ("excerpt", "title", "author", "mode", "timestamp", "provider_event_id", "provider_resource_id",
-             "evidence_id")
     signals = {"advisory_signals": signals_json(F.col(prefix + "advisory_signals"))}
     return {
         "source_ref": json_object(
             {k: json_string(F.col(f"{prefix}source_ref.{k}")) for k in ("source_id", "ref", "url", "kind")}
         ),
-        **{k: json_string(F.col(prefix + k)) for k in texts},
-        **{k: json_map(F.col(prefix + k), signals, FLAG_KEYS) for k in ("evidence_metadata", "metadata")},
+        **{k: json_string(F.col(prefix + k)) for k in OBSERVATION_TEXTS},
+        **{k: json_map(F.col(prefix + k), signals, FLAG_KEYS) for k in OBSERVATION_MAPS},
     }
 
 
 def observation_json(prefix: str = "") -> Column:
-    """Canonical JSON of an observation row."""
-    return canonical(json_object(observation_fields(prefix)))
+    """Canonical JSON of an observation row.
+
+    Without signals and flags every value is text: one writer call encodes the row, keys in order.
+    """
+    col = lambda k: F.col(prefix + k)
+    texts = {k: F.coalesce(col(k), F.lit("")) for k in OBSERVATION_TEXTS}
+    ref = {k: F.coalesce(col(f"source_ref.{k}"), F.lit("")) for k in ("kind", "ref", "source_id", "url")}
+    maps = {k: _sorted_map(col(k)) for k in OBSERVATION_MAPS}
+    fields = texts | maps | {"source_ref": F.struct(*[v.alias(k) for k, v in ref.items()])}
+    plain = F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]))
+    flags = F.array(*map(F.lit, FLAG_KEYS))
+    special = col("advisory_signals").isNotNull()
+    for k in OBSERVATION_MAPS:
+        special = special | F.coalesce(F.arrays_overlap(F.map_keys(col(k)), flags), F.lit(False))
+    return canonical(F.when(special, json_object(observation_fields(prefix))).otherwise(plain))
+
+
+def _sorted_map(m: Column) -> Column:
+    """A string map with its keys in order and null values as empty text."""
+    entries = F.sort_array(F.map_entries(F.coalesce(m, empty_map())))
+    return F.map_from_entries(F.transform(entries, lambda e: F.struct(e["key"], F.coalesce(e["value"], F.lit("")))))
 
 
 def gate_size(df: DataFrame, limit: int = MAX_OBSERVATION_BYTES) -> tuple[DataFrame, DataFrame]:
