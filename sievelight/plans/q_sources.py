@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sievelight.functions.text import pin
 from sievelight.plans.common import SQL_K, element, k_of, run_folder, struct, table
 from sievelight.session import cut_lineage
 from sievelight.sources import filters, landing, pages as pg
@@ -183,8 +184,8 @@ def relay_cycles(spark, sf):
         F.col("l_orderkey").alias("run_id"), F.col("l_linenumber").alias("page_no")).agg(F.count("*").alias("n"))
     body = F.to_json(struct(data=struct(issues=struct(pageInfo=struct(
         hasNextPage=F.col("page_no") < 6, endCursor=F.concat(F.lit("c"), F.col("n").cast("string")))))))
-    rows = p.withColumn("page_v", F.try_parse_json(body)).withColumn(
-        "end_cursor", pg.relay_cursor(F.col("page_v"), "$.data.issues.pageInfo"))
+    rows = pin(pin(p, {"page_v": F.try_parse_json(body)}), {
+        "end_cursor": pg.relay_cursor(F.col("page_v"), "$.data.issues.pageInfo")})
     return pg.check_relay_chain(rows.select("run_id", "page_no", "end_cursor"))
 
 

@@ -5,9 +5,10 @@ A page row is ``run_id, provider, page_no (1-based), url, status, body``; ``body
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sievelight.functions import variant as V
+from sievelight.functions.text import pin
 from sievelight.sources.landing import parsed
 
 # Where the items of a provider's page sit ("$" = the page itself is the list), and
@@ -30,7 +31,8 @@ MAX_PAGES, MAX_ITEMS, MAX_RUN_BYTES, MAX_PAGE_BYTES = 100, 50_000, 64 * 1_048_57
 
 
 def with_page(pages: DataFrame) -> DataFrame:
-    return parsed(pages, "body", "page_v")
+    """The pages with ``page_v``, parsed once a row: a filter on it would parse the body again for each of its uses."""
+    return pin(parsed(pages, "body", "page_v"), {"page_v": F.col("page_v")})
 
 
 def _by_provider(make) -> Column:
@@ -107,8 +109,6 @@ def audit_run_caps(pages: DataFrame, items: str = "n_items", size: str = "n_byte
     ``max_pages + 1`` is a breach whatever it holds, so only that many pages of a run are looked at; the
     rank filter limits them per task before the shuffle.
     """
-    from pyspark.sql import Window
-
     by = [F.col(order), F.col(size), F.col(items)]
     ranked = pages.select(run, order, items, size, F.row_number().over(Window.partitionBy(run).orderBy(*by)).alias("_rank"))
     w = Window.partitionBy(run).orderBy("_rank").rowsBetween(Window.unboundedPreceding, 0)
@@ -217,15 +217,12 @@ def relay_cursor(v: Column, info_path: str) -> Column:
 def check_relay_chain(cursors: DataFrame) -> DataFrame:
     """First repeated end cursor per run (``run_id, page_no, end_cursor``): ``circular_cursor``.
 
-    Repeats are found by a map-side aggregate per (run, cursor); only runs that have one are joined.
+    The second page of a (run, cursor) is its first repeat; the rank filter sends at most the first two
+    pages of a cursor and task. The pages are read once.
     """
-    followed = cursors.where(F.col("end_cursor").isNotNull())
-    repeated = (
-        followed.groupBy("run_id", "end_cursor")
-        .agg(F.min("page_no").alias("first_page"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    )
+    w = Window.partitionBy("run_id", "end_cursor").orderBy("page_no")
+    ranked = cursors.where(F.col("end_cursor").isNotNull()).select("run_id", "end_cursor", "page_no", F.dense_rank().over(w).alias("_rank"))
     return (
-        followed.join(repeated, ["run_id", "end_cursor"]).where(F.col("page_no") > F.col("first_page"))
-        .groupBy("run_id").agg(F.min("page_no").alias("page_no"))
+        ranked.where("_rank = 2").groupBy("run_id").agg(F.min("page_no").alias("page_no"))
         .withColumn("problem", F.lit("circular_cursor"))
     )
