@@ -207,12 +207,14 @@ def label_spans(found: DataFrame, expected: DataFrame, matches: DataFrame, keys:
     """One row per outcome: ``dims, outcome (tp / fp / fn), exact``. ``dims`` exist on both inputs."""
     keys, dims = keys or SPAN_KEYS, dims or ["category"]
     fk, ek = list(dict.fromkeys([*keys, "found_id"])), list(dict.fromkeys([*keys, "entity_id"]))
-    tp = expected.join(matches.select(*ek, "exact"), ek).select(*dims, F.lit("tp").alias("outcome"), "exact")
-    fn = expected.join(matches.select(*ek), ek, "left_anti").select(
-        *dims, F.lit("fn").alias("outcome"), F.lit(False).alias("exact"))
+    # Both sides use the matches: they are made once. One outer join gives hits and misses.
+    matches = cut_lineage(matches.select(*dict.fromkeys([*fk, *ek]), "exact"))
+    judged = expected.join(matches.select(*ek, "exact", F.lit(True).alias("_hit")), ek, "left").select(
+        *dims, F.when(F.col("_hit"), F.lit("tp")).otherwise(F.lit("fn")).alias("outcome"),
+        F.when(F.col("_hit"), F.col("exact")).otherwise(F.lit(False)).alias("exact"))
     fp = found.join(matches.select(*fk), fk, "left_anti").select(
         *dims, F.lit("fp").alias("outcome"), F.lit(False).alias("exact"))
-    return tp.unionByName(fn).unionByName(fp)
+    return judged.unionByName(fp)
 
 
 # --- L6-L8: metrics -------------------------------------------------------------------------------
