@@ -75,8 +75,8 @@ _SECRET_STARTS = "".join(sorted({x[0] for _, _, lits in SECRET_PATTERNS for x in
 _SECRET_LITERALS = "|".join(
     [re.escape(x) for _, _, lits in SECRET_PATTERNS for x in lits if x != "sk-"] + [r"sk-(?:proj-)?[A-Za-z0-9]{32}"])
 _SECRET_GUARD = f"(?=[{_SECRET_STARTS}])(?:{_SECRET_LITERALS})"
-# A health label ends in one of these letters before its separator.
-_LABEL_END = r"(?iU)[nrdelhby]\s*[:=]"
+# A health label ends in one of these pairs of letters before its separator. ``[redacted:`` does not: text with a placeholder stays cheap.
+_LABEL_END = r"(?iU)(?:[rs]n|rd|er|id|me|il|th|ob|ty)\s*[:=]"
 # Every rule's match holds one of these: text without any of them stays as it is. ``\p{Nd}`` is the Unicode-aware ``\d``.
 _ANY_GUARD = rf"(?=[@:=\p{{Nd}}{_SECRET_STARTS}])(?:[@:=]|\p{{Nd}}[\p{{Nd}} .\-]{{5,}}\p{{Nd}}|{_SECRET_LITERALS})"
 
@@ -107,7 +107,7 @@ def maybe_any(v: Column) -> Column:
 
 def maybe_hit(v: Column) -> Column:
     """Necessary condition of a catalog hit."""
-    return _maybe_secret(v) | v.rlike(_CARD_GUARD) | (v.rlike(_LABEL_END) & v.rlike(PHI_WORDS))
+    return _maybe_secret(v) | v.rlike(_CARD_GUARD) | (_maybe_phi(v) & v.rlike(PHI_WORDS))
 
 
 def _maybe_secret(v: Column) -> Column:
@@ -121,7 +121,7 @@ def _matches(v: Column, patterns) -> Column:
 
 
 def _maybe_phi(v: Column) -> Column:
-    return v.rlike(_LABEL_END)
+    return _has_any(v, (":", "=")) & v.rlike(_LABEL_END)
 
 
 def _guarded(col: Column, guard: Callable[[Column], Column], step: Callable[[Column], Column]) -> Column:
@@ -244,16 +244,39 @@ def redact_cards(col: Column) -> Column:
 def redact_catalog(col: Column) -> Column:
     """Secret, then phi (value-consuming), then card placeholders."""
 
-    def secrets(v: Column) -> Column:
-        for _, p, lits in SECRET_PATTERNS:
-            v = _guarded(v, lambda t, lits=lits: _has_any(t, lits), lambda t, p=p: F.regexp_replace(t, F.lit(_u(p)), F.lit("[redacted:secret]")))
-        return v
+    return _redact_phi_cards(_guarded(col, _maybe_secret, _redact_secrets))
 
+
+def _redact_phi_cards(col: Column) -> Column:
     def phi(v: Column) -> Column:
         out = F.regexp_replace(v, _u(PHI_PATTERNS[0][1]), "[redacted:phi]")
         return F.regexp_replace(out, _u(PHI_VALUE_PATTERN), "[redacted:phi]")
 
-    return redact_cards(_guarded(_guarded(col, _maybe_secret, secrets), _maybe_phi, phi))
+    return redact_cards(_guarded(col, _maybe_phi, phi))
+
+
+def _families(v: Column) -> Column:
+    """The token families whose literals occur in the text, by number."""
+    return F.array_compact(F.array(*[F.when(_has_any(v, lits), F.lit(i)) for i, (_, _, lits) in enumerate(SECRET_PATTERNS)]))
+
+
+def _redact_secrets(v: Column) -> Column:
+    """The families one after the other; text with the literals of one alone goes to its pattern at once."""
+    every = v
+    for _, p, lits in SECRET_PATTERNS:
+        every = _guarded(every, lambda t, lits=lits: _has_any(t, lits), lambda t, p=p: _replace_secret(t, p))
+
+    def pick(found: Column) -> Column:
+        out = F.when(F.size(found) > 1, every)
+        for i, (_, p, _) in enumerate(SECRET_PATTERNS):
+            out = out.when(F.get(found, F.lit(0)) == i, _replace_secret(v, p))
+        return out.otherwise(v)
+
+    return let(_families(v), pick)
+
+
+def _replace_secret(v: Column, pattern: str) -> Column:
+    return F.regexp_replace(v, F.lit(_u(pattern)), F.lit("[redacted:secret]"))
 
 
 def _redact_email(col: Column) -> Column:
@@ -282,8 +305,16 @@ def redact(col: Column) -> Column:
     return _guarded(col, maybe_any, lambda v: redact_catalog(redact_pii(redact_catalog(v))))
 
 
-def _count(v: Column, pattern: str, guard: Column) -> Column:
-    return F.when(guard, F.regexp_count(v, F.lit(_u(pattern)))).otherwise(F.lit(0))
+def _count(v: Column, pattern: str) -> Column:
+    return F.regexp_count(v, F.lit(_u(pattern)))
+
+
+def _added(before: Column, after: Column, placeholder: str) -> Column:
+    """How many placeholders a replacement has put in: no match holds one, so none is lost."""
+    def size(v: Column) -> Column:
+        return F.octet_length(v) - F.octet_length(F.replace(v, F.lit(placeholder), F.lit("")))
+
+    return F.when(before == after, F.lit(0)).otherwise(((size(after) - size(before)) / len(placeholder)).cast("int"))
 
 
 def redact_with_findings(col: Column) -> Column:
@@ -295,56 +326,50 @@ def redact_with_findings(col: Column) -> Column:
     none = F.lit(0)
 
     def whole(v: Column) -> Column:
-        found = F.array(*[_count(v, p, _has_any(v, lits)) for _, p, lits in SECRET_PATTERNS])
         runs = F.size(F.filter(card_runs(v), lambda r: r["valid"]))
-        start = F.struct(
-            redact_catalog(v).alias("t"),
-            F.when(_maybe_secret(v), F.aggregate(found, none, lambda acc, n: acc + n)).otherwise(none).alias("secret"),
-            F.when(_maybe_phi(v) & v.rlike(PHI_WORDS), F.regexp_count(v, F.lit(_u(PHI_PATTERNS[0][1]))) + F.regexp_count(v, F.lit(_u(PHI_PATTERNS[1][1]))))
-            .otherwise(none).alias("phi"),
-            F.when(v.rlike(_CARD_GUARD), runs).otherwise(none).alias("pan"),
+        secrets = let(
+            F.when(_maybe_secret(v), _redact_secrets(v)).otherwise(v),
+            lambda t: F.struct(t.alias("t"), _count_secrets(v, t).alias("secret")),
         )
+        start = let(secrets, lambda s: F.struct(
+            _redact_phi_cards(s["t"]).alias("t"),
+            s["secret"].alias("secret"),
+            F.when(_maybe_phi(v) & v.rlike(PHI_WORDS), _count(v, PHI_PATTERNS[0][1]) + _count(v, PHI_PATTERNS[1][1])).otherwise(none).alias("phi"),
+            F.when(v.rlike(_CARD_GUARD), runs).otherwise(none).alias("pan"),
+        ))
         return _redact_counted(start)
 
     clean = lambda v: F.struct(v.alias("text"), none.alias("credential"), none.alias("pii"), none.alias("secret"))
     return let(F.coalesce(col, F.lit("")), lambda v: F.when(maybe_any(v), whole(v)).otherwise(clean(v)))
 
 
+def _count_secrets(v: Column, redacted: Column) -> Column:
+    """Matches of all families in a text, each by itself: those of one alone are the placeholders it got."""
+    every = F.aggregate(
+        F.array(*[F.when(_has_any(v, lits), _count(v, p)).otherwise(F.lit(0)) for _, p, lits in SECRET_PATTERNS]), F.lit(0), lambda acc, n: acc + n)
+    one = F.size(_families(v)) == 1
+    return F.when(v == redacted, F.lit(0)).when(one, _added(v, redacted, "[redacted:secret]")).otherwise(every)
+
+
 def _redact_counted(start: Column) -> Column:
     """E-mails and phones of a text whose catalog matches are counted and replaced, then the catalog once more."""
-    mailed = let(
-        start,
-        lambda s: F.struct(
-            _redact_email(s["t"]).alias("t"),
-            s["secret"].alias("secret"),
-            s["pan"].alias("pan"),
-            (s["phi"] + _count(s["t"], EMAIL_PATTERN, F.contains(s["t"], F.lit("@")))).alias("pii"),
-        ),
-    )
-    phoned = let(
-        mailed,
-        lambda s: F.when(
-            s["t"].rlike(_PHONE_GUARD),
-            F.struct(
-                F.regexp_replace(s["t"], _u(PHONE_PATTERN), "[redacted:phone]").alias("t"),
-                s["secret"].alias("secret"),
-                s["pan"].alias("pan"),
-                (s["pii"] + F.regexp_count(s["t"], F.lit(_u(PHONE_PATTERN)))).alias("pii"),
-            ),
-        ).otherwise(s),
-    )
-    return let(
-        phoned,
-        lambda s: F.struct(
-            redact_catalog(_guarded(
-                s["t"], lambda v: v.rlike(_PHONE_GUARD),
-                lambda v: F.regexp_replace(v, _u(PHONE_KEYWORD_PATTERN), "$1[redacted:phone]"),
-            )).alias("text"),
-            s["pan"].alias("credential"),
-            (
-                s["pii"]
-                + _count(s["t"], PHONE_KEYWORD_PATTERN, s["t"].rlike(_PHONE_GUARD))
-            ).alias("pii"),
-            s["secret"].alias("secret"),
-        ),
-    )
+
+    def phones(v: Column) -> Column:
+        def keyword(t: Column) -> Column:
+            return let(
+                F.when(t.rlike(_PHONE_GUARD), F.regexp_replace(t, _u(PHONE_KEYWORD_PATTERN), "$1[redacted:phone]")).otherwise(t),
+                lambda k: F.struct(k.alias("t"), _added(v, k, "[redacted:phone]").alias("n")),
+            )
+
+        plain = F.struct(v.alias("t"), F.lit(0).alias("n"))
+        return F.when(v.rlike(_PHONE_GUARD), let(F.regexp_replace(v, _u(PHONE_PATTERN), "[redacted:phone]"), keyword)).otherwise(plain)
+
+    def mails(t: Column) -> Column:
+        return let(_redact_email(t), lambda m: F.struct(m.alias("t"), _added(t, m, "[redacted:email]").alias("n")))
+
+    return let(start, lambda s: let(mails(s["t"]), lambda m: let(phones(m["t"]), lambda p: F.struct(
+        redact_catalog(p["t"]).alias("text"),
+        s["pan"].alias("credential"),
+        (s["phi"] + m["n"] + p["n"]).alias("pii"),
+        s["secret"].alias("secret"),
+    ))))

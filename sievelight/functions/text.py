@@ -26,6 +26,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def each_once(values: Column, step: Callable[[Column], Column]) -> Column:
+    """``step`` of every text of an array (null as empty text), evaluated once for equal ones."""
+    def spread(texts: Column, distinct: Column) -> Column:
+        return let(
+            F.transform(distinct, step),
+            lambda done: F.transform(texts, lambda v: F.element_at(done, F.array_position(distinct, v).cast("int"))),
+        )
+
+    return let(
+        F.transform(values, lambda v: F.coalesce(v, F.lit(""))), lambda texts: let(F.array_distinct(texts), lambda distinct: spread(texts, distinct)))
+
+
 def literal_array(values) -> Column:
     """A constant string array. Splitting one literal is folded by the optimizer and builds faster
     than an array of many literals."""

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from sievelight.functions import sensitive as S, variant as V
 from sievelight.functions.canonical import canonical, canonical_digest, json_array, json_map, json_object, json_string
 from sievelight.functions.json_text import decoded, replaced, value_spans
-from sievelight.functions.text import let, pin
+from sievelight.functions.text import each_once, let, pin
 from sievelight.schemas import FINDING, RECEIPT, SIGNAL, empty_map
 
 MAX_OBSERVATION_BYTES = 1_048_576  # fixed value
@@ -278,7 +278,7 @@ def sanitize(
     """(clean observations with ``redaction_receipt``, rejected rows with a value-free reason).
 
     Size gate, identity guard, key guard, redaction of every free-text leaf, receipt. All leaves of
-    a row go through one copy of the rules as an array. ``completed_at`` is an argument, so a replay
+    a row go through one copy of the rules as an array, equal ones once. ``completed_at`` is an argument, so a replay
     gives equal rows.
     """
     marked = _gated(df, limit)
@@ -324,7 +324,7 @@ def _redacted(marked: DataFrame, completed_at: str, engine: str, passed: Column
     def where(value: Column, otherwise: Column | None = None) -> Column:
         return value if passed is None else F.when(passed, value) if otherwise is None else F.when(passed, value).otherwise(otherwise)
 
-    cleaned = pin(marked, {"_r": where(F.transform(leaves, S.redact_with_findings))})
+    cleaned = pin(marked, {"_r": where(each_once(leaves, S.redact_with_findings))})
     n_evidence = F.greatest(F.size("evidence_metadata"), F.lit(0))
     n_meta = F.greatest(F.size("metadata"), F.lit(0))
     first_signal = F.lit(3) + n_evidence + n_meta
