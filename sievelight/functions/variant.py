@@ -21,7 +21,8 @@ def kind(v: Column, path: str) -> Column:
 
 
 def is_object(v: Column, path: str = "$") -> Column:
-    return F.coalesce(kind(v, path).startswith("OBJECT"), F.lit(False))
+    # The type name of an object spells out all that is in it; a cast to a struct without fields looks at the value alone.
+    return F.try_variant_get(v, path, "struct<>").isNotNull()
 
 
 def text(v: Column, path: str) -> Column:
@@ -41,9 +42,9 @@ def loose(v: Column, path: str) -> Column:
     value = F.try_variant_get(v, path, "string")
     t = kind(v, path)
     return (
-        F.when(t.isNull() | (t == "VOID"), F.lit(""))
+        F.when(t == "STRING", value)
+        .when(t.isNull() | (t == "VOID"), F.lit(""))
         .when(t == "BOOLEAN", F.when(value == "true", F.lit("True")).otherwise(F.lit("")))
-        .when(t == "STRING", value)
         .when(value.isin("0", "0.0", "-0.0", "[]", "{}"), F.lit(""))
         .otherwise(F.coalesce(value, F.lit("")))
     )
@@ -54,7 +55,8 @@ def scalar(v: Column, path: str) -> Column:
     value = F.try_variant_get(v, path, "string")
     t = kind(v, path)
     return (
-        F.when(t.isNull() | (t == "VOID"), F.lit(""))
+        F.when(t.isin("STRING", "BIGINT"), F.coalesce(value, F.lit("")))
+        .when(t.isNull() | (t == "VOID"), F.lit(""))
         .when(t == "BOOLEAN", F.initcap(value))
         .otherwise(F.coalesce(value, F.lit("")))
     )
@@ -67,10 +69,7 @@ def integer(v: Column, path: str) -> Column:
 
 def array(v: Column, path: str) -> Column:
     """Elements of the list at ``path``; an empty array when it is no list."""
-    return F.coalesce(
-        F.when(kind(v, path).startswith("ARRAY"), F.try_variant_get(v, path, "array<variant>")),
-        F.array().cast("array<variant>"),
-    )
+    return F.coalesce(F.try_variant_get(v, path, "array<variant>"), F.array().cast("array<variant>"))
 
 
 def element_kind(v: Column) -> Column:
@@ -79,7 +78,7 @@ def element_kind(v: Column) -> Column:
 
 def objects(v: Column, path: str) -> Column:
     """The object members of the list at ``path``."""
-    return F.filter(array(v, path), lambda e: F.coalesce(element_kind(e).startswith("OBJECT"), F.lit(False)))
+    return F.filter(array(v, path), lambda e: is_object(e))
 
 
 def printed(v: Column, path: str) -> Column:
