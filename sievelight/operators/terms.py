@@ -36,8 +36,12 @@ def term_hits(low: Column, terms) -> Column:
 
 
 def pick(hits: Column, terms) -> Column:
-    """The terms of one list that are among ``hits``, in declaration order."""
-    return F.filter(literal_array(terms), lambda t: F.array_contains(hits, t))
+    """The terms of one list that are among ``hits``, in declaration order; none where ``hits`` is null."""
+    terms = list(terms)
+    if len(set(terms)) < len(terms):  # an intersection would lose the repeats
+        return F.filter(literal_array(terms), lambda t: F.array_contains(hits, t))
+    # One hash lookup a term; a lambda would be called, and would search all hits, for every term of every list.
+    return F.coalesce(F.array_intersect(literal_array(terms), hits), F.array().cast("array<string>"))
 
 
 def matched_terms(text: Column, terms) -> Column:
