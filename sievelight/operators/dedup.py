@@ -118,16 +118,59 @@ def dedup_ttl(
     last accepted one. Replays do not extend the window. Rows without an id are all accepted, and of
     copies that tie in time and ``tiebreak`` one is.
 
-    Copies are first reduced map-side to distinct instants per id. An id whose instants all lie
-    within one ``ttl`` needs nothing but its minimum. Other ids fold their sorted instants inside
-    one row while there are at most ``max_fold`` of them; ids beyond that advance together, one
-    accepted copy per round, each round being a distributed minimum over their remaining instants
-    (at most time span / ttl rounds).
+    Rows are counted per id first, map-side. An id of at most ``max_fold`` rows is settled where its
+    rows meet (``_ttl_light``); larger ones are listed and settled apart (``_ttl_heavy``), so that no task
+    holds all copies of a hot id.
     """
     df, without = _split_ids(df, id_col or keys[-1])
-    tick = F.unix_micros(F.col(ts).cast("timestamp"))
+    rows = df.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
     step = ttl * 1_000_000
-    instants = df.withColumn("_t", tick).groupBy(*keys, "_t").agg(F.min(tiebreak).alias("_tie"))
+    heavy = cut_lineage(rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > max_fold).select(*keys))
+    n_heavy = heavy.count()
+    if not n_heavy:
+        return _ttl_light(rows, keys, tiebreak, step).drop("_t").unionByName(without)
+    listed = F.broadcast(heavy) if n_heavy <= MAX_BROADCAST_IDS else heavy
+    light = _ttl_light(rows.join(listed, keys, "left_anti"), keys, tiebreak, step)
+    hot = _ttl_heavy(rows.join(listed, keys, "left_semi"), keys, tiebreak, step, max_fold)
+    return light.unionByName(hot).drop("_t").unionByName(without)
+
+
+def _fold(instants: Column, step: int) -> Column:
+    """The accepted ones of a sorted array of instants."""
+    return F.aggregate(
+        instants, F.array().cast("array<bigint>"),
+        lambda acc, t: F.when(
+            (F.size(acc) == 0) | (t - F.element_at(acc, -1) > step), F.concat(acc, F.array(t))
+        ).otherwise(acc),
+    )
+
+
+def _one_per_instant(rows: DataFrame, keys: list[str], tiebreak: str) -> DataFrame:
+    """The first row of each id and instant by ``tiebreak``; the rank filter sends one row of a key and task."""
+    first = Window.partitionBy(*keys, "_t").orderBy(F.col(tiebreak).asc_nulls_last())
+    return rows.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
+
+
+def _ttl_light(rows: DataFrame, keys: list[str], tiebreak: str, step: int) -> DataFrame:
+    """Ids of few rows: their instants are folded in one row per id, and meet the rows by id.
+
+    Instants and rows are shuffled once each; join, rank and fold all use the partitions of the id.
+    """
+    folded = rows.select(*keys, "_t").repartition(*keys).groupBy(*keys).agg(
+        _fold(F.array_sort(F.collect_list("_t")), step).alias("_accepted"))
+    met = rows.join(folded, keys).where(F.array_contains("_accepted", F.col("_t"))).drop("_accepted")
+    return _one_per_instant(met, keys, tiebreak)
+
+
+def _ttl_heavy(rows: DataFrame, keys: list[str], tiebreak: str, step: int, max_fold: int) -> DataFrame:
+    """Ids of many rows. Copies are first reduced map-side to distinct instants per id.
+
+    An id whose instants all lie within one ``step`` needs nothing but its minimum. Other ids fold their sorted
+    instants inside one row while there are at most ``max_fold`` of them; ids beyond that advance
+    together, one accepted copy per round, each round being a distributed minimum over their
+    remaining instants (at most time span / step rounds).
+    """
+    instants = rows.select(*keys, "_t").distinct()
     spans = instants.groupBy(*keys).agg(
         F.count("*").alias("_n"), F.min("_t").alias("_lo"), F.max("_t").alias("_hi")
     )
@@ -140,31 +183,15 @@ def dedup_ttl(
     folded = (
         instants.join(fold_keys, keys, "left_semi").groupBy(*keys)
         .agg(F.array_sort(F.collect_list("_t")).alias("_ts"))
-        .select(
-            *keys,
-            F.explode(
-                F.aggregate(
-                    "_ts", F.array().cast("array<bigint>"),
-                    lambda acc, t: F.when(
-                        (F.size(acc) == 0) | (t - F.element_at(acc, -1) > step), F.concat(acc, F.array(t))
-                    ).otherwise(acc),
-                )
-            ).alias("_t"),
-        )
+        .select(*keys, F.explode(_fold(F.col("_ts"), step)).alias("_t"))
     )
     accepted = simple.unionByName(folded)
     n_hot = hot_keys.count()
     if n_hot:
         small = F.broadcast if n_hot <= MAX_BROADCAST_IDS else (lambda side: side)
         accepted = accepted.unionByName(_ttl_rounds(instants, hot_keys, keys, step, small))
-    chosen = instants.join(accepted, [*keys, "_t"], "left_semi").select(
-        *keys, "_t", F.col("_tie").alias(tiebreak)
-    )
-    kept = df.withColumn("_t", tick).join(chosen, [*keys, "_t", tiebreak], "left_semi")
-    # One of several copies that tie; the rank filter sends one row of a key and task.
-    tied = Window.partitionBy(*keys, "_t", tiebreak).orderBy(tiebreak)
-    one = kept.withColumn("_rn", F.row_number().over(tied)).where("_rn = 1").drop("_rn", "_t")
-    return one.unionByName(without)
+    # Ranked before they are joined: a task sends one copy of an instant, however many there are.
+    return _one_per_instant(rows, keys, tiebreak).join(accepted, [*keys, "_t"], "left_semi")
 
 
 def _ttl_rounds(instants: DataFrame, start: DataFrame, keys: list[str], step: int, small) -> DataFrame:

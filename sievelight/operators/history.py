@@ -16,6 +16,12 @@ from sievelight.session import cut_lineage
 from sievelight.streaming.cursor import drop_other_versions, point_to, version_before
 
 BUCKETS = 256
+ROWS_PER_BUCKET = 500_000
+
+
+def buckets_for(rows: int, least: int = 8) -> int:
+    """Buckets of a history whose runs have ``rows`` rows in all, so that the task of a bucket does not grow with them."""
+    return max(least, -(-rows // ROWS_PER_BUCKET))
 
 
 class SeenIds:
@@ -80,8 +86,8 @@ def dedup_run(
     rows = df.withColumn("_seen", F.lit(False))
     seen = history.of(df.where(named), run)
     if seen is not None:
-        # The last accepted delivery of an id comes first again and opens its window.
-        rows = rows.unionByName(seen.select(
+        # The last accepted delivery of an id comes first again and opens its window. The history is joined once, not in every step that follows.
+        rows = rows.unionByName(cut_lineage(seen).select(
             *keys, F.timestamp_micros("last").cast(df.schema[ts].dataType).alias(ts), F.lit(True).alias("_seen")), allowMissingColumns=True)
     accepted = cut_lineage(dedup_ttl(rows, keys, ts, tiebreak, ttl, id_col=id_col).where(~F.col("_seen")).drop("_seen"))
     last = accepted.where(named).select(*keys, F.unix_micros(F.col(ts).cast("timestamp")).alias("last"))

@@ -222,8 +222,8 @@ def ttl_dedup(spark, sf):
 def daily_ttl_dedup(spark, sf):
     """The same rule over runs of a third of the time each, with a history of the ids between them."""
     rows = _replays(spark, sf)
-    low, high = rows.agg(F.min("received_at"), F.max("received_at")).first()
-    seen = history.SeenIds(spark, f"{run_folder(spark)}/seen", ["delivery_id"], 8)
+    low, high, n = rows.agg(F.min("received_at"), F.max("received_at"), F.count("*")).first()
+    seen = history.SeenIds(spark, f"{run_folder(spark)}/seen", ["delivery_id"], history.buckets_for(n))
     edges = [low + (high - low) * k / 3 for k in range(3)]
     out = None
     for run, start in enumerate(edges):
