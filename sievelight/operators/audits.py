@@ -1,6 +1,6 @@
 """Trace, chain and conformance audits. Each returns rows with a value-free ``problem``.
 
-Neighbouring records are found by equi joins on (group, position) or by blocked windows, so one
+Neighbouring records are found by equi joins on (group, position) or by windows over blocks of positions, so one
 long chain spreads over many tasks.
 """
 
@@ -10,16 +10,16 @@ import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sievelight.functions import variant as V
 from sievelight.functions.canonical import (
-    ascii_json, canonical_digest, json_array, json_map, json_object, json_string,
+    ascii_json, canonical, canonical_digest, json_array, json_map, json_object, json_string,
 )
 from sievelight.functions.crypto import sha256_tag
 from sievelight.functions.sensitive import EMAIL_PATTERN, has_hit
 from sievelight.functions.text import first_text, pin, strip
-from sievelight.operators.redaction import FLAG_KEYS, observation_fields, signals_json
+from sievelight.operators.redaction import FLAG_KEYS, has_flags, observation_text, signals_json, sorted_map
 from sievelight.operators.skew import blocked_before
 
 # --- K1: phase traces -----------------------------------------------------------------------------
@@ -70,6 +70,38 @@ def emission_fields(prefix: str) -> dict[str, Column]:
     }
 
 
+def _emission_rest(prefix: str) -> Column:
+    """JSON of an emission checkpoint without its version and advisories, keys in order.
+
+    Without signals and flags every value is text: one writer call encodes the row.
+    """
+    fields = emission_fields(prefix)
+    del fields["adapter_version"]
+
+    def texts(s: Column, keys) -> list[Column]:
+        return [F.coalesce(s[k], F.lit("")).alias(k) for k in keys]
+
+    row = {k: F.coalesce(F.col(prefix + k), F.lit("")) for k in ("source_id", "title", "body", "emission_type")}
+    provenance = F.col(prefix + "provenance")
+    row["evidence"] = F.transform(prefix + "evidence", lambda e: F.struct(
+        *texts(e, ("author", "evidence_id", "excerpt")), sorted_map(e["metadata"]).alias("metadata"),
+        F.struct(*texts(e["source_ref"], ("kind", "ref", "source_id", "url"))).alias("source_ref"), *texts(e, ("timestamp",))))
+    row["metadata"] = sorted_map(F.col(prefix + "metadata"))
+    row["provenance"] = F.when(provenance.isNotNull(), F.struct(
+        *texts(provenance, ("delivery_mode", "provider_event_id", "provider_resource_id", "verification"))))
+    plain = F.to_json(F.struct(*[row[k].alias(k) for k in sorted(row)]), {"ignoreNullFields": "false"})
+    special = (
+        F.col(prefix + "advisory_signals").isNotNull() | F.col(prefix + "evidence").isNull() | has_flags(F.col(prefix + "metadata"))
+        | F.exists(prefix + "evidence", lambda e: has_flags(e["metadata"]))
+    )
+    return F.when(special, json_object(fields)).otherwise(plain)
+
+
+def _column_digest(col: Column) -> Column:
+    """``canonical_digest`` of a plain column: only text with control escapes leaves the generated code."""
+    return sha256_tag(F.when(F.contains(col, F.lit("\\u00")), canonical(col)).otherwise(col))
+
+
 def phase_trace(df: DataFrame, trace: str = "trace_id", envelope: str = "envelope_json",
                 capture: str | None = None, delivery: str | None = None) -> DataFrame:
     """Up to seven phase records per row of ``trace_id, o (observation), e (emission), envelope_json``.
@@ -79,46 +111,51 @@ def phase_trace(df: DataFrame, trace: str = "trace_id", envelope: str = "envelop
     """
     scoped = lambda s: F.filter("e.advisories", lambda a: a["metadata"]["scope"] == s)
     no_text = F.lit(None).cast("string")
-    packed = pin(df, {"o": F.col("o"), "e": F.col("e")})
-    obs, em = observation_fields("o."), emission_fields("e.")
-    # Encode every field once; the documents of the phases are put together from the same pieces.
-    encoded = pin(packed, {
-        **{f"_o_{k}": v for k, v in obs.items()}, **{f"_e_{k}": v for k, v in em.items()},
+    # Encode every part once; the documents of the phases are put together from the same pieces.
+    encoded = pin(df, {
+        "_observation": observation_text("o."), "_rest": _emission_rest("e."), "_version": json_string(F.col("e.adapter_version")),
         "_adv_integration": _advisory_json(scoped("integration")), "_adv_all": _advisory_json(F.col("e.advisories")),
         "_provider_codes": F.transform(scoped("integration"), lambda a: a["kind"]),
         "_universal_codes": F.transform(scoped("universal"), lambda a: a["kind"]),
-    }, drop=("o", "e"))
+    })
+
+    def ahead(head: list[Column], document: str) -> Column:
+        """An object with members in front of its own; keys stay in order, as the callers choose them."""
+        return F.concat(F.lit("{"), *head, F.lit(","), F.substring(document, 2, 2**31 - 1))
 
-    def whole(mark: str, keys, advisories: str | None = None) -> Column:
-        fields = {k: F.col(f"{mark}{k}") for k in keys}
-        return json_object(fields | ({"advisories": F.col(advisories)} if advisories else {}))
+    def advised(advisories: str) -> list[Column]:
+        return [F.lit('"advisories":'), F.col(advisories)]
 
-    base = pin(encoded.select(
-        trace, *[F.col(c) for c in encoded.columns if c.startswith(("_o_", "_e_", "_adv", "_provider", "_universal"))],
+    def emission(advisories: str) -> Column:
+        return ahead([F.lit('"adapter_version":'), F.col("_version"), F.lit(","), *advised(advisories)], "_rest")
+
+    base = encoded.select(
+        trace, "_observation", "_provider_codes", "_universal_codes",
         F.col(envelope).alias("_envelope"), (F.col(capture) if capture else no_text).alias("_capture"),
-        (F.col(delivery) if delivery else no_text).alias("_delivery"),
-    ), {
-        "_observation": whole("_o_", obs), "_annotated": whole("_o_", obs, "_adv_integration"),
-        "_normalized": whole("_e_", em, "_adv_integration"), "_emission": whole("_e_", em, "_adv_all"),
-    }, drop=tuple(f"_o_{k}" for k in obs) + tuple(f"_e_{k}" for k in em) + ("_adv_integration", "_adv_all"))
+        (F.col(delivery) if delivery else no_text).alias("_delivery"), ahead(advised("_adv_integration"), "_observation").alias("_annotated"),
+        emission("_adv_integration").alias("_normalized"), emission("_adv_all").alias("_emission"),
+    )
     delivered = F.coalesce(
         V.text(F.try_parse_json("_delivery"), "$.status") == "accepted", F.lit(False)
     ) | F.coalesce(V.integer(F.try_parse_json("_delivery"), "$.status") == 201, F.lit(False))
     none = F.array().cast("array<string>")
-    start = F.coalesce("_capture", F.lit("{}"))
+    base = base.withColumns({"_start": F.coalesce("_capture", F.lit("{}")), "_gate": F.when(delivered, F.lit("pass")).otherwise(F.lit("fail"))})
+    # A phase's input is the output before it: each document has one digest.
+    documents = ["_start", "_capture", "_observation", "_annotated", "_normalized", "_emission", "_envelope", "_delivery"]
+    base = base.withColumns({f"{c}_digest": _column_digest(F.col(c)) for c in documents})
     steps = [
-        ("_capture", start, none, F.lit("pass")), ("_observation", start, none, F.lit("pass")),
-        ("_annotated", F.col("_observation"), F.col("_provider_codes"), no_text),
-        ("_normalized", F.col("_annotated"), none, F.lit("pass")),
-        ("_emission", F.col("_normalized"), F.col("_universal_codes"), no_text),
-        ("_envelope", F.col("_emission"), none, F.lit("pass")),
-        ("_delivery", F.col("_envelope"), none, F.when(delivered, F.lit("pass")).otherwise(F.lit("fail"))),
+        ("_capture", "_start", none, F.lit("pass")), ("_observation", "_start", none, F.lit("pass")),
+        ("_annotated", "_observation", F.col("_provider_codes"), no_text),
+        ("_normalized", "_annotated", none, F.lit("pass")),
+        ("_emission", "_normalized", F.col("_universal_codes"), no_text),
+        ("_envelope", "_emission", none, F.lit("pass")),
+        ("_delivery", "_envelope", none, F.col("_gate")),
     ]
     records = [
         F.when(F.col(out).isNotNull(), F.struct(
             F.lit(phase).alias("phase_id"), F.lit(contract).alias("contract_id"),
-            given.alias("input_data"), F.col(out).alias("output_data"),
-            canonical_digest(given).alias("input_digest"), canonical_digest(F.col(out)).alias("output_digest"),
+            F.col(given).alias("input_data"), F.col(out).alias("output_data"),
+            F.col(f"{given}_digest").alias("input_digest"), F.col(f"{out}_digest").alias("output_digest"),
             codes.alias("advisories"), gate.alias("gate"), F.lit(before).alias("authority_before"),
             F.lit(after).alias("authority_after"), F.lit(move).alias("authority_transition"),
             F.lit(False).alias("canonical"),
@@ -136,13 +173,27 @@ def _problems(df: DataFrame, keys: list[str], *checks: Column) -> DataFrame:
     return df.select(*keys, F.explode(F.array_compact(F.array(*checks))).alias("problem"))
 
 
+#: Positions of a group that are settled side by side in one task.
+RUN = 4096
+
+
 def previous_row(df: DataFrame, keys: list[str], pos: str, values: list[str]) -> DataFrame:
-    """Add ``prev_<value>`` and ``has_prev`` from the row at ``pos - 1``, by an equi join."""
-    prev = df.select(
-        *keys, (F.col(pos) + 1).alias(pos), *[F.col(v).alias(f"prev_{v}") for v in values],
-        F.lit(True).alias("has_prev"),
-    )
-    return df.join(prev, [*keys, pos], "left").withColumn("has_prev", F.coalesce("has_prev", F.lit(False)))
+    """Add ``prev_<value>`` and ``has_prev`` from the rows at ``pos - 1``, as an equi join would: a row comes once for each of them.
+
+    The rows are made and shuffled once, by runs of positions, so a long group spreads over many tasks. The last rows of a run
+    are seen by the next one too.
+    """
+    run = lambda p: F.floor(p / RUN)
+    own, following = run(F.col(pos)), run(F.col(pos) + 1)
+    dealt = df.select("*", F.posexplode(F.when(following > own, F.array(own, following)).otherwise(F.array(own))).alias("_seen", "_run"))
+    before = Window.partitionBy(*keys, "_run").orderBy(pos).rangeBetween(-1, -1)
+    known = F.col(pos).isNotNull()
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    found = F.collect_list(F.struct(F.lit(True).alias("has_prev"), *[F.col(v).alias(f"prev_{v}") for v in values])).over(before)
+    rows = dealt.withColumn("_found", found).where("_seen = 0").withColumn("_found", F.when(known, F.col("_found")))
+    return rows.select(*df.columns, F.explode_outer("_found").alias("_p")).select(
+        *df.columns, *[F.col(f"_p.prev_{v}").alias(f"prev_{v}") for v in values], F.coalesce("_p.has_prev", F.lit(False)).alias("has_prev"))
 
 
 def audit_trace(df: DataFrame, trace: str = "trace_id") -> DataFrame:

@@ -240,25 +240,34 @@ def observation_fields(prefix: str = "") -> dict[str, Column]:
     }
 
 
-def observation_json(prefix: str = "") -> Column:
-    """Canonical JSON of an observation row.
+def observation_text(prefix: str = "") -> Column:
+    """JSON of an observation row, keys in order; see ``canonical`` for its control escapes.
 
     Without signals and flags every value is text: one writer call encodes the row, keys in order.
     """
     col = lambda k: F.col(prefix + k)
     texts = {k: F.coalesce(col(k), F.lit("")) for k in OBSERVATION_TEXTS}
     ref = {k: F.coalesce(col(f"source_ref.{k}"), F.lit("")) for k in ("kind", "ref", "source_id", "url")}
-    maps = {k: _sorted_map(col(k)) for k in OBSERVATION_MAPS}
+    maps = {k: sorted_map(col(k)) for k in OBSERVATION_MAPS}
     fields = texts | maps | {"source_ref": F.struct(*[v.alias(k) for k, v in ref.items()])}
     plain = F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]))
-    flags = F.array(*map(F.lit, FLAG_KEYS))
     special = col("advisory_signals").isNotNull()
     for k in OBSERVATION_MAPS:
-        special = special | F.coalesce(F.arrays_overlap(F.map_keys(col(k)), flags), F.lit(False))
-    return canonical(F.when(special, json_object(observation_fields(prefix))).otherwise(plain))
+        special = special | has_flags(col(k))
+    return F.when(special, json_object(observation_fields(prefix))).otherwise(plain)
+
+
+def observation_json(prefix: str = "") -> Column:
+    """Canonical JSON of an observation row."""
+    return canonical(observation_text(prefix))
+
+
+def has_flags(m: Column) -> Column:
+    """True when a map holds a value that is no text at its source."""
+    return F.coalesce(F.arrays_overlap(F.map_keys(m), F.array(*map(F.lit, FLAG_KEYS))), F.lit(False))
 
 
-def _sorted_map(m: Column) -> Column:
+def sorted_map(m: Column) -> Column:
     """A string map with its keys in order and null values as empty text."""
     entries = F.sort_array(F.map_entries(F.coalesce(m, empty_map())))
     return F.map_from_entries(F.transform(entries, lambda e: F.struct(e["key"], F.coalesce(e["value"], F.lit("")))))
