@@ -77,8 +77,9 @@ _SECRET_LITERALS = "|".join(
 _SECRET_GUARD = f"(?=[{_SECRET_STARTS}])(?:{_SECRET_LITERALS})"
 # A health label ends in one of these pairs of letters before its separator. ``[redacted:`` does not: text with a placeholder stays cheap.
 _LABEL_END = r"(?iU)(?:[rs]n|rd|er|id|me|il|th|ob|ty)\s*[:=]"
-# Every rule's match holds one of these: text without any of them stays as it is. ``\p{Nd}`` is the Unicode-aware ``\d``.
-_ANY_GUARD = rf"(?=[@:=\p{{Nd}}{_SECRET_STARTS}])(?:[@:=]|\p{{Nd}}[\p{{Nd}} .\-]{{5,}}\p{{Nd}}|{_SECRET_LITERALS})"
+# Every rule's match holds one of these: text without any of them stays as it is. ``\p{Nd}`` is the Unicode-aware ``\d``. The colon of
+# a placeholder follows no health label, so it is part of no match.
+_ANY_GUARD = rf"(?=[@:=\p{{Nd}}{_SECRET_STARTS}])(?:[@=]|(?<!\[redacted):|\p{{Nd}}[\p{{Nd}} .\-]{{5,}}\p{{Nd}}|{_SECRET_LITERALS})"
 
 HIT_TYPE = T.ArrayType(
     T.StructType(

@@ -12,10 +12,16 @@ from sievelight.operators.normalize import EMISSION_TYPES, screen_reason
 OWNED_FIELDS = ["content_hash", "level", "snapshot_content"]  # fixed values: set by the receiver only
 
 
+# A token as it should be: no rule matches letters and underscores alone but those of the token families that need no other character.
+_PLAIN_TOKEN = r"\A(?!.*(?:gh[opsur]_|github_pat_|k_live_|npm_))[a-z](?:[a-z_]{0,118}[a-z])?\z"
+
+
 def label_token(col: Column, fallback: str = "unknown") -> Column:
-    text = strip_lower(redact(F.coalesce(col, F.lit(""))))
-    tok = F.btrim(F.regexp_replace(text, r"[^a-z0-9._-]+", "_"), F.lit("_"))
-    return F.left(first_text(tok, fallback), F.lit(120))
+    def whole(v: Column) -> Column:
+        tok = F.btrim(F.regexp_replace(strip_lower(redact(v)), r"[^a-z0-9._-]+", "_"), F.lit("_"))
+        return F.left(first_text(tok, fallback), F.lit(120))
+
+    return let(F.coalesce(col, F.lit("")), lambda v: F.when(v.rlike(_PLAIN_TOKEN), v).otherwise(whole(v)))
 
 
 def first_excerpt() -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sievelight.operators import exports as X, normalize as N, redaction as R
-from sievelight.plans.common import SQL_K, element, k_of, run_folder, sql_element, table
+from sievelight.plans.common import SQL_K, element, k_of, kept, run_folder, sql_element, table
 from sievelight.plans.q_normalize import BODIES, MODES, ORACLES as NORMALIZED, SOURCES, observations
 from sievelight.plans.q_redaction import TOKENS, tracked
 
@@ -116,7 +116,7 @@ UNION ALL SELECT 'envelope', {sql_element(SOURCES, 'k')}, count(*) FROM e GROUP
 def sinks(spark, sf):
     """Write each sink below the shared folder and count what comes back."""
     folder = run_folder(spark)
-    em = emissions(spark, sf)
+    em = kept(emissions(spark, sf), f"{folder}/emissions")
     out = None
     for kind, col in (("table", "source_id"), ("sdk", "system"), ("envelope", "source_system")):
         path = f"{folder}/{kind}"
